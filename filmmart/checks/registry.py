@@ -7,6 +7,9 @@ from functools import wraps
 from ..session import apply_defaults
 from .oracle_models import model_sql
 from .spark_models import model_queries
+from . import ops_core
+
+CHECK_MODULES = [ops_core]
 
 
 def _with_defaults(fn):
@@ -20,10 +23,14 @@ def _with_defaults(fn):
 def all_queries() -> dict:
     q = {}
     q.update(model_queries())
+    for m in CHECK_MODULES:
+        q.update({k: v[0] for k, v in m.CHECKS.items()})
     return {k: _with_defaults(v) for k, v in q.items()}
 
 
 def all_oracles() -> dict:
     o = {}
     o.update(model_sql())
+    for m in CHECK_MODULES:
+        o.update({k: v[1] for k, v in m.CHECKS.items() if v[1]})
     return o

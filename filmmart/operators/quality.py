@@ -90,7 +90,7 @@ def freshness(df: DataFrame, now, ts_col: str = "_loaded_at", warn_hours: int =
     """Age of the newest load against a given 'now' (never the wall clock, so re-runs agree)."""
     now_col = now if isinstance(now, Column) else F.lit(now).cast("timestamp")
     newest = df.agg(F.max(ts_col).alias("max_loaded_at"))
-    age = (F.unix_seconds(now_col) - F.unix_seconds(F.col("max_loaded_at"))) / 3600.0
+    age = (F.unix_micros(now_col) - F.unix_micros(F.col("max_loaded_at"))) / 3600000000.0
     return newest.select(
         F.lit(source).alias("source"), "max_loaded_at", age.alias("age_hours"),
         F.when(F.col("max_loaded_at").isNull(), F.lit("error"))

@@ -7,9 +7,9 @@ from functools import wraps
 from ..session import apply_defaults
 from .oracle_models import model_sql
 from .spark_models import model_queries
-from . import ops_core, ops_plan
+from . import ops_core, ops_feeds, ops_plan
 
-CHECK_MODULES = [ops_core, ops_plan]
+CHECK_MODULES = [ops_core, ops_plan, ops_feeds]
 
 
 def _with_defaults(fn):

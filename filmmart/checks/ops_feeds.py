@@ -31,8 +31,14 @@ def check(name: str, sql: str | None):
 
 
 CHUNK = 256
-LOAD_TS = F.lit("2024-01-01 00:00:00").cast("timestamp")
-FEED_KEY = F.regexp_extract(F.col("_source_file"), r"key=([^/]+)/", 1)
+
+
+def load_ts() -> Column:
+    return F.lit("2024-01-01 00:00:00").cast("timestamp")
+
+
+def feed_key() -> Column:
+    return F.regexp_extract(F.col("_source_file"), r"key=([^/]+)/", 1)
 
 
 def _feed_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,20 +65,20 @@ FROM events GROUP BY event_id // 256"""
 FROM ({FEED_SQL}) f""")
 def q_feed_scan(spark, sf):
     glob = write_feed(_feed_text(spark, sf), scratch_path(spark, "feed_scan"))
-    return A.read_feed(spark, glob).select(FEED_KEY.alias("file_key"), "value")
+    return A.read_feed(spark, glob).select(feed_key().alias("file_key"), "value")
 
 
 @check("bronze_envelope", f"""SELECT '2024-01-01 00:00:00' AS _loaded_at, key AS file_key, '[' || canon || ']' AS data
 FROM ({FEED_SQL}) f WHERE NOT broken""")
 def q_bronze_envelope(spark, sf):
     glob = write_feed(_feed_text(spark, sf), scratch_path(spark, "bronze_envelope"))
-    env = A.good(A.to_bronze(A.read_feed(spark, glob), LOAD_TS))
-    return render(env.select("_loaded_at", FEED_KEY.alias("file_key"), "data"))
+    env = A.good(A.to_bronze(A.read_feed(spark, glob), load_ts()))
+    return render(env.select("_loaded_at", feed_key().alias("file_key"), "data"))
 
 
 def _copies(spark, bronze_path: str) -> DataFrame:
     b = A.read_bronze(spark, bronze_path)
-    return b.groupBy(FEED_KEY.alias("file_key")).agg(F.count(F.lit(1)).alias("copies"))
+    return b.groupBy(feed_key().alias("file_key")).agg(F.count(F.lit(1)).alias("copies"))
 
 
 @check("load_once", f"""SELECT key AS file_key, CAST(1 AS BIGINT) AS copies FROM ({FEED_SQL}) f WHERE NOT broken""")

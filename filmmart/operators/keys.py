@@ -45,6 +45,8 @@ def dense_key(df: DataFrame, order: Sequence[Column], name: str, partitions: int
     ranged = (work.repartitionByRange(n, *order)
                   .sortWithinPartitions(*order)
                   .withColumn("_mid", F.monotonically_increasing_id()))
+    if salt:
+        ranged = ranged.drop("_salt")
     ranged = ranged.checkpoint(eager=True)
     pid = F.shiftrightunsigned(F.col("_mid"), _LOCAL_BITS)
     offsets = (ranged.groupBy(pid.alias("_pid")).count()

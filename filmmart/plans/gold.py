@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.casts import try_date, try_int
 from ..functions.text import name_slug, prefixed, strip_year
 from ..operators.dedup import latest_per_key, total_order
-from ..operators.joins import full_outer_on_nullable, left_lookup, routed_lookup
+from ..operators.joins import left_lookup, routed_lookup
 from ..operators.keys import dense_key
 
 # Spine bounds (end exclusive) and platform labels.
@@ -48,17 +48,32 @@ def dim_date(spark: SparkSession, start: str = SPINE_START, end: str = SPINE_END
 
 
 def dim_movie(silver_mc_general: DataFrame, silver_rt_details: DataFrame, partitions: int | None = None) -> DataFrame:
-    """MC and RT movies matched on imdb_id; unmatched rows of either side kept."""
+    """MC and RT movies matched on imdb_id; unmatched rows of either side kept.
+
+    Each side is split once on ``imdb_id IS NULL``: NULL rows skip both the per-id dedup
+    (F4, NULLs exempt) and the join (NULLs never match) and are appended; only non-NULL
+    rows are deduplicated and full-outer joined. Splitting twice would leave branches
+    with contradictory filters that still scan, sort and shuffle.
+    """
     smg, srd = silver_mc_general, silver_rt_details
-    mc = latest_per_key(smg, "imdb_id", total_order(smg), null_keys="keep").select(
-        F.col("movie_slug").alias("mc_slug"), F.col("title").alias("mc_title"),
-        F.col("premiere_year").alias("release_year"), "rating", "duration_minutes",
-        F.col("imdb_id").alias("mc_imdb_id"),
-        F.get_json_object("genres", "$[0]").alias("primary_genre"))
-    rt = latest_per_key(srd, "imdb_id", total_order(srd), null_keys="keep").select(
-        F.col("movie_id").alias("rt_movie_id"), strip_year("title").alias("rt_title"),
-        F.col("urlid").alias("rt_urlid"), F.col("imdb_id").alias("rt_imdb_id"))
-    j = full_outer_on_nullable(mc, rt, "mc_imdb_id", "rt_imdb_id")
+
+    def mc_cols(df):
+        return df.select(F.col("movie_slug").alias("mc_slug"), F.col("title").alias("mc_title"),
+                         F.col("premiere_year").alias("release_year"), "rating", "duration_minutes",
+                         F.col("imdb_id").alias("mc_imdb_id"),
+                         F.get_json_object("genres", "$[0]").alias("primary_genre"))
+
+    def rt_cols(df):
+        return df.select(F.col("movie_id").alias("rt_movie_id"), strip_year("title").alias("rt_title"),
+                         F.col("urlid").alias("rt_urlid"), F.col("imdb_id").alias("rt_imdb_id"))
+
+    has_id = F.col("imdb_id").isNotNull()
+    mc = mc_cols(latest_per_key(smg.filter(has_id), "imdb_id", total_order(smg)))
+    rt = rt_cols(latest_per_key(srd.filter(has_id), "imdb_id", total_order(srd)))
+    matched = mc.join(rt, F.col("mc_imdb_id") == F.col("rt_imdb_id"), "full_outer")
+    j = (matched
+         .unionByName(mc_cols(smg.filter(~has_id)), allowMissingColumns=True)
+         .unionByName(rt_cols(srd.filter(~has_id)), allowMissingColumns=True))
     joined = j.select(
         F.coalesce("mc_slug", "rt_movie_id").alias("movie_natural_key"), "mc_slug", "rt_movie_id",
         F.coalesce("mc_title", "rt_title").alias("title"), "release_year", "rating", "duration_minutes",

@@ -282,3 +282,94 @@ def q_crosswalk_build(spark, sf):
 
 
 __all__ = ["CHECKS"]
+
+
+# ---------------------------------------------------------------- more response shapes
+
+@check("flatten_critic_items", """SELECT 'p-' || l_partkey AS movie_slug, l_orderkey // 16 AS page_no,
+  CASE WHEN l_linenumber = 1 THEN '' ELSE 'o' || l_orderkey || ' l' || l_linenumber END AS quote,
+  CAST(floor(l_quantity) * 2 AS INTEGER) AS score, strftime(l_shipdate, '%Y-%m-%d') AS date,
+  'Supplier ' || l_suppkey AS author, 's-' || l_suppkey AS author_slug
+FROM lineitem""")
+def q_flatten_critic_items(spark, sf):
+    li = table(spark, sf, "lineitem")
+    quote = F.when(F.col("l_linenumber") == 1, F.lit("")).otherwise(
+        _s('"quote": "o', F.col("l_orderkey").cast("string"), " l", F.col("l_linenumber").cast("string"), '", '))
+    item = _s("{", quote, '"score": ', (F.col("l_quantity").cast("int") * 2).cast("string"), ', "date": "',
+              F.date_format("l_shipdate", "yyyy-MM-dd"), '", "author": "Supplier ', F.col("l_suppkey").cast("string"),
+              '", "authorSlug": "s-', F.col("l_suppkey").cast("string"), '"}')
+    li = li.withColumn("page_no", F.floor(F.col("l_orderkey") / 16)).withColumn(
+        "_ord", F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))
+    # one captured page = the items of one movie on one page of 16 orders
+    pages = grouped_text(li, ["l_partkey", "page_no"], "_ord", item)
+    resp = pages.select(_s("p-", F.col("l_partkey").cast("string")).alias("entity_id"), "page_no",
+                        _s('{"data": {"items": ', F.col("data"), "}}").alias("body"))
+    out = R.flatten_critic_reviews(resp)
+    return out.select("movie_slug", F.col("page_no").cast("long").alias("page_no"), "quote", "score", "date",
+                      "author", "author_slug")
+
+
+@check("flatten_audience", """SELECT 'r_' || user_id AS movie_id, CAST(event_id AS VARCHAR) AS reviewId,
+  event_type AS rating, CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'h' || user_id END AS userAccountLink,
+  CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'RT' END AS userRealm,
+  CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'enc' || user_id END AS userId,
+  CAST(event_type = 'purchase' AS VARCHAR) AS isVerified, strftime(ts, '%Y-%m-%d') AS creationDate
+FROM events""")
+def q_flatten_audience(spark, sf):
+    ev = table(spark, sf, "events")
+    e, u = F.col("event_id"), F.col("user_id").cast("string")
+    user = F.when(e % 4 == 0, F.lit("")).otherwise(
+        _s(', "user": {"profileHandle": "h', u, '", "realm": "RT", "encryptedUserId": "enc', u, '"}'))
+    item = _s('{"rating": "', F.col("event_type"), '", "ratingId": "', e.cast("string"), '", "isVerified": ',
+              F.when(F.col("event_type") == "purchase", "true").otherwise("false"), ', "createDate": "',
+              F.date_format("ts", "yyyy-MM-dd"), '"', user, "}")
+    ev = ev.withColumn("page_no", F.floor(e / 20))
+    pages = grouped_text(ev, ["user_id", "page_no"], "event_id", item)
+    resp = pages.select(_s("r_", F.col("user_id").cast("string")).alias("entity_id"), "page_no",
+                        _s('{"reviews": ', F.col("data"), ', "pageInfo": {"hasNextPage": true, "endCursor": "c"}}')
+                        .alias("body"))
+    out = R.flatten_audience_reviews(resp)
+    return out.select("movie_id", "reviewId", "rating", "userAccountLink", "userRealm", "userId", "isVerified",
+                      "creationDate")
+
+
+def _rt_pages(spark, sf) -> DataFrame:
+    """Part rendered as captured RT movie pages with both embedded scripts."""
+    k = F.col("p_partkey")
+    ks = k.cast("string")
+    score = _s('<script id="media-scorecard-json" data-x="1">{"overlay": {"audienceAll": {"likedCount": ',
+               (k % 97).cast("string"), '}, "criticsAll": {"score": ', (F.col("p_size") * 2).cast("string"),
+               '}}, "description": "', F.col("p_brand"), '", "criticReviewHref": "/m/p', ks, '/reviews/code', ks,
+               '"}</script>')
+    rating = F.when(k % 5 == 0, F.lit("")).otherwise(_s('"cag[rating]": "', F.col("p_type"), '",\n  '))
+    details = _s('<script id="mps-page-integration">\nwindow.mpscall = {"title": "', F.col("p_name"), '",\n  ', rating,
+                 '"field[rtid]": ', ks, ', "cag[urlid]": "u', ks, '"};\nvar later = {"x": 1};\n</script>')
+    html = _s("<html><head>", score, "</head><body>", details, "</body></html>")
+    return table(spark, sf, "part").select(_s("r_", ks).alias("movie_id"), html.alias("html"))
+
+
+@check("page_scorecard", """SELECT 'r_' || p_partkey AS movie_id, '{"likedCount":' || (p_partkey % 97) || '}' AS audienceAll,
+  '{"score":' || (p_size * 2) || '}' AS criticsAll, p_brand AS description, 'code' || p_partkey AS movie_code
+FROM part""")
+def q_page_scorecard(spark, sf):
+    return R.page_scorecard(_rt_pages(spark, sf)).select("movie_id", "audienceAll", "criticsAll", "description",
+                                                         "movie_code")
+
+
+@check("page_details", """SELECT 'r_' || p_partkey AS movie_id, p_name AS title,
+  CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_type END AS rating, CAST(p_partkey AS VARCHAR) AS rtid,
+  'u' || p_partkey AS urlid FROM part""")
+def q_page_details(spark, sf):
+    return R.page_details(_rt_pages(spark, sf)).select("movie_id", "title", "rating", "rtid", "urlid")
+
+
+@check("json_unnest_rejects", """SELECT 'f' || p_partkey AS _source_file, 'not a JSON array' AS reason
+FROM part WHERE p_partkey % 7 = 0""")
+def q_json_unnest_rejects(spark, sf):
+    from ..functions.jsonops import unnest_rejects
+    k = F.col("p_partkey")
+    rec = _s('{"movie_slug": "p-', k.cast("string"), '"}')
+    data = (F.when(k % 7 == 0, rec).when(k % 7 == 1, F.lit("null")).when(k % 7 == 2, F.lit("[]"))
+             .otherwise(_s("[", rec, "]")))
+    env = table(spark, sf, "part").select(_s("f", k.cast("string")).alias("_source_file"), data.alias("data"))
+    return unnest_rejects(env).select("_source_file", "reason")

@@ -3,16 +3,21 @@
 Prints one JSON line: total seconds and per-step seconds. Steps: bronze stand-ins
 written to parquet (the input of a real run), each silver and gold table rebuilt
 (written and read back), the declared data tests, and a few operator checks run to a
-no-op sink over whole tables.
+no-op sink over whole tables. Each step runs in its own job group; Spark's event log
+(written to a fresh scratch folder) gives per-step shuffle bytes and task skew
+(slowest task / median task of the step's widest stage).
 """
 
 from __future__ import annotations
 
+import glob
 import json
 import os
+import statistics
 import sys
 import tempfile
 import time
+from collections import defaultdict
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -28,22 +33,63 @@ OPERATOR_CHECKS = ["latest_per_composite_key", "dq_unique", "dq_relationships",
                    "dense_key", "scrub_ctrl", "page_script", "identity_map"]
 
 
+def step_metrics(log_dir: str) -> dict:
+    """Per job group: shuffle MB written and the widest stage's slowest/median task time."""
+    stage_group: dict[int, str] = {}
+    tasks: dict[int, list] = defaultdict(list)
+    shuffle: dict[str, int] = defaultdict(int)
+    for path in glob.glob(os.path.join(log_dir, "*")):
+        with open(path) as f:
+            for line in f:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in ev.get("Stage IDs", []):
+                        if group:
+                            stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    m = ev.get("Task Metrics") or {}
+                    sid = ev["Stage ID"]
+                    tasks[sid].append(m.get("Executor Run Time", 0))
+                    w = (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                    shuffle[sid] += w
+    out: dict[str, dict] = {}
+    for sid, group in stage_group.items():
+        if sid not in tasks:
+            continue
+        o = out.setdefault(group, {"shuffle_mb": 0.0, "tasks": 0, "skew": 1.0, "_width": 0})
+        o["shuffle_mb"] += shuffle[sid] / 2**20
+        o["tasks"] += len(tasks[sid])
+        if len(tasks[sid]) >= 4 and len(tasks[sid]) >= o["_width"]:
+            med = statistics.median(tasks[sid]) or 1
+            o["_width"] = len(tasks[sid])
+            o["skew"] = round(max(tasks[sid]) / med, 2)
+    for o in out.values():
+        o["shuffle_mb"] = round(o["shuffle_mb"], 2)
+        del o["_width"]
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
-    if os.environ.get("BENCH_EVENT_LOG"):
-        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
+    log_dir = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+             "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{log_dir}",
+             "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"}
     spark = get_spark(f"local[{cpus}]", "filmmart-bench", shuffle_partitions=int(cpus) * 2, extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="filmmart-bench-"))
     checkpoint_dir(spark)
     root = scratch_path(spark, "bench")
+    sc = spark.sparkContext
     q: dict[str, float] = {}
     t_all = time.time()
 
     t = time.time()
+    sc.setJobGroup("bronze_standins", "bronze_standins")
     bronze = {}
     for name, df in bronze_from_driver(spark, sf_dir).items():
         df.write.mode("overwrite").parquet(f"{root}/bronze/{name}")
@@ -51,23 +97,30 @@ def main() -> None:
     q["bronze_standins"] = round(time.time() - t, 3)
 
     timings: dict[str, float] = {}
-    out = build_mart(spark, bronze, f"{root}/mart", timings=timings)
+    out = build_mart(spark, bronze, f"{root}/mart", timings=timings,
+                     on_step=lambda name: sc.setJobGroup(name, name))
     q.update(timings)
     t = time.time()
+    sc.setJobGroup("gold_tests", "gold_tests")
     failing = out["tests"].filter(F.col("status") != "pass").count()
     q["gold_tests"] = round(time.time() - t, 3)
 
     checks = all_queries()
     for name in OPERATOR_CHECKS:
         t = time.time()
+        sc.setJobGroup(f"op_{name}", f"op_{name}")
         checks[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         q[f"op_{name}"] = round(time.time() - t, 3)
 
     total = round(time.time() - t_all, 3)
     sf = Path(sf_dir).name.replace("sf", "")
-    print(json.dumps({"metric": "mart_build_wall", "value": total, "unit": "sec", "queries": q, "sf": sf,
-                      "cpus": int(cpus), "failing_tests": failing}))
     spark.stop()
+    try:
+        metrics = step_metrics(log_dir)
+    except Exception as e:  # the timing line must still be printed
+        metrics = {"error": repr(e)[:200]}
+    print(json.dumps({"metric": "mart_build_wall", "value": total, "unit": "sec", "queries": q, "sf": sf,
+                      "cpus": int(cpus), "failing_tests": failing, "steps": metrics}))
 
 
 if __name__ == "__main__":

@@ -16,31 +16,36 @@ SILVER_ORDER = ["silver_rt_crosswalk", "silver_mc_general", "silver_mc_critic_re
 
 
 def build_mart(spark: SparkSession, bronze: dict[str, DataFrame], out_dir: str,
-               partitions: int | None = None, timings: dict | None = None) -> dict[str, DataFrame]:
+               partitions: int | None = None, timings: dict | None = None,
+               on_step=None) -> dict[str, DataFrame]:
     """Rebuild every silver and gold table under ``out_dir`` (overwrite), each read back
     from its written copy, so a table with several consumers is computed once and its
     lineage is cut. Returns the tables plus ``tests`` (one verdict row per declared test)."""
     timings = timings if timings is not None else {}
     out: dict[str, DataFrame] = {}
 
-    def write(name: str, df: DataFrame) -> DataFrame:
+    def write(name: str, df_fn) -> DataFrame:
+        if on_step:
+            on_step(name)
         t = time.time()
+        df = df_fn()
         out[name] = rebuild_table(df, f"{out_dir.rstrip('/')}/{name}")
         timings[name] = round(time.time() - t, 3)
         return out[name]
 
     for name in SILVER_ORDER:
         if name == "silver_rt_details":
-            write(name, S.silver_rt_details(bronze["rt_details"], out["silver_rt_crosswalk"]))
+            write(name, lambda: S.silver_rt_details(bronze["rt_details"], out["silver_rt_crosswalk"]))
         else:
-            write(name, S.build_silver(bronze[S.BRONZE_OF[name]], S.SPECS[name]))
-    dd = write("dim_date", G.dim_date(spark))
-    dm = write("dim_movie", G.dim_movie(out["silver_mc_general"], out["silver_rt_details"], partitions))
-    dc = write("dim_critic", G.dim_critic(out["silver_mc_critic_reviews"], out["silver_rt_critic_reviews"], partitions))
-    write("fact_movie_score", G.fact_movie_score(dm, out["silver_mc_general"], out["silver_mc_user_reviews"],
-                                                 out["silver_rt_score"], partitions))
-    write("fact_critic_review", G.fact_critic_review(out["silver_mc_critic_reviews"], out["silver_rt_critic_reviews"],
-                                                     dm, dc, dd, partitions))
+            write(name, lambda n=name: S.build_silver(bronze[S.BRONZE_OF[n]], S.SPECS[n]))
+    dd = write("dim_date", lambda: G.dim_date(spark))
+    dm = write("dim_movie", lambda: G.dim_movie(out["silver_mc_general"], out["silver_rt_details"], partitions))
+    dc = write("dim_critic", lambda: G.dim_critic(out["silver_mc_critic_reviews"], out["silver_rt_critic_reviews"],
+                                                  partitions))
+    write("fact_movie_score", lambda: G.fact_movie_score(dm, out["silver_mc_general"], out["silver_mc_user_reviews"],
+                                                         out["silver_rt_score"], partitions))
+    write("fact_critic_review", lambda: G.fact_critic_review(out["silver_mc_critic_reviews"],
+                                                             out["silver_rt_critic_reviews"], dm, dc, dd, partitions))
     t = time.time()
     out["tests"] = gold_tests({k: out[k] for k in ["dim_date", "dim_movie", "dim_critic", "fact_movie_score",
                                                    "fact_critic_review"]})

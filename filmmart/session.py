@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -17,7 +16,13 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+# Settings fixed when the context starts: no UI server, and checkpoint files (dense-key
+# layouts) removed once nothing references them.
+STARTUP_DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -26,7 +31,7 @@ def get_spark(master: str | None = None, app: str = "filmmart",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in SESSION_DEFAULTS.items():
+    for k, v in {**STARTUP_DEFAULTS, **SESSION_DEFAULTS}.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -40,8 +45,6 @@ def get_spark(master: str | None = None, app: str = "filmmart",
 def apply_defaults(spark: SparkSession) -> None:
     """Runtime-settable defaults for a session someone else built."""
     for k, v in SESSION_DEFAULTS.items():
-        if k == "spark.ui.enabled":
-            continue
         spark.conf.set(k, v)
 
 
@@ -83,4 +86,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["get_spark", "apply_defaults", "checkpoint_dir", "scratch_path", "path_exists", "local_path",
-           "SESSION_DEFAULTS", "os"]
+           "SESSION_DEFAULTS", "STARTUP_DEFAULTS"]

@@ -12,7 +12,7 @@ from ..functions import jsonops as J
 from ..functions.casts import try_bool, try_date, try_int
 from ..functions.text import name_slug, prefixed, strip_year
 from ..operators import quality as Q
-from ..operators.dedup import latest_per_key, total_order
+from ..operators.dedup import latest_per_key
 from ..operators.joins import full_outer_on_nullable, left_lookup, routed_lookup
 from ..operators.keys import dense_key
 from ..plans.standins import table

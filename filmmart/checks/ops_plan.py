@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.text import last_segment, scrub_strings
 from ..operators import planning as P
 from ..operators.crosswalk import build_crosswalk, identity_map
-from ..operators.dedup import top_n_per_group
 from ..operators.keys import dense_key
 from ..plans.standins import TS0_EPOCH, table
 from ..sources import responses as R

@@ -59,4 +59,13 @@ def build_from_root(spark: SparkSession, bronze_root: str, out_dir: str, **kw) -
     return build_mart(spark, read_bronze_root(spark, bronze_root), out_dir, **kw)
 
 
-__all__ = ["build_mart", "build_from_root", "SILVER_ORDER"]
+__all__ = ["build_mart", "build_from_root", "register_views", "SILVER_ORDER"]
+
+
+def register_views(tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """Temp views over built tables, for ad-hoc SQL (``spark.sql('select ... from dim_movie')``)."""
+    names = []
+    for name, df in tables.items():
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names

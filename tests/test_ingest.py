@@ -1,7 +1,6 @@
 """Feed loading: rejects, load-once (batch and stream), snapshot replace, bootstrap, keyed writes."""
 
 import os
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -101,4 +100,3 @@ def test_keyed_write_keeps_digit_slugs(spark):
     back = A.read_keyed_feed(spark, path, "v int, action string, movie string")
     assert sorted(tuple(r) for r in back.select("action", "movie", "v").collect()) == \
         [("details", "007", 1), ("details", "42", 9), ("score", "007", 3)]
-    assert uuid

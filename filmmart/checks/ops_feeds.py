@@ -194,4 +194,26 @@ def q_keyed_feed_write(spark, sf):
     return back.select("action", "movie", "event_id", "v")
 
 
+@check("discovered_slugs", """WITH recs AS (
+  SELECT 'p-' || (p_partkey % 500) AS slug, p_partkey // 100 AS file, p_partkey % 100 AS pos FROM part
+  UNION ALL SELECT 'p-' || (p_partkey % 700), 1000000 + p_partkey // 100, p_partkey % 100 FROM part)
+SELECT row_number() OVER (ORDER BY min((lpad(CAST(file AS VARCHAR), 8, '0'), pos))) AS position, slug
+FROM recs GROUP BY slug QUALIFY position <= 600""")
+def q_discovered_slugs(spark, sf):
+    """Two discovery passes over the catalogue written as files of 100 records (some titles
+    carry a raw tab, which the lenient parser accepts); first 600 distinct slugs."""
+    from ..operators.planning import discovered_slugs
+    k = F.col("p_partkey")
+
+    def pass_files(mod: int, base: int) -> DataFrame:
+        p = table(spark, sf, "part").select(
+            F.lpad((F.lit(base) + F.floor(k / 100)).cast("string"), 8, "0").alias("key"), (k % 100).alias("pos"),
+            F.concat(F.lit('{"slug": "p-'), (k % mod).cast("string"), F.lit('", "method": "browse", "title": "'),
+                     F.col("p_name"), F.when(k % 9 == 0, F.lit("\t")).otherwise(F.lit("")), F.lit('"}')).alias("rec"))
+        return grouped_text(p, ["key"], "pos", F.col("rec"))
+    files = pass_files(500, 0).unionByName(pass_files(700, 1000000)).select("key", F.col("data").alias("value"))
+    glob = write_feed(files, scratch_path(spark, "discovered"))
+    return discovered_slugs(A.read_feed(spark, glob), limit=600)
+
+
 __all__ = ["CHECKS", "write_feed"]

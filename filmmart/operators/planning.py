@@ -82,6 +82,25 @@ def ordered_distinct(passes: Sequence[DataFrame], key: str, position: str = "pos
     return ranked.select(out, key)
 
 
+def discovered_slugs(feed: DataFrame, limit: int | None = 10, value: str = "value",
+                     file: str = "_source_file") -> DataFrame:
+    """Discovered movie slugs from discovery feed files: C4 + C5 as the catalogue job does.
+
+    Files are JSON arrays of discovery records, parsed leniently (raw control characters
+    inside strings are accepted, as the job's decoder does); slugs are taken in file then
+    position order, each kept at its first occurrence, then capped (``limit <= 0``: all).
+    Output: ``position`` (1..n) and ``slug``.
+    """
+    recs = feed.select(F.col(file).alias("_f"), F.posexplode(
+        F.from_json(F.col(value), "array<struct<slug: string>>", {"allowUnquotedControlChars": "true"})
+    ).alias("_p", "_r"))
+    recs = recs.filter(F.col("_r.slug").isNotNull()).select(F.col("_r.slug").alias("slug"), "_f", "_p")
+    first = recs.groupBy("slug").agg(F.min(F.struct("_f", "_p")).alias("_o"))
+    ranked = dense_key(first, [F.col("_o").asc()], "position")
+    out = ranked.select("position", "slug")
+    return out if limit is None or limit <= 0 else out.filter(F.col("position") <= limit)
+
+
 def optional_cap(df: DataFrame, limit: int | None, order: Sequence[Column]) -> DataFrame:
     """``limit <= 0`` (or None) means everything; else the first ``limit`` by ``order``."""
     if limit is None or limit <= 0:
@@ -130,5 +149,5 @@ def batch_commands(work: DataFrame, order: Sequence[Column], command: Column, se
     return batches.unionByName(empty)
 
 
-__all__ = ["browse", "title_search", "top_n_per_year", "ordered_distinct", "optional_cap", "resume_filter",
+__all__ = ["browse", "title_search", "top_n_per_year", "ordered_distinct", "discovered_slugs", "optional_cap", "resume_filter",
            "mark_done", "batch_commands", "batch_size"]

@@ -76,3 +76,18 @@ def test_scan_prunes_columns(spark):
     df = all_queries()["dq_relationships"](spark, "/root/testdata/sf0.001")
     plan = _plan(df)
     assert "l_extendedprice" not in plan and "o_totalprice" not in plan
+
+
+def test_dense_key_spreads_a_hot_value(spark):
+    """A third of the rows equal in every order column must not pile into one range partition."""
+    from pyspark.sql import functions as F
+    n = 6000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("v"))
+    out = dense_key(df, [F.col("v")], "k", partitions=6)
+    sizes = [r["c"] for r in out.groupBy(F.floor((F.col("k") - 1) / (n / 6)).alias("b")).agg(F.count("*").alias("c"))
+             .collect()]
+    assert sorted(r["k"] for r in out.select("k").collect()) == list(range(1, n + 1))
+    # the -1 block is ranks 1..2000; with the salt it is split across range partitions
+    parts = out.select(F.spark_partition_id().alias("p"), "k").filter(F.col("k") <= n // 3)
+    assert parts.select("p").distinct().count() >= 2
+    assert max(sizes) <= n / 6 + 1

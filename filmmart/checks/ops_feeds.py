@@ -149,7 +149,7 @@ def q_snapshot_replace(spark, sf):
       'silver_rt_critic_reviews', 'silver_rt_crosswalk', 'silver_rt_details', 'silver_rt_reviews', 'silver_rt_score']), 0)""")
 def q_bootstrap_empty(spark, sf):
     root = scratch_path(spark, "bootstrap_empty")
-    mc_general(table(spark, sf, "part")).write.parquet(f"{root}/mc_general")
+    mc_general(table(spark, sf, "part")).write.parquet(f"{root}/mc_general/load_id=driver")
     A.bootstrap(spark, root)
     bronze = A.read_bronze_root(spark, root)
     silver = S.build_all_silver(bronze)

@@ -119,7 +119,8 @@ def bootstrap(spark: SparkSession, root: str, tables: Sequence[str] = BRONZE_TAB
     for t in tables:
         p = f"{root.rstrip('/')}/{t}"
         if not path_exists(spark, p):
-            spark.createDataFrame([], BRONZE_SCHEMA).write.mode("overwrite").parquet(p)
+            # same layout as a load: one load_id partition (here empty)
+            _write_load(spark.createDataFrame([], BRONZE_SCHEMA), p, "bootstrap")
             made.append(t)
     return made
 

@@ -38,10 +38,6 @@ def canonical_json(c) -> Column:
     return F.get_json_object(_col(c), "$")
 
 
-def is_json_array(c) -> Column:
-    return F.ltrim(_col(c)).startswith("[")
-
-
 def split_valid(df: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
     """(good rows, rejects with ``reason``): one pass computes the reason, two filters split it."""
     tagged = df.withColumn("reason", json_reject_reason(col))
@@ -83,13 +79,5 @@ def path(c, p: str) -> Column:
     return F.get_json_object(_col(c), p)
 
 
-def fields(df: DataFrame, record: str, names: list[str], aliases: list[str] | None = None,
-           keep: list[str] | None = None) -> DataFrame:
-    """Top-level fields of a JSON object column, parsed once per row (``json_tuple``)."""
-    keep = list(keep if keep is not None else [c for c in df.columns if c != record])
-    aliases = aliases or names
-    return df.select(*keep, F.json_tuple(F.col(record), *names).alias(*aliases))
-
-
 __all__ = ["is_valid_json", "json_reject_reason", "canonical_json", "split_valid", "unnest_records",
-           "unnest_rejects", "as_array", "path", "fields", "is_json_array", "RECORD"]
+           "unnest_rejects", "as_array", "path", "RECORD"]

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import PLATFORMS
+
 VERDICT_COLS = ["model", "column_name", "test", "failures", "status"]
 
 
@@ -114,7 +116,7 @@ def gold_tests(gold: dict[str, DataFrame]) -> DataFrame:
         unique(fms, ["score_key"], "fact_movie_score"),
         not_null(fms, ["score_key", "movie_key"], "fact_movie_score"),
         relationships(fms, "movie_key", dm, "movie_key", "fact_movie_score"),
-        accepted_values(fms, "platform", ["metacritic", "rottentomatoes"], "fact_movie_score"),
+        accepted_values(fms, "platform", list(PLATFORMS), "fact_movie_score"),
         unique(fcr, ["critic_review_key"], "fact_critic_review"),
         not_null(fcr, ["critic_review_key"], "fact_critic_review"),
         relationships(fcr, "movie_key", dm, "movie_key", "fact_critic_review"),

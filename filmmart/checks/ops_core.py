@@ -5,6 +5,8 @@ Each entry: name -> (Spark callable (spark, sf_dir) -> DataFrame, DuckDB SQL).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,10 +72,11 @@ def q_lateral_unnest(spark, sf):
     env = grouped_text(ev, ["user_id", "chunk"], "event_id",
                        F.concat(F.lit('{"e":'), F.col("event_id").cast("string"), F.lit(',"p":'), F.col("props"),
                                 F.lit("}")))
-    env.createOrReplaceTempView("_lateral_env")
-    return spark.sql("""
+    view = f"lateral_env_{uuid.uuid4().hex[:12]}"   # unique: concurrent callers do not clash
+    env.createOrReplaceTempView(view)
+    return spark.sql(f"""
         SELECT user_id, try_cast(get_json_object(r, '$.p.k') AS INT) AS k, CAST(get_json_object(r, '$.e') AS BIGINT) AS event_id
-        FROM _lateral_env LATERAL VIEW explode(from_json(data, 'array<string>')) t AS r
+        FROM {view} LATERAL VIEW explode(from_json(data, 'array<string>')) t AS r
         ORDER BY k DESC, user_id, event_id LIMIT 100""")
 
 

@@ -16,9 +16,10 @@ import sys
 
 from pyspark.sql import functions as F
 
+from .operators.quality import sources_freshness
 from .plans.mart import build_from_root, register_views
 from .session import get_spark
-from .sources.feeds import load_batch, replace_snapshot
+from .sources.feeds import load_batch, read_bronze_root, replace_snapshot
 from .streaming.feed_stream import load_stream
 
 
@@ -43,6 +44,7 @@ def main(argv: list[str] | None = None) -> int:
     bd.add_argument("--bronze-root", required=True)
     bd.add_argument("--out", required=True)
     bd.add_argument("--sql", help="query to run over the built tables afterwards")
+    bd.add_argument("--now", help="timestamp for the bronze freshness check (warn 24 h, error 48 h)")
     a = p.parse_args(argv)
 
     spark = get_spark()
@@ -56,6 +58,8 @@ def main(argv: list[str] | None = None) -> int:
         out = build_from_root(spark, a.bronze_root, a.out)
         failing = out["tests"].filter(F.col("status") != "pass")
         failing.show(truncate=False)
+        if a.now:
+            sources_freshness(read_bronze_root(spark, a.bronze_root), a.now).show(truncate=False)
         if a.sql:
             register_views(out)
             spark.sql(a.sql).show(truncate=False)

@@ -101,6 +101,15 @@ def freshness(df: DataFrame, now, ts_col: str = "_loaded_at", warn_hours: int =
          .otherwise(F.lit("pass")).alias("status"))
 
 
+def sources_freshness(bronze: dict[str, DataFrame], now, warn_hours: int = 24, error_hours: int = 48) -> DataFrame:
+    """G6 over every bronze table (the reference declares it once for the whole source)."""
+    parts = [freshness(df, now, "_loaded_at", warn_hours, error_hours, source=name) for name, df in bronze.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def gold_tests(gold: dict[str, DataFrame]) -> DataFrame:
     """The gold schema's declared tests, one verdict row each."""
     dd, dm, dc = gold["dim_date"], gold["dim_movie"], gold["dim_critic"]
@@ -130,4 +139,4 @@ def gold_tests(gold: dict[str, DataFrame]) -> DataFrame:
 
 
 __all__ = ["not_null", "unique", "duplicate_keys", "orphans", "relationships", "unaccepted_values",
-           "accepted_values", "row_count_between", "freshness", "gold_tests", "VERDICT_COLS"]
+           "accepted_values", "row_count_between", "freshness", "sources_freshness", "gold_tests", "VERDICT_COLS"]

@@ -100,3 +100,17 @@ def test_keyed_write_keeps_digit_slugs(spark):
     back = A.read_keyed_feed(spark, path, "v int, action string, movie string")
     assert sorted(tuple(r) for r in back.select("action", "movie", "v").collect()) == \
         [("details", "007", 1), ("details", "42", 9), ("score", "007", 3)]
+
+
+def test_cli_build_and_freshness(spark, capsys):
+    from filmmart.__main__ import main
+    from filmmart.operators.quality import sources_freshness
+    root = scratch_path(spark, "t-cli")
+    _write(f"{root}/feed", {"m.json": '[{"movie_slug": "m1", "title": "T", "imdb_id": "tt1"}]'})
+    assert main(["load", "--feed", f"{root}/feed/*.json", "--bronze", f"{root}/bronze/mc_general"]) == 0
+    assert main(["build", "--bronze-root", f"{root}/bronze", "--out", f"{root}/mart",
+                 "--sql", "select title from dim_movie"]) == 0
+    assert "T" in capsys.readouterr().out
+    fresh = sources_freshness(A.read_bronze_root(spark, f"{root}/bronze"), "2099-01-01 00:00:00")
+    status = {r["source"]: r["status"] for r in fresh.collect()}
+    assert status["mc_general"] == "error" and status["rt_score"] == "error"   # stale / never loaded

@@ -48,6 +48,12 @@ def dim_date(spark: SparkSession, start: str = SPINE_START, end: str = SPINE_END
 
 
 def dim_movie(silver_mc_general: DataFrame, silver_rt_details: DataFrame, partitions: int | None = None) -> DataFrame:
+    """MC and RT movies matched on imdb_id, keyed by (title, release_year, ...)."""
+    order = _asc("title", "release_year", "movie_natural_key", "mc_slug", "rt_movie_id")
+    return dense_key(dim_movie_rows(silver_mc_general, silver_rt_details), order, "movie_key", partitions)
+
+
+def dim_movie_rows(silver_mc_general: DataFrame, silver_rt_details: DataFrame) -> DataFrame:
     """MC and RT movies matched on imdb_id; unmatched rows of either side kept.
 
     Each side is split once on ``imdb_id IS NULL``: NULL rows skip both the per-id dedup
@@ -74,12 +80,10 @@ def dim_movie(silver_mc_general: DataFrame, silver_rt_details: DataFrame, partit
     j = (matched
          .unionByName(mc_cols(smg.filter(~has_id)), allowMissingColumns=True)
          .unionByName(rt_cols(srd.filter(~has_id)), allowMissingColumns=True))
-    joined = j.select(
+    return j.select(
         F.coalesce("mc_slug", "rt_movie_id").alias("movie_natural_key"), "mc_slug", "rt_movie_id",
         F.coalesce("mc_title", "rt_title").alias("title"), "release_year", "rating", "duration_minutes",
         F.coalesce("mc_imdb_id", "rt_imdb_id").alias("imdb_id"), "primary_genre", "rt_urlid")
-    order = _asc("title", "release_year", "movie_natural_key", "mc_slug", "rt_movie_id")
-    return dense_key(joined, order, "movie_key", partitions)
 
 
 def dim_critic(silver_mc_critic_reviews: DataFrame, silver_rt_critic_reviews: DataFrame,
@@ -152,6 +156,15 @@ def critic_reviews_union(silver_mc_critic_reviews: DataFrame, silver_rt_critic_r
 
 def fact_critic_review(silver_mc_critic_reviews: DataFrame, silver_rt_critic_reviews: DataFrame,
                        dm: DataFrame, dc: DataFrame, dd: DataFrame, partitions: int | None = None) -> DataFrame:
+    enriched = fact_critic_review_rows(silver_mc_critic_reviews, silver_rt_critic_reviews, dm, dc, dd)
+    order = _asc("movie_key", "critic_key", "date_key", "platform", "score", "quote")
+    out = dense_key(enriched, order, "critic_review_key", partitions)
+    return out.select("critic_review_key", "movie_key", "critic_key", "date_key", "platform", "score", "quote")
+
+
+def fact_critic_review_rows(silver_mc_critic_reviews: DataFrame, silver_rt_critic_reviews: DataFrame,
+                            dm: DataFrame, dc: DataFrame, dd: DataFrame) -> DataFrame:
+    """Reviews of both platforms with movie, critic and date keys resolved (NULL when unknown)."""
     reviews = critic_reviews_union(silver_mc_critic_reviews, silver_rt_critic_reviews)
     with_movie = routed_lookup(reviews, "platform", {
         MC: (dm, "mc_slug", "movie_slug"),
@@ -159,10 +172,7 @@ def fact_critic_review(silver_mc_critic_reviews: DataFrame, silver_rt_critic_rev
     }, take="movie_key", out="movie_key")
     with_critic = left_lookup(with_movie, dc, "author_slug", "author_slug", ["critic_key"])
     with_date = left_lookup(with_critic, dd, "review_date", "date_day", ["date_key"], broadcast=True)
-    enriched = with_date.select("movie_key", "critic_key", "date_key", "platform", "score", "quote")
-    order = _asc("movie_key", "critic_key", "date_key", "platform", "score", "quote")
-    out = dense_key(enriched, order, "critic_review_key", partitions)
-    return out.select("critic_review_key", "movie_key", "critic_key", "date_key", "platform", "score", "quote")
+    return with_date.select("movie_key", "critic_key", "date_key", "platform", "score", "quote")
 
 
 def build_gold(spark: SparkSession, silver: dict[str, DataFrame], partitions: int | None = None) -> dict[str, DataFrame]:
@@ -177,5 +187,6 @@ def build_gold(spark: SparkSession, silver: dict[str, DataFrame], partitions: in
             "fact_critic_review": fcr}
 
 
-__all__ = ["dim_date", "dim_movie", "dim_critic", "fact_movie_score", "fact_critic_review",
+__all__ = ["dim_date", "dim_movie", "dim_movie_rows", "dim_critic", "fact_movie_score", "fact_critic_review",
+           "fact_critic_review_rows",
            "critic_reviews_union", "build_gold", "MC", "RT"]

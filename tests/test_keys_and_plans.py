@@ -91,3 +91,31 @@ def test_dense_key_spreads_a_hot_value(spark):
     parts = out.select(F.spark_partition_id().alias("p"), "k").filter(F.col("k") <= n // 3)
     assert parts.select("p").distinct().count() >= 2
     assert max(sizes) <= n / 6 + 1
+
+
+def test_gold_plans_have_no_single_task_or_cartesian_steps(spark):
+    """Pre-key plans of the heavy gold tables, over silver tables written as parquet."""
+    from filmmart.plans import gold as G
+    from filmmart.plans import silver as S
+    from filmmart.plans.standins import bronze_from_driver
+    from filmmart.session import scratch_path
+    root = scratch_path(spark, "t-plans")
+    s = {}
+    for name, df in S.build_all_silver(bronze_from_driver(spark, "/root/testdata/sf0.001")).items():
+        df.write.parquet(f"{root}/{name}")
+        s[name] = spark.read.parquet(f"{root}/{name}")
+    rows = G.dim_movie_rows(s["silver_mc_general"], s["silver_rt_details"])
+    G.dim_movie(s["silver_mc_general"], s["silver_rt_details"]).write.parquet(f"{root}/dim_movie")
+    G.dim_critic(s["silver_mc_critic_reviews"], s["silver_rt_critic_reviews"]).write.parquet(f"{root}/dim_critic")
+    dm, dc = spark.read.parquet(f"{root}/dim_movie"), spark.read.parquet(f"{root}/dim_critic")
+    fact = G.fact_critic_review_rows(s["silver_mc_critic_reviews"], s["silver_rt_critic_reviews"], dm, dc,
+                                     G.dim_date(spark))
+    for df in (rows, fact):
+        plan = _plan(df)
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition"):
+            assert bad not in plan, (bad, plan)
+    movie_plan = _plan(rows)
+    assert "IsNotNull(imdb_id), IsNull(imdb_id)" not in movie_plan and "IsNull(imdb_id), IsNotNull(imdb_id)" not in movie_plan
+    assert movie_plan.count("WindowGroupLimit") >= 4          # partial + final, on each side
+    # silver reads only what it needs and the date spine is broadcast
+    assert "BroadcastExchange" in _plan(fact)

@@ -108,9 +108,9 @@ def main() -> None:
     checks = all_queries()
     for name in OPERATOR_CHECKS:
         t = time.time()
-        sc.setJobGroup(f"op_{name}", f"op_{name}")
+        sc.setJobGroup(f"check_{name}", f"check_{name}")
         checks[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        q[f"op_{name}"] = round(time.time() - t, 3)
+        q[f"check_{name}"] = round(time.time() - t, 3)
 
     # Hot keys derived from the driver tables: a third of all events on one user.
     from filmmart.operators.dedup import latest_per_key

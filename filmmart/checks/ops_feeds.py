@@ -116,28 +116,33 @@ def q_load_stream_once(spark, sf):
     return _copies(spark, bronze)
 
 
-def _nation_snapshot(spark, sf, name_expr: Column, broken: bool = False) -> DataFrame:
-    n = table(spark, sf, "nation").select(
-        F.lit("crosswalk").alias("key"), F.col("n_nationkey"),
-        F.concat(F.lit('{"n_nationkey": '), F.col("n_nationkey").cast("string"), F.lit(', "n_name": "'), name_expr,
+def _supplier_snapshot(spark, sf, name_expr: Column, broken: bool = False) -> DataFrame:
+    """Supplier rows as a snapshot split into files of 64 records; ``broken`` cuts one file short."""
+    k = F.col("s_suppkey")
+    n = table(spark, sf, "supplier").select(
+        F.floor(k / 64).cast("string").alias("key"), k.alias("s_suppkey"),
+        F.concat(F.lit('{"s_suppkey": '), k.cast("string"), F.lit(', "s_name": "'), name_expr,
                  F.lit('"}')).alias("rec"))
-    g = grouped_text(n, ["key"], "n_nationkey", F.col("rec"))  # nation: 25 rows, a fixed size
-    return g.select("key", (F.concat("data", F.lit("]")) if broken else F.col("data")).alias("value"))
+    g = grouped_text(n, ["key"], "s_suppkey", F.col("rec"))
+    value = F.when(F.lit(broken) & (F.col("key") == "0"), F.concat("data", F.lit("]"))).otherwise(F.col("data"))
+    return g.select("key", value.alias("value"))
 
 
-@check("snapshot_replace", """SELECT n_nationkey, lower(n_name) AS n_name FROM nation""")
+@check("snapshot_replace", """SELECT s_suppkey, lower(s_name) AS s_name FROM supplier""")
 def q_snapshot_replace(spark, sf):
+    """A snapshot is replaced only when every file of the new version is valid: v2 has one
+    broken file and a missing version changes nothing; v3 replaces v1 whole."""
     root = scratch_path(spark, "snapshot_replace")
     bronze = f"{root}/bronze"
-    v1 = write_feed(_nation_snapshot(spark, sf, F.col("n_name")), f"{root}/v1")
-    v2 = write_feed(_nation_snapshot(spark, sf, F.upper("n_name"), broken=True), f"{root}/v2")
-    v3 = write_feed(_nation_snapshot(spark, sf, F.lower("n_name")), f"{root}/v3")
+    v1 = write_feed(_supplier_snapshot(spark, sf, F.col("s_name")), f"{root}/v1")
+    v2 = write_feed(_supplier_snapshot(spark, sf, F.upper("s_name"), broken=True), f"{root}/v2")
+    v3 = write_feed(_supplier_snapshot(spark, sf, F.lower("s_name")), f"{root}/v3")
     steps = [A.replace_snapshot(spark, v1, bronze), A.replace_snapshot(spark, v2, bronze),
              A.replace_snapshot(spark, f"{root}/absent/*.txt", bronze), A.replace_snapshot(spark, v3, bronze)]
     assert steps == ["replaced", "kept: malformed JSON", "kept: no file", "replaced"], steps
     recs = unnest_records(A.read_bronze(spark, bronze), keep=())
-    return recs.select(F.get_json_object("record", "$.n_nationkey").cast("int").alias("n_nationkey"),
-                       F.get_json_object("record", "$.n_name").alias("n_name"))
+    return recs.select(F.get_json_object("record", "$.s_suppkey").cast("long").alias("s_suppkey"),
+                       F.get_json_object("record", "$.s_name").alias("s_name"))
 
 
 @check("bootstrap_empty", """SELECT t AS table_name, n AS n_rows FROM (
@@ -161,12 +166,12 @@ def q_bootstrap_empty(spark, sf):
     return out
 
 
-@check("rebuild_table", """SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1""")
+@check("rebuild_table", """SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey < 10""")
 def q_rebuild_table(spark, sf):
-    path = f"{scratch_path(spark, 'rebuild_table')}/nation_dim"
-    n = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    path = f"{scratch_path(spark, 'rebuild_table')}/supplier_dim"
+    n = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     A.rebuild_table(n, path)
-    return A.rebuild_table(n.filter(F.col("n_regionkey") == 1), path).select("n_nationkey", "n_name")
+    return A.rebuild_table(n.filter(F.col("s_nationkey") < 10), path).select("s_suppkey", "s_name")
 
 
 @check("read_inferred_json", """SELECT event_id, user_id, event_type FROM events WHERE event_type = 'purchase'""")

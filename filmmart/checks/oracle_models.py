@@ -268,8 +268,9 @@ def gold_with(*ctes: str) -> str:
 
 GOLD = {
     "dim_date": f"""WITH {DIM_DATE_CTE}
-SELECT date_key, CAST(date_day AS VARCHAR) AS date_day, year, quarter, month_number, month_name, day_of_month,
-       day_of_week, day_name, week_of_year, year_quarter FROM dim_date""",
+SELECT o.o_orderkey, date_key, CAST(date_day AS VARCHAR) AS date_day, year, quarter, month_number, month_name,
+       day_of_month, day_of_week, day_name, week_of_year, year_quarter
+FROM orders o LEFT JOIN dim_date dd ON dd.date_day = CAST(o.o_orderdate AS DATE)""",
     "dim_movie": gold_with(DIM_MOVIE_CTE) + "\nSELECT * FROM dim_movie",
     "dim_critic": gold_with(DIM_CRITIC_CTE) + "\nSELECT * FROM dim_critic",
     "fact_movie_score": gold_with(DIM_MOVIE_CTE, FACT_MOVIE_SCORE_CTE) + "\nSELECT * FROM fact_movie_score",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans import gold as G
 from ..plans import silver as S
@@ -31,7 +32,14 @@ def _dim_movie(spark, sf_dir, s=None):
 
 
 def q_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return render(G.dim_date(spark))
+    """The date dimension as the facts use it: every order's date looked up in the spine."""
+    from ..operators.joins import left_lookup
+    from ..plans.standins import table
+    dd = G.dim_date(spark)
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("_d"))
+    cols = [c for c in dd.columns]
+    out = left_lookup(o, dd.withColumn("_day", F.col("date_day")), "_d", "_day", cols, broadcast=True)
+    return render(out.select("o_orderkey", *cols))
 
 
 def q_dim_movie(spark: SparkSession, sf_dir: str) -> DataFrame:

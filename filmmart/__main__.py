@@ -31,12 +31,14 @@ def main(argv: list[str] | None = None) -> int:
     ld.add_argument("--bronze", required=True)
     ld.add_argument("--rejects")
     ld.add_argument("--all", action="store_true", help="append every file again (duplicates accepted)")
+    ld.add_argument("--json-lines", action="store_true", help="files hold one JSON document per line")
     st = sub.add_parser("stream", help="load new feed files with a checkpointed file stream, then stop")
     st.add_argument("--feed-dir", required=True)
     st.add_argument("--glob", default="*.json")
     st.add_argument("--bronze", required=True)
     st.add_argument("--rejects", required=True)
     st.add_argument("--checkpoint", required=True)
+    st.add_argument("--json-lines", action="store_true")
     sn = sub.add_parser("snapshot", help="replace a snapshot table if the new file is valid")
     sn.add_argument("--feed", required=True)
     sn.add_argument("--bronze", required=True)
@@ -49,9 +51,9 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = get_spark()
     if a.cmd == "load":
-        print(load_batch(spark, a.feed, a.bronze, a.rejects, only_new=not a.all))
+        print(load_batch(spark, a.feed, a.bronze, a.rejects, only_new=not a.all, json_lines=a.json_lines))
     elif a.cmd == "stream":
-        load_stream(spark, a.feed_dir, a.bronze, a.rejects, a.checkpoint, glob=a.glob)
+        load_stream(spark, a.feed_dir, a.bronze, a.rejects, a.checkpoint, glob=a.glob, json_lines=a.json_lines)
     elif a.cmd == "snapshot":
         print(replace_snapshot(spark, a.feed, a.bronze))
     else:

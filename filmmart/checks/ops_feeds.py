@@ -221,4 +221,21 @@ def q_discovered_slugs(spark, sf):
     return discovered_slugs(A.read_feed(spark, glob), limit=600)
 
 
+@check("keyed_feed_load", """SELECT event_type AS action, lpad(CAST(user_id AS VARCHAR), 4, '0') AS movie,
+  count(*) AS n_records, sum(event_id) AS id_sum FROM events GROUP BY 1, 2""")
+def q_keyed_feed_load(spark, sf):
+    """Keyed feed (one JSON-lines output per action and movie) loaded into bronze, unnested."""
+    root = scratch_path(spark, "keyed_feed_load")
+    ev = table(spark, sf, "events").select(F.col("event_type").alias("action"),
+                                           F.lpad(F.col("user_id").cast("string"), 4, "0").alias("movie"), "event_id")
+    A.keyed_feed_write(ev, f"{root}/feed")
+    A.load_batch(spark, f"{root}/feed/action=*/movie=*/*.json", f"{root}/bronze", f"{root}/rejects", json_lines=True)
+    recs = unnest_records(A.read_bronze(spark, f"{root}/bronze"), keep=("_source_file",))
+    keyed = recs.select(F.regexp_extract("_source_file", r"action=([^/]+)/", 1).alias("action"),
+                        F.regexp_extract("_source_file", r"movie=([^/]+)/", 1).alias("movie"),
+                        F.get_json_object("record", "$.event_id").cast("long").alias("event_id"))
+    return keyed.groupBy("action", "movie").agg(F.count(F.lit(1)).alias("n_records"),
+                                                F.sum("event_id").alias("id_sum"))
+
+
 __all__ = ["CHECKS", "write_feed"]

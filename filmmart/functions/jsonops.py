@@ -68,6 +68,14 @@ def unnest_rejects(df: DataFrame, data: str = "data") -> DataFrame:
               .withColumn("reason", F.lit("not a JSON array")))
 
 
+def lines_as_array(c) -> Column:
+    """A JSON-lines text (one document per line, as Spark's JSON writer emits) -> one JSON
+    array text, per file; blank lines are dropped. Each line is still validated as part of
+    the array."""
+    lines = F.filter(F.split(_col(c), "\r?\n"), lambda x: F.trim(x) != "")
+    return F.concat(F.lit("["), F.array_join(lines, ","), F.lit("]"))
+
+
 def as_array(c) -> Column:
     """Object-or-array tolerance: a bare object is wrapped into a one-element array."""
     c = _col(c)
@@ -80,4 +88,4 @@ def path(c, p: str) -> Column:
 
 
 __all__ = ["is_valid_json", "json_reject_reason", "canonical_json", "split_valid", "unnest_records",
-           "unnest_rejects", "as_array", "path", "RECORD"]
+           "unnest_rejects", "as_array", "lines_as_array", "path", "RECORD"]

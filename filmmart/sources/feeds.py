@@ -14,24 +14,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..functions.jsonops import canonical_json, json_reject_reason
+from ..functions.jsonops import canonical_json, json_reject_reason, lines_as_array
 from ..schemas import BRONZE_SCHEMA, BRONZE_TABLES, REJECT_SCHEMA
 from ..session import path_exists
 
 ENVELOPE = ["_loaded_at", "_source_file", "data"]
 
 
-def read_feed(spark: SparkSession, pattern: str) -> DataFrame:
+def read_feed(spark: SparkSession, pattern: str, json_lines: bool = False) -> DataFrame:
     """A1: one row per file matching ``pattern``: ``_source_file`` and its whole text,
-    with undecodable bytes replaced. No match gives an empty frame, not an error."""
+    with undecodable bytes replaced. No match gives an empty frame, not an error.
+    ``json_lines``: files hold one document per line (e.g. written by ``keyed_feed_write``);
+    each file's lines become one JSON array, the shape bronze stores."""
     try:
         raw = spark.read.text(pattern, wholetext=True)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return spark.createDataFrame([], "_source_file string, value string")
         raise
-    return raw.select(F.col("_metadata.file_path").alias("_source_file"),
-                      F.make_valid_utf8(F.col("value")).alias("value"))
+    value = F.make_valid_utf8(F.col("value"))
+    if json_lines:
+        value = lines_as_array(value)
+    return raw.select(F.col("_metadata.file_path").alias("_source_file"), value.alias("value"))
 
 
 def to_bronze(feed: DataFrame, loaded_at: Column | None = None) -> DataFrame:
@@ -89,11 +93,12 @@ def new_files(spark: SparkSession, feed: DataFrame, bronze_path: str) -> DataFra
 
 
 def load_batch(spark: SparkSession, pattern: str, bronze_path: str, rejects_path: str | None = None,
-               loaded_at: Column | None = None, only_new: bool = True, load_id: str | None = None) -> str:
+               loaded_at: Column | None = None, only_new: bool = True, load_id: str | None = None,
+               json_lines: bool = False) -> str:
     """Append the feed files to bronze (only files not loaded before unless
     ``only_new=False``, which appends duplicates as the reference accepts). Returns the load id."""
     load_id = load_id or uuid.uuid4().hex
-    feed = read_feed(spark, pattern)
+    feed = read_feed(spark, pattern, json_lines)
     if only_new:
         feed = new_files(spark, feed, bronze_path)
     write_tagged(to_bronze(feed, loaded_at), bronze_path, rejects_path, load_id)

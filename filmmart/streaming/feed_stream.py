@@ -13,23 +13,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.jsonops import lines_as_array
 from ..session import path_exists
 from ..sources.feeds import read_feed, read_rejects, to_bronze, write_tagged
 
 
-def feed_stream(spark: SparkSession, feed_dir: str, glob: str = "*.json") -> DataFrame:
+def feed_stream(spark: SparkSession, feed_dir: str, glob: str = "*.json", json_lines: bool = False) -> DataFrame:
+    value = F.make_valid_utf8(F.col("value"))
+    if json_lines:
+        value = lines_as_array(value)
     return (spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", glob)
             .load(feed_dir)
-            .select(F.col("_metadata.file_path").alias("_source_file"),
-                    F.make_valid_utf8(F.col("value")).alias("value")))
+            .select(F.col("_metadata.file_path").alias("_source_file"), value.alias("value")))
 
 
 def load_stream(spark: SparkSession, feed_dir: str, bronze_path: str, rejects_path: str, checkpoint: str,
-                glob: str = "*.json", run_id: str = "s") -> None:
+                glob: str = "*.json", run_id: str = "s", json_lines: bool = False) -> None:
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         write_tagged(to_bronze(batch), bronze_path, rejects_path, f"{run_id}-{batch_id}")
 
-    q = (feed_stream(spark, feed_dir, glob).writeStream.foreachBatch(write_batch)
+    q = (feed_stream(spark, feed_dir, glob, json_lines).writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 

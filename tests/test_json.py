@@ -38,3 +38,11 @@ def test_paths(spark):
     r = df.select(J.path("r", "$.o").alias("o"), J.path("r", "$.n").alias("n"), J.path("r", "$.g[0]").alias("g0"),
                   J.path("r", "$['cag[rating]']").alias("rating")).first()
     assert (r["o"], r["n"], r["g0"], r["rating"]) == ('{"k":null}', None, "A", "PG")
+
+
+def test_lines_as_array(spark):
+    df = spark.createDataFrame([('{"a":1}\n{"a":2}\n',), ("\n",), ('{"a":1}\n{"a":\n',)], "v string")
+    got = [r["x"] for r in df.select(J.lines_as_array("v").alias("x")).collect()]
+    assert got == ['[{"a":1},{"a":2}]', "[]", '[{"a":1},{"a":]']
+    ok = [r["ok"] for r in df.select(J.is_valid_json(J.lines_as_array("v")).alias("ok")).collect()]
+    assert ok == [True, True, False]

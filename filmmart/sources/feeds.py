@@ -40,12 +40,15 @@ def read_feed(spark: SparkSession, pattern: str, json_lines: bool = False) -> Da
 
 def to_bronze(feed: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """A2-A4 in one projection: each file gets a reject ``reason`` (NULL when valid) and,
-    when valid, its canonical JSON as ``data``. Split with ``good`` / ``rejects``."""
+    when valid, its canonical JSON as ``data``; the raw text is kept for rejects only.
+    Split with ``good`` / ``rejects``."""
     ts = loaded_at if loaded_at is not None else F.current_timestamp()
-    reason = json_reject_reason(F.col("value"))
-    return feed.select(ts.cast("timestamp").alias("_loaded_at"), "_source_file",
-                       F.when(reason.isNull(), canonical_json(F.col("value"))).alias("data"),
-                       reason.alias("reason"), F.col("value").alias("raw"))
+    tagged = feed.select(ts.cast("timestamp").alias("_loaded_at"), "_source_file", "value",
+                         json_reject_reason(F.col("value")).alias("reason"))
+    bad = F.col("reason").isNotNull()
+    return tagged.select("_loaded_at", "_source_file",
+                         F.when(~bad, canonical_json(F.col("value"))).alias("data"), "reason",
+                         F.when(bad, F.col("value")).alias("raw"))
 
 
 def good(tagged: DataFrame) -> DataFrame:

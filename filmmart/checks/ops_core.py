@@ -407,4 +407,32 @@ def q_dq_freshness(spark, sf):
     return render(Q.freshness(ev, "2024-02-01 00:00:00", source="events"))
 
 
+# ---------------------------------------------------------------- hot keys (a third of all rows on one key)
+
+def _hot_events(spark, sf) -> DataFrame:
+    ev = table(spark, sf, "events")
+    return ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("long")).otherwise(F.col("user_id")))
+
+
+HOT_SQL = "SELECT CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, event_id, ts, event_type, value FROM events"
+
+
+@check("hot_key_latest", f"""SELECT user_id, event_id, event_type FROM ({HOT_SQL}) e
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) <= 2""")
+def q_hot_key_latest(spark, sf):
+    """Latest two events per user when one user holds a third of all events."""
+    from ..operators.dedup import top_n_per_group
+    ev = _hot_events(spark, sf).select("user_id", "event_id", "event_type", "ts")
+    return top_n_per_group(ev, ["user_id"], [F.col("ts").desc(), F.col("event_id")], 2).drop("ts")
+
+
+@check("hot_key_dense_key", f"""SELECT row_number() OVER (ORDER BY user_id, event_type) AS k, user_id, event_type
+FROM ({HOT_SQL}) e""")
+def q_hot_key_dense_key(spark, sf):
+    """Dense key over an order that is NOT total and hot: a third of the rows share user 0,
+    many rows tie on (user, type); tied rows are interchangeable, so the multiset agrees."""
+    ev = _hot_events(spark, sf).select("user_id", "event_type")
+    return dense_key(ev, [F.col("user_id"), F.col("event_type")], "k").select("k", "user_id", "event_type")
+
+
 __all__ = ["CHECKS", "grouped_text", "props_envelopes"]

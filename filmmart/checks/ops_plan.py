@@ -222,6 +222,29 @@ def q_batch_commands(spark, sf):
                             noop="echo nothing to do")
 
 
+@check("work_batches", """WITH firsts AS (
+  SELECT 'r_' || (l_partkey % 3000) AS slug, min((l_orderkey, l_linenumber, l_suppkey)) AS o FROM lineitem GROUP BY 1),
+ordered AS (SELECT slug, row_number() OVER (ORDER BY o) AS position FROM firsts),
+todo AS (SELECT slug, position FROM ordered WHERE slug NOT IN (SELECT 'r_' || p_partkey FROM part WHERE p_size > 25)),
+w AS (SELECT 'crawl movie=' || slug || ' action=details' AS cmd, row_number() OVER (ORDER BY position) AS k,
+             count(*) OVER () AS n FROM todo)
+SELECT CAST((k - 1) // greatest(50, CAST(ceil(n / 1000) AS BIGINT)) AS BIGINT) AS batch,
+  string_agg(cmd, '; ' ORDER BY k) AS commands, count(*) AS n_commands FROM w GROUP BY 1""")
+def q_work_batches(spark, sf):
+    """Slugs in order of first appearance (lineitem order), done = parts with size > 25
+    for 'details' (and all parts for another action, which must not count)."""
+    li = table(spark, sf, "lineitem").select(
+        _s("r_", (F.col("l_partkey") % 3000).cast("string")).alias("slug"),
+        F.struct("l_orderkey", "l_linenumber", "l_suppkey").alias("pos"))
+    slugs = P.ordered_distinct([li], "slug")
+    p = table(spark, sf, "part")
+    ledger = (p.filter(F.col("p_size") > 25).select(_s("r_", F.col("p_partkey").cast("string")).alias("slug"),
+                                                    F.lit("details").alias("action"))
+               .unionByName(p.select(_s("r_", F.col("p_partkey").cast("string")).alias("slug"),
+                                     F.lit("score").alias("action"))))
+    return P.work_batches(slugs, ledger, "details", "crawl movie={slug} action={action}")
+
+
 # ---------------------------------------------------------------- crosswalk
 
 def _identity_bronze(spark, sf) -> DataFrame:

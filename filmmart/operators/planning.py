@@ -123,6 +123,23 @@ def mark_done(results: DataFrame, keys: Sequence[str], require_items: bool = Tru
     return counted.filter(F.col("items") > 0) if require_items else counted
 
 
+def work_batches(slugs: DataFrame, ledger: DataFrame, action: str, template: str, force: bool = False,
+                 slug: str = "slug", order: str = "position", noop: str | None = "echo nothing to do") -> DataFrame:
+    """The crawl plan for one action: ordered distinct slugs, minus (slug, action) pairs the
+    ``ledger`` marks done (unless ``force``), one command per slug from ``template``
+    (``{slug}`` and ``{action}`` are filled in), batched by C8's rule. ``ledger`` columns:
+    ``slug``, ``action``."""
+    done = ledger.filter(F.col("action") == action).select(F.col("slug").alias(slug))
+    todo = resume_filter(slugs.select(slug, order), done, [slug], force)
+    parts = template.split("{slug}")
+    pieces = []
+    for i, piece in enumerate(parts):
+        if i:
+            pieces.append(F.col(slug))
+        pieces.append(F.lit(piece.replace("{action}", action)))
+    return batch_commands(todo, [F.col(order)], F.concat(*pieces), noop=noop)
+
+
 def batch_size(n: Column) -> Column:
     return F.greatest(F.lit(MIN_BATCH), F.ceil(n / F.lit(MAX_BATCHES)))
 
@@ -150,4 +167,4 @@ def batch_commands(work: DataFrame, order: Sequence[Column], command: Column, se
 
 
 __all__ = ["browse", "title_search", "top_n_per_year", "ordered_distinct", "discovered_slugs", "optional_cap", "resume_filter",
-           "mark_done", "batch_commands", "batch_size"]
+           "mark_done", "batch_commands", "work_batches", "batch_size"]

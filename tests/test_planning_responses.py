@@ -68,3 +68,14 @@ def test_validate_records(spark):
     ok, bad = R.validate_records(df, {"id": ("int", True), "title": ("text", True)})
     assert [(r["id"], r["title"]) for r in ok.collect()] == [(123, "A")]
     assert sorted(r["reason"] for r in bad.collect()) == ["id: missing", "id: not int"]
+
+
+def test_work_batches_resume_and_force(spark):
+    slugs = spark.createDataFrame([("b", 1), ("a", 2), ("c", 3)], "slug string, position long")
+    ledger = spark.createDataFrame([("a", "details"), ("c", "score")], "slug string, action string")
+    one = P.work_batches(slugs, ledger, "details", "run {slug} {action}").collect()
+    assert [r["commands"] for r in one] == ["run b details; run c details"]
+    forced = P.work_batches(slugs, ledger, "details", "run {slug}", force=True).collect()
+    assert [r["commands"] for r in forced] == ["run b; run a; run c"]
+    empty = P.work_batches(slugs, slugs.select("slug", F.lit("x").alias("action")), "x", "run {slug}").collect()
+    assert [r["commands"] for r in empty] == ["echo nothing to do"]

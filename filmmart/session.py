@@ -84,5 +84,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-__all__ = ["get_spark", "apply_defaults", "checkpoint_dir", "scratch_path", "path_exists", "local_path",
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def child_dirs(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Names of the sub-folders of ``path`` starting with ``prefix`` (a listing, not data)."""
+    fs, hpath = _fs(spark, path)
+    if not fs.exists(hpath):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(hpath)
+            if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs(spark, path)
+    fs.delete(hpath, True)
+
+
+__all__ = ["child_dirs", "remove_dir", "get_spark", "apply_defaults", "checkpoint_dir", "scratch_path", "path_exists", "local_path",
            "SESSION_DEFAULTS", "STARTUP_DEFAULTS"]

@@ -16,7 +16,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..functions.jsonops import canonical_json, json_reject_reason, lines_as_array
 from ..schemas import BRONZE_SCHEMA, BRONZE_TABLES, REJECT_SCHEMA
-from ..session import path_exists
+from ..session import child_dirs, path_exists, remove_dir
 
 ENVELOPE = ["_loaded_at", "_source_file", "data"]
 
@@ -109,15 +109,23 @@ def load_batch(spark: SparkSession, pattern: str, bronze_path: str, rejects_path
 
 
 def replace_snapshot(spark: SparkSession, pattern: str, bronze_path: str, loaded_at: Column | None = None) -> str:
-    """Validate first, then overwrite. A missing or broken file keeps the old content.
-    Returns ``replaced`` or the reason the old content was kept."""
+    """Replace a snapshot table only with a fully valid new version.
+
+    A missing or broken file keeps the old content. The new version is written as a new
+    ``load_id`` partition while the old one stays readable (a failed write job leaves only
+    its ``_temporary`` folder, which readers skip); older versions are dropped after the write
+    has succeeded. Returns ``replaced`` or the reason the old content was kept."""
     tagged = to_bronze(read_feed(spark, pattern), loaded_at)
     stats = tagged.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("reason").isNotNull()).alias("bad")).first()
     if stats["n"] == 0:
         return "kept: no file"
     if stats["bad"] > 0:
         return "kept: malformed JSON"
-    good(tagged).write.mode("overwrite").parquet(bronze_path)
+    version = f"snapshot-{uuid.uuid4().hex}"
+    old = child_dirs(spark, bronze_path, "load_id=")
+    _write_load(good(tagged), bronze_path, version)
+    for name in old:
+        remove_dir(spark, f"{bronze_path.rstrip('/')}/{name}")
     return "replaced"
 
 

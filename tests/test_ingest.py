@@ -77,6 +77,11 @@ def test_snapshot_replace(spark):
     assert A.replace_snapshot(spark, f"{root}/v2/*.json", bronze) == "kept: malformed JSON"
     assert A.replace_snapshot(spark, f"{root}/none/*.json", bronze) == "kept: no file"
     assert [r["data"] for r in A.read_bronze(spark, bronze).collect()] == ['[{"rt_slug":"a"}]']
+    _write(f"{root}/v3", {"crosswalk.json": '[{"rt_slug": "c"}]'})
+    assert A.replace_snapshot(spark, f"{root}/v3/*.json", bronze) == "replaced"
+    from filmmart.session import child_dirs
+    assert len(child_dirs(spark, bronze, "load_id=")) == 1          # older versions dropped
+    assert [r["data"] for r in A.read_bronze(spark, bronze).collect()] == ['[{"rt_slug":"c"}]']
 
 
 def test_empty_bronze_builds_empty_mart(spark):

@@ -223,7 +223,8 @@ def q_batch_commands(spark, sf):
 
 
 @check("work_batches", """WITH firsts AS (
-  SELECT 'r_' || (l_partkey % 3000) AS slug, min((l_orderkey, l_linenumber, l_suppkey)) AS o FROM lineitem GROUP BY 1),
+  SELECT 'r_' || (l_partkey % 3000) AS slug, min((l_orderkey, l_linenumber, l_suppkey, l_partkey)) AS o
+  FROM lineitem GROUP BY 1),
 ordered AS (SELECT slug, row_number() OVER (ORDER BY o) AS position FROM firsts),
 todo AS (SELECT slug, position FROM ordered WHERE slug NOT IN (SELECT 'r_' || p_partkey FROM part WHERE p_size > 25)),
 w AS (SELECT 'crawl movie=' || slug || ' action=details' AS cmd, row_number() OVER (ORDER BY position) AS k,
@@ -235,7 +236,7 @@ def q_work_batches(spark, sf):
     for 'details' (and all parts for another action, which must not count)."""
     li = table(spark, sf, "lineitem").select(
         _s("r_", (F.col("l_partkey") % 3000).cast("string")).alias("slug"),
-        F.struct("l_orderkey", "l_linenumber", "l_suppkey").alias("pos"))
+        F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey").alias("pos"))   # total: ties share a slug
     slugs = P.ordered_distinct([li], "slug")
     p = table(spark, sf, "part")
     ledger = (p.filter(F.col("p_size") > 25).select(_s("r_", F.col("p_partkey").cast("string")).alias("slug"),

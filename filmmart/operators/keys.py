@@ -25,7 +25,9 @@ def dense_key(df: DataFrame, order: Sequence[Column], name: str, partitions: int
               strategy: str = "range", salt: bool = True) -> DataFrame:
     """Add ``name`` = 1..n (BIGINT) following ``order``; ``order`` should be total.
 
-    ``strategy='global'`` is the plain window form, for inputs of a known small size.
+    ``partitions``: range partition count; by default ``spark.sql.shuffle.partitions``,
+    coalesced by AQE to the data's size. ``strategy='global'`` is the plain window form,
+    for inputs of a known small size.
     """
     order = list(order)
     if strategy == "global":
@@ -34,7 +36,6 @@ def dense_key(df: DataFrame, order: Sequence[Column], name: str, partitions: int
         raise ValueError(f"unknown strategy {strategy!r}")
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = int(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
     cols = list(df.columns)
     work = df
     if salt:
@@ -42,7 +43,10 @@ def dense_key(df: DataFrame, order: Sequence[Column], name: str, partitions: int
         # a random last sort key spreads them (their relative order is immaterial).
         work = work.withColumn("_salt", F.rand(17))
         order = order + [F.col("_salt")]
-    ranged = (work.repartitionByRange(n, *order)
+    # Without an explicit count AQE sizes the range exchange to the data (it only merges
+    # adjacent range partitions, so order holds); the checkpoint below freezes the result.
+    exchanged = work.repartitionByRange(int(partitions), *order) if partitions else work.repartitionByRange(*order)
+    ranged = (exchanged
                   .sortWithinPartitions(*order)
                   .withColumn("_mid", F.monotonically_increasing_id()))
     if salt:

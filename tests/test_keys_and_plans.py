@@ -135,3 +135,22 @@ def test_results_do_not_depend_on_input_order(spark):
         return {n: sorted(map(tuple, g[n].collect())) for n in ("fact_critic_review", "fact_movie_score",
                                                                  "dim_movie", "dim_critic")}
     assert facts(b) == facts(shuffled)
+
+
+def test_dense_key_with_aqe_sized_range_partitions(spark):
+    """No explicit count: AQE coalesces the range exchange; keys still equal row_number."""
+    rnd = random.Random(11)
+    data = [(rnd.randint(0, 50), rnd.choice(["x", "y", None]), i) for i in range(20000)]
+    df = spark.createDataFrame(data, "a int, b string, c long").repartition(9)
+    order = [F.col("a").desc(), F.col("b").asc_nulls_last(), F.col("c")]
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        got = dense_key(df, order, "k")
+        used = got.select(F.spark_partition_id().alias("p")).distinct().count()
+        g = sorted(tuple(r) for r in got.select("k", "a", "b", "c").collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    want = sorted(tuple(r) for r in df.select(F.row_number().over(Window.orderBy(*order)).alias("k"), "a", "b", "c")
+                  .collect())
+    assert g == want
+    assert used < 200

@@ -79,3 +79,14 @@ def test_work_batches_resume_and_force(spark):
     assert [r["commands"] for r in forced] == ["run b; run a; run c"]
     empty = P.work_batches(slugs, slugs.select("slug", F.lit("x").alias("action")), "x", "run {slug}").collect()
     assert [r["commands"] for r in empty] == ["echo nothing to do"]
+
+
+def test_mark_done_rules(spark):
+    """RT: done only if the run finished and gave items; MC: done once finished, even with 0 items."""
+    res = spark.createDataFrame([("m1", "details", "i1", True), ("m1", "details", "i2", True),
+                                 ("m2", "details", None, True), ("m3", "details", "i3", False)],
+                                "movie string, action string, item string, finished boolean")
+    rt = {(r["movie"], r["items"]) for r in P.mark_done(res, ["movie", "action"], True, "finished").collect()}
+    mc = {(r["movie"], r["items"]) for r in P.mark_done(res, ["movie", "action"], False, "finished").collect()}
+    assert rt == {("m1", 2)}
+    assert mc == {("m1", 2), ("m2", 0)}

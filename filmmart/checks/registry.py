@@ -16,7 +16,7 @@ def _with_defaults(fn):
     @wraps(fn)
     def run(spark, sf_dir):
         apply_defaults(spark)
-        return fn(spark, sf_dir.rstrip("/"))
+        return fn(spark, str(sf_dir).rstrip("/"))
     return run
 
 
@@ -24,6 +24,9 @@ def all_queries() -> dict:
     q = {}
     q.update(model_queries())
     for m in CHECK_MODULES:
+        clash = set(q) & set(m.CHECKS)
+        if clash:
+            raise ValueError(f"check names registered twice: {sorted(clash)}")
         q.update({k: v[0] for k, v in m.CHECKS.items()})
     return {k: _with_defaults(v) for k, v in q.items()}
 

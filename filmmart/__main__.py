@@ -4,6 +4,8 @@
   python -m filmmart stream   --feed-dir data/rt/score --bronze wh/bronze/rt_score --rejects PATH --checkpoint PATH
   python -m filmmart snapshot --feed data/rt/crosswalk.json --bronze wh/bronze/rt_crosswalk
   python -m filmmart build    --bronze-root wh/bronze --out wh/mart [--sql 'select ...']
+  python -m filmmart crosswalk --bronze-root wh/bronze --mapping wh/imdb_to_rt --out data/rt/crosswalk
+  python -m filmmart plan     --bronze-root wh/bronze --ledger wh/ledger --action details --out wh/plan/details
 
 The session comes from ``spark-submit`` / the environment; checkpoints go to the
 cluster's ``spark.checkpoint.dir``.
@@ -16,10 +18,13 @@ import sys
 
 from pyspark.sql import functions as F
 
+from .functions.jsonops import unnest_records
+from .operators.crosswalk import build_crosswalk, identity_map
+from .operators.planning import ordered_distinct, work_batches
 from .operators.quality import sources_freshness
 from .plans.mart import build_from_root, register_views
-from .session import get_spark
-from .sources.feeds import load_batch, read_bronze_root, replace_snapshot
+from .session import get_spark, path_exists
+from .sources.feeds import load_batch, read_bronze, read_bronze_root, replace_snapshot
 from .streaming.feed_stream import load_stream
 
 
@@ -42,6 +47,18 @@ def main(argv: list[str] | None = None) -> int:
     sn = sub.add_parser("snapshot", help="replace a snapshot table if the new file is valid")
     sn.add_argument("--feed", required=True)
     sn.add_argument("--bronze", required=True)
+    sn.add_argument("--json-lines", action="store_true")
+    cw = sub.add_parser("crosswalk", help="first-wins imdb map from bronze mc_general + id mapping -> crosswalk feed")
+    cw.add_argument("--bronze-root", required=True)
+    cw.add_argument("--mapping", required=True, help="parquet table (imdb_id, rt_raw)")
+    cw.add_argument("--out", required=True, help="folder for the crosswalk feed (JSON lines)")
+    pl = sub.add_parser("plan", help="command batches for one action: crosswalk slugs minus the done ledger")
+    pl.add_argument("--bronze-root", required=True)
+    pl.add_argument("--ledger", required=True, help="parquet table (slug, action); may be absent")
+    pl.add_argument("--action", required=True)
+    pl.add_argument("--template", default="crawl movie={slug} action={action}")
+    pl.add_argument("--force", action="store_true")
+    pl.add_argument("--out", required=True)
     bd = sub.add_parser("build", help="bronze -> silver -> gold -> data tests")
     bd.add_argument("--bronze-root", required=True)
     bd.add_argument("--out", required=True)
@@ -55,7 +72,19 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "stream":
         load_stream(spark, a.feed_dir, a.bronze, a.rejects, a.checkpoint, glob=a.glob, json_lines=a.json_lines)
     elif a.cmd == "snapshot":
-        print(replace_snapshot(spark, a.feed, a.bronze))
+        print(replace_snapshot(spark, a.feed, a.bronze, json_lines=a.json_lines))
+    elif a.cmd == "crosswalk":
+        ids = identity_map(read_bronze(spark, f"{a.bronze_root.rstrip('/')}/mc_general"))
+        build_crosswalk(ids, spark.read.parquet(a.mapping)).write.mode("overwrite").json(a.out)
+    elif a.cmd == "plan":
+        xw = read_bronze(spark, f"{a.bronze_root.rstrip('/')}/rt_crosswalk")
+        recs = unnest_records(xw, with_position=True)
+        slugs = ordered_distinct([recs.select(F.get_json_object("record", "$.rt_slug").alias("slug"),
+                                              F.struct("_loaded_at", "_source_file", "_pos").alias("pos"))
+                                  .filter(F.col("slug").isNotNull())], "slug")
+        ledger = (spark.read.parquet(a.ledger) if path_exists(spark, a.ledger)
+                  else spark.createDataFrame([], "slug string, action string"))
+        work_batches(slugs, ledger, a.action, a.template, a.force).write.mode("overwrite").json(a.out)
     else:
         out = build_from_root(spark, a.bronze_root, a.out)
         failing = out["tests"].filter(F.col("status") != "pass")

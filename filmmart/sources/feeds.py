@@ -108,14 +108,15 @@ def load_batch(spark: SparkSession, pattern: str, bronze_path: str, rejects_path
     return load_id
 
 
-def replace_snapshot(spark: SparkSession, pattern: str, bronze_path: str, loaded_at: Column | None = None) -> str:
+def replace_snapshot(spark: SparkSession, pattern: str, bronze_path: str, loaded_at: Column | None = None,
+                     json_lines: bool = False) -> str:
     """Replace a snapshot table only with a fully valid new version.
 
     A missing or broken file keeps the old content. The new version is written as a new
     ``load_id`` partition while the old one stays readable (a failed write job leaves only
     its ``_temporary`` folder, which readers skip); older versions are dropped after the write
     has succeeded. Returns ``replaced`` or the reason the old content was kept."""
-    tagged = to_bronze(read_feed(spark, pattern), loaded_at)
+    tagged = to_bronze(read_feed(spark, pattern, json_lines), loaded_at)
     stats = tagged.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("reason").isNotNull()).alias("bad")).first()
     if stats["n"] == 0:
         return "kept: no file"

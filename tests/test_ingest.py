@@ -119,3 +119,25 @@ def test_cli_build_and_freshness(spark, capsys):
     fresh = sources_freshness(A.read_bronze_root(spark, f"{root}/bronze"), "2099-01-01 00:00:00")
     status = {r["source"]: r["status"] for r in fresh.collect()}
     assert status["mc_general"] == "error" and status["rt_score"] == "error"   # stale / never loaded
+
+
+def test_cli_crosswalk_and_plan(spark):
+    """The crawl-side flow: bronze mc_general + id mapping -> crosswalk feed -> snapshot ->
+    ordered slugs minus the ledger -> command batches."""
+    from filmmart.__main__ import main
+    root = scratch_path(spark, "t-cli-plan")
+    _write(f"{root}/feed", {"g1.json": '[{"movie_slug": "a", "imdb_id": "tt1"}, {"slug": "b", "imdb_id": "tt2"}]',
+                            "g2.json": '[{"movie_slug": "c", "imdb_id": "tt3"}, {"movie_slug": "z", "imdb_id": "tt1"}]'})
+    assert main(["load", "--feed", f"{root}/feed/*.json", "--bronze", f"{root}/bronze/mc_general"]) == 0
+    spark.createDataFrame([("tt1", "m/alpha"), ("tt2", "tv/show/s01"), ("tt3", "m/gamma")],
+                          "imdb_id string, rt_raw string").write.parquet(f"{root}/mapping")
+    assert main(["crosswalk", "--bronze-root", f"{root}/bronze", "--mapping", f"{root}/mapping",
+                 "--out", f"{root}/xw"]) == 0
+    xw = {r["rt_slug"]: r["mc_slug"] for r in spark.read.json(f"{root}/xw").collect()}
+    assert xw == {"alpha": "a", "gamma": "c"}                    # first wins for tt1; tv/ dropped
+    assert main(["snapshot", "--feed", f"{root}/xw/*.json", "--bronze", f"{root}/bronze/rt_crosswalk",
+                 "--json-lines"]) == 0
+    spark.createDataFrame([("gamma", "details")], "slug string, action string").write.parquet(f"{root}/ledger")
+    assert main(["plan", "--bronze-root", f"{root}/bronze", "--ledger", f"{root}/ledger", "--action", "details",
+                 "--out", f"{root}/plan"]) == 0
+    assert [r["commands"] for r in spark.read.json(f"{root}/plan").collect()] == ["crawl movie=alpha action=details"]

@@ -222,7 +222,7 @@ def q_discovered_slugs(spark, sf):
 
 
 @check("keyed_feed_load", """SELECT event_type AS action, lpad(CAST(user_id AS VARCHAR), 4, '0') AS movie,
-  count(*) AS n_records, sum(event_id) AS id_sum FROM events GROUP BY 1, 2""")
+  count(*) AS n_records, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY 1, 2""")
 def q_keyed_feed_load(spark, sf):
     """Keyed feed (one JSON-lines output per action and movie) loaded into bronze, unnested."""
     root = scratch_path(spark, "keyed_feed_load")

@@ -127,3 +127,42 @@ def rate_documents(docs: DataFrame, host: str = "source", min_docs: int = MIN_DO
 
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate_documents(read_table(spark, sf_dir, "documents"))
+
+
+#: The same rules over whole tables, words and lines by regular expressions.
+ORACLE = rf"""
+WITH base AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+lines AS (
+  SELECT doc_id, source, text, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+         regexp_replace(translate(array_to_string(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), ' '),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g') AS norm
+  FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM base) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dups AS (
+  SELECT doc_id, sum(k - 1) AS n_dup_lines FROM (SELECT doc_id, line, count(*) AS k FROM lines GROUP BY ALL) GROUP BY doc_id),
+hosts AS (SELECT source, count(DISTINCT text) AS texts FROM base GROUP BY source),
+common AS (
+  SELECT l.source, norm FROM lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
+  GROUP BY l.source, norm, h.texts HAVING count(DISTINCT text) > {MIN_DOCS} AND count(DISTINCT text) > h.texts * {MAX_SHARE}),
+gone AS (
+  SELECT doc_id, sum(n) AS removed FROM lines l JOIN common c ON l.source IS NOT DISTINCT FROM c.source AND l.norm = c.norm GROUP BY doc_id),
+places AS (SELECT doc_id, words, unnest(generate_series(1, len(words) - 2)) AS i FROM base WHERE len(words) > 3),
+windows AS (SELECT doc_id, i, words[i] AS a, words[i + 1] AS b, words[i + 2] AS c FROM places),
+again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS k FROM windows) WHERE k > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT at) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS at FROM again) GROUP BY doc_id),
+facts AS (
+  SELECT b.doc_id, len(words)::BIGINT AS n_words, coalesce(length(array_to_string(words, '')), 0)::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         (len(words) - coalesce(removed, 0))::BIGINT AS kept_words
+  FROM base b LEFT JOIN dups USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN gone USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND kept_words >= {MIN_WORDS} AND kept_words >= n_words * {MIN_KEPT} AS kept,
+       kept_words
+FROM facts
+"""

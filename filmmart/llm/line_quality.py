@@ -153,7 +153,7 @@ windows AS (SELECT doc_id, i, words[i] AS a, words[i + 1] AS b, words[i + 2] AS
 again AS (
   SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS k FROM windows) WHERE k > 1),
 covered AS (
-  SELECT doc_id, count(DISTINCT at) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS at FROM again) GROUP BY doc_id),
+  SELECT doc_id, count(DISTINCT place) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM again) GROUP BY doc_id),
 facts AS (
   SELECT b.doc_id, len(words)::BIGINT AS n_words, coalesce(length(array_to_string(words, '')), 0)::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,

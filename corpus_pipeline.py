@@ -16,7 +16,7 @@ from filmmart.llm.common import materialize, read_table
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts far from every known language go; all others stay, whatever their language."""
     model = langid.fit(docs.filter(~langid.held_out()).select("text", "lang"))
-    return langid.predict(docs, model).filter("not rejected").select(docs.columns)
+    return langid.predict(docs, model, prefix="_langid_").filter("not _langid_rejected").select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

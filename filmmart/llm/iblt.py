@@ -26,6 +26,7 @@ PARAGRAPH = 120
 SKETCH = 5  # cells per sub-table of the fingerprint
 CELLS = 1.5  # cells per digest of the two versions in the first comparison; each retry has twice as many
 ROUNDS = 6
+TASK_DIGESTS = 150_000  # of all versions, per task
 
 
 def paragraph_digests(text: Column) -> Column:
@@ -75,11 +76,11 @@ def _position(key: Column, j: int, size: Column) -> Column:
 def _subtracted(pairs: DataFrame) -> DataFrame:
     """Cells of sketch(a) - sketch(b) of each pair, three sub-tables of ``size`` cells."""
     side = lambda keys, sign: F.transform(keys, lambda k: F.struct(F.lit(sign).alias("c"), k.alias("k")))
-    rows = pairs.select("id", "size", F.explode(F.concat(side("a", 1), side("b", -1))).alias("e")).select(
-        "id", "size", F.col("e.c").alias("c"), F.col("e.k").alias("k"))
+    rows = pairs.select("row", "id", "size", F.explode(F.concat(side("a", 1), side("b", -1))).alias("e")).select(
+        "row", "id", "size", F.col("e.c").alias("c"), F.col("e.k").alias("k"))
     rows = rows.withColumn("cell", F.explode(F.array(*[_position(F.col("k"), j, F.col("size")) for j in range(3)])))
-    return rows.groupBy("id", "size", "cell").agg(F.sum("c").alias("c"), F.bit_xor("k").alias("k"),
-                                                  F.bit_xor(_check(F.col("k"))).alias("h"), F.lit(0).cast("long").alias("got"))
+    return rows.groupBy("row", "id", "size", "cell").agg(F.sum("c").alias("c"), F.bit_xor("k").alias("k"),
+                                                         F.bit_xor(_check(F.col("k"))).alias("h"), F.lit(0).cast("long").alias("got"))
 
 
 def _peeled(cells: DataFrame) -> DataFrame:
@@ -89,34 +90,45 @@ def _peeled(cells: DataFrame) -> DataFrame:
         cell.alias("cell"), c.alias("c"), F.col("k").alias("k"), F.col("h").alias("h"), got.alias("got"), by.alias("by"))
     itself = row(F.col("cell"), F.col("c"), F.col("got"), F.lit(None).cast("long"))
     taken = [row(_position(F.col("k"), j, F.col("size")), -F.col("c"), F.lit(int(j == 0)).cast("long"), F.col("k")) for j in range(3)]
-    rows = cells.select("id", "size", F.explode(F.when(pure, F.array(itself, *taken)).otherwise(F.array(itself))).alias("r")).select("id", "size", "r.*")
+    rows = cells.select("row", "id", "size", F.explode(F.when(pure, F.array(itself, *taken)).otherwise(F.array(itself))).alias("r")).select(
+        "row", "id", "size", "r.*")
     # A digest may stand alone in two or three cells; it is taken out once.
-    once = rows.groupBy("id", "size", "cell", "by").agg(*[F.max(x).alias(x) for x in ("c", "k", "h", "got")])
-    return once.groupBy("id", "size", "cell").agg(F.sum("c").alias("c"), F.bit_xor("k").alias("k"), F.bit_xor("h").alias("h"), F.sum("got").alias("got"))
+    once = rows.groupBy("row", "id", "size", "cell", "by").agg(*[F.max(x).alias(x) for x in ("c", "k", "h", "got")])
+    return once.groupBy("row", "id", "size", "cell").agg(
+        F.sum("c").alias("c"), F.bit_xor("k").alias("k"), F.bit_xor("h").alias("h"), F.sum("got").alias("got"))
 
 
-def differences(pairs: DataFrame) -> DataFrame:
-    """pairs (id, a, b: arrays of distinct digests) -> id, d: the digests in one of the two only.
+def differences(sets: DataFrame, others: list[str]) -> DataFrame:
+    """sets (row, keys, <others>: arrays of distinct digests) -> row, id (place in ``others``), d: the digests
+    in one of keys and that other array only.
 
-    The cells of a pair stay in the task that the pair's id is dealt to: building, subtracting and
+    The cells of a row stay in the task that the row is dealt to: building, subtracting and
     peeling need no further shuffle. Pairs that don't peel are tried again with twice the cells.
     """
-    spark = pairs.sparkSession
-    done = pairs.filter("size(a) + size(b) = 0").select("id", F.lit(0).cast("long").alias("d"))
-    pending, attempt = pairs.filter("size(a) + size(b) > 0"), 0
+    spark = sets.sparkSession
+    digests = sets.agg(F.sum(F.size("keys") + sum((F.size(c) for c in others), F.lit(0)))).first()[0] or 0
+    n_tasks = max(1, -(-digests // TASK_DIGESTS))
+    pending, attempt, done = sets, 0, None
     while True:
+        against = F.explode(F.array(*[F.struct(F.lit(i).alias("id"), F.col(c).alias("b")) for i, c in enumerate(others)])).alias("o")
+        pairs = pending.repartition(n_tasks, "row").select("row", F.col("keys").alias("a"), against, *(["ids"] if attempt else []))
+        if attempt:
+            pairs = pairs.filter(F.array_contains("ids", F.col("o.id")))
+        pairs = pairs.select("row", F.col("o.id").alias("id"), "a", F.col("o.b").alias("b")).filter("size(a) + size(b) > 0")
         size = F.ceil((F.size("a") + F.size("b")) * (CELLS * 2 ** attempt / 3)) + 2 + attempt
-        cells = _subtracted(pending.repartition("id").withColumn("size", size.cast("long")))
+        cells = _subtracted(pairs.withColumn("size", size.cast("long")))
         for _ in range(ROUNDS):
             cells = _peeled(cells)
         empty = (F.col("c") == 0) & (F.col("k") == 0) & (F.col("h") == 0)
-        tried = cells.groupBy("id").agg(F.sum("got").alias("d"), F.bool_and(empty).alias("ok"))
+        tried = cells.groupBy("row", "id").agg(F.sum("got").alias("d"), F.bool_and(empty).alias("ok"))
         tried = materialize(spark, tried, "iblt-tried")
-        done = done.unionByName(tried.filter("ok").select("id", "d"))
-        failed = tried.filter("not ok").select("id")
+        right = tried.filter("ok").select("row", "id", "d")
+        done = right if done is None else done.unionByName(right)
+        failed = tried.filter("not ok").groupBy("row").agg(F.collect_list("id").alias("ids"))
         if failed.isEmpty():
             return done
-        pending, attempt = materialize(spark, pending.join(failed, "id"), "iblt-pending"), attempt + 1
+        pending, attempt = materialize(spark, pending.drop("ids").join(failed, "row"), "iblt-pending"), attempt + 1
+        n_tasks = max(1, n_tasks // 4)
 
 
 def fingerprint(keys: Column) -> Column:
@@ -166,18 +178,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                         paragraph_digests(F.col("text")).alias("keys"), paragraph_digests(F.col("edited")).alias("edited_keys"), "next_keys")
     # Row numbers as written stay what they are: repeated rows are rows of their own.
     keyed = materialize(spark, keyed.withColumn("row", F.monotonically_increasing_id()), "iblt-digests")
-    against = F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("edited_keys").alias("b")),
-                                F.struct(F.lit(1).alias("which"), F.col("next_keys").alias("b"))))
-    pairs = keyed.select("row", F.col("keys").alias("a"), against.alias("o"))
-    pairs = pairs.select((F.col("row") * 2 + F.col("o.which")).alias("id"), "a", F.col("o.b").alias("b"))
-    d = differences(pairs).groupBy(F.floor(F.col("id") / 2).alias("d_row")).agg(
-        F.max(F.when(F.col("id") % 2 == 0, F.col("d"))).alias("d_edited"), F.max(F.when(F.col("id") % 2 == 1, F.col("d"))).alias("d_next"))
+    d = differences(keyed.select("row", "keys", "edited_keys", "next_keys"), ["edited_keys", "next_keys"])
+    d = d.groupBy(F.col("row").alias("d_row")).agg(
+        F.max(F.when(F.col("id") == 0, F.col("d"))).alias("d_edited"), F.max(F.when(F.col("id") == 1, F.col("d"))).alias("d_next"))
 
     def likeness(other, difference):
         n = F.size("keys") + F.size(other)
         return F.when(n == 0, F.lit(1.0)).otherwise((n - F.col(difference)) / (n + F.col(difference)))
 
-    return keyed.join(d, F.col("row") == F.col("d_row")).select(
+    return keyed.join(d, F.col("row") == F.col("d_row"), "left").select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("keys")).alias("fingerprint"),
         fingerprint(F.col("edited_keys")).alias("edited_fingerprint"),
         likeness("edited_keys", "d_edited").alias("near_edited"), likeness("next_keys", "d_next").alias("near_next"))

@@ -144,16 +144,16 @@ def fit(train: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(idf, [r["lang"] for r in learned], centroids, [r["bar"] for r in learned])
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred, score, rejected. Only the text is looked at."""
-    names = docs.columns
-    schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL("lang_pred string, score double, rejected boolean").fields])
+def predict(docs: DataFrame, model: Model, text: str = "text", prefix: str = "") -> DataFrame:
+    """``docs`` with lang_pred, score, rejected (after ``prefix``, where names clash). Only the text is looked at."""
+    names, new = docs.columns, [f"{prefix}{c}" for c in ("lang_pred", "score", "rejected")]
+    schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL("{} string, {} double, {} boolean".format(*new)).fields])
 
     def run(batches):
         for b in batches:
             got = [model.predict(t) for t in b.column(text).to_pylist()]
             cols = [pa.array([g[k] for g in got], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*names, "lang_pred", "score", "rejected"])
+            yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*names, *new])
 
     return docs.mapInArrow(run, schema)
 

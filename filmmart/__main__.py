@@ -6,6 +6,8 @@
   python -m filmmart build    --bronze-root wh/bronze --out wh/mart [--sql 'select ...']
   python -m filmmart crosswalk --bronze-root wh/bronze --mapping wh/imdb_to_rt --out data/rt/crosswalk
   python -m filmmart plan     --bronze-root wh/bronze --ledger wh/ledger --action details --out wh/plan/details
+  python -m filmmart mark     --results wh/results --ledger wh/ledger [--require-items]
+  python -m filmmart replay   --feed 'data/mc/general/*.json' --bronze wh/bronze/mc_general --rejects PATH
 
 The session comes from ``spark-submit`` / the environment; checkpoints go to the
 cluster's ``spark.checkpoint.dir``.
@@ -15,17 +17,18 @@ from __future__ import annotations
 
 import argparse
 import sys
+import uuid
 
 from pyspark.sql import functions as F
 
 from .functions.jsonops import unnest_records
 from .operators.crosswalk import build_crosswalk, identity_map
-from .operators.planning import ordered_distinct, work_batches
+from .operators.planning import append_ledger, mark_done, ordered_distinct, work_batches
 from .operators.quality import sources_freshness
 from .plans.mart import build_from_root, register_views
 from .session import get_spark, path_exists
 from .sources.feeds import load_batch, read_bronze, read_bronze_root, replace_snapshot
-from .streaming.feed_stream import load_stream
+from .streaming.feed_stream import load_stream, replay_rejects
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -59,10 +62,20 @@ def main(argv: list[str] | None = None) -> int:
     pl.add_argument("--template", default="crawl movie={slug} action={action}")
     pl.add_argument("--force", action="store_true")
     pl.add_argument("--out", required=True)
+    rp = sub.add_parser("replay", help="load files that were rejected and are valid now")
+    rp.add_argument("--feed", required=True)
+    rp.add_argument("--bronze", required=True)
+    rp.add_argument("--rejects", required=True)
+    mk = sub.add_parser("mark", help="append finished work to the ledger that plan reads")
+    mk.add_argument("--results", required=True, help="parquet table (slug, action, item, finished)")
+    mk.add_argument("--ledger", required=True)
+    mk.add_argument("--require-items", action="store_true", help="done only with at least one item")
     bd = sub.add_parser("build", help="bronze -> silver -> gold -> data tests")
     bd.add_argument("--bronze-root", required=True)
     bd.add_argument("--out", required=True)
     bd.add_argument("--sql", help="query to run over the built tables afterwards")
+    bd.add_argument("--movie-rows", type=int, nargs=2, default=(1, 1_000_000), metavar=("MIN", "MAX"),
+                    help="accepted row count of dim_movie")
     bd.add_argument("--now", help="timestamp for the bronze freshness check (warn 24 h, error 48 h)")
     a = p.parse_args(argv)
 
@@ -81,12 +94,16 @@ def main(argv: list[str] | None = None) -> int:
         recs = unnest_records(xw, with_position=True)
         slugs = ordered_distinct([recs.select(F.get_json_object("record", "$.rt_slug").alias("slug"),
                                               F.struct("_loaded_at", "_source_file", "_pos").alias("pos"))
-                                  .filter(F.col("slug").isNotNull())], "slug")
+                                  .filter(F.coalesce(F.col("slug"), F.lit("")) != "")], "slug")
         ledger = (spark.read.parquet(a.ledger) if path_exists(spark, a.ledger)
                   else spark.createDataFrame([], "slug string, action string"))
         work_batches(slugs, ledger, a.action, a.template, a.force).write.mode("overwrite").json(a.out)
+    elif a.cmd == "replay":
+        replay_rejects(spark, a.feed, a.rejects, a.bronze, f"replay-{uuid.uuid4().hex}")
+    elif a.cmd == "mark":
+        append_ledger(mark_done(spark.read.parquet(a.results), ["slug", "action"], a.require_items, "finished"), a.ledger)
     else:
-        out = build_from_root(spark, a.bronze_root, a.out)
+        out = build_from_root(spark, a.bronze_root, a.out, movie_rows=tuple(a.movie_rows))
         failing = out["tests"].filter(F.col("status") != "pass")
         failing.show(truncate=False)
         if a.now:

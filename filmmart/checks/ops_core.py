@@ -19,6 +19,7 @@ from ..operators.joins import full_outer_on_nullable, left_lookup, routed_lookup
 from ..operators.keys import dense_key
 from ..plans.standins import table
 from ..sources.responses import validate_records
+from ..plans import gold as G
 from .render import render
 
 CHECKS: dict = {}
@@ -208,7 +209,7 @@ def q_try_date(spark, sf):
 
 # ---------------------------------------------------------------- latest per key
 
-@check("latest_per_key", """SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, event_type FROM events
+@check("latest_per_key", """SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, event_type FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) = 1""")
 def q_latest_per_key(spark, sf):
     ev = table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
@@ -220,7 +221,7 @@ LINEITEM_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_
                  "l_returnflag, l_linestatus, l_shipdate")
 
 
-@check("latest_per_composite_key", f"""SELECT {LINEITEM_COLS.replace('l_shipdate', "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate")}
+@check("latest_per_composite_key", f"""SELECT {LINEITEM_COLS.replace('l_shipdate', "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%f') AS l_shipdate")}
 FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_partkey, l_suppkey, CAST(l_shipdate AS DATE)
   ORDER BY l_orderkey DESC, {LINEITEM_COLS}) = 1""")
 def q_latest_per_composite_key(spark, sf):
@@ -244,7 +245,7 @@ FULL_OUTER_SQL = """WITH c AS (
   SELECT nk AS c_nk, c_custkey FROM (SELECT nullif(c_nationkey, 0) AS nk, c_custkey FROM customer) x
   QUALIFY nk IS NULL OR row_number() OVER (PARTITION BY nk ORDER BY c_custkey DESC) = 1),
 s AS (
-  SELECT nk AS s_nk, s_suppkey FROM (SELECT nullif(s_nationkey, 1) AS nk, s_suppkey FROM supplier WHERE s_nationkey < 20) y
+  SELECT nk AS s_nk, s_suppkey FROM (SELECT CASE WHEN s_nationkey >= 20 THEN s_nationkey + 100 ELSE nullif(s_nationkey, 1) END AS nk, s_suppkey FROM supplier) y
   QUALIFY nk IS NULL OR row_number() OVER (PARTITION BY nk ORDER BY s_suppkey) = 1)
 SELECT coalesce(c.c_nk, s.s_nk) AS nation, c.c_custkey, c.c_nk, s.s_suppkey, s.s_nk
 FROM c FULL OUTER JOIN s ON c.c_nk = s.s_nk"""
@@ -254,8 +255,9 @@ FROM c FULL OUTER JOIN s ON c.c_nk = s.s_nk"""
 def q_full_outer_match(spark, sf):
     c = table(spark, sf, "customer").select(F.nullif("c_nationkey", F.lit(0)).alias("c_nk"), "c_custkey")
     c = latest_per_key(c, ["c_nk"], [F.col("c_custkey").desc()], null_keys="keep")
-    s = table(spark, sf, "supplier").filter(F.col("s_nationkey") < 20).select(
-        F.nullif("s_nationkey", F.lit(1)).alias("s_nk"), "s_suppkey")
+    n = F.col("s_nationkey")
+    s = table(spark, sf, "supplier").select(
+        F.when(n >= 20, n + 100).otherwise(F.nullif(n, F.lit(1))).alias("s_nk"), "s_suppkey")
     s = latest_per_key(s, ["s_nk"], [F.col("s_suppkey").asc()], null_keys="keep")
     j = full_outer_on_nullable(c, s, "c_nk", "s_nk")
     return j.select(F.coalesce("c_nk", "s_nk").alias("nation"), "c_custkey", "c_nk", "s_suppkey", "s_nk")
@@ -264,13 +266,13 @@ def q_full_outer_match(spark, sf):
 @check("routed_lookup", """SELECT o.o_orderkey, o.o_orderstatus,
   CASE WHEN o.o_orderstatus = 'F' THEN c.c_nationkey WHEN o.o_orderstatus = 'O' THEN s.s_nationkey END AS nation
 FROM orders o
-LEFT JOIN (SELECT * FROM customer WHERE c_nationkey < 15) c ON c.c_custkey = o.o_custkey AND o.o_orderstatus = 'F'
+LEFT JOIN customer c ON (CASE WHEN c.c_nationkey < 15 THEN c.c_custkey END) = o.o_custkey AND o.o_orderstatus = 'F'
 LEFT JOIN supplier s ON s.s_suppkey = o.o_custkey % 100 AND o.o_orderstatus = 'O'""")
 def q_routed_lookup(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_custkey",
                                           (F.col("o_custkey") % 100).alias("_sk"))
-    cust = table(spark, sf, "customer").filter(F.col("c_nationkey") < 15).select(
-        F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("nation"))
+    cust = table(spark, sf, "customer").select(
+        F.when(F.col("c_nationkey") < 15, F.col("c_custkey")).alias("k"), F.col("c_nationkey").alias("nation"))
     sup = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_nationkey").alias("nation"))
     out = routed_lookup(o, "o_orderstatus", {"F": (cust, "k", "o_custkey"), "O": (sup, "k", "_sk")},
                         take="nation", out="nation")
@@ -278,10 +280,11 @@ def q_routed_lookup(spark, sf):
 
 
 @check("left_lookup", """SELECT o.o_orderkey, c.c_name FROM orders o
-LEFT JOIN (SELECT * FROM customer WHERE c_nationkey < 10) c ON c.c_custkey = o.o_custkey""")
+LEFT JOIN customer c ON (CASE WHEN c.c_nationkey < 10 THEN c.c_custkey ELSE -c.c_custkey END) = o.o_custkey""")
 def q_left_lookup(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    c = table(spark, sf, "customer").filter(F.col("c_nationkey") < 10)
+    k = F.col("c_custkey")
+    c = table(spark, sf, "customer").select(F.when(F.col("c_nationkey") < 10, k).otherwise(-k).alias("c_custkey"), "c_name")
     return left_lookup(o, c, "o_custkey", "c_custkey", ["c_name"]).select("o_orderkey", "c_name")
 
 
@@ -306,8 +309,8 @@ def q_group_avg_count(spark, sf):
     ev = table(spark, sf, "events").select(
         "user_id", F.when(F.col("event_type") != "error",
                           F.least(F.lit(10), F.floor(F.col("value") / 10)).cast("int")).alias("score"))
-    return (ev.filter(F.col("score").isNotNull()).groupBy("user_id")
-              .agg(F.round(F.avg("score") * 10).cast("int").alias("user_score"), F.count(F.lit(1)).alias("n")))
+    got = G.user_scores(ev.withColumnRenamed("user_id", "movie_slug"))
+    return got.select(F.col("movie_slug").alias("user_id"), "user_score", F.col("user_review_count").alias("n"))
 
 
 @check("guarded_ratio", """SELECT p_partkey,
@@ -317,9 +320,8 @@ def q_group_avg_count(spark, sf):
 def q_guarded_ratio(spark, sf):
     p = table(spark, sf, "part").select("p_partkey", (F.col("p_partkey") % 97).alias("liked"),
                                         (F.col("p_partkey") % 13).alias("not_liked"))
-    votes = F.col("liked") + F.col("not_liked")
-    ratio = F.round(F.lit(100.0) * F.col("liked").cast("double") / votes.cast("double")).cast("int")
-    return p.select("p_partkey", F.when(votes > 0, ratio).alias("user_score"), votes.cast("long").alias("votes"))
+    votes, ratio = G.liked_share(F.col("liked"), F.col("not_liked"))
+    return p.select("p_partkey", ratio.alias("user_score"), votes.alias("votes"))
 
 
 @check("union_widen", """SELECT o_orderkey, 'int' AS branch, CAST(CAST(o_orderkey % 100 AS INTEGER) AS VARCHAR) AS score FROM orders
@@ -328,7 +330,7 @@ def q_union_widen(spark, sf):
     o = table(spark, sf, "orders")
     a = o.select("o_orderkey", F.lit("int").alias("branch"), (F.col("o_orderkey") % 100).cast("int").alias("score"))
     b = o.select("o_orderkey", F.lit("text").alias("branch"), F.col("o_orderpriority").alias("score"))
-    return a.withColumn("score", F.col("score").cast("string")).unionByName(b)
+    return G.union_as_text(a, b, "score")
 
 
 @check("slugify", """SELECT c_custkey, 'rt::' || lower(replace(c_name || ' ' || c_mktsegment, ' ', '_')) AS slug FROM customer""")
@@ -378,9 +380,10 @@ def q_dq_unique(spark, sf):
 
 
 @check("dq_relationships", """SELECT l_orderkey, count(*) AS n FROM lineitem
-WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 10 <> 0) GROUP BY l_orderkey""")
+WHERE l_orderkey NOT IN (SELECT CASE WHEN o_orderkey % 10 <> 0 THEN o_orderkey ELSE -1 - o_orderkey END FROM orders) GROUP BY l_orderkey""")
 def q_dq_relationships(spark, sf):
-    o = table(spark, sf, "orders").filter(F.col("o_orderkey") % 10 != 0)
+    k = F.col("o_orderkey")
+    o = table(spark, sf, "orders").select(F.when(k % 10 != 0, k).otherwise(-1 - k).alias("o_orderkey"))
     return Q.orphans(table(spark, sf, "lineitem"), "l_orderkey", o, "o_orderkey")
 
 
@@ -396,7 +399,7 @@ def q_dq_row_count(spark, sf):
     return Q.row_count_between(table(spark, sf, "orders"), 1, 1_000_000, "orders")
 
 
-@check("dq_freshness", """SELECT 'events' AS source, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS max_loaded_at,
+@check("dq_freshness", """SELECT 'events' AS source, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS max_loaded_at,
   (epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(max(ts))) / 3600000000.0 AS age_hours,
   CASE WHEN max(ts) IS NULL THEN 'error'
        WHEN (epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(max(ts))) / 3600000000.0 > 48 THEN 'error'
@@ -435,4 +438,24 @@ def q_hot_key_dense_key(spark, sf):
     return dense_key(ev, [F.col("user_id"), F.col("event_type")], "k").select("k", "user_id", "event_type")
 
 
+@check("hot_key_top_2000", f"""SELECT user_id, event_id FROM ({HOT_SQL}) e
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) <= 2000""")
+def q_hot_key_top_2000(spark, sf):
+    """The catalogue's own 2,000 per group, a third of the rows in one group."""
+    from ..operators.planning import top_n_per_year
+    ev = _hot_events(spark, sf).select("user_id", "event_id", "value")
+    return top_n_per_year(ev, "user_id", "value", "event_id", n=2000).select("user_id", "event_id")
+
+
+@check("hot_key_routed_lookup", f"""SELECT event_id, CASE WHEN event_type = 'click' THEN c.c_nationkey WHEN event_type = 'view' THEN s.s_nationkey END AS nation
+FROM ({HOT_SQL}) e LEFT JOIN customer c ON c.c_custkey = e.user_id AND event_type = 'click'
+LEFT JOIN supplier s ON s.s_suppkey = e.user_id AND event_type = 'view'""")
+def q_hot_key_routed_lookup(spark, sf):
+    ev = _hot_events(spark, sf).select("event_id", "user_id", "event_type")
+    cust = table(spark, sf, "customer").select(F.col("c_custkey").cast("long").alias("k"), F.col("c_nationkey").alias("nation"))
+    sup = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("long").alias("k"), F.col("s_nationkey").alias("nation"))
+    out = routed_lookup(ev, "event_type", {"click": (cust, "k", "user_id"), "view": (sup, "k", "user_id")}, take="nation", out="nation")
+    return out.select("event_id", "nation")
+
+
 __all__ = ["CHECKS", "grouped_text", "props_envelopes"]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.jsonops import unnest_records
 from ..plans import silver as S
 from ..plans.standins import mc_general, table
-from ..session import scratch_path
+from ..session import replace_file, scratch_path
 from ..sources import feeds as A
 from ..streaming.feed_stream import load_stream
 from .ops_core import grouped_text
@@ -68,7 +68,7 @@ def q_feed_scan(spark, sf):
     return A.read_feed(spark, glob).select(feed_key().alias("file_key"), "value")
 
 
-@check("bronze_envelope", f"""SELECT '2024-01-01 00:00:00' AS _loaded_at, key AS file_key, '[' || canon || ']' AS data
+@check("bronze_envelope", f"""SELECT '2024-01-01 00:00:00.000000' AS _loaded_at, key AS file_key, '[' || canon || ']' AS data
 FROM ({FEED_SQL}) f WHERE NOT broken""")
 def q_bronze_envelope(spark, sf):
     glob = write_feed(_feed_text(spark, sf), scratch_path(spark, "bronze_envelope"))
@@ -109,13 +109,84 @@ def q_load_stream_once(spark, sf):
     feed, bronze, rej, ck = f"{root}/feed", f"{root}/bronze", f"{root}/rejects", f"{root}/checkpoint"
     files = _feed_text(spark, sf)
     write_feed(files.filter(F.col("chunk") % 2 == 0), feed)
-    load_stream(spark, feed, bronze, rej, ck, glob="*.txt", run_id="r1")
+    load_stream(spark, feed, bronze, rej, ck, glob="*.txt")
     write_feed(files.filter(F.col("chunk") % 2 == 1), feed, mode="append")
-    load_stream(spark, feed, bronze, rej, ck, glob="*.txt", run_id="r2")
-    load_stream(spark, feed, bronze, rej, ck, glob="*.txt", run_id="r3")
+    load_stream(spark, feed, bronze, rej, ck, glob="*.txt")
+    load_stream(spark, feed, bronze, rej, ck, glob="*.txt")
     return _copies(spark, bronze)
 
 
+REWRITTEN_SQL = f"""SELECT key AS file_key, v AS copies_rank FROM ({FEED_SQL}) f, (SELECT unnest([1, 2]) AS v) t
+WHERE NOT broken AND (v = 1 OR (CAST(key AS BIGINT)) % 3 = 0)"""
+
+
+def _rewrite(files: DataFrame, feed: str) -> None:
+    """Every third file anew at its old path, longer by white space, as a later crawl writes it."""
+    again = files.filter(F.col("chunk") % 3 == 0).withColumn("value", F.concat(F.lit("  "), "value"))
+    spark = files.sparkSession
+    side = scratch_path(spark, "rewrite")
+    write_feed(again, side)
+    old = {r["key"]: r["f"] for r in spark.read.text(f"{feed}/key=*/*.txt", wholetext=True).select(
+        F.regexp_extract(F.col("_metadata.file_path"), r"key=([^/]+)/", 1).alias("key"), F.col("_metadata.file_path").alias("f")).collect()}
+    for r in spark.read.text(f"{side}/key=*/*.txt", wholetext=True).select(
+            F.regexp_extract(F.col("_metadata.file_path"), r"key=([^/]+)/", 1).alias("key"), F.col("_metadata.file_path").alias("f")).collect():
+        replace_file(spark, r["f"], old[r["key"]])
+
+
+def _versions(spark, bronze_path: str) -> DataFrame:
+    b = A.read_bronze(spark, bronze_path).groupBy(feed_key().alias("file_key")).agg(F.count(F.lit(1)).alias("n"))
+    return b.select("file_key", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copies_rank"))
+
+
+@check("load_rewritten_file", REWRITTEN_SQL)
+def q_load_rewritten_file(spark, sf):
+    """A file rewritten by a later crawl is loaded again, once; all others stay loaded once."""
+    root = scratch_path(spark, "load_rewritten")
+    files = _feed_text(spark, sf)
+    glob = write_feed(files, f"{root}/feed")
+    A.load_batch(spark, glob, f"{root}/bronze", f"{root}/rejects")
+    _rewrite(files, f"{root}/feed")
+    A.load_batch(spark, glob, f"{root}/bronze", f"{root}/rejects")
+    A.load_batch(spark, glob, f"{root}/bronze", f"{root}/rejects")
+    return _versions(spark, f"{root}/bronze")
+
+
+@check("stream_rewritten_file", REWRITTEN_SQL)
+def q_stream_rewritten_file(spark, sf):
+    root = scratch_path(spark, "stream_rewritten")
+    files = _feed_text(spark, sf)
+    write_feed(files, f"{root}/feed")
+    load = lambda: load_stream(spark, f"{root}/feed", f"{root}/bronze", f"{root}/rejects", f"{root}/ck", glob="*.txt")
+    load()
+    _rewrite(files, f"{root}/feed")
+    load()
+    load()
+    return _versions(spark, f"{root}/bronze")
+
+
+@check("two_streams_one_table", f"""SELECT key AS file_key, CAST(1 AS BIGINT) AS copies FROM ({FEED_SQL}) f WHERE NOT broken""")
+def q_two_streams_one_table(spark, sf):
+    """Two feeds, each with a stream and checkpoint of its own, into one bronze table."""
+    root = scratch_path(spark, "two_streams")
+    files = _feed_text(spark, sf)
+    for i in range(2):
+        write_feed(files.filter(F.col("chunk") % 2 == i), f"{root}/feed{i}")
+        load_stream(spark, f"{root}/feed{i}", f"{root}/bronze", f"{root}/rejects", f"{root}/ck{i}", glob="*.txt")
+    return _copies(spark, f"{root}/bronze")
+
+
+@check("silver_rejects", """SELECT 'rt_details' AS bronze_table, 'f' || p_partkey AS _source_file, 'not a JSON array' AS reason
+FROM part WHERE p_partkey % 7 = 0""")
+def q_silver_rejects(spark, sf):
+    from ..plans.mart import silver_rejects
+    k = F.col("p_partkey")
+    rec = F.concat(F.lit('{"movie_id": "r_'), k.cast("string"), F.lit('"}'))
+    env = table(spark, sf, "part").select(load_ts().alias("_loaded_at"), F.concat(F.lit("f"), k.cast("string")).alias("_source_file"),
+                                          F.when(k % 7 == 0, rec).otherwise(F.concat(F.lit("["), rec, F.lit("]"))).alias("data"))
+    return silver_rejects({"rt_details": env, "rt_score": env.filter("data like '[%'")}).select(
+        "bronze_table", "_source_file", "reason")
+
+
 def _supplier_snapshot(spark, sf, name_expr: Column, broken: bool = False) -> DataFrame:
     """Supplier rows as a snapshot split into files of 64 records; ``broken`` cuts one file short."""
     k = F.col("s_suppkey")
@@ -199,6 +270,16 @@ def q_keyed_feed_write(spark, sf):
     return back.select("action", "movie", "event_id", "v")
 
 
+@check("hot_key_feed_write", """SELECT CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE event_type END AS action, CAST(user_id AS VARCHAR) AS movie, event_id FROM events""")
+def q_hot_key_feed_write(spark, sf):
+    """A third of all rows under one action; all come back from the keyed folders."""
+    path = f"{scratch_path(spark, 'hot_feed')}/feed"
+    ev = table(spark, sf, "events").select(F.when(F.col("event_id") % 3 == 0, F.lit("hot")).otherwise(F.col("event_type")).alias("action"),
+                                           F.col("user_id").cast("string").alias("movie"), "event_id")
+    A.keyed_feed_write(ev, path)
+    return A.read_keyed_feed(spark, path, "event_id bigint, action string, movie string").select("action", "movie", "event_id")
+
+
 @check("discovered_slugs", """WITH recs AS (
   SELECT 'p-' || (p_partkey % 500) AS slug, p_partkey // 100 AS file, p_partkey % 100 AS pos FROM part
   UNION ALL SELECT 'p-' || (p_partkey % 700), 1000000 + p_partkey // 100, p_partkey % 100 FROM part)

@@ -141,7 +141,7 @@ def _catalogue(spark, sf) -> DataFrame:
 DISCOVERED_AT = "2024-01-01 00:00:00"
 
 
-@check("catalog_browse", """SELECT 'p-' || p_partkey AS slug, '2024-01-01 00:00:00' AS discovered_at, 'browse' AS method,
+@check("catalog_browse", """SELECT 'p-' || p_partkey AS slug, '2024-01-01 00:00:00.000000' AS discovered_at, 'browse' AS method,
   p_name AS title, CAST(1970 + p_size AS INTEGER) AS premiere_year
 FROM part WHERE 1970 + p_size BETWEEN 1980 AND 2010 AND p_type IN ('ECONOMY', 'SMALL')
 ORDER BY p_size * 2 DESC, p_partkey LIMIT 50 OFFSET 5""")
@@ -151,7 +151,31 @@ def q_catalog_browse(spark, sf):
     return render(R.discovery_records(b, "browse", DISCOVERED_AT))
 
 
-@check("title_search", """SELECT 'p-' || p_partkey AS slug, '2024-01-01 00:00:00' AS discovered_at, 'search' AS method,
+BROWSE_CASES = [  # sort, its SQL order, arguments, their SQL condition
+    ("user", "p_size % 11", {"type_": "Brand#11"}, "p_brand = 'Brand#11'"),
+    ("release", "p_partkey % 365", {"in_theaters": True}, "p_partkey % 3 = 0"),
+    ("critic", "p_size * 2", {"in_theaters": False, "release_type": "r1"}, "p_partkey % 2 = 1"),
+    ("critic", "p_size * 2", {"networks": ["n1", "n3"], "offset": 2}, "p_partkey % 4 IN (1, 3)"),
+]
+
+
+@check("catalog_browse_filters", " UNION ALL ".join(f"""SELECT * FROM (SELECT {i} AS browse, p_partkey FROM part WHERE {where}
+ORDER BY {order} DESC, p_partkey LIMIT 40 OFFSET {args.get('offset', 0)}) t{i}""" for i, (_, order, args, where) in enumerate(BROWSE_CASES)))
+def q_catalog_browse_filters(spark, sf):
+    """Every filter and sort of the catalogue; in_theaters=False asks for nothing."""
+    k = F.col("p_partkey")
+    cat = table(spark, sf, "part").select(
+        "p_partkey", F.col("p_brand").alias("type"), (k % 3 == 0).alias("in_theaters"), _s("r", (k % 2).cast("string")).alias("release_type"),
+        F.array(_s("n", (k % 4).cast("string"))).alias("networks"), (F.col("p_size") * 2).alias("critic_score"),
+        (F.col("p_size") % 11).alias("user_score"), (k % 365).alias("release_date"))
+    out = None
+    for i, (sort, _, args, _) in enumerate(BROWSE_CASES):
+        part = P.browse(cat, sort, "p_partkey", max_items=40, **args).select(F.lit(i).alias("browse"), "p_partkey")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@check("title_search", """SELECT 'p-' || p_partkey AS slug, '2024-01-01 00:00:00.000000' AS discovered_at, 'search' AS method,
   p_name AS title, CAST(1970 + p_size AS INTEGER) AS premiere_year
 FROM part WHERE contains(lower(p_name), 'ring') ORDER BY p_partkey LIMIT 30""")
 def q_title_search(spark, sf):
@@ -361,19 +385,21 @@ def _rt_pages(spark, sf) -> DataFrame:
     k = F.col("p_partkey")
     ks = k.cast("string")
     score = _s('<script id="media-scorecard-json" data-x="1">{"overlay": {"audienceAll": {"likedCount": ',
-               (k % 97).cast("string"), '}, "criticsAll": {"score": ', (F.col("p_size") * 2).cast("string"),
+               (k % 97).cast("string"), '}, "audienceVerified": null, "criticsTop": null, "criticsAll": {"score": ', (F.col("p_size") * 2).cast("string"),
                '}}, "description": "', F.col("p_brand"), '", "criticReviewHref": "/m/p', ks, '/reviews/code', ks,
                '"}</script>')
     rating = F.when(k % 5 == 0, F.lit("")).otherwise(_s('"cag[rating]": "', F.col("p_type"), '",\n  '))
     details = _s('<script id="mps-page-integration">\nwindow.mpscall = {"title": "', F.col("p_name"), '",\n  ', rating,
                  '"field[rtid]": ', ks, ', "cag[urlid]": "u', ks, '"};\nvar later = {"x": 1};\n</script>')
     html = _s("<html><head>", score, "</head><body>", details, "</body></html>")
-    return table(spark, sf, "part").select(_s("r_", ks).alias("movie_id"), html.alias("html"))
+    blocked = F.when(k % 17 == 0, F.lit("<html>captcha</html>")).when(
+        k % 17 == 1, F.regexp_replace(F.regexp_replace(html, '"description"', '"other"'), '"title"', '"other"'))
+    return table(spark, sf, "part").select(_s("r_", ks).alias("movie_id"), F.coalesce(blocked, html).alias("html"))
 
 
 @check("page_scorecard", """SELECT 'r_' || p_partkey AS movie_id, '{"likedCount":' || (p_partkey % 97) || '}' AS audienceAll,
   '{"score":' || (p_size * 2) || '}' AS criticsAll, p_brand AS description, 'code' || p_partkey AS movie_code
-FROM part""")
+FROM part WHERE p_partkey % 17 > 1""")
 def q_page_scorecard(spark, sf):
     return R.page_scorecard(_rt_pages(spark, sf)).select("movie_id", "audienceAll", "criticsAll", "description",
                                                          "movie_code")
@@ -381,11 +407,34 @@ def q_page_scorecard(spark, sf):
 
 @check("page_details", """SELECT 'r_' || p_partkey AS movie_id, p_name AS title,
   CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_type END AS rating, CAST(p_partkey AS VARCHAR) AS rtid,
-  'u' || p_partkey AS urlid FROM part""")
+  'u' || p_partkey AS urlid FROM part WHERE p_partkey % 17 > 1""")
+
 def q_page_details(spark, sf):
     return R.page_details(_rt_pages(spark, sf)).select("movie_id", "title", "rating", "rtid", "urlid")
 
 
+@check("page_rejects", """SELECT 'r_' || p_partkey AS movie_id, kind,
+  CASE p_partkey % 17 WHEN 0 THEN 'no embedded data' ELSE 'required keys missing' END AS reason
+FROM part, (SELECT unnest(['scorecard', 'details']) AS kind) t WHERE p_partkey % 17 <= 1""")
+def q_page_rejects(spark, sf):
+    return R.page_rejects(_rt_pages(spark, sf))
+
+
+@check("validate_lossless", """SELECT p_partkey, CASE WHEN p_partkey % 4 = 3 THEN NULL ELSE CAST(p_partkey AS INTEGER) END AS id,
+  CASE p_partkey % 4 WHEN 3 THEN 'id: not int; title: not text' END AS reason FROM part""")
+def q_validate_records(spark, sf):
+    """Ids as number, text and 7.0 convert; "7.5" and a numeric title are rejected."""
+    k = F.col("p_partkey")
+    ks = k.cast("string")
+    rec = (F.when(k % 4 == 0, _s('{"id": ', ks, ', "title": "t"}')).when(k % 4 == 1, _s('{"id": "', ks, '", "title": "t"}'))
+            .when(k % 4 == 2, _s('{"id": ', ks, '.0, "title": "t"}')).otherwise(_s('{"id": "', ks, '.5", "title": 5}')))
+    ok, bad = R.validate_records(table(spark, sf, "part").select("p_partkey", rec.alias("record")), {"id": ("int", True), "title": ("text", True)})
+    none = F.lit(None)
+    return ok.select("p_partkey", "id", none.cast("string").alias("reason")).unionByName(
+        bad.select("p_partkey", none.cast("int").alias("id"), "reason"))
+
+
+
 @check("json_unnest_rejects", """SELECT 'f' || p_partkey AS _source_file, 'not a JSON array' AS reason
 FROM part WHERE p_partkey % 7 = 0""")
 def q_json_unnest_rejects(spark, sf):

@@ -4,7 +4,7 @@ The stand-in records are rebuilt here as plain relational rows (no JSON), then t
 model logic is stated in SQL with the same total orders the Spark code uses.
 """
 
-TS = "strftime(TIMESTAMP '1970-01-01 00:00:00' + to_seconds({e}), '%Y-%m-%d %H:%M:%S')"
+TS = "strftime(TIMESTAMP '1970-01-01 00:00:00' + to_seconds({e}), '%Y-%m-%d %H:%M:%S.%f')"
 
 
 def ts(e: str) -> str:
@@ -15,10 +15,11 @@ def _mc_general_copy(title: str, shift: int) -> str:
     e = f"(1704067200 + {shift} + p_partkey // 10)"
     return f"""SELECT 'p-' || p_partkey AS movie_slug, 'p-' || p_partkey AS slug, CAST(p_partkey AS INTEGER) AS id,
     {title} || ' ' || p_partkey AS title, CAST(NULL AS VARCHAR) AS description, CAST(NULL AS VARCHAR) AS release_date,
-    CAST(1970 + p_size AS INTEGER) AS premiere_year, p_brand AS rating, CAST(p_size + 60 AS INTEGER) AS duration_minutes,
+    CASE WHEN p_partkey % 23 <> 0 THEN CAST(1970 + p_size AS INTEGER) END AS premiere_year, p_brand AS rating, CAST(p_size + 60 AS INTEGER) AS duration_minutes,
     (p_partkey % 2 = 0) AS in_theaters, CAST(NULL AS VARCHAR) AS tagline,
     CASE WHEN p_partkey % 5 <> 0 THEN 'tt' || p_partkey END AS imdb_id,
-    '["' || p_type || '"]' AS genres, CAST(p_size * 2 AS INTEGER) AS critic_score,
+    CASE WHEN p_partkey % 29 = 0 THEN '[]' ELSE '["' || p_type || '"]' END AS genres,
+    CASE WHEN p_partkey % 19 <> 0 THEN CAST(p_size * 2 AS INTEGER) END AS critic_score,
     CAST(p_partkey % 50 AS INTEGER) AS critic_review_count, CAST(NULL AS VARCHAR) AS critic_sentiment,
     {e} AS _epoch, 'mc_general/' || {e} || '_' || (p_partkey // 64) || '.json' AS _source_file
   FROM part"""
@@ -28,38 +29,40 @@ SRC = {
     "mc_general": f"""{_mc_general_copy('p_name', 0)}
   UNION ALL
   {_mc_general_copy('upper(p_name)', 86400)}""",
-    "rt_details": """SELECT 'r_' || p_partkey AS movie_id, p_name || ' ' || p_partkey || ' (2001)' AS title,
+    "rt_details": """SELECT CASE WHEN p_partkey % 3 = 0 THEN 'x_' ELSE 'r_' END || p_partkey AS movie_id, p_name || ' ' || p_partkey || ' (2001)' AS title,
     p_brand AS rating, CAST(NULL AS VARCHAR) AS release_date, CAST(p_partkey AS VARCHAR) AS rtid,
     'r_' || p_partkey AS urlid, (1704067200 + p_partkey // 10) AS _epoch,
     'rt_details/' || (1704067200 + p_partkey // 10) || '_' || (p_partkey // 64) || '.json' AS _source_file
-  FROM part WHERE p_partkey % 3 <> 0""",
-    "rt_crosswalk": """SELECT 'tt' || p_partkey AS imdb_id, 'r_' || p_partkey AS rt_slug, 'p-' || p_partkey AS mc_slug,
+  FROM part""",
+    "rt_crosswalk": """SELECT 'tt' || p_partkey AS imdb_id,
+    CASE WHEN p_partkey % 7 = 0 THEN 'gone_' ELSE 'r_' END || p_partkey AS rt_slug, 'p-' || p_partkey AS mc_slug,
     p_name || ' ' || p_partkey AS title, 1704067200 AS _epoch,
     'rt_crosswalk/1704067200_' || (p_partkey // 64) || '.json' AS _source_file
-  FROM part WHERE p_partkey % 7 <> 0""",
-    "rt_score": """SELECT 'r_' || p_partkey AS movie_id, p_brand AS description,
-    '{"likedCount":' || (p_partkey % 97) || ',"notLikedCount":' || (p_partkey % 13) || '}' AS audience_all,
+  FROM part""",
+    "rt_score": """SELECT CASE WHEN p_partkey % 3 = 0 THEN 'y_' ELSE 'r_' END || p_partkey AS movie_id, p_brand AS description,
+    '{"likedCount":' || (p_partkey % 97) || CASE WHEN p_partkey % 37 = 0 THEN '' ELSE ',"notLikedCount":' || (p_partkey % 13) END || '}' AS audience_all,
     CAST(NULL AS VARCHAR) AS audience_verified,
-    '{"score":' || (p_size * 2) || ',"reviewCount":' || (p_partkey % 50) || '}' AS critics_all,
+    '{"score":' || CASE WHEN p_partkey % 31 = 0 THEN '"n/a"' ELSE '"' || (p_size * 2) || '"' END || ',"reviewCount":' || (p_partkey % 50) || '}' AS critics_all,
     CAST(NULL AS VARCHAR) AS critics_top, (1704067200 + p_partkey // 10) AS _epoch,
     'rt_score/' || (1704067200 + p_partkey // 10) || '_' || (p_partkey // 64) || '.json' AS _source_file
-  FROM part WHERE p_partkey % 3 <> 0""",
+  FROM part""",
     "mc_critic_reviews": """SELECT 'p-' || l_partkey AS movie_slug, 'Supplier ' || l_suppkey AS author,
-    's-' || l_suppkey AS author_slug, 'Pub ' || (l_suppkey % 10) AS publication_name,
+    CASE WHEN l_suppkey % 17 <> 0 THEN 's-' || l_suppkey END AS author_slug, 'Pub ' || (l_suppkey % 10) AS publication_name,
     'pub-' || (l_suppkey % 10) AS publication_slug, 'o' || l_orderkey || ' l' || l_linenumber AS quote,
-    CAST(floor(l_quantity) * 2 AS INTEGER) AS score, CAST(NULL AS VARCHAR) AS url,
-    strftime(l_shipdate, '%Y-%m-%d') AS review_date, (1704067200 + l_orderkey) AS _epoch,
+    CASE WHEN (l_orderkey + l_linenumber) % 11 <> 0 THEN CAST(floor(l_quantity) * 2 AS INTEGER) END AS score, CAST(NULL AS VARCHAR) AS url,
+    CASE WHEN l_orderkey % 13 = 0 THEN 'soon' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS review_date, (1704067200 + l_orderkey) AS _epoch,
     'mc_critic_reviews/' || (1704067200 + l_orderkey) || '_0.json' AS _source_file
   FROM lineitem""",
     "rt_critic_reviews": """SELECT 'r_' || (o_orderkey % 2000) AS movie_id, CAST(o_orderkey AS VARCHAR) AS review_id,
-    'Critic ' || o_custkey AS critic_name, o_orderstatus AS publication, o_orderpriority AS score,
-    'q' || o_orderkey AS quote, strftime(o_orderdate, '%Y-%m-%d') AS review_date,
+    CASE WHEN o_orderkey % 9 <> 0 THEN 'Critic ' || o_custkey END AS critic_name, o_orderstatus AS publication, o_orderpriority AS score,
+    'q' || o_orderkey AS quote,
+    CASE WHEN o_orderkey % 8 = 0 THEN strftime(o_orderdate, '%b %-d, %Y') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS review_date,
     (1704067200 + o_orderkey) AS _epoch,
     'rt_critic_reviews/' || (1704067200 + o_orderkey) || '_0.json' AS _source_file
   FROM orders""",
     "mc_user_reviews": """SELECT 'p-' || user_id AS movie_slug, CAST(event_id AS VARCHAR) AS review_id,
     'u' || user_id AS author, CAST(NULL AS VARCHAR) AS quote,
-    CAST(least(10, floor(value / 10)) AS INTEGER) AS score, strftime(ts, '%Y-%m-%d') AS review_date,
+    CASE WHEN event_id % 10 <> 0 THEN CAST(least(10, floor(value / 10)) AS INTEGER) END AS score, strftime(ts, '%Y-%m-%d') AS review_date,
     (event_type = 'error') AS spoiler, CAST(event_id % 7 AS INTEGER) AS thumbs_up,
     CAST(event_id % 5 AS INTEGER) AS thumbs_down,
     CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS _epoch,
@@ -105,7 +108,7 @@ def silver_cte(name: str) -> str:
     return f"""{name} AS (
   SELECT {cols}, _epoch, _source_file FROM ({SRC[src]}) s
   WHERE {cols.split(',')[0] if name != 'silver_rt_crosswalk' else 'rt_slug'} IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY _epoch DESC, _source_file, {cols}) = 1
+  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY _epoch DESC, _source_file DESC, {cols}) = 1
 )"""
 
 
@@ -141,142 +144,95 @@ FROM silver_rt_details"""
 SELECT {cols}, {ts('_epoch')} AS _loaded_at{tail} FROM {name}"""
 
 
-DIM_DATE_CTE = """dim_date AS (
-  SELECT row_number() OVER (ORDER BY d) AS date_key, CAST(d AS DATE) AS date_day,
-    year(d) AS year, quarter(d) AS quarter, month(d) AS month_number, monthname(d) AS month_name,
-    day(d) AS day_of_month, dayofweek(d) AS day_of_week, dayname(d) AS day_name, weekofyear(d) AS week_of_year,
-    CAST(year(d) AS VARCHAR) || '-Q' || CAST(quarter(d) AS VARCHAR) AS year_quarter
-  FROM (SELECT range AS d FROM range(DATE '1970-01-01', DATE '2031-01-01', INTERVAL 1 DAY)) spine
-)"""
-
-SMG_COLS = SILVER["silver_mc_general"][0]
-SRD_COLS = "movie_id, title, rating, release_date, rtid, urlid, imdb_id"
-
-DIM_MOVIE_CTE = f"""mc AS (
-  SELECT movie_slug AS mc_slug, title, premiere_year AS release_year, rating, duration_minutes, imdb_id,
-         json_extract_string(genres, '$[0]') AS primary_genre
-  FROM silver_mc_general
-  QUALIFY imdb_id IS NULL
-       OR row_number() OVER (PARTITION BY imdb_id ORDER BY _epoch DESC, _source_file, {SMG_COLS}) = 1
-),
-rt AS (
-  SELECT movie_id AS rt_movie_id, trim(regexp_replace(title, '\\s*\\(\\d{{4}}\\)\\s*$', '')) AS title,
-         urlid AS rt_urlid, imdb_id
-  FROM silver_rt_details
-  QUALIFY imdb_id IS NULL
-       OR row_number() OVER (PARTITION BY imdb_id ORDER BY _epoch DESC, _source_file, {SRD_COLS}) = 1
-),
-joined AS (
-  SELECT coalesce(mc.mc_slug, rt.rt_movie_id) AS movie_natural_key, mc.mc_slug, rt.rt_movie_id,
-         coalesce(mc.title, rt.title) AS title, mc.release_year, mc.rating, mc.duration_minutes,
-         coalesce(mc.imdb_id, rt.imdb_id) AS imdb_id, mc.primary_genre, rt.rt_urlid
-  FROM mc FULL OUTER JOIN rt ON rt.imdb_id = mc.imdb_id
-),
-dim_movie AS (
-  SELECT row_number() OVER (ORDER BY title, release_year, movie_natural_key, mc_slug, rt_movie_id) AS movie_key,
-         movie_natural_key, mc_slug, rt_movie_id, title, release_year, rating, duration_minutes, imdb_id,
-         primary_genre, rt_urlid
-  FROM joined
-)"""
+# Gold, stated on the driver keys: which movies, critics and reviews there are follows from arithmetic
+# on p_partkey, l_suppkey and o_orderkey, without the models' steps. Output names are fixed values.
 
-MCR_COLS = SILVER["silver_mc_critic_reviews"][0]
-RCR_COLS = SILVER["silver_rt_critic_reviews"][0]
-
-DIM_CRITIC_CTE = f"""mc_critics AS (
-  SELECT 'mc::' || author_slug AS author_slug, author AS critic_name, publication_name, publication_slug
-  FROM silver_mc_critic_reviews WHERE author_slug IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY author_slug ORDER BY _epoch DESC, _source_file, {MCR_COLS}) = 1
-),
-rt_critics AS (
-  SELECT 'rt::' || lower(replace(critic_name, ' ', '_')) AS author_slug, critic_name,
-         publication AS publication_name, CAST(NULL AS VARCHAR) AS publication_slug
-  FROM silver_rt_critic_reviews WHERE critic_name IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY lower(replace(critic_name, ' ', '_'))
-                             ORDER BY _epoch DESC, {RCR_COLS}) = 1
-),
-dim_critic AS (
-  SELECT row_number() OVER (ORDER BY author_slug, critic_name, publication_name, publication_slug) AS critic_key,
-         author_slug, critic_name, publication_name, publication_slug
-  FROM (SELECT * FROM mc_critics UNION ALL SELECT * FROM rt_critics) c
-)"""
-
-FACT_MOVIE_SCORE_CTE = """mc_user_agg AS (
-  SELECT movie_slug, CAST(round(avg(score) * 10) AS INTEGER) AS user_score, count(*) AS user_review_count
-  FROM silver_mc_user_reviews WHERE score IS NOT NULL GROUP BY movie_slug
-),
-mc_scores AS (
-  SELECT dm.movie_key, 'metacritic' AS platform, mc.critic_score, ua.user_score, mc.critic_review_count,
-         CAST(coalesce(ua.user_review_count, 0) AS BIGINT) AS user_review_count
-  FROM dim_movie dm JOIN silver_mc_general mc ON mc.movie_slug = dm.mc_slug
-  LEFT JOIN mc_user_agg ua ON ua.movie_slug = dm.mc_slug
-  WHERE dm.mc_slug IS NOT NULL
-),
-rt_parsed AS (
-  SELECT dm.movie_key,
-         try_cast(json_extract_string(rts.critics_all, '$.score') AS INTEGER) AS critic_score,
-         try_cast(json_extract_string(rts.critics_all, '$.reviewCount') AS INTEGER) AS critic_review_count,
-         try_cast(json_extract_string(rts.audience_all, '$.likedCount') AS INTEGER) AS liked,
-         try_cast(json_extract_string(rts.audience_all, '$.notLikedCount') AS INTEGER) AS not_liked
-  FROM dim_movie dm JOIN silver_rt_score rts ON rts.movie_id = dm.rt_movie_id
-  WHERE dm.rt_movie_id IS NOT NULL
-),
-rt_scores AS (
-  SELECT movie_key, 'rottentomatoes' AS platform, critic_score,
-         CASE WHEN liked + not_liked > 0
-              THEN CAST(round(100.0 * liked / (liked + not_liked)) AS INTEGER) END AS user_score,
-         critic_review_count, CAST(liked + not_liked AS BIGINT) AS user_review_count
-  FROM rt_parsed
-),
-fact_movie_score AS (
-  SELECT row_number() OVER (ORDER BY movie_key, platform, critic_score, user_score, critic_review_count,
-                                     user_review_count) AS score_key,
-         movie_key, platform, critic_score, user_score, critic_review_count, user_review_count
-  FROM (SELECT * FROM mc_scores UNION ALL SELECT * FROM rt_scores) c
-)"""
+DAYS = """CAST(row_number() OVER (ORDER BY day) AS BIGINT) AS date_key, CAST(day AS DATE) AS date_day, year(day) AS year, quarter(day) AS quarter,
+  month(day) AS month_number, monthname(day) AS month_name, day(day) AS day_of_month, dayofweek(day) AS day_of_week,
+  dayname(day) AS day_name, weekofyear(day) AS week_of_year, year(day) || '-Q' || quarter(day) AS year_quarter"""
 
-FACT_CRITIC_REVIEW_CTE = """all_reviews AS (
-  SELECT movie_slug, 'mc::' || author_slug AS author_slug, try_cast(review_date AS DATE) AS review_date,
-         CAST(score AS VARCHAR) AS score, quote, 'metacritic' AS platform
-  FROM silver_mc_critic_reviews WHERE score IS NOT NULL
+# A part is listed on one platform, on the other under an id of its own, and the two are one movie
+# when both ids are in the crosswalk.
+MOVIES = """SELECT CAST(row_number() OVER (ORDER BY title, release_year, movie_natural_key, mc_slug, rt_movie_id) AS BIGINT) AS movie_key, *
+FROM (
+  SELECT 'p-' || k AS movie_natural_key, 'p-' || k AS mc_slug, CASE WHEN paired THEN other END AS rt_movie_id,
+    upper(p_name) || ' ' || k AS title, CASE WHEN k % 23 <> 0 THEN CAST(1970 + p_size AS INTEGER) END AS release_year, p_brand AS rating,
+    CAST(p_size + 60 AS INTEGER) AS duration_minutes, CASE WHEN k % 5 <> 0 THEN 'tt' || k END AS imdb_id,
+    CASE WHEN k % 29 <> 0 THEN p_type END AS primary_genre, CASE WHEN paired THEN 'r_' || k END AS rt_urlid
+  FROM listed
   UNION ALL
-  SELECT movie_id, 'rt::' || lower(replace(critic_name, ' ', '_')), try_cast(review_date AS DATE),
-         score, quote, 'rottentomatoes'
-  FROM silver_rt_critic_reviews WHERE critic_name IS NOT NULL
-),
-enriched AS (
-  SELECT CASE WHEN r.platform = 'metacritic' THEN dm.movie_key ELSE dm2.movie_key END AS movie_key,
-         dc.critic_key, dd.date_key, r.platform, r.score, r.quote
-  FROM all_reviews r
-  LEFT JOIN dim_movie dm ON dm.mc_slug = r.movie_slug AND r.platform = 'metacritic'
-  LEFT JOIN dim_movie dm2 ON dm2.rt_movie_id = r.movie_slug AND r.platform = 'rottentomatoes'
-  LEFT JOIN dim_critic dc ON dc.author_slug = r.author_slug
-  LEFT JOIN dim_date dd ON dd.date_day = r.review_date
-),
-fact_critic_review AS (
-  SELECT row_number() OVER (ORDER BY movie_key, critic_key, date_key, platform, score, quote) AS critic_review_key,
-         movie_key, critic_key, date_key, platform, score, quote
-  FROM enriched
-)"""
+  SELECT other, NULL, other, p_name || ' ' || k, NULL, NULL, NULL, CASE WHEN crossed THEN 'tt' || k END, NULL, 'r_' || k
+  FROM listed WHERE NOT paired) m"""
+LISTED = """SELECT p_partkey AS k, p_name, p_size, p_brand, p_type, CASE WHEN p_partkey % 3 = 0 THEN 'x_' ELSE 'r_' END || p_partkey AS other,
+    p_partkey % 3 <> 0 AND p_partkey % 7 <> 0 AS crossed,
+    p_partkey % 3 <> 0 AND p_partkey % 7 <> 0 AND p_partkey % 5 <> 0 AS paired FROM part"""
+
+CRITICS = """SELECT CAST(row_number() OVER (ORDER BY author_slug) AS BIGINT) AS critic_key, * FROM (
+  SELECT DISTINCT 'mc::s-' || l_suppkey AS author_slug, 'Supplier ' || l_suppkey AS critic_name,
+    'Pub ' || (l_suppkey % 10) AS publication_name, 'pub-' || (l_suppkey % 10) AS publication_slug
+  FROM lineitem WHERE l_suppkey % 17 <> 0
+  UNION ALL
+  SELECT 'rt::critic_' || o_custkey, 'Critic ' || o_custkey, arg_max(o_orderstatus, o_orderkey), NULL
+  FROM orders WHERE o_orderkey % 9 <> 0 GROUP BY o_custkey) c"""
+
+SCORES = """SELECT CAST(row_number() OVER (ORDER BY movie_key, platform, critic_score, user_score, critic_review_count, user_review_count) AS BIGINT) AS score_key, *
+FROM (
+  SELECT movie_key, 'metacritic' AS platform, CASE WHEN k % 19 <> 0 THEN CAST(p_size * 2 AS INTEGER) END AS critic_score,
+    CAST(round(10 * mean) AS INTEGER) AS user_score, CAST(k % 50 AS INTEGER) AS critic_review_count, CAST(coalesce(n, 0) AS BIGINT) AS user_review_count
+  FROM listed JOIN movies ON mc_slug = 'p-' || k
+  LEFT JOIN (SELECT user_id, avg(CAST(least(10, floor(value / 10)) AS INTEGER)) AS mean, count(*) AS n
+             FROM events WHERE event_id % 10 <> 0 GROUP BY user_id) u ON user_id = k
+  UNION ALL
+  SELECT movie_key, 'rottentomatoes', CASE WHEN k % 31 <> 0 THEN CAST(p_size * 2 AS INTEGER) END,
+    CASE WHEN k % 37 <> 0 AND k % 97 + k % 13 > 0 THEN CAST(round(100.0 * (k % 97) / (k % 97 + k % 13)) AS INTEGER) END,
+    CAST(k % 50 AS INTEGER), CASE WHEN k % 37 <> 0 THEN CAST(k % 97 + k % 13 AS BIGINT) END
+  FROM listed JOIN movies ON rt_movie_id = other WHERE k % 3 <> 0) f"""
+
+REVIEWS = """SELECT CAST(row_number() OVER (ORDER BY movie_key, critic_key, date_key, platform, score, quote) AS BIGINT) AS critic_review_key, *
+FROM (
+  SELECT movie_key, critic_key, date_diff('day', DATE '1970-01-01', day) + 1 AS date_key, platform, score, quote FROM (
+    SELECT 'metacritic' AS platform, CAST(score AS VARCHAR) AS score, quote, day, 'p-' || l_partkey AS mc, NULL AS rt, 'mc::s-' || s AS slug FROM (
+      SELECT l_partkey, CASE WHEN l_suppkey % 17 <> 0 THEN l_suppkey END AS s, CASE WHEN l_orderkey % 13 <> 0 THEN CAST(l_shipdate AS DATE) END AS day,
+        'o' || l_orderkey || ' l' || l_linenumber AS quote,
+        CASE WHEN (l_orderkey + l_linenumber) % 11 <> 0 THEN CAST(floor(l_quantity) * 2 AS INTEGER) END AS score
+      FROM lineitem
+      QUALIFY row_number() OVER (PARTITION BY l_partkey, s, day ORDER BY l_orderkey DESC, 'Supplier ' || l_suppkey, quote, score) = 1) last
+    WHERE score IS NOT NULL
+    UNION ALL
+    SELECT 'rottentomatoes', o_orderpriority, 'q' || o_orderkey, CASE WHEN o_orderkey % 8 <> 0 THEN CAST(o_orderdate AS DATE) END, NULL,
+      'r_' || (o_orderkey % 2000), 'rt::critic_' || o_custkey
+    FROM orders WHERE o_orderkey % 9 <> 0) r
+  LEFT JOIN (SELECT movie_key, mc_slug, rt_movie_id FROM movies) m ON CASE WHEN mc IS NULL THEN rt_movie_id = rt ELSE mc_slug = mc END
+  LEFT JOIN (SELECT critic_key, author_slug FROM critics) c ON author_slug = slug) f"""
+
+_WITH_MOVIES = f"WITH listed AS ({LISTED}), movies AS ({MOVIES})"
 
+GOLD = {
+    "dim_date": f"""WITH days AS (SELECT {DAYS} FROM (SELECT range AS day FROM range(DATE '1970-01-01', DATE '2031-01-01', INTERVAL 1 DAY)) r)
+SELECT o_orderkey, days.* REPLACE (CAST(date_day AS VARCHAR) AS date_day) FROM orders LEFT JOIN days ON date_day = CAST(o_orderdate AS DATE)""",
+    "dim_movie": f"{_WITH_MOVIES} SELECT * FROM movies",
+    "dim_critic": CRITICS,
+    "fact_movie_score": f"{_WITH_MOVIES} {SCORES}",
+    "fact_critic_review": f"{_WITH_MOVIES}, critics AS ({CRITICS}) {REVIEWS}",
+}
 
-def gold_with(*ctes: str) -> str:
-    """WITH clause with the silver tables gold needs plus the given gold CTE blocks."""
-    silver = silver_ctes("silver_mc_general", "silver_rt_details", "silver_mc_critic_reviews",
-                         "silver_rt_critic_reviews", "silver_mc_user_reviews", "silver_rt_score")
-    return "WITH " + ",\n".join([silver, *ctes])
 
+VERDICTS = """WITH v(model, column_name, test) AS (VALUES
+  ('dim_date', 'date_key', 'unique'), ('dim_date', 'date_key', 'not_null'), ('dim_movie', 'movie_key', 'unique'), ('dim_movie', 'movie_key', 'not_null'),
+  ('dim_critic', 'critic_key', 'unique'), ('dim_critic', 'critic_key', 'not_null'), ('fact_movie_score', 'score_key', 'unique'),
+  ('fact_movie_score', 'score_key', 'not_null'), ('fact_movie_score', 'movie_key', 'not_null'), ('fact_movie_score', 'movie_key', 'relationships'),
+  ('fact_movie_score', 'platform', 'accepted_values'), ('fact_critic_review', 'critic_review_key', 'unique'),
+  ('fact_critic_review', 'critic_review_key', 'not_null'), ('fact_critic_review', 'movie_key', 'relationships'),
+  ('fact_critic_review', 'critic_key', 'relationships'), ('fact_critic_review', 'date_key', 'relationships'))
+SELECT model, column_name, test, CAST(0 AS BIGINT) AS failures, 'pass' AS status FROM v
+UNION ALL SELECT 'dim_movie', '*', 'row_count_between', CAST(CASE WHEN count(*) BETWEEN 1 AND 1000000 THEN 0 ELSE 1 END AS BIGINT),
+  CASE WHEN count(*) BETWEEN 1 AND 1000000 THEN 'pass' ELSE 'fail' END FROM part
+UNION ALL SELECT unnest(['mc_general', 'rt_details', 'rt_crosswalk', 'rt_score', 'mc_critic_reviews', 'rt_critic_reviews', 'mc_user_reviews',
+  'rt_reviews']), 'data', 'json_array', 0, 'pass'"""
 
-GOLD = {
-    "dim_date": f"""WITH {DIM_DATE_CTE}
-SELECT o.o_orderkey, date_key, CAST(date_day AS VARCHAR) AS date_day, year, quarter, month_number, month_name,
-       day_of_month, day_of_week, day_name, week_of_year, year_quarter
-FROM orders o LEFT JOIN dim_date dd ON dd.date_day = CAST(o.o_orderdate AS DATE)""",
-    "dim_movie": gold_with(DIM_MOVIE_CTE) + "\nSELECT * FROM dim_movie",
-    "dim_critic": gold_with(DIM_CRITIC_CTE) + "\nSELECT * FROM dim_critic",
-    "fact_movie_score": gold_with(DIM_MOVIE_CTE, FACT_MOVIE_SCORE_CTE) + "\nSELECT * FROM fact_movie_score",
-    "fact_critic_review": gold_with(DIM_DATE_CTE, DIM_MOVIE_CTE, DIM_CRITIC_CTE, FACT_CRITIC_REVIEW_CTE)
-                          + "\nSELECT * FROM fact_critic_review",
-}
+_AGE = "(epoch_us(TIMESTAMP '2024-01-03 12:00:00') - max(CAST(_epoch AS BIGINT)) * 1000000) / 3600000000.0"
+FRESHNESS = " UNION ALL ".join(f"""SELECT '{name}' AS source, {ts('max(_epoch)')} AS max_loaded_at, {_AGE} AS age_hours,
+  CASE WHEN {_AGE} > 48 THEN 'error' WHEN {_AGE} > 24 THEN 'warn' ELSE 'pass' END AS status FROM ({sql}) s""" for name, sql in SRC.items())
 
 
 def model_sql() -> dict[str, str]:
@@ -284,4 +240,5 @@ def model_sql() -> dict[str, str]:
                                        "silver_rt_critic_reviews", "silver_rt_crosswalk", "silver_rt_details",
                                        "silver_rt_reviews", "silver_rt_score"]}
     out.update(GOLD)
+    out.update({"gold_tests": VERDICTS, "sources_freshness": FRESHNESS})
     return out

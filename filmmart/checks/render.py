@@ -10,7 +10,7 @@ def render(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            cols.append(F.date_format(F.col(f.name), "yyyy-MM-dd HH:mm:ss").alias(f.name))
+            cols.append(F.date_format(F.col(f.name), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(f.name))
         elif isinstance(f.dataType, T.DateType):
             cols.append(F.col(f.name).cast("string").alias(f.name))
         else:

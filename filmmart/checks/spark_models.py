@@ -42,6 +42,18 @@ def q_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render(out.select("o_orderkey", *cols))
 
 
+def q_gold_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole written build, and its verdict rows."""
+    from ..plans.mart import build_mart
+    from ..session import scratch_path
+    return build_mart(spark, bronze_from_driver(spark, sf_dir), scratch_path(spark, "gold_tests"))["tests"]
+
+
+def q_sources_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.quality import sources_freshness
+    return render(sources_freshness(bronze_from_driver(spark, sf_dir), "2024-01-03 12:00:00"))
+
+
 def q_dim_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render(_dim_movie(spark, sf_dir))
 
@@ -59,12 +71,14 @@ def q_fact_movie_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_fact_critic_review(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = silver_tables(spark, sf_dir)
-    gold = G.build_gold(spark, s)
-    return render(gold["fact_critic_review"])
+    dc = G.dim_critic(s["silver_mc_critic_reviews"], s["silver_rt_critic_reviews"])
+    return render(G.fact_critic_review(s["silver_mc_critic_reviews"], s["silver_rt_critic_reviews"],
+                                       _dim_movie(spark, sf_dir, s), dc, G.dim_date(spark)))
 
 
 def model_queries() -> dict:
     out = {n: silver_query(n) for n in S.SPECS}
     out.update({"dim_date": q_dim_date, "dim_movie": q_dim_movie, "dim_critic": q_dim_critic,
-                "fact_movie_score": q_fact_movie_score, "fact_critic_review": q_fact_critic_review})
+                "fact_movie_score": q_fact_movie_score, "fact_critic_review": q_fact_critic_review,
+                "gold_tests": q_gold_tests, "sources_freshness": q_sources_freshness})
     return out

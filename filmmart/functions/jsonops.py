@@ -7,22 +7,33 @@ from pyspark.sql import functions as F
 
 RECORD = "record"
 
+# Strict JSON: neither the parser's leniencies nor its limits on length and nesting.
+STRICT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false",
+          "allowNonNumericNumbers": "false", "maxStringLen": "2147483647", "maxNumLen": "2147483647",
+          "maxNestingDepth": "1000000"}
+VARIANT_BYTES = 64 << 20  # well under the size at which VARIANT gives up
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def is_valid_json(c) -> Column:
-    """Strict validity of one whole JSON document.
+    """Strict validity of one whole JSON document, whatever its size.
 
-    A single wrap can be closed early by the text itself (``1},{"v":2``); wrapping it
-    both as an array element and as an object value cannot both be fooled, so trailing
+    The text is tokenised as the skipped value of an object; a corrupt-record column tells
+    whether that worked. A single wrap can be closed early by the text itself (``1},{"v":2``);
+    wrapping it both as a value and as an element of an array cannot both be fooled, so trailing
     text, raw control characters in strings and similar are rejected.
     """
     c = _col(c)
-    as_elem = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
-    as_value = F.try_parse_json(F.concat(F.lit('{"v":'), c, F.lit("}")))
-    return c.isNotNull() & as_elem.isNotNull() & as_value.isNotNull()
+
+    def parses(before: str, after: str) -> Column:
+        return F.from_json(F.concat(F.lit(before), c, F.lit(after)), "_none int, _bad string", STRICT)["_bad"].isNull()
+
+    # Repeated keys are refused where VARIANT can hold the document; it has no part in larger ones.
+    distinct_keys = (F.octet_length(c) > VARIANT_BYTES) | F.try_parse_json(c).isNotNull()
+    return c.isNotNull() & parses('{"v":', "}") & parses('{"v":[', "]}") & distinct_keys
 
 
 def json_reject_reason(c) -> Column:

@@ -16,7 +16,7 @@ def _col(c) -> Column:
 
 
 def strip_year(c) -> Column:
-    """``Magic Hour (2025)`` -> ``Magic Hour``; the pattern is end-anchored so it matches once."""
+    """``Blue Coast (1988)`` -> ``Blue Coast``; the pattern is end-anchored so it matches once."""
     return F.trim(F.regexp_replace(_col(c), TRAILING_YEAR, ""))
 
 

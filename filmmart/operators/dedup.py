@@ -21,15 +21,16 @@ _UNORDERABLE = (T.MapType, T.VariantType) if hasattr(T, "VariantType") else (T.M
 
 
 def total_order(df: DataFrame, first: Sequence[Column] = (), skip: Sequence[str] = ()) -> list[Column]:
-    """``first``, then ``_loaded_at`` desc and ``_source_file`` if present, then every other
-    column ascending with NULLs last: a total order, so results never depend on scan order."""
+    """``first``, then ``_loaded_at`` and ``_source_file`` descending if present (file names carry the time
+    of the crawl: inside one load the newest file wins), then every other column ascending with
+    NULLs last: a total order, so results never depend on scan order."""
     order = list(first)
     used = set(skip)
     if not first and LOADED_AT in df.columns:
         order.append(F.col(LOADED_AT).desc_nulls_last())
         used.add(LOADED_AT)
         if SOURCE_FILE in df.columns:
-            order.append(F.col(SOURCE_FILE).asc_nulls_last())
+            order.append(F.col(SOURCE_FILE).desc_nulls_last())
             used.add(SOURCE_FILE)
     for f in df.schema.fields:
         if f.name in used or isinstance(f.dataType, _UNORDERABLE):

@@ -48,20 +48,17 @@ def routed_lookup(df: DataFrame, route_col: str, routes: Mapping[str, tuple[Data
     route; rows of other route values get NULL. Equivalent to one left join per route
     gated by ``route_col = value`` plus a CASE, minus the joins that cannot match.
     """
-    parts = []
-    handled = []
+    stacked, key = None, None
     for value, (dim, dim_col, df_col) in routes.items():
-        sub = df.filter(F.col(route_col) == F.lit(value))
-        d = dim.select(F.col(dim_col).alias("_rk"), F.col(take).alias(out))
-        parts.append(sub.join(d, F.col(df_col) == F.col("_rk"), "left").drop("_rk"))
-        handled.append(value)
-    take_type = next(iter(routes.values()))[0].schema[take].dataType
-    other = df.filter(~F.col(route_col).isin(handled) | F.col(route_col).isNull()).withColumn(
-        out, F.lit(None).cast(take_type))
-    result = parts[0]
-    for p in parts[1:]:
-        result = result.unionByName(p)
-    return result.unionByName(other)
+        d = dim.select(F.lit(value).alias("_route"), F.col(dim_col).alias("_rk"), F.col(take).alias("_taken"))
+        stacked = d if stacked is None else stacked.unionByName(d)
+        own = F.col(route_col) == F.lit(value)
+        key = F.when(own, F.col(df_col)) if key is None else key.when(own, F.col(df_col))
+    # One pass over the input: each row looks its own route's key up in the stacked dimensions.
+    keyed = df.withColumn("_key", key)
+    out_df = keyed.join(stacked, (F.col(route_col) == F.col("_route")) & (F.col("_key") == F.col("_rk")), "left")
+    kept = [c for c in df.columns if c != out]
+    return out_df.select(*kept, F.col("_taken").alias(out))
 
 
 __all__ = ["full_outer_on_nullable", "left_lookup", "routed_lookup"]

@@ -3,8 +3,8 @@
 ``row_number() over (order by ...)`` with no partition plans ``Exchange SinglePartition``:
 one task sorts the whole table. Here the rows are range-partitioned on the order
 (bounds from a sample, so a hot leading value is split by the later sort columns),
-sorted inside each partition and numbered locally, the layout is frozen by a reliable
-checkpoint (the two uses below must see the same partitions), and each partition's
+sorted inside each partition and numbered locally, the layout is written to the shared
+scratch folder (the two uses below must see the same partitions), and each partition's
 offset -- a running sum of its predecessors' counts -- is added back. The offsets table
 has one row per partition, a size fixed by the partition count, so it is broadcast.
 """
@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import scratch_path
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index
 
@@ -35,23 +35,28 @@ def dense_key(df: DataFrame, order: Sequence[Column], name: str, partitions: int
     if strategy != "range":
         raise ValueError(f"unknown strategy {strategy!r}")
     spark = df.sparkSession
-    checkpoint_dir(spark)
     cols = list(df.columns)
     work = df
     if salt:
-        # Rows equal in every order column would all land in one range partition;
-        # a random last sort key spreads them (their relative order is immaterial).
-        work = work.withColumn("_salt", F.rand(17))
+        # Rows equal in every order column would all land in one range partition; a last sort key
+        # spreads them (their relative order is immaterial). It is a hash of a row number that
+        # is written first, so a task that runs again places its rows as before.
+        numbered = scratch_path(spark, "dense-key-rows")
+        work.withColumn("_row", F.monotonically_increasing_id()).write.parquet(numbered)
+        work = spark.read.parquet(numbered).select(*cols, F.xxhash64("_row").alias("_salt"))
         order = order + [F.col("_salt")]
     # Without an explicit count AQE sizes the range exchange to the data (it only merges
-    # adjacent range partitions, so order holds); the checkpoint below freezes the result.
+    # adjacent range partitions, so order holds); the files written below freeze the result.
     exchanged = work.repartitionByRange(int(partitions), *order) if partitions else work.repartitionByRange(*order)
     ranged = (exchanged
                   .sortWithinPartitions(*order)
                   .withColumn("_mid", F.monotonically_increasing_id()))
     if salt:
         ranged = ranged.drop("_salt")
-    ranged = ranged.checkpoint(eager=True)
+    # Frozen as columnar files: the count reads the id column only, and the rows are read once.
+    path = scratch_path(spark, "dense-key")
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
     pid = F.shiftrightunsigned(F.col("_mid"), _LOCAL_BITS)
     offsets = (ranged.groupBy(pid.alias("_pid")).count()
                      .select("_pid", (F.sum("count").over(Window.orderBy("_pid")) - F.col("count")).alias("_off")))

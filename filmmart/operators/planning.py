@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import path_exists
 from .dedup import top_n_per_group
 from .keys import dense_key
 
@@ -32,8 +33,8 @@ def browse(df: DataFrame, sort_by: str, tiebreak: str, year_min: int | None = No
         out = out.filter(F.arrays_overlap(F.col(genre_col), F.array(*[F.lit(g) for g in genres])))
     if type_ is not None:
         out = out.filter(F.col(type_col) == type_)
-    if in_theaters is not None:
-        out = out.filter(F.col(theaters_col) == F.lit(in_theaters))
+    if in_theaters:  # asked for or not; "not in theatres" is no filter
+        out = out.filter(F.col(theaters_col))
     if release_type is not None:
         out = out.filter(F.col(release_type_col) == release_type)
     if networks:
@@ -54,7 +55,7 @@ def title_search(df: DataFrame, query: str, tiebreak: str, max_items: int | None
     return out.limit(max_items) if max_items and max_items > 0 else out
 
 
-def top_n_per_year(df: DataFrame, year: str, score: str, tiebreak: str, n: int = 2000,
+def top_n_per_year(df: DataFrame, year: str, score: str, tiebreak: str, n: int,
                    year_min: int | None = None, year_max: int | None = None) -> DataFrame:
     """Years min..max inclusive, the best ``n`` per year (WindowGroupLimit plan)."""
     out = df
@@ -82,18 +83,28 @@ def ordered_distinct(passes: Sequence[DataFrame], key: str, position: str = "pos
     return ranked.select(out, key)
 
 
-def discovered_slugs(feed: DataFrame, limit: int | None = 10, value: str = "value",
+def _discovery_array(value: str) -> Column:
+    return F.from_json(F.col(value), "array<struct<slug: string>>", {"allowUnquotedControlChars": "true"})
+
+
+def discovery_rejects(feed: DataFrame, value: str = "value", file: str = "_source_file") -> DataFrame:
+    """Discovery files that ``discovered_slugs`` can't read as an array: the crawl must not go on
+    without them."""
+    return feed.filter(_discovery_array(value).isNull()).select(
+        file, F.lit("not a JSON array of discovery records").alias("reason"))
+
+
+def discovered_slugs(feed: DataFrame, limit: int | None = None, value: str = "value",
                      file: str = "_source_file") -> DataFrame:
     """Discovered movie slugs from discovery feed files: C4 + C5 as the catalogue job does.
 
     Files are JSON arrays of discovery records, parsed leniently (raw control characters
     inside strings are accepted, as the job's decoder does); slugs are taken in file then
-    position order, each kept at its first occurrence, then capped (``limit <= 0``: all).
+    position order, each kept at its first occurrence, then capped if the caller gives a ``limit``
+    (None or <= 0: all). Files that don't parse are in ``discovery_rejects``.
     Output: ``position`` (1..n) and ``slug``.
     """
-    recs = feed.select(F.col(file).alias("_f"), F.posexplode(
-        F.from_json(F.col(value), "array<struct<slug: string>>", {"allowUnquotedControlChars": "true"})
-    ).alias("_p", "_r"))
+    recs = feed.select(F.col(file).alias("_f"), F.posexplode(_discovery_array(value)).alias("_p", "_r"))
     recs = recs.filter(F.col("_r.slug").isNotNull()).select(F.col("_r.slug").alias("slug"), "_f", "_p")
     first = recs.groupBy("slug").agg(F.min(F.struct("_f", "_p")).alias("_o"))
     ranked = dense_key(first, [F.col("_o").asc()], "position")
@@ -123,6 +134,16 @@ def mark_done(results: DataFrame, keys: Sequence[str], require_items: bool = Tru
     return counted.filter(F.col("items") > 0) if require_items else counted
 
 
+def append_ledger(done: DataFrame, path: str, keys: Sequence[str] = ("slug", "action")) -> None:
+    """Finished work appended to the ledger table that ``resume_filter`` reads; marks that
+    are there already are not repeated."""
+    spark = done.sparkSession
+    new = done.select(*keys).distinct()
+    if path_exists(spark, path):
+        new = new.join(spark.read.parquet(path).select(*keys), list(keys), "left_anti")
+    new.write.mode("append").parquet(path)
+
+
 def work_batches(slugs: DataFrame, ledger: DataFrame, action: str, template: str, force: bool = False,
                  slug: str = "slug", order: str = "position", noop: str | None = "echo nothing to do") -> DataFrame:
     """The crawl plan for one action: ordered distinct slugs, minus (slug, action) pairs the
@@ -144,19 +165,27 @@ def batch_size(n: Column) -> Column:
     return F.greatest(F.lit(MIN_BATCH), F.ceil(n / F.lit(MAX_BATCHES)))
 
 
+def command_plan(work: DataFrame, order: Sequence[Column], command: Column) -> DataFrame:
+    """C8 in long form: batch, position (1..n), command; one row per command, whatever a batch's size."""
+    keyed = dense_key(work.select(*work.columns, command.alias("_cmd")), list(order), "_k")
+    n = keyed.agg(F.count(F.lit(1)).alias("_n"))
+    # n as a scalar subquery: computed once and inlined, no join needed.
+    batch = F.floor((F.col("_k") - 1) / batch_size(n.scalar())).cast("long")
+    return keyed.select(batch.alias("batch"), F.col("_k").alias("position"), F.col("_cmd").alias("command"))
+
+
 def batch_commands(work: DataFrame, order: Sequence[Column], command: Column, sep: str = "; ",
                    noop: str | None = None) -> DataFrame:
     """Number the work 1..n (dense key), size = max(50, ceil(n/1000)), consecutive rows
     per batch, commands joined by ``sep`` in order. ``noop``: one batch when there is no work.
 
-    Each batch holds ``size`` commands, a bound set by the reference's 1000-batch ceiling.
+    The joined text of a batch grows with n / 1000, as a scheduler wants it; jobs that run the
+    commands take ``command_plan``.
     """
-    keyed = dense_key(work.select(*[c for c in work.columns], command.alias("_cmd")), list(order), "_k")
-    n = keyed.agg(F.count(F.lit(1)).alias("_n"))
-    # n as a scalar subquery: computed once and inlined, no join needed.
-    sized = keyed.withColumn("batch", F.floor((F.col("_k") - 1) / batch_size(n.scalar())).cast("long"))
+    sized = command_plan(work, order, command)
+    n = sized.agg(F.count(F.lit(1)).alias("_n"))
     batches = (sized.groupBy("batch")
-               .agg(F.sort_array(F.collect_list(F.struct("_k", "_cmd"))).alias("_cs"))
+               .agg(F.sort_array(F.collect_list(F.struct("position", F.col("command").alias("_cmd")))).alias("_cs"))
                .select("batch", F.array_join(F.transform("_cs", lambda x: x["_cmd"]), sep).alias("commands"),
                        F.size("_cs").cast("long").alias("n_commands")))
     if noop is None:
@@ -167,4 +196,4 @@ def batch_commands(work: DataFrame, order: Sequence[Column], command: Column, se
 
 
 __all__ = ["browse", "title_search", "top_n_per_year", "ordered_distinct", "discovered_slugs", "optional_cap", "resume_filter",
-           "mark_done", "batch_commands", "work_batches", "batch_size"]
+           "mark_done", "append_ledger", "discovery_rejects", "command_plan", "batch_commands", "work_batches", "batch_size"]

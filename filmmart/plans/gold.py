@@ -109,34 +109,47 @@ def _json_ints(df: DataFrame, col: str, keys: list[str], names: list[str]) -> Da
     return out.select(*[c for c in df.columns], *[try_int(r).alias(n) for r, n in zip(raw, names)])
 
 
+def user_scores(reviews: DataFrame) -> DataFrame:
+    """per movie the mean user score times ten and the number of scored reviews."""
+    scored = reviews.filter(F.col("score").isNotNull()).groupBy("movie_slug")
+    return scored.agg(F.round(F.avg("score") * 10).cast("int").alias("user_score"), F.count(F.lit(1)).alias("user_review_count"))
+
+
+def liked_share(liked: Column, not_liked: Column) -> tuple[Column, Column]:
+    """the number of votes, and the liked ones in per cent (NULL without votes)."""
+    votes = liked.cast("long") + not_liked.cast("long")
+    share = F.round(F.lit(100.0) * liked.cast("double") / votes.cast("double")).cast("int")
+    return votes, F.when(votes > 0, share)
+
+
+def union_as_text(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
+    """both inputs, with ``col`` widened to text explicitly."""
+    text = lambda df: df.withColumn(col, F.col(col).cast("string"))
+    return text(a).unionByName(text(b))
+
+
 def fact_movie_score(dm: DataFrame, silver_mc_general: DataFrame, silver_mc_user_reviews: DataFrame,
                      silver_rt_score: DataFrame, partitions: int | None = None) -> DataFrame:
     """One row per (movie, platform)."""
-    ua = (silver_mc_user_reviews.filter(F.col("score").isNotNull())
-          .groupBy("movie_slug")
-          .agg(F.round(F.avg("score") * 10).cast("int").alias("user_score"),
-               F.count(F.lit(1)).alias("user_review_count"))
-          .withColumnRenamed("movie_slug", "_ua_slug"))
+    by_users = user_scores(silver_mc_user_reviews).withColumnRenamed("movie_slug", "_user_slug")
     mcg = silver_mc_general.select(F.col("movie_slug").alias("_mc_slug"), "critic_score", "critic_review_count")
     dmm = dm.filter(F.col("mc_slug").isNotNull()).select("movie_key", "mc_slug")
     mc = (dmm.join(mcg, F.col("_mc_slug") == F.col("mc_slug"))
-             .join(ua, F.col("_ua_slug") == F.col("mc_slug"), "left")
+             .join(by_users, F.col("_user_slug") == F.col("mc_slug"), "left")
              .select("movie_key", F.lit(MC).alias("platform"), "critic_score", "user_score",
                      "critic_review_count",
                      F.coalesce(F.col("user_review_count"), F.lit(0)).cast("long").alias("user_review_count")))
-    rts = silver_rt_score.select(F.col("movie_id").alias("_rt_id"), "critics_all", "audience_all")
-    rts = _json_ints(rts, "critics_all", ["score", "reviewCount"], ["critic_score", "critic_review_count"])
-    rts = _json_ints(rts, "audience_all", ["likedCount", "notLikedCount"], ["_liked", "_not_liked"])
+    scores = silver_rt_score.select(F.col("movie_id").alias("_rt_id"), "critics_all", "audience_all")
+    scores = _json_ints(scores, "critics_all", ["score", "reviewCount"], ["critic_score", "critic_review_count"])
+    scores = _json_ints(scores, "audience_all", ["likedCount", "notLikedCount"], ["_liked", "_not_liked"])
     dmr = dm.filter(F.col("rt_movie_id").isNotNull()).select("movie_key", "rt_movie_id")
-    votes = F.col("_liked").cast("long") + F.col("_not_liked").cast("long")
-    ratio = F.round(F.lit(100.0) * F.col("_liked").cast("double") / votes.cast("double")).cast("int")
-    rt = (dmr.join(rts, F.col("_rt_id") == F.col("rt_movie_id"))
+    votes, ratio = liked_share(F.col("_liked"), F.col("_not_liked"))
+    rt = (dmr.join(scores, F.col("_rt_id") == F.col("rt_movie_id"))
              .select("movie_key", F.lit(RT).alias("platform"), "critic_score",
-                     F.when(votes > 0, ratio).alias("user_score"), "critic_review_count",
+                     ratio.alias("user_score"), "critic_review_count",
                      votes.alias("user_review_count")))
-    combined = mc.unionByName(rt)
     order = _asc("movie_key", "platform", "critic_score", "user_score", "critic_review_count", "user_review_count")
-    out = dense_key(combined, order, "score_key", partitions)
+    out = dense_key(mc.unionByName(rt), order, "score_key", partitions)
     return out.select("score_key", "movie_key", "platform", "critic_score", "user_score",
                       "critic_review_count", "user_review_count")
 
@@ -145,13 +158,13 @@ def critic_reviews_union(silver_mc_critic_reviews: DataFrame, silver_rt_critic_r
     """Both platforms' reviews in one shape; MC's INT score widened to text explicitly."""
     mc = silver_mc_critic_reviews.filter(F.col("score").isNotNull()).select(
         "movie_slug", prefixed("mc::", F.col("author_slug")).alias("author_slug"),
-        try_date("review_date").alias("review_date"), F.col("score").cast("string").alias("score"),
+        try_date("review_date").alias("review_date"), "score",
         "quote", F.lit(MC).alias("platform"))
     rt = silver_rt_critic_reviews.filter(F.col("critic_name").isNotNull()).select(
         F.col("movie_id").alias("movie_slug"), prefixed("rt::", name_slug("critic_name")).alias("author_slug"),
-        try_date("review_date").alias("review_date"), F.col("score").cast("string").alias("score"),
+        try_date("review_date").alias("review_date"), "score",
         "quote", F.lit(RT).alias("platform"))
-    return mc.unionByName(rt)
+    return union_as_text(mc, rt, "score")
 
 
 def fact_critic_review(silver_mc_critic_reviews: DataFrame, silver_rt_critic_reviews: DataFrame,

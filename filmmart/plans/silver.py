@@ -23,6 +23,7 @@ class SilverSpec:
     source_file: bool = True  # keep _source_file in the output
 
 
+# Tables, output columns and JSON keys of the feeds, with their types and natural keys.
 SPECS = {s.name: s for s in (
     SilverSpec("silver_mc_general", (
         ("movie_slug", "movie_slug", "text"), ("slug", "slug", "text"), ("id", "id", "int"),

@@ -54,13 +54,13 @@ def mc_general(part: DataFrame) -> DataFrame:
             _s("p-", k.cast("string")).alias("slug"),
             k.alias("id"),
             _s(title, " ", k.cast("string")).alias("title"),
-            (F.lit(1970) + F.col("p_size")).alias("premiere_year"),
+            F.when(k % 23 == 0, F.lit("unknown")).otherwise((F.lit(1970) + F.col("p_size")).cast("string")).alias("premiere_year"),
             F.col("p_brand").alias("rating"),
             (F.col("p_size") + 60).alias("duration"),
             ((k % 2) == 0).alias("in_theaters"),
             F.when(k % 5 != 0, _s("tt", k.cast("string"))).alias("imdb_id"),
-            F.array(F.col("p_type")).alias("genres"),
-            (F.col("p_size") * 2).alias("critic_score"),
+            F.when(k % 29 == 0, F.array().cast("array<string>")).otherwise(F.array(F.col("p_type"))).alias("genres"),
+            F.when(k % 19 == 0, F.lit("tbd")).otherwise((F.col("p_size") * 2).cast("string")).alias("critic_score"),
             (k % 50).alias("critic_review_count"),
         ])
     return envelope(copy(F.col("p_name"), 0).unionByName(copy(F.upper("p_name"), DAY_SECONDS)), "mc_general")
@@ -68,9 +68,9 @@ def mc_general(part: DataFrame) -> DataFrame:
 
 def rt_details(part: DataFrame) -> DataFrame:
     k = F.col("p_partkey")
-    src = part.filter(k % 3 != 0)
-    return envelope(_records(src, F.lit(TS0_EPOCH) + F.floor(k / 10), F.floor(k / FILE_ROWS), k, [
-        _s("r_", k.cast("string")).alias("movie_id"),
+    # Every third movie is on this platform only: its id is in no crosswalk.
+    return envelope(_records(part, F.lit(TS0_EPOCH) + F.floor(k / 10), F.floor(k / FILE_ROWS), k, [
+        _s(F.when(k % 3 == 0, "x_").otherwise("r_"), k.cast("string")).alias("movie_id"),
         _s(F.col("p_name"), " ", k.cast("string"), " (2001)").alias("title"),
         F.col("p_brand").alias("rating"),
         k.alias("rtid"),
@@ -80,10 +80,9 @@ def rt_details(part: DataFrame) -> DataFrame:
 
 def rt_crosswalk(part: DataFrame) -> DataFrame:
     k = F.col("p_partkey")
-    src = part.filter(k % 7 != 0)
-    return envelope(_records(src, F.lit(TS0_EPOCH), F.floor(k / FILE_ROWS), k, [
+    return envelope(_records(part, F.lit(TS0_EPOCH), F.floor(k / FILE_ROWS), k, [
         _s("tt", k.cast("string")).alias("imdb_id"),
-        _s("r_", k.cast("string")).alias("rt_slug"),
+        _s(F.when(k % 7 == 0, "gone_").otherwise("r_"), k.cast("string")).alias("rt_slug"),
         _s("p-", k.cast("string")).alias("mc_slug"),
         _s(F.col("p_name"), " ", k.cast("string")).alias("title"),
     ]), "rt_crosswalk")
@@ -91,11 +90,11 @@ def rt_crosswalk(part: DataFrame) -> DataFrame:
 
 def rt_score(part: DataFrame) -> DataFrame:
     k = F.col("p_partkey")
-    src = part.filter(k % 3 != 0)
-    return envelope(_records(src, F.lit(TS0_EPOCH) + F.floor(k / 10), F.floor(k / FILE_ROWS), k, [
-        _s("r_", k.cast("string")).alias("movie_id"),
-        F.struct((k % 97).alias("likedCount"), (k % 13).alias("notLikedCount")).alias("audienceAll"),
-        F.struct((F.col("p_size") * 2).alias("score"), (k % 50).alias("reviewCount")).alias("criticsAll"),
+    return envelope(_records(part, F.lit(TS0_EPOCH) + F.floor(k / 10), F.floor(k / FILE_ROWS), k, [
+        _s(F.when(k % 3 == 0, "y_").otherwise("r_"), k.cast("string")).alias("movie_id"),
+        F.struct((k % 97).alias("likedCount"), F.when(k % 37 != 0, k % 13).alias("notLikedCount")).alias("audienceAll"),
+        F.struct(F.when(k % 31 == 0, F.lit("n/a")).otherwise((F.col("p_size") * 2).cast("string")).alias("score"),
+                 (k % 50).alias("reviewCount")).alias("criticsAll"),
         F.col("p_brand").alias("description"),
     ]), "rt_score")
 
@@ -106,10 +105,10 @@ def mc_critic_reviews(lineitem: DataFrame) -> DataFrame:
     return envelope(_records(lineitem, F.lit(TS0_EPOCH) + o, F.lit(0), ord_, [
         _s("p-", F.col("l_partkey").cast("string")).alias("movie_slug"),
         _s("o", o.cast("string"), " l", F.col("l_linenumber").cast("string")).alias("quote"),
-        (F.col("l_quantity").cast("int") * 2).alias("score"),
-        _date_text(F.col("l_shipdate")).alias("date"),
+        F.when((o + F.col("l_linenumber")) % 11 != 0, F.col("l_quantity").cast("int") * 2).alias("score"),
+        F.when(o % 13 == 0, F.lit("soon")).otherwise(_date_text(F.col("l_shipdate"))).alias("date"),
         _s("Supplier ", s.cast("string")).alias("author"),
-        _s("s-", s.cast("string")).alias("author_slug"),
+        F.when(s % 17 != 0, _s("s-", s.cast("string"))).alias("author_slug"),
         _s("Pub ", (s % 10).cast("string")).alias("publication_name"),
         _s("pub-", (s % 10).cast("string")).alias("publication_slug"),
     ]), "mc_critic_reviews")
@@ -120,11 +119,11 @@ def rt_critic_reviews(orders: DataFrame) -> DataFrame:
     return envelope(_records(orders, F.lit(TS0_EPOCH) + o, F.lit(0), o, [
         _s("r_", (o % 2000).cast("string")).alias("movie_id"),
         o.alias("review_id"),
-        _s("Critic ", F.col("o_custkey").cast("string")).alias("critic_name"),
+        F.when(o % 9 != 0, _s("Critic ", F.col("o_custkey").cast("string"))).alias("critic_name"),
         F.col("o_orderstatus").alias("publication"),
         F.col("o_orderpriority").alias("score"),
         _s("q", o.cast("string")).alias("quote"),
-        _date_text(F.col("o_orderdate")).alias("review_date"),
+        F.when(o % 8 == 0, F.date_format("o_orderdate", "MMM d, yyyy")).otherwise(_date_text(F.col("o_orderdate"))).alias("review_date"),
     ]), "rt_critic_reviews")
 
 
@@ -138,7 +137,7 @@ def mc_user_reviews(events: DataFrame) -> DataFrame:
         _s("p-", u.cast("string")).alias("movie_slug"),
         e.cast("string").alias("review_id"),
         _s("u", u.cast("string")).alias("author"),
-        F.least(F.lit(10), F.floor(F.col("value") / 10)).cast("int").alias("score"),
+        F.when(e % 10 == 0, F.lit("bad")).otherwise(F.least(F.lit(10), F.floor(F.col("value") / 10)).cast("int").cast("string")).alias("score"),
         _date_text(F.col("ts")).alias("date"),
         (F.col("event_type") == "error").alias("spoiler"),
         (e % 7).alias("thumbs_up"),

@@ -15,6 +15,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Top-n per group keeps n rows per task before the shuffle for any n a catalogue asks for.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
 }
 
 # Settings fixed when the context starts: no UI server, and checkpoint files (dense-key
@@ -99,10 +101,22 @@ def child_dirs(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
             if st.isDirectory() and st.getPath().getName().startswith(prefix)]
 
 
+def replace_file(spark: SparkSession, source: str, target: str) -> None:
+    """``source`` takes the place of ``target``."""
+    fs, old = _fs(spark, target)
+    fs.delete(old, False)
+    fs.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source), old)
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs(spark, path)
+    fs.mkdirs(hpath)
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     fs, hpath = _fs(spark, path)
     fs.delete(hpath, True)
 
 
-__all__ = ["child_dirs", "remove_dir", "get_spark", "apply_defaults", "checkpoint_dir", "scratch_path", "path_exists", "local_path",
+__all__ = ["child_dirs", "make_dir", "replace_file", "remove_dir", "get_spark", "apply_defaults", "checkpoint_dir", "scratch_path", "path_exists", "local_path",
            "SESSION_DEFAULTS", "STARTUP_DEFAULTS"]

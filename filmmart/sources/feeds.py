@@ -7,6 +7,7 @@ replaces its own output instead of appending a second copy.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -16,26 +17,38 @@ from pyspark.sql.utils import AnalysisException
 
 from ..functions.jsonops import canonical_json, json_reject_reason, lines_as_array
 from ..schemas import BRONZE_SCHEMA, BRONZE_TABLES, REJECT_SCHEMA
-from ..session import child_dirs, path_exists, remove_dir
+from ..session import child_dirs, make_dir, path_exists, remove_dir
 
 ENVELOPE = ["_loaded_at", "_source_file", "data"]
+#: What tells one version of a feed file from the next at the same path.
+VERSION = ["_modified", "_length"]
+FEED_DDL = "_source_file string, value string, _modified timestamp, _length long"
+LOADED_DDL = "_loaded_at timestamp, _source_file string, data string, _modified timestamp, _length long"
+CURRENT = "_current"  # folder whose (latest) entry names the current version of a snapshot
 
 
-def read_feed(spark: SparkSession, pattern: str, json_lines: bool = False) -> DataFrame:
-    """A1: one row per file matching ``pattern``: ``_source_file`` and its whole text,
-    with undecodable bytes replaced. No match gives an empty frame, not an error.
+def read_feed(spark: SparkSession, pattern: str | list[str], json_lines: bool = False) -> DataFrame:
+    """A1: one row per file matching ``pattern`` (or per listed file): ``_source_file``, its whole
+    text with undecodable bytes replaced, and the version that was read (``_modified``, ``_length``).
+    No match gives an empty frame, not an error.
     ``json_lines``: files hold one document per line (e.g. written by ``keyed_feed_write``);
     each file's lines become one JSON array, the shape bronze stores."""
     try:
-        raw = spark.read.text(pattern, wholetext=True)
+        raw = spark.read.text(pattern, wholetext=True) if pattern else spark.createDataFrame([], FEED_DDL)
+        if not pattern:
+            return raw
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], "_source_file string, value string")
+            return spark.createDataFrame([], FEED_DDL)
         raise
     value = F.make_valid_utf8(F.col("value"))
     if json_lines:
         value = lines_as_array(value)
-    return raw.select(F.col("_metadata.file_path").alias("_source_file"), value.alias("value"))
+    return raw.select(F.col("_metadata.file_path").alias("_source_file"), value.alias("value"), *file_version())
+
+
+def file_version() -> list[Column]:
+    return [F.col("_metadata.file_modification_time").alias("_modified"), F.col("_metadata.file_size").alias("_length")]
 
 
 def to_bronze(feed: DataFrame, loaded_at: Column | None = None) -> DataFrame:
@@ -43,16 +56,19 @@ def to_bronze(feed: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     when valid, its canonical JSON as ``data``; the raw text is kept for rejects only.
     Split with ``good`` / ``rejects``."""
     ts = loaded_at if loaded_at is not None else F.current_timestamp()
-    tagged = feed.select(ts.cast("timestamp").alias("_loaded_at"), "_source_file", "value",
+    version = [c for c in VERSION if c in feed.columns]
+    tagged = feed.select(ts.cast("timestamp").alias("_loaded_at"), "_source_file", "value", *version,
                          json_reject_reason(F.col("value")).alias("reason"))
     bad = F.col("reason").isNotNull()
     return tagged.select("_loaded_at", "_source_file",
                          F.when(~bad, canonical_json(F.col("value"))).alias("data"), "reason",
-                         F.when(bad, F.col("value")).alias("raw"))
+                         F.when(bad, F.col("value")).alias("raw"), *version)
 
 
-def good(tagged: DataFrame) -> DataFrame:
-    return tagged.filter(F.col("reason").isNull()).select(*ENVELOPE)
+def good(tagged: DataFrame, version: bool = False) -> DataFrame:
+    """The accepted files; ``version``: with what identifies the loaded version of each."""
+    cols = [*ENVELOPE, *(c for c in VERSION if version and c in tagged.columns)]
+    return tagged.filter(F.col("reason").isNull()).select(*cols)
 
 
 def rejects(tagged: DataFrame) -> DataFrame:
@@ -63,6 +79,9 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """The envelope columns of a bronze table; an absent table reads as empty."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], BRONZE_SCHEMA)
+    current = child_dirs(spark, f"{path.rstrip('/')}/{CURRENT}")
+    if current:
+        path = f"{path.rstrip('/')}/load_id={max(current)}"
     return spark.read.parquet(path).select(*ENVELOPE)
 
 
@@ -81,29 +100,61 @@ def write_tagged(tagged: DataFrame, bronze_path: str, rejects_path: str | None,
     two writes so the feed is read once (it is also recomputable from the files)."""
     tagged = tagged.persist()
     try:
-        _write_load(good(tagged), bronze_path, load_id)
+        _write_load(good(tagged, version=True), bronze_path, load_id)
         if rejects_path:
             _write_load(rejects(tagged), rejects_path, load_id)
     finally:
         tagged.unpersist()
 
 
-def new_files(spark: SparkSession, feed: DataFrame, bronze_path: str) -> DataFrame:
-    """A6 (batch form): drop files already in bronze. Rejected files never reach bronze,
-    so they are offered again on the next load, as the reference retries them."""
-    loaded = read_bronze(spark, bronze_path).select("_source_file").distinct()
-    return feed.join(loaded, "_source_file", "left_anti")
+def list_feed(spark: SparkSession, pattern: str) -> DataFrame:
+    """The files matching ``pattern`` with their versions; no content is read."""
+    try:
+        files = spark.read.format("binaryFile").load(pattern)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return spark.createDataFrame([], "_source_file string, _modified timestamp, _length long")
+        raise
+    return files.select(F.col("_metadata.file_path").alias("_source_file"), F.col("modificationTime").alias("_modified"),
+                        F.col("length").alias("_length"))
+
+
+def loaded_versions(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """Files in bronze with the version that was loaded (NULL where it was not noted)."""
+    if not path_exists(spark, bronze_path):
+        return spark.createDataFrame([], LOADED_DDL).select("_source_file", *VERSION)
+    return spark.read.schema(LOADED_DDL).parquet(bronze_path).select("_source_file", *VERSION).distinct()
+
+
+def new_files(spark: SparkSession, pattern: str, bronze_path: str, rewritten_only: bool = False) -> list[str]:
+    """The files to load: those whose version (path, modification time, length) is not in bronze.
+    A file rewritten by a new crawl is a new version. Rejected files never reach bronze, so they are
+    offered again on the next load. Only names and versions are compared; the driver gets
+    the names of the new files. ``rewritten_only``: files with another version in bronze."""
+    files, loaded = list_feed(spark, pattern), loaded_versions(spark, bronze_path)
+    known = loaded.select(F.col("_source_file").alias("_f"), F.col("_modified").alias("_m"), F.col("_length").alias("_l"))
+    same = (F.col("_source_file") == F.col("_f")) & (F.col("_m").isNull() | (F.col("_m") == F.col("_modified"))) & (
+        F.col("_l").isNull() | (F.col("_l") == F.col("_length")))
+    new = files.join(known, same, "left_anti")
+    if rewritten_only:
+        new = new.join(known.select("_f").distinct(), F.col("_source_file") == F.col("_f"), "left_semi")
+    return [r["_source_file"] for r in new.select("_source_file").collect()]
 
 
 def load_batch(spark: SparkSession, pattern: str, bronze_path: str, rejects_path: str | None = None,
                loaded_at: Column | None = None, only_new: bool = True, load_id: str | None = None,
                json_lines: bool = False) -> str:
-    """Append the feed files to bronze (only files not loaded before unless
-    ``only_new=False``, which appends duplicates as the reference accepts). Returns the load id."""
+    """Append the feed files to bronze (only versions not loaded before unless
+    ``only_new=False``, which appends duplicates as the reference accepts). Returns the load id;
+    a run that finds nothing new writes nothing."""
     load_id = load_id or uuid.uuid4().hex
-    feed = read_feed(spark, pattern, json_lines)
     if only_new:
-        feed = new_files(spark, feed, bronze_path)
+        todo = new_files(spark, pattern, bronze_path)
+        if not todo and path_exists(spark, bronze_path):
+            return load_id
+        feed = read_feed(spark, todo, json_lines)
+    else:
+        feed = read_feed(spark, pattern, json_lines)
     write_tagged(to_bronze(feed, loaded_at), bronze_path, rejects_path, load_id)
     return load_id
 
@@ -113,20 +164,24 @@ def replace_snapshot(spark: SparkSession, pattern: str, bronze_path: str, loaded
     """Replace a snapshot table only with a fully valid new version.
 
     A missing or broken file keeps the old content. The new version is written as a new
-    ``load_id`` partition while the old one stays readable (a failed write job leaves only
-    its ``_temporary`` folder, which readers skip); older versions are dropped after the write
-    has succeeded. Returns ``replaced`` or the reason the old content was kept."""
+    ``load_id`` partition; readers follow the pointer in ``_current``, which is set last, in one
+    step: they see the old version whole or the new one whole, also if the job dies in between.
+    Older versions are dropped after that. Returns ``replaced`` or the reason the old content was kept."""
     tagged = to_bronze(read_feed(spark, pattern, json_lines), loaded_at)
     stats = tagged.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("reason").isNotNull()).alias("bad")).first()
     if stats["n"] == 0:
         return "kept: no file"
     if stats["bad"] > 0:
         return "kept: malformed JSON"
-    version = f"snapshot-{uuid.uuid4().hex}"
-    old = child_dirs(spark, bronze_path, "load_id=")
-    _write_load(good(tagged), bronze_path, version)
+    version = f"snapshot-{time.time_ns():020d}-{uuid.uuid4().hex}"
+    root = bronze_path.rstrip("/")
+    old, pointers = child_dirs(spark, root, "load_id="), child_dirs(spark, f"{root}/{CURRENT}")
+    _write_load(good(tagged), root, version)
+    make_dir(spark, f"{root}/{CURRENT}/{version}")
+    for name in pointers:
+        remove_dir(spark, f"{root}/{CURRENT}/{name}")
     for name in old:
-        remove_dir(spark, f"{bronze_path.rstrip('/')}/{name}")
+        remove_dir(spark, f"{root}/{name}")
     return "replaced"
 
 
@@ -163,7 +218,8 @@ def read_inferred_json(spark: SparkSession, pattern: str, schema: str | None = N
 def keyed_feed_write(df: DataFrame, path: str, keys: Sequence[str] = ("action", "movie")) -> None:
     """One output per key, rewritten whole; keys absent from ``df`` are untouched
     (dynamic partition overwrite), and an empty ``df`` writes nothing."""
-    (df.repartition(*keys).write.partitionBy(*keys).mode("overwrite")
+    # Rebalanced, not repartitioned: a hot key is split into several files of its folder.
+    (df.hint("rebalance", *keys).write.partitionBy(*keys).mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").json(path))
 
 
@@ -173,5 +229,5 @@ def read_keyed_feed(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 __all__ = ["read_feed", "to_bronze", "good", "rejects", "read_bronze", "read_rejects", "write_tagged",
-           "new_files", "load_batch", "replace_snapshot", "bootstrap", "read_bronze_root", "rebuild_table",
+           "new_files", "list_feed", "loaded_versions", "file_version", "load_batch", "replace_snapshot", "bootstrap", "read_bronze_root", "rebuild_table",
            "read_inferred_json", "keyed_feed_write", "read_keyed_feed", "ENVELOPE"]

@@ -2,20 +2,23 @@
 
 ``trigger(availableNow=True)`` consumes everything present and stops, so a daily job is a
 bounded run; the checkpoint remembers consumed files, so the next run sees only new ones.
-Each micro-batch writes its own ``load_id=batch-<id>`` partition with overwrite, so a
-batch replayed after a failure replaces its output rather than duplicating it.
+Each micro-batch writes its own ``load_id=stream-<id>-<batch>`` partition with overwrite (the id is
+kept in the checkpoint), so a batch replayed after a failure replaces its output rather than
+duplicating it, and another stream into the same table never touches it.
 Rejected files are consumed too (the source cannot un-see them); they land in the
 rejects table with their text, from which ``replay_rejects`` reloads repaired content.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsonops import lines_as_array
-from ..session import path_exists
-from ..sources.feeds import read_feed, read_rejects, to_bronze, write_tagged
+from ..session import child_dirs, make_dir, path_exists
+from ..sources.feeds import file_version, list_feed, new_files, read_feed, read_rejects, to_bronze, write_tagged
 
 
 def feed_stream(spark: SparkSession, feed_dir: str, glob: str = "*.json", json_lines: bool = False) -> DataFrame:
@@ -24,17 +27,38 @@ def feed_stream(spark: SparkSession, feed_dir: str, glob: str = "*.json", json_l
         value = lines_as_array(value)
     return (spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", glob)
             .load(feed_dir)
-            .select(F.col("_metadata.file_path").alias("_source_file"), value.alias("value")))
+            .select(F.col("_metadata.file_path").alias("_source_file"), value.alias("value"), *file_version()))
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The stream's own id, kept beside its offsets: the same for every run on this checkpoint, another
+    for any other checkpoint."""
+    folder = f"{checkpoint.rstrip('/')}/load_stream_id"
+    if not child_dirs(spark, folder):
+        make_dir(spark, f"{folder}/{uuid.uuid4().hex}")
+    return min(child_dirs(spark, folder))
 
 
 def load_stream(spark: SparkSession, feed_dir: str, bronze_path: str, rejects_path: str, checkpoint: str,
-                glob: str = "*.json", run_id: str = "s", json_lines: bool = False) -> None:
+                glob: str = "*.json", json_lines: bool = False) -> None:
+    """Loads what the stream has not seen, then the files rewritten since they were loaded (the
+    file source knows paths only): each version of a file is loaded once."""
+    own = stream_id(spark, checkpoint)
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        write_tagged(to_bronze(batch), bronze_path, rejects_path, f"{run_id}-{batch_id}")
+        write_tagged(to_bronze(batch), bronze_path, rejects_path, f"stream-{own}-{batch_id}")
 
     q = (feed_stream(spark, feed_dir, glob, json_lines).writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+    rewritten = new_files(spark, f"{feed_dir.rstrip('/')}/{nested(spark, feed_dir, glob)}", bronze_path, rewritten_only=True)
+    if rewritten:
+        write_tagged(to_bronze(read_feed(spark, rewritten, json_lines)), bronze_path, rejects_path, f"rewritten-{uuid.uuid4().hex}")
+
+
+def nested(spark: SparkSession, feed_dir: str, glob: str) -> str:
+    """The glob below ``feed_dir``, one level deeper where the feed is in partition folders."""
+    return f"*/{glob}" if [d for d in child_dirs(spark, feed_dir) if "=" in d] else glob
 
 
 def replay_rejects(spark: SparkSession, pattern: str, rejects_path: str, bronze_path: str, load_id: str) -> None:
@@ -43,10 +67,12 @@ def replay_rejects(spark: SparkSession, pattern: str, rejects_path: str, bronze_
     rejected = read_rejects(spark, rejects_path).select("_source_file").distinct()
     already = spark.read.parquet(bronze_path).select("_source_file").distinct() if path_exists(spark, bronze_path) \
         else None
-    feed = read_feed(spark, pattern).join(rejected, "_source_file", "left_semi")
+    files = list_feed(spark, pattern).select("_source_file").join(rejected, "_source_file", "left_semi")
     if already is not None:
-        feed = feed.join(already, "_source_file", "left_anti")
-    write_tagged(to_bronze(feed), bronze_path, None, load_id)
+        files = files.join(already, "_source_file", "left_anti")
+    todo = [r["_source_file"] for r in files.collect()]
+    if todo:
+        write_tagged(to_bronze(read_feed(spark, todo)), bronze_path, None, load_id)
 
 
-__all__ = ["feed_stream", "load_stream", "replay_rejects"]
+__all__ = ["feed_stream", "stream_id", "load_stream", "replay_rejects"]

@@ -11,7 +11,7 @@ sys.path.insert(0, str(ROOT / "tests"))
 @pytest.fixture(scope="session")
 def spark():
     from filmmart.session import get_spark
-    s = get_spark("local[4]", "filmmart-tests", shuffle_partitions=4)
+    s = get_spark("local[4]", "filmmart-tests", shuffle_partitions=4, extra={"spark.driver.memory": "8g"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -58,11 +58,11 @@ def test_stream_load_once_and_replay(spark):
     root = scratch_path(spark, "t-stream")
     feed, bronze, rej, ck = f"{root}/feed", f"{root}/bronze", f"{root}/rejects", f"{root}/ck"
     _write(feed, {"a.json": "[1]", "b.json": "[2] x"})
-    load_stream(spark, feed, bronze, rej, ck, run_id="1")
-    load_stream(spark, feed, bronze, rej, ck, run_id="2")
+    load_stream(spark, feed, bronze, rej, ck)
+    load_stream(spark, feed, bronze, rej, ck)
     assert A.read_bronze(spark, bronze).count() == 1
     _write(feed, {"c.json": "[3]", "b.json": "[2]"})
-    load_stream(spark, feed, bronze, rej, ck, run_id="3")
+    load_stream(spark, feed, bronze, rej, ck)
     assert A.read_bronze(spark, bronze).count() == 2          # c is new; b was consumed as a reject
     replay_rejects(spark, f"{feed}/*.json", rej, bronze, "replay-1")
     assert sorted(r["data"] for r in A.read_bronze(spark, bronze).collect()) == ["[1]", "[2]", "[3]"]
@@ -96,6 +96,75 @@ def test_empty_bronze_builds_empty_mart(spark):
     assert verdicts[("dim_movie", "row_count_between")] == "fail"   # the floor guards an empty dimension
 
 
+def test_large_valid_files_are_loaded(spark):
+    """Validity has no size limit: 140 MB and 300 MB arrays reach bronze."""
+    root = scratch_path(spark, "t-large")
+    d = local_path(f"{root}/feed")
+    os.makedirs(d)
+    for mb in (140, 300):
+        with open(f"{d}/f{mb}.json", "w") as f:
+            f.write('[{"movie_slug": "m%d", "title": "' % mb + "x" * 1000 + '"}')
+            part = ',{"movie_slug": "m", "title": "' + "y" * 1_000_000 + '"}'
+            for _ in range(mb):
+                f.write(part)
+            f.write("]")
+    A.load_batch(spark, f"{root}/feed/*.json", f"{root}/bronze", f"{root}/rejects")
+    sizes = sorted(r["n"] for r in A.read_bronze(spark, f"{root}/bronze").select(F.length("data").alias("n")).collect())
+    assert [n // 1_000_000 for n in sizes] == [140, 300]
+    assert A.read_rejects(spark, f"{root}/rejects").count() == 0
+
+
+def test_replayed_batch_and_interrupted_snapshot(spark):
+    root = scratch_path(spark, "t-replay")
+    feed, bronze, rej, ck = f"{root}/feed", f"{root}/bronze", f"{root}/rejects", f"{root}/ck"
+    _write(feed, {"a.json": "[1]", "b.json": "[2]"})
+    load_stream(spark, feed, bronze, rej, ck)
+    commits = [f for f in os.listdir(local_path(f"{ck}/commits")) if f in ("0", ".0.crc")]
+    for f in commits:  # the batch was written, its commit was not
+        os.remove(local_path(f"{ck}/commits/{f}"))
+    load_stream(spark, feed, bronze, rej, ck)
+    assert A.read_bronze(spark, bronze).count() == 2
+    snap = f"{root}/snap"
+    _write(f"{root}/v1", {"x.json": '[{"rt_slug": "a"}]'})
+    A.replace_snapshot(spark, f"{root}/v1/*.json", snap)
+    A.good(A.to_bronze(A.read_feed(spark, f"{root}/v1/*.json"))).write.parquet(f"{snap}/load_id=snapshot-died-before-the-pointer")
+    assert A.read_bronze(spark, snap).count() == 1
+
+
+def test_an_idle_load_writes_nothing(spark):
+    from filmmart.session import child_dirs
+    root = scratch_path(spark, "t-idle")
+    _write(f"{root}/feed", {"a.json": "[1]"})
+    for _ in range(3):
+        A.load_batch(spark, f"{root}/feed/*.json", f"{root}/bronze")
+    assert len(child_dirs(spark, f"{root}/bronze", "load_id=")) == 1
+
+
+def test_bare_object_fails_a_verdict(spark):
+    root = scratch_path(spark, "t-object")
+    _write(f"{root}/feed", {"a.json": '{"movie_id": "x"}'})
+    A.load_batch(spark, f"{root}/feed/*.json", f"{root}/bronze/rt_details")
+    out = build_from_root(spark, f"{root}/bronze", f"{root}/mart")
+    bad = {r["model"]: r["failures"] for r in out["tests"].filter("test = 'json_array' and status = 'fail'").collect()}
+    assert bad == {"rt_details": 1} and out["silver_rejects"].count() == 1
+
+
+def test_cli_mark_and_replay(spark):
+    from filmmart.__main__ import main
+    root = scratch_path(spark, "t-mark")
+    done = spark.createDataFrame([("a", "details", "i", True), ("b", "details", None, True), ("c", "details", "i", False)],
+                                 "slug string, action string, item string, finished boolean")
+    done.write.parquet(f"{root}/results")
+    for _ in range(2):
+        assert main(["mark", "--results", f"{root}/results", "--ledger", f"{root}/ledger", "--require-items"]) == 0
+    assert [tuple(r) for r in spark.read.parquet(f"{root}/ledger").collect()] == [("a", "details")]
+    _write(f"{root}/feed", {"a.json": "[1] x"})
+    A.load_batch(spark, f"{root}/feed/*.json", f"{root}/bronze", f"{root}/rejects")
+    _write(f"{root}/feed", {"a.json": "[1]"})
+    assert main(["replay", "--feed", f"{root}/feed/*.json", "--bronze", f"{root}/bronze", "--rejects", f"{root}/rejects"]) == 0
+    assert A.read_bronze(spark, f"{root}/bronze").count() == 1
+
+
 def test_keyed_write_keeps_digit_slugs(spark):
     path = f"{scratch_path(spark, 't-keyed')}/feed"
     df = spark.createDataFrame([("details", "007", 1), ("details", "42", 2), ("score", "007", 3)],

@@ -44,6 +44,37 @@ def test_latest_per_key_plans_window_group_limit(spark):
     assert sorted(r["v"] for r in out.collect()) == list(range(990, 1000))
 
 
+def test_large_top_n_keeps_n_rows_per_task(spark):
+    from filmmart.operators.planning import top_n_per_year
+    df = spark.range(5000).select((F.col("id") % 2).alias("year"), F.col("id").alias("score"))
+    plan = _plan(top_n_per_year(df, "year", "score", "score", n=2000))
+    assert plan.count("WindowGroupLimit") == 2               # before and after the shuffle
+
+
+def test_routed_lookup_reads_its_input_once(spark):
+    from filmmart.operators.joins import routed_lookup
+    from filmmart.session import scratch_path
+    path = scratch_path(spark, "t-routed")
+    spark.range(100).select(F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "b").alias("r"), F.col("id").alias("x")).write.parquet(path)
+    dim = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    out = routed_lookup(spark.read.parquet(path), "r", {"a": (dim, "k", "x"), "b": (dim, "k", "x")}, take="v", out="v")
+    assert _plan(out).count("FileScan") == 1
+    got = {r["x"]: r["v"] for r in out.collect()}
+    assert len(got) == 100 and all(got[x] == (x * 10 if x % 3 < 2 and x < 50 else None) for x in got)
+
+
+def test_load_compares_names_not_texts(spark):
+    from filmmart.session import local_path, scratch_path
+    from filmmart.sources.feeds import list_feed
+    import os
+    root = scratch_path(spark, "t-names")
+    os.makedirs(local_path(root))
+    with open(f"{local_path(root)}/a.json", "w") as f:
+        f.write("[1]")
+    plan = _plan(list_feed(spark, f"{root}/*.json"))
+    assert "content" not in plan.split("ReadSchema")[-1]
+
+
 def test_null_keys_keep(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), (1, 3), (1, 4)], "k int, v int")
     out = latest_per_key(df, ["k"], [F.col("v").desc()], null_keys="keep")

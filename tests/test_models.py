@@ -36,8 +36,8 @@ def test_latest_load_wins_and_ties_are_total(spark):
         (10, "c2.json", [{"movie_slug": "m2", "title": "A"}]),
     ])
     s = S.build_silver(b["mc_general"], S.SPECS["silver_mc_general"])
-    # m2: same _loaded_at in two files -> earlier file name first in the total order
-    assert rows(s, "movie_slug", "title") == [("m1", "New"), ("m2", "Z")]
+    # m2: same _loaded_at in two files -> the newer file (names carry the time of the crawl) wins
+    assert rows(s, "movie_slug", "title") == [("m1", "New"), ("m2", "A")]
 
 
 def test_null_and_empty_review_ids_collapse(spark):

@@ -24,6 +24,18 @@ def test_batch_commands(spark, n, batches, size):
     assert sum(r["n_commands"] for r in rows) == n
 
 
+def test_discovery_rejects(spark):
+    feed = spark.createDataFrame([("a", '[{"slug": "x"}]'), ("b", '[{"slug": "y"')], "_source_file string, value string")
+    assert [r["_source_file"] for r in P.discovery_rejects(feed).collect()] == ["b"]
+    assert [r["slug"] for r in P.discovered_slugs(feed).collect()] == ["x"]
+
+
+def test_browse_out_of_theatres_is_no_filter(spark):
+    df = spark.createDataFrame([("a", 1, True), ("b", 2, False)], "slug string, critic_score int, in_theaters boolean")
+    assert P.browse(df, "critic", "slug", in_theaters=False).count() == 2
+    assert [r["slug"] for r in P.browse(df, "critic", "slug", in_theaters=True).collect()] == ["a"]
+
+
 def test_ordered_distinct(spark):
     p1 = spark.createDataFrame([("b", 1), ("a", 2), ("b", 3)], "slug string, pos long")
     p2 = spark.createDataFrame([("c", 1), ("a", 2)], "slug string, pos long")
@@ -31,14 +43,19 @@ def test_ordered_distinct(spark):
     assert got == ["b", "a", "c"]
 
 
-def test_reference_test_objects(spark):
-    general = {"data": {"item": {"id": "123", "slug": "test-movie", "title": "Test Movie"}}}
-    critic = {"data": {"items": [{"author": "Critic 1", "score": 80, "quote": "Great!"}]}, "links": {}}
-    df = spark.createDataFrame([("test-movie", 1, json.dumps(general))], "entity_id string, page_no int, body string")
+def test_flatten_one_item(spark):
+    movie = {"data": {"item": {"id": 77, "slug": "night-train", "title": "Night Train", "genres": [{"name": "Noir"}, {}]}}}
+    reviews = {"data": {"items": [{"author": "A. Writer", "score": "61", "quote": None}, {"author": "B", "score": 9}]}}
+    user = {"data": {"items": [{"score": 3, "id": None, "spoiler": None}, {"score": 4}]}}
+    df = spark.createDataFrame([("night-train", 1, json.dumps(movie))], "entity_id string, page_no int, body string")
     m = R.flatten_movie(df).first()
-    assert (m["id"], m["slug"], m["title"], m["genres"], m["critic_score"]) == (123, "test-movie", "Test Movie", [], None)
-    c = R.flatten_critic_reviews(df.withColumn("body", F.lit(json.dumps(critic)))).first()
-    assert (c["author"], c["score"], c["quote"], c["movie_slug"]) == ("Critic 1", 80, "Great!", "test-movie")
+    assert (m["id"], m["slug"], m["title"], m["genres"], m["critic_score"]) == (77, "night-train", "Night Train", ["Noir"], None)
+    c = R.flatten_critic_reviews(df.withColumn("body", F.lit(json.dumps(reviews)))).orderBy("item_pos").collect()
+    assert [(r["author"], r["score"], r["quote"]) for r in c] == [("A. Writer", 61, None), ("B", 9, "")]
+    u = df.withColumn("body", F.lit(json.dumps(user)))
+    got = R.flatten_user_reviews(u).orderBy("item_pos").collect()
+    assert [(r["review_id"], r["spoiler"]) for r in got] == [(None, None), ("", False)]
+    assert [r["reason"] for r in R.review_rejects(u).collect()] == ["id: null; spoiler: null"]
 
 
 def test_key_fallback(spark):
@@ -51,13 +68,16 @@ def test_key_fallback(spark):
 
 def test_page_extraction(spark):
     html = ('<html><script id="media-scorecard-json" type="application/json">{"overlay": {"audienceAll": {"a": 1},'
-            ' "criticsAll": {"c": 2}}, "description": "D", "criticReviewHref": "/m/x/reviews/abc"}</script>'
+            ' "criticsAll": {"c": 2}, "audienceVerified": null, "criticsTop": null}, "description": "D", "criticReviewHref": "/m/x/reviews/abc"}</script>'
             '<script id="mps-page-integration">\nwindow.mpscall = {"title": "T", "cag[rating]": "PG",\n'
             '"field[rtid]": 7};\nother = {"x": 1};</script></html>')
     df = spark.createDataFrame([("x", html)], "movie_id string, html string")
     s = R.page_scorecard(df).first()
     assert (s["audienceAll"], s["criticsAll"], s["audienceVerified"], s["description"], s["movie_code"]) == \
         ('{"a":1}', '{"c":2}', None, "D", "abc")
+    blocked = df.withColumn("html", F.lit("<html>captcha</html>"))
+    assert R.page_scorecard(blocked).count() == R.page_details(blocked).count() == 0
+    assert {r["reason"] for r in R.page_rejects(blocked).collect()} == {"no embedded data"} and R.page_rejects(df).count() == 0
     d = R.page_details(df).first()
     assert (d["title"], d["rating"], d["rtid"], d["urlid"]) == ("T", "PG", "7", None)
 
@@ -68,6 +88,11 @@ def test_validate_records(spark):
     ok, bad = R.validate_records(df, {"id": ("int", True), "title": ("text", True)})
     assert [(r["id"], r["title"]) for r in ok.collect()] == [(123, "A")]
     assert sorted(r["reason"] for r in bad.collect()) == ["id: missing", "id: not int"]
+    recs = ['{"id": 85.0, "title": "A"}', '{"id": "85.5", "title": "A"}', '{"id": 85.5, "title": "A"}', '{"id": 1, "title": 5}',
+            '{"id": "85.0", "title": "A"}', '{"id": null, "title": "A"}']
+    ok, bad = R.validate_records(spark.createDataFrame([(r,) for r in recs], "record string"), {"id": ("int", True), "title": ("text", True)})
+    assert [r["id"] for r in ok.collect()] == [85]
+    assert sorted(r["reason"] for r in bad.collect()) == ["id: missing", "id: not int", "id: not int", "id: not int", "title: not text"]
 
 
 def test_work_batches_resume_and_force(spark):

@@ -24,8 +24,8 @@ from .common import materialize, prepare, read_table
 
 PARAGRAPH = 120
 SKETCH = 5  # cells per sub-table of the fingerprint
-CELLS = 1.5  # cells per digest of the two versions in the first comparison; each retry has twice as many
-ROUNDS = 6
+CELLS = 2.25  # cells per digest of the two versions in the first comparison; each retry has twice as many
+ROUNDS = 7
 TASK_DIGESTS = 150_000  # of all versions, per task
 
 
@@ -115,7 +115,7 @@ def differences(sets: DataFrame, others: list[str]) -> DataFrame:
         if attempt:
             pairs = pairs.filter(F.array_contains("ids", F.col("o.id")))
         pairs = pairs.select("row", F.col("o.id").alias("id"), "a", F.col("o.b").alias("b")).filter("size(a) + size(b) > 0")
-        size = F.ceil((F.size("a") + F.size("b")) * (CELLS * 2 ** attempt / 3)) + 2 + attempt
+        size = F.ceil((F.size("a") + F.size("b")) * (CELLS * 2 ** attempt / 3)) + 4 + attempt
         cells = _subtracted(pairs.withColumn("size", size.cast("long")))
         for _ in range(ROUNDS):
             cells = _peeled(cells)
@@ -164,11 +164,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         chain = chain.unionByName(spark.range(1).select(
             F.lit(None).cast("long").alias("doc_id"), F.lit(first).alias("next_id"), F.lit(nulls[1]).alias("n_chars")))
     repeated = docs.filter("doc_id is not null").count() > chain.filter("doc_id is not null").count()
-    source = docs.groupBy("doc_id").agg(F.min("text").alias("text")) if repeated else docs
+    # Both joins read the same rows, so that the texts are shuffled once.
+    known = docs.filter("doc_id is not null")
+    source = known.groupBy("doc_id").agg(F.min("text").alias("text")) if repeated else known
     chain = chain.select(F.col("doc_id").alias("c_id"), "next_id", F.col("n_chars").alias("longest"))
     after = chain.join(source, F.col("next_id") == F.col("doc_id")).select(
         "c_id", F.substring("text", F.lit(1), F.floor(F.col("longest") / 2).cast("int")).alias("head"), paragraph_digests(F.col("text")).alias("next_keys"))
-    both = docs.join(after, (F.col("doc_id") == F.col("c_id")) if not nulls[0] else F.col("doc_id").eqNullSafe(F.col("c_id")), "left")
+    both = known.join(after, F.col("doc_id") == F.col("c_id"), "left")
+    if nulls[0]:
+        both = both.unionByName(docs.filter("doc_id is null").join(after, F.col("doc_id").eqNullSafe(F.col("c_id")), "left"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.coalesce(F.substring("head", F.lit(1), half), F.lit("")))

@@ -109,14 +109,27 @@ def minimisers(texts: list):
 _INDEX = pa.schema([("batch", pa.int32()), ("key", pa.int64()), ("uid", pa.int64()), ("n", pa.int32())])
 
 
+def _counted(rows: np.ndarray, uids: np.ndarray) -> pa.RecordBatch:
+    """rows (text number, place, key) of whole texts -> key, uid and the places of the key in that text."""
+    # A place next to the end of a slice may come from both slices.
+    _, once = np.unique(rows[0] << 40 | rows[1], return_index=True)
+    pairs, n = np.unique(rows[::2, once], axis=1, return_counts=True) if len(once) else (np.zeros((2, 0), np.int64), [])
+    uid = uids[pairs[0]]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(uid % BATCHES, pa.int32()), pa.array(pairs[1]), pa.array(uid), pa.array(n, pa.int32())], schema=_INDEX)
+
+
 def _index_rows(batches):
     for b in batches:
         texts, uids = b.column("text").cast(pa.binary()).to_pylist(), b.column("uid").to_numpy()
-        for part, _, _, h, _, at, owner in minimisers(texts):
-            uid = uids[np.array([s[0] for s in part], dtype=np.int64)][owner]
-            rows, n = np.unique(np.stack([h[at].view(np.int64), uid]), axis=1, return_counts=True) if len(at) else (np.zeros((2, 0), np.int64), [])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[1] % BATCHES, pa.int32()), pa.array(rows[0]), pa.array(rows[1]), pa.array(n, pa.int32())], schema=_INDEX)
+        held = np.zeros((3, 0), np.int64)  # of the text whose slices may go on in the next chunk
+        for part, starts, _, h, _, at, owner in minimisers(texts):
+            number, first = (np.array([s[k] for s in part], dtype=np.int64) for k in (0, 1))
+            rows = np.concatenate([held, np.stack([number[owner], at - starts[owner] + first[owner], h[at].view(np.int64)])], axis=1)
+            whole = rows[0] < number[-1]
+            yield _counted(rows[:, whole], uids)
+            held = rows[:, ~whole]
+        yield _counted(held, uids)
 
 
 class SuffixIndex:

@@ -9,6 +9,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -236,6 +237,34 @@ def test_slices_of_long_texts_give_the_same_windows(monkeypatch):
     assert stretches() == whole
 
 
+def test_repeats_in_different_slices_of_one_text(spark):
+    """A passage once in the first and once in the last slice of a text, in no other text; and a text without any repeat."""
+    rng = random.Random(12)
+    filler = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    size, passage = suffix_dedup.CHUNK, "".join(rng.choices("ijkl", k=700))
+    parts = [filler(size // 2), filler(2 * size), filler(300)]
+    rows = [(1, f"{parts[0]}1{passage}2{parts[1]}3{passage}4{parts[2]}"), (2, filler(2 * size + 999)), (None, f"5{filler(900)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = {r.doc_id: r for r in suffix_dedup.repeat_digests(docs).collect()}
+    kept = f"{parts[0]}12{parts[1]}34{parts[2]}".encode()
+    assert (got[1].n_removed, got[1].n_spans, got[1].kept_sha256) == (1400, 2, hashlib.sha256(kept).hexdigest())
+    assert got[2].n_removed == got[None].n_removed == 0
+    assert {r.doc_id: r.text for r in suffix_dedup.remove_repeats(docs).collect()} == dict(rows) | {1: kept.decode()}
+
+
+def test_places_are_counted_once_over_the_slices_of_a_text(monkeypatch):
+    """The same index rows whatever the size of the slices; copies of a text in one batch don't add up."""
+    rng = random.Random(13)
+    texts = ["".join(rng.choices("abcd", k=n)) for n in (5000, 200, 7000, 3000)]
+    texts = [texts[0] + texts[0][:1500], None, texts[1], texts[2], texts[2], texts[3] + texts[0][100:900] + texts[3][500:1500]]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([7, 8, 9, 10, 10, 11])], names=["text", "uid"])
+    rows = lambda: collections.Counter(tuple(r.values()) for b in suffix_dedup._index_rows([batch]) for r in b.to_pylist())
+    whole = rows()
+    assert {r[3] for r in whole if r[2] == 10} == {1} and {r[3] for r in whole if r[2] == 7} == {1, 2}
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 1000)
+    assert rows() == whole
+
+
 def test_remove_repeats_keeps_characters_whole(edge):
     _, docs = edge
     got = suffix_dedup.remove_repeats(docs)

@@ -20,7 +20,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest doc_id."""
+    """One row of each group of near copies stays: one with the smallest doc_id."""
     return minmax_dedup.near_dedup(docs)
 
 

@@ -14,8 +14,9 @@ pivot's, whatever the size of a group of copies.
 Edge cases: a null or word-less text has an empty set and links with nothing; fewer than five
 words make one shingle; rows repeated in full are alike; rows with one doc_id but different
 texts are classes of their own; a null doc_id is never the smallest id (component_id is null
-if a component has no other) and is not kept; an empty table gives an empty result; extra
-columns are ignored, and ``near_dedup`` keeps them.
+if a component has no other) and ``near_duplicates`` marks no row without a doc_id as kept; an empty
+table gives an empty result; extra columns are ignored. ``near_dedup`` keeps them, and goes by rows: exactly one
+row of each component stays, also if rows are repeated in full, share a doc_id or have none.
 """
 
 from __future__ import annotations
@@ -74,7 +75,7 @@ def _bands(sets: list) -> np.ndarray:
     return keys
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("row", pa.binary()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
 
 
 def _bitmap(shingles: np.ndarray) -> np.ndarray:
@@ -101,7 +102,7 @@ def _sign(batches):
                 for i, k in zip(full, _bands([sets[i] for i in full]).view(np.int64), strict=True):
                     rows[i] = k
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").slice(lo, hi - lo).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                [b.column("doc_id").slice(lo, hi - lo).cast(pa.int64()), b.column("row").slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([k if len(s) else None for k, s in zip(keys, sets, strict=True)], pa.binary()),
                  pa.array(rows, pa.list_(pa.int64())),
                  pa.array([_bitmap(s) if len(s) else None for s in sets], pa.list_(pa.int64()))], schema=_SIGNED)
@@ -137,12 +138,13 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept; one row per row of ``docs``."""
+def _grouped(docs: DataFrame, row) -> DataFrame:
+    """doc_id, row (the given column), n_shingles, node (class; null without words), component, component_id; one row per
+    row of ``docs``."""
     spark = docs.sparkSession
     prepare(spark)
-    docs = docs.select("doc_id", "text")
-    signed = materialize(spark, docs.mapInArrow(_sign, "doc_id long, n_shingles long, node binary, bands array<long>, sketch array<long>"), "minmax-signed")
+    docs = docs.select("doc_id", "text", row.cast("binary").alias("row"))
+    signed = materialize(spark, docs.mapInArrow(_sign, "doc_id long, row binary, n_shingles long, node binary, bands array<long>, sketch array<long>"), "minmax-signed")
     # One row per class; copies are merged before the shuffle.
     classes = signed.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"),
@@ -190,11 +192,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                             "minmax-components")
     ids = classes.select("node", "rep").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = materialize(spark, ids.groupBy("component").agg(F.min("rep").alias("component_id")), "minmax-least")
-    ids = materialize(spark, ids.join(least, "component").select(F.col("node").alias("n_node"), "component_id"), "minmax-ids")
-    out = signed.select("doc_id", "n_shingles", "node").join(ids, F.col("node") == F.col("n_node"), "left")
+    ids = materialize(spark, ids.join(least, "component").select(F.col("node").alias("n_node"), "component", "component_id"), "minmax-ids")
+    out = signed.select("doc_id", "row", "n_shingles", "node").join(ids, F.col("node") == F.col("n_node"), "left")
     component_id = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component_id.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component_id, F.lit(False)).alias("kept"))
+    return out.select("doc_id", "row", "n_shingles", "node", "component", component_id.alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept; one row per row of ``docs``."""
+    return _grouped(docs, F.lit(None)).select(
+        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
 def _own_text(batches):
@@ -205,9 +212,21 @@ def _own_text(batches):
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
-    """The documents that stay: of each component, the rows with the smallest doc_id."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["_kept_id"], "left_semi")
+    """The documents that stay: of each component one row, by the smallest doc_id (null last), class and digest of the row;
+    of the rows without words all but repeated ones."""
+    spark = docs.sparkSession
+    digest = F.unhex(F.sha2(F.concat(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.concat(F.lit(" "), "text"), F.lit(""))).cast("binary"), 256))
+    rows = _grouped(docs, digest).withColumn("component", F.coalesce("component", "row"))
+    rows = rows.groupBy("component", "doc_id", "node", "row").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "node", "row", "n")).alias("first")
+    stay = rows.groupBy("component").agg(first).select(F.col("first.row").alias("_kept_row"), F.col("first.n").alias("_kept_n"))
+    stay = materialize(spark, stay, "minmax-stay")
+    numbered = docs.withColumn("_kept_row", digest)
+    once = numbered.join(stay.filter("_kept_n = 1"), "_kept_row", "left_semi")
+    # Of rows alike one stays; written first, so that a row repeated very often is merged where it is read.
+    alike = materialize(spark, numbered.join(stay.filter("_kept_n > 1"), "_kept_row", "left_semi"), "minmax-alike")
+    return once.unionByName(alike.dropDuplicates(["_kept_row"])).select(docs.columns)
 
 
 def op2_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,6 +121,33 @@ def test_near_duplicates_on_edges(edge, nothing):
     assert kept.columns == docs.columns
 
 
+def test_near_dedup_keeps_one_row_of_each_group(spark, edge, nothing):
+    rng = random.Random(6)
+    words = lambda rng, n: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+    base, other, third, alone = (words(rng, 120) for _ in range(4))
+    near = lambda t: " ".join([*t.split()[:60], "changed", *t.split()[61:]])
+    rows = [(1, base, "a"), (1, base, "b"), (1, base, "b"), (2, near(base), "a"),  # repeated in full, and a near copy
+            (3, other, "a"), (3, near(other), "a"), (4, other.upper(), "a"),  # two near texts under one doc_id
+            (None, alone, "a"), (None, third, "a"), (9, third, "a"), (None, near(third), "a"),  # without a doc_id: alone, and with copies
+            (1, words(rng, 50), "a"), (2, words(rng, 50), "a"),  # the doc_id again, another text
+            (5, "", "a"), (5, "", "a"), (5, None, "a"), (6, None, "a"), (None, "", "a"), (None, None, "a"), (None, None, "a")]
+    got = minmax_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)).collect()
+    stay = collections.Counter((r.doc_id, r.text) for r in got)
+    want = {(1, base), (None, alone), (9, third), rows[11][:2], rows[12][:2], (5, ""), (5, None), (6, None), (None, ""), (None, None)}
+    pair = {(3, other), (3, near(other))}
+    assert max(stay.values()) == 1 and set(stay) - pair == want and len(set(stay) & pair) == 1
+    rows, docs = edge
+    sets = {(r[0], r[1]): shingles(r[1]) for r in rows}
+    got = minmax_dedup.near_dedup(docs)
+    assert got.columns == docs.columns
+    stay = [(r.doc_id, r.text) for r in got.collect()]
+    assert len(set(stay)) == len(stay) and {k for k, s in sets.items() if not s} <= set(stay)
+    close = lambda a, b: 100 * len(a & b) >= 85 * len(a | b)
+    assert all(any(close(s, sets[k]) for k in stay if sets[k]) for s in sets.values() if s)  # no chains in these rows
+    assert not any(close(sets[a], sets[b]) for i, a in enumerate(stay) for b in stay[:i] if sets[a] and sets[b])
+    assert minmax_dedup.near_dedup(nothing).count() == 0
+
+
 def test_near_duplicates_chains_and_groups(spark):
     """Chains a-b-c whose ends are no pair, and a group in which few pairs reach the threshold."""
     rng = random.Random(3)

@@ -10,7 +10,8 @@ _ATTRIBUTE = re.compile(r"([A-Za-z_:][\w:.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)
 _TOKENS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 # Element names of HTML by their role.
-RAW = frozenset("script style textarea title noscript template iframe svg math object".split())
+RAW = frozenset("script style textarea title".split())  # to their closing tag, or to the end of the page
+SKIPPED = frozenset("noscript template iframe svg".split())  # to the closing tag that belongs to them; without one, only the tag; a svg may close itself
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""html head body article section nav aside header footer main div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd
     table caption thead tbody tfoot tr td th form fieldset blockquote pre figure figcaption address details summary
@@ -43,11 +44,36 @@ def attribute_tokens(attrs: dict) -> list[str]:
     return [t.lower() for t in _TOKENS.findall(joined)] if joined.strip() else []
 
 
+def _raw_end(page: str, tag: str, at: int) -> int:
+    end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+    return end.end() if end else len(page)
+
+
+def _skipped_ends(page: str, at: int) -> dict:
+    """Where each SKIPPED element from ``at`` on ends, by the end of its opening tag; inner ones of the same name are counted."""
+    ends: dict = {}
+    opened: dict = {tag: [] for tag in SKIPPED}
+    while (m := _TOKEN.search(page, at)) is not None:
+        at, tag = m.end(), m[2].lower() if m[2] else None
+        closed = tag is not None and m[3].rstrip().endswith("/")
+        if tag in SKIPPED:
+            if m[1]:
+                if opened[tag]:
+                    ends[opened[tag].pop()] = at
+            elif not (closed and tag == "svg"):
+                opened[tag].append(at)
+        elif tag in RAW and not m[1] and not (closed and opened["svg"]):
+            at = _raw_end(page, tag, at)
+    return ends
+
+
 def parse(page: str) -> Node:
-    """The page as block elements and runs of inline text; scripts, styles, comments and titles have no text."""
+    """The page as block elements and runs of inline text; scripts, styles, comments and titles have no text. Text in
+    math and object elements is inline text."""
     root = top = Node("#root", {}, None)
     run: list = []  # (text, in a link)
     link, n_links, controls, at, size = False, 0, 0, 0, len(page)
+    skipped = None
 
     def flush() -> None:
         nonlocal n_links, controls
@@ -85,10 +111,14 @@ def parse(page: str) -> Node:
                 link = False
             continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = end.end() if end else size
+            at = _raw_end(page, tag, at)
             controls += tag == "textarea"
             continue
+        if tag in SKIPPED:
+            if not (tag == "svg" and m[3].rstrip().endswith("/")):
+                skipped = _skipped_ends(page, m.start()) if skipped is None else skipped
+                at = skipped.get(at, at)
+            continue
         if tag in BLOCK:
             flush()
             link = False

@@ -623,6 +623,18 @@ def test_extraction_edges(spark):
     assert html_gbt.extract_pages(pages, html_gbt.fit(pages.filter("false"))).count() == len(rows)
 
 
+def test_embedded_elements_lose_no_text():
+    read = lambda page: " ".join(" ".join(x.text for x in html_gbt.walk(html_gbt.parse(page)) if x.text).split())
+    assert read("<p>a <svg class='i'/> b</p><p>c</p>") == read("<p>a <svg /> b</p><p>c<svg><text>x</text></svg></p>") == "a b c"
+    assert read("<p>a <math/> b</p><p>c</p>") == "a b c"
+    assert read("<p>a</p><svg><svg><text>x</text></svg><text>y</text><svg/><title/></svg><p>b</p>") == "a b"
+    assert read("<p>a</p><template><p>x</p><template>y</template><p>z</p></template><p>b</p>") == "a b"
+    assert read("<p>a <math><mi>x</mi><mo>=</mo></math> b <object><object>c</object> d</object></p>") == "a x= b c d"
+    assert read("<p>a <svg> b</p><iframe src=x><p>c</p><svg><text>y</text></svg>d") == "a b c d"  # never closed
+    assert read("<p>a</p><svg><script>'</svg>'</script><text>x</text></svg>b<script>c") == "a b"
+    assert read("<svg>" * 20000 + "a") == "a"
+
+
 def test_local_vocab():
     v = LocalVocab()
     assert v.ids([b"a", b"b", b"a"]).tolist() == [0, 1, 0] and len(v.hashes()) == 2

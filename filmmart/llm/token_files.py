@@ -9,8 +9,7 @@ lies an Arrow file with doc_id, start and n_tokens of each document. Files are w
 of the attempt and moved when complete, so that a task run again replaces them whole.
 
 Words between ASCII white space are encoded once per worker and looked up after that: the tokenizer
-never joins pieces over white space. A word of letters and closing punctuation is looked up in parts,
-which the tokenizer's splitting never joins either.
+never joins pieces over white space.
 
 Edge cases: a null or empty text has the end id only; documents with a null doc_id come first;
 rows with one doc_id are ordered by a hash of their text; an empty table writes no file; extra
@@ -19,8 +18,11 @@ columns are ignored; special tokens' strings in a text are ordinary text.
 
 from __future__ import annotations
 
+import unicodedata
 import uuid
 import zlib
+from collections import defaultdict
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,6 @@ ROWS = 128
 FILE_BYTES = 16 << 20
 END = 1
 TOKENIZER = "word_bpe_49k.json"
-_CLOSING = b".,!?;:"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -45,45 +46,131 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _letters(word: bytes) -> bool:
+    """Whether all of it is letters, also in the form that the tokenizer gives it."""
+    return unicodedata.normalize("NFC", word.decode("utf-8", "replace")).lower().isalpha()
+
+
+class _Rows:
+    """A growing array."""
+
+    def __init__(self, dtype) -> None:
+        self.held, self.n = np.empty(1 << 12, dtype=dtype), 0
+
+    def grow(self, n: int) -> None:
+        if n > len(self.held):
+            self.held = np.concatenate([self.held[:self.n], np.empty(max(n, 2 * self.n) - self.n, dtype=self.held.dtype)])
+        self.n = n
+
+    def extend(self, values: np.ndarray) -> None:
+        at = self.n
+        self.grow(at + len(values))
+        self.held[at:self.n] = values
+
+
 class WordEncoder:
-    """Ids of texts as bytes of little-endian integers; two generations of words are remembered."""
+    """Ids of texts. Each word is numbered when it first comes and encoded once; a text is its words' ids end to end, gathered from
+    one array. A word of letters and punctuation behind them is put together from these two, which the tokenizer's splitting never
+    joins. New words go to the tokenizer as lines of many words with a mark between them, a word that it turns into
+    one id of its own; words with the mark's character, and lines whose marks don't add up, are encoded one by one. Beyond
+    ``remember`` words all are forgotten."""
+
+    MARKS = "~^\\@=+"
+    LINE = 512  # words
+    PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
     def __init__(self, path: str, remember: int = 250_000) -> None:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.remember, self.young, self.old = remember, {}, {}
-
-    def _pieces(self, word: bytes) -> tuple:
-        head = word.rstrip(_CLOSING)
-        if head and len(head) < len(word) and head.decode("utf-8", "replace").isalpha():
-            return head, word[len(head):]
-        return (word,)
-
-    def encode(self, texts: list) -> list:
-        """texts: UTF-8 bytes. A-Z are lower-cased first, as the tokenizer would."""
-        split = [t.lower().split() if t else [] for t in texts]
-        known = self.young
-        missing = set().union(*split).difference(known) if split else set()
-        parts = {}
-        for w in missing:
-            if w in self.old:
-                known[w] = self.old[w]
+        self.remember = remember
+        alone = [(m, self._ids(m)) for m in self.MARKS]
+        self.mark, self.mark_id = next(((m.encode(), ids[0]) for m, ids in alone if len(ids) == 1), (b"", None))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.index: dict = defaultdict()
+        self.index.default_factory = self.index.__len__
+        self.pool, self.starts, self.sizes = _Rows(self.dtype), _Rows(np.int64), _Rows(np.int64)
+        self.index[None]  # the end of a document
+        for rows in (self.starts, self.sizes):
+            rows.grow(1)
+        self._note([0], np.zeros(1, np.int64), np.ones(1, np.int64), np.array([END], dtype=self.dtype))
+
+    def _ids(self, text: str) -> list:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _note(self, numbers: list, starts: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """The words with these numbers are slices of ``ids``."""
+        self.starts.held[numbers], self.sizes.held[numbers] = starts + self.pool.n, sizes
+        self.pool.extend(ids)
+
+    def _gathered(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words' ids end to end, and where each ends."""
+        sizes = self.sizes.held[words]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts.held[words] - ends + sizes, sizes)
+        at += np.arange(len(at))
+        return self.pool.held[at], ends
+
+    def _learn(self, words: list, first: int) -> None:
+        """New words, numbered from ``first`` on."""
+        number, joined, plain = self.index.__getitem__, [], []
+        for i, w in enumerate(words, first):
+            head = w.rstrip(self.PUNCTUATION)
+            if head and len(head) < len(w) and (head.isalpha() or _letters(head)):
+                joined.append((i, number(head), number(w[len(head):])))
             else:
-                parts[w] = self._pieces(w)
-        new = list({p for ps in parts.values() for p in ps if p not in known and p not in self.old})
-        got = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in new], add_special_tokens=False)
-        ids = {p: np.array(e.ids, dtype=self.dtype).tobytes() for p, e in zip(new, got, strict=True)}
-        for p in {p for ps in parts.values() for p in ps}:
-            known[p] = ids[p] if p in ids else known[p] if p in known else self.old[p]
-        for w, ps in parts.items():
-            if len(ps) > 1:
-                known[w] = known[ps[0]] + known[ps[1]]
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
-        if len(known) > self.remember:
-            self.old, self.young = known, {}
-        return out
+                plain.append((i, w))
+        parts = list(islice(reversed(self.index), len(self.index) - first - len(words)))
+        plain.extend(enumerate(reversed(parts), first + len(words)))
+        for rows in (self.starts, self.sizes):
+            rows.grow(len(self.index))
+        alone = [x for x in plain if not self.mark or self.mark in x[1]]
+        plain = [x for x in plain if self.mark and self.mark not in x[1]]
+        lines = [plain[k:k + self.LINE] for k in range(0, len(plain), self.LINE)]
+        joint = b" " + self.mark + b" "
+        got = self.tokenizer.encode_batch_fast([(joint.join([w for _, w in x]) + joint).decode("utf-8", "replace") for x in lines],
+                                               add_special_tokens=False)
+        for line, e in zip(lines, got, strict=True):
+            ids = np.array(e.ids, dtype=self.dtype)
+            at = np.flatnonzero(ids == self.mark_id)
+            if len(at) != len(line):
+                alone.extend(line)
+                continue
+            starts = np.concatenate([[0], at[:-1] + 1])
+            self._note([i for i, _ in line], starts, at - starts, ids)
+        for i, w in alone:
+            ids = np.array(self._ids(w.decode("utf-8", "replace")), dtype=self.dtype)
+            self._note([i], np.zeros(1, np.int64), np.array([len(ids)]), ids)
+        if joined:
+            numbers, heads, tails = np.array(joined, dtype=np.int64).T
+            ids, ends = self._gathered(np.stack([heads, tails], axis=1).ravel())
+            ends = ends[1::2]
+            starts = np.concatenate([[0], ends[:-1]])
+            self._note(numbers, starts, ends - starts, ids)
+
+    def encode(self, texts: list, end: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """texts: UTF-8 bytes. The ids of all of them end to end (``end``: each with the end id), and how many each has. A-Z are
+        lower-cased first, as the tokenizer would."""
+        if len(self.index) > self.remember:
+            self._forget()
+        known, number, parts = len(self.index), self.index.__getitem__, []
+        for t in texts:
+            words = t.lower().split() if t else []
+            parts.append(np.fromiter(map(number, words), dtype=np.int64, count=len(words)))
+            if end:
+                parts.append(np.zeros(1, dtype=np.int64))
+        if len(self.index) > known:
+            new = list(islice(reversed(self.index), len(self.index) - known))
+            new.reverse()
+            self._learn(new, known)
+        words = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        ids, ends = self._gathered(words)
+        n = np.array([len(p) for p in parts], dtype=np.int64)
+        upto = np.concatenate([[0], ends])[np.cumsum(n.reshape(-1, 2).sum(axis=1) if end else n)] if len(texts) else np.zeros(0, np.int64)
+        return ids, np.diff(upto, prepend=0)
 
 
 _ENCODERS: dict = {}  # of this worker: words learnt in one task serve the next
@@ -121,12 +208,10 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str) -> DataFrame:
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex[:8]
         encoder, sink = _encoder(tokenizer), None
         schema = _file_schema(encoder.dtype)
-        end = np.array([END], dtype=encoder.dtype).tobytes()
         held, held_n, total, n_docs = [], 0, 0, 0
         per_batch = SEQUENCE * ROWS
 
-        def record(raw: bytes) -> pa.RecordBatch:
-            ids = np.frombuffer(raw, dtype=encoder.dtype)
+        def record(ids: np.ndarray) -> pa.RecordBatch:
             rows = -(-len(ids) // SEQUENCE)
             padded, mask = np.zeros(rows * SEQUENCE, dtype=encoder.dtype), np.zeros(rows * SEQUENCE, dtype=bool)
             padded[:len(ids)], mask[:len(ids)] = ids, True
@@ -144,23 +229,21 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str) -> DataFrame:
                     ids_out = pa.ipc.new_file(sink, schema)
                     side = system.open_output_stream(f"{at}.{attempt}.docs")
                     docs_out = pa.ipc.new_file(side, _DOCS)
-                coded = [c + end for c in encoder.encode(texts[lo:hi])]
-                n = np.array([len(c) // encoder.dtype.itemsize for c in coded], dtype=np.int64)
+                ids, n = encoder.encode(texts[lo:hi], end=True)
                 starts = total + np.cumsum(n) - n
                 docs_out.write_batch(pa.RecordBatch.from_arrays([doc_ids.slice(lo, hi - lo), pa.array(starts), pa.array(n)], schema=_DOCS))
-                total, n_docs = total + int(n.sum()), n_docs + hi - lo
-                held.extend(coded)
-                held_n += int(n.sum())
+                total, n_docs = total + len(ids), n_docs + hi - lo
+                held.append(ids)
+                held_n += len(ids)
                 if held_n >= per_batch:
-                    raw = b"".join(held)
-                    step = per_batch * encoder.dtype.itemsize
-                    full = len(raw) // step * step
-                    for a in range(0, full, step):
-                        ids_out.write_batch(record(raw[a:a + step]))
-                    held, held_n = [raw[full:]], (len(raw) - full) // encoder.dtype.itemsize
+                    flat = np.concatenate(held)
+                    full = len(flat) // per_batch * per_batch
+                    for a in range(0, full, per_batch):
+                        ids_out.write_batch(record(flat[a:a + per_batch]))
+                    held, held_n = [flat[full:]], len(flat) - full
         if sink is not None:
             if held_n:
-                ids_out.write_batch(record(b"".join(held)))
+                ids_out.write_batch(record(np.concatenate(held)))
             for out, stream, kind in ((ids_out, sink, "ids"), (docs_out, side, "docs")):
                 out.close()
                 stream.close()

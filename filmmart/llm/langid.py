@@ -7,8 +7,8 @@ centroids than ``SLACK`` times the similarity that nearly all training texts of
 reach is rejected. The document frequencies come from all training rows; the centroids are
 fitted on at most ``SAMPLE`` rows per language (smallest seeded hashes).
 
-Edge cases: a null text or one without a letter is ``und`` with score 0 and rejected, as is every
-text when there is nothing to learn from; rows with a null lang are predicted, not learned
+Edge cases: a null text or one without a letter is ``und`` with score 0 and rejected; with nothing to learn from every
+text is ``und`` with score 0 and none is rejected; rows with a null lang are predicted, not learned
 from; repeated rows get the same answer; a null doc_id is not held out; an empty table gives an empty
 result; extra columns are ignored.
 """
@@ -24,11 +24,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare, read_table
+from .common import materialize, prepare, read_table
 
 DIMS = 8192
 CENTROIDS = 4
 SAMPLE = 400
+SHARES = 16  # of a language, ranked apart
+BROADCAST_LANGS = 10_000
 SLACK = 0.3
 QUANTILE = 0.005
 ROUNDS = 10
@@ -100,7 +102,9 @@ class Model:
         self.idf, self.langs, self.centroids, self.bars = idf, langs, centroids, bars
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
-        if not self.langs or not has_letter(text):
+        if not self.langs:
+            return UND, 0.0, False
+        if not has_letter(text):
             return UND, 0.0, True
         sims = self.centroids @ vector(text, self.idf)
         best = int(sims.argmax())
@@ -122,31 +126,51 @@ def fit(train: DataFrame, sample: int = SAMPLE) -> Model:
     if not n:
         return Model(np.zeros(DIMS, np.float32), [], np.zeros((0, DIMS), np.float32), [])
     idf = (np.log((1.0 + n) / (1.0 + seen)) + 1.0).astype(np.float32)
-    hashed = train.withColumn("h", F.xxhash64("text", F.lit(9)))
-    order = Window.partitionBy("lang").orderBy("h")
-    cut = hashed.select("lang", "h").withColumn("r", F.row_number().over(order)).filter(F.col("r") <= sample)
-    cut = cut.groupBy("lang").agg(F.max("h").alias("cut")).withColumnRenamed("lang", "c_lang")
-    picked = hashed.join(cut, (F.col("lang") == F.col("c_lang")) & (F.col("h") <= F.col("cut"))).dropDuplicates(["lang", "h"])
+    # Ranked by hashes alone, first within shares of a language, so that no task ranks all rows of one.
+    hashes = train.select("lang", F.xxhash64("text", F.lit(9)).alias("h")).withColumn("share", F.pmod("h", F.lit(SHARES)))
+    first = hashes.withColumn("r", F.row_number().over(Window.partitionBy("lang", "share").orderBy("h"))).filter(F.col("r") <= sample)
+    first = first.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("r") <= sample)
+    cut = materialize(train.sparkSession, first.groupBy("lang").agg(F.max("h").alias("cut")), "langid-cut")
+    if cut.count() <= BROADCAST_LANGS:  # a label and a number each
+        cut = F.broadcast(cut)
+    picked = train.withColumn("h", F.xxhash64("text", F.lit(9))).join(cut, "lang").filter("h <= cut").select("lang", "h", "text")
+
+    def vectors(batches):
+        for b in batches:
+            texts = b.column("text").to_pylist()
+            packed = [vector(t, idf).tobytes() if has_letter(t) else None for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("h"), pa.array(packed, pa.binary())], names=["lang", "h", "vector"])
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        texts = [t for t in pdf.sort_values("h")["text"] if has_letter(t)]
-        if not texts:
-            return pd.DataFrame({"lang": [], "centroid": [], "bar": []})
-        vectors = np.stack([vector(t, idf) for t in texts])
+        rows = [np.frombuffer(v, np.float32) for v in pdf.sort_values("h")["vector"]]
+        vectors = np.stack(rows)
         centres = cluster(vectors, CENTROIDS)
         bar = float(np.quantile((vectors @ centres.T).max(axis=1), QUANTILE)) * SLACK
         return pd.DataFrame({"lang": [pdf["lang"].iloc[0]] * len(centres), "centroid": [c.astype(np.float32).tobytes() for c in centres],
                              "bar": [bar] * len(centres)})
 
-    learned = picked.groupBy("lang").applyInPandas(learn, "lang string, centroid binary, bar double").collect()
+    # Equal texts are one row: at most ``sample`` vectors of a language meet.
+    packed = picked.mapInArrow(vectors, "lang string, h long, vector binary").filter("vector is not null").dropDuplicates(["lang", "h"])
+    learned = packed.groupBy("lang").applyInPandas(learn, "lang string, centroid binary, bar double").collect()
     learned = sorted(learned, key=lambda r: (r["lang"], bytes(r["centroid"])))
     centroids = np.stack([np.frombuffer(r["centroid"], np.float32) for r in learned]) if learned else np.zeros((0, DIMS), np.float32)
     return Model(idf, [r["lang"] for r in learned], centroids, [r["bar"] for r in learned])
 
 
+NEW = ("lang_pred", "score", "rejected")
+
+
+def free_prefix(docs: DataFrame) -> str:
+    """A prefix under which none of the new columns' names is taken."""
+    taken, prefix = {c.lower() for c in docs.columns}, ""
+    while any(f"{prefix}{c}" in taken for c in NEW):
+        prefix = f"langid_{prefix}"
+    return prefix
+
+
 def predict(docs: DataFrame, model: Model, text: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with lang_pred, score, rejected (after ``prefix``, where names clash). Only the text is looked at."""
-    names, new = docs.columns, [f"{prefix}{c}" for c in ("lang_pred", "score", "rejected")]
+    names, new = docs.columns, [f"{prefix}{c}" for c in NEW]
     schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL("{} string, {} double, {} boolean".format(*new)).fields])
 
     def run(batches):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -47,6 +49,16 @@ def apply_defaults(spark: SparkSession) -> None:
     """Runtime-settable defaults for a session someone else built."""
     for k, v in SESSION_DEFAULTS.items():
         spark.conf.set(k, v)
+    share_code(spark)
+
+
+def share_code(spark: SparkSession) -> None:
+    """The folder that holds this package on the path of Python workers on this machine. On a cluster the package must be
+    installed there, or sent along with ``--py-files``."""
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -7,15 +7,17 @@ replaces its own output instead of appending a second copy.
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..functions.jsonops import canonical_json, json_reject_reason, lines_as_array
+from ..functions.jsonops import canonical_json, lines_as_array, reject_reason
 from ..schemas import BRONZE_SCHEMA, BRONZE_TABLES, REJECT_SCHEMA
 from ..session import child_dirs, make_dir, path_exists, remove_dir
 
@@ -57,12 +59,10 @@ def to_bronze(feed: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     Split with ``good`` / ``rejects``."""
     ts = loaded_at if loaded_at is not None else F.current_timestamp()
     version = [c for c in VERSION if c in feed.columns]
-    tagged = feed.select(ts.cast("timestamp").alias("_loaded_at"), "_source_file", "value", *version,
-                         json_reject_reason(F.col("value")).alias("reason"))
-    bad = F.col("reason").isNotNull()
-    return tagged.select("_loaded_at", "_source_file",
-                         F.when(~bad, canonical_json(F.col("value"))).alias("data"), "reason",
-                         F.when(bad, F.col("value")).alias("raw"), *version)
+    parsed = feed.select(ts.cast("timestamp").alias("_loaded_at"), "_source_file", "value", *version, canonical_json("value").alias("data"))
+    reason = reject_reason("value", "data")
+    return parsed.select("_loaded_at", "_source_file", "data", reason.alias("reason"),
+                         F.when(reason.isNotNull(), F.col("value")).alias("raw"), *version)
 
 
 def good(tagged: DataFrame, version: bool = False) -> DataFrame:
@@ -91,7 +91,7 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*REJECT_SCHEMA.fieldNames())
 
 
-def _write_load(df: DataFrame, path: str, load_id: str) -> None:
+def write_load(df: DataFrame, path: str, load_id: str) -> None:
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/load_id={load_id}")
 
 
@@ -100,9 +100,9 @@ def write_tagged(tagged: DataFrame, bronze_path: str, rejects_path: str | None,
     two writes so the feed is read once (it is also recomputable from the files)."""
     tagged = tagged.persist()
     try:
-        _write_load(good(tagged, version=True), bronze_path, load_id)
+        write_load(good(tagged, version=True), bronze_path, load_id)
         if rejects_path:
-            _write_load(rejects(tagged), rejects_path, load_id)
+            write_load(rejects(tagged), rejects_path, load_id)
     finally:
         tagged.unpersist()
 
@@ -126,19 +126,22 @@ def loaded_versions(spark: SparkSession, bronze_path: str) -> DataFrame:
     return spark.read.schema(LOADED_DDL).parquet(bronze_path).select("_source_file", *VERSION).distinct()
 
 
-def new_files(spark: SparkSession, pattern: str, bronze_path: str, rewritten_only: bool = False) -> list[str]:
+def literal_path(path: str, encoded: bool = False) -> str:
+    """A file's name as a pattern that matches it alone. ``encoded``: it comes from file metadata, with %-escapes."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", unquote(path) if encoded else path)
+
+
+def new_files(spark: SparkSession, pattern: str, bronze_path: str) -> list[str]:
     """The files to load: those whose version (path, modification time, length) is not in bronze.
     A file rewritten by a new crawl is a new version. Rejected files never reach bronze, so they are
     offered again on the next load. Only names and versions are compared; the driver gets
-    the names of the new files. ``rewritten_only``: files with another version in bronze."""
+    the names of the new files."""
     files, loaded = list_feed(spark, pattern), loaded_versions(spark, bronze_path)
     known = loaded.select(F.col("_source_file").alias("_f"), F.col("_modified").alias("_m"), F.col("_length").alias("_l"))
     same = (F.col("_source_file") == F.col("_f")) & (F.col("_m").isNull() | (F.col("_m") == F.col("_modified"))) & (
         F.col("_l").isNull() | (F.col("_l") == F.col("_length")))
     new = files.join(known, same, "left_anti")
-    if rewritten_only:
-        new = new.join(known.select("_f").distinct(), F.col("_source_file") == F.col("_f"), "left_semi")
-    return [r["_source_file"] for r in new.select("_source_file").collect()]
+    return [literal_path(r["_source_file"], encoded=True) for r in new.select("_source_file").collect()]
 
 
 def load_batch(spark: SparkSession, pattern: str, bronze_path: str, rejects_path: str | None = None,
@@ -176,7 +179,7 @@ def replace_snapshot(spark: SparkSession, pattern: str, bronze_path: str, loaded
     version = f"snapshot-{time.time_ns():020d}-{uuid.uuid4().hex}"
     root = bronze_path.rstrip("/")
     old, pointers = child_dirs(spark, root, "load_id="), child_dirs(spark, f"{root}/{CURRENT}")
-    _write_load(good(tagged), root, version)
+    write_load(good(tagged), root, version)
     make_dir(spark, f"{root}/{CURRENT}/{version}")
     for name in pointers:
         remove_dir(spark, f"{root}/{CURRENT}/{name}")
@@ -192,7 +195,7 @@ def bootstrap(spark: SparkSession, root: str, tables: Sequence[str] = BRONZE_TAB
         p = f"{root.rstrip('/')}/{t}"
         if not path_exists(spark, p):
             # same layout as a load: one load_id partition (here empty)
-            _write_load(spark.createDataFrame([], BRONZE_SCHEMA), p, "bootstrap")
+            write_load(spark.createDataFrame([], BRONZE_SCHEMA), p, "bootstrap")
             made.append(t)
     return made
 
@@ -201,10 +204,15 @@ def read_bronze_root(spark: SparkSession, root: str, tables: Sequence[str] = BRO
     return {t: read_bronze(spark, f"{root.rstrip('/')}/{t}") for t in tables}
 
 
-def rebuild_table(df: DataFrame, path: str) -> DataFrame:
-    """Full rebuild (overwrite) and the written table read back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def rebuild_table(df: DataFrame, path: str, observe: dict[str, Column] | None = None) -> DataFrame | tuple[DataFrame, dict]:
+    """Full rebuild (overwrite) and the written table read back. ``observe``: aggregates gathered by the write itself; they
+    are returned with the table."""
+    if not observe:
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path)
+    notes = Observation()
+    df.observe(notes, *[c.alias(name) for name, c in observe.items()]).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path), notes.get
 
 
 def read_inferred_json(spark: SparkSession, pattern: str, schema: str | None = None) -> DataFrame:
@@ -228,6 +236,6 @@ def read_keyed_feed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-__all__ = ["read_feed", "to_bronze", "good", "rejects", "read_bronze", "read_rejects", "write_tagged",
-           "new_files", "list_feed", "loaded_versions", "file_version", "load_batch", "replace_snapshot", "bootstrap", "read_bronze_root", "rebuild_table",
+__all__ = ["read_feed", "to_bronze", "good", "rejects", "read_bronze", "read_rejects", "write_tagged", "write_load",
+           "new_files", "literal_path", "list_feed", "loaded_versions", "file_version", "load_batch", "replace_snapshot", "bootstrap", "read_bronze_root", "rebuild_table",
            "read_inferred_json", "keyed_feed_write", "read_keyed_feed", "ENVELOPE"]

@@ -1,12 +1,13 @@
-"""A6, stream form: each feed file is taken exactly once by the file source's own log.
+"""A6, stream form: each version of a feed file is taken exactly once.
 
+The stream's source hands out file versions (``versions.py``), so a file that a later crawl writes again is a new
+row of the stream, and a broken version is rejected once, however often the job runs.
 ``trigger(availableNow=True)`` consumes everything present and stops, so a daily job is a
-bounded run; the checkpoint remembers consumed files, so the next run sees only new ones.
-Each micro-batch writes its own ``load_id=stream-<id>-<batch>`` partition with overwrite (the id is
+bounded run. Each micro-batch reads its files with Spark and writes its own
+``load_id=stream-<id>-<batch>`` partition with overwrite (the id is
 kept in the checkpoint), so a batch replayed after a failure replaces its output rather than
 duplicating it, and another stream into the same table never touches it.
-Rejected files are consumed too (the source cannot un-see them); they land in the
-rejects table with their text, from which ``replay_rejects`` reloads repaired content.
+Rejected versions land in the rejects table with their text, from which ``replay_rejects`` reloads repaired content.
 """
 
 from __future__ import annotations
@@ -16,18 +17,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.jsonops import lines_as_array
-from ..session import child_dirs, make_dir, path_exists
-from ..sources.feeds import file_version, list_feed, new_files, read_feed, read_rejects, to_bronze, write_tagged
-
-
-def feed_stream(spark: SparkSession, feed_dir: str, glob: str = "*.json", json_lines: bool = False) -> DataFrame:
-    value = F.make_valid_utf8(F.col("value"))
-    if json_lines:
-        value = lines_as_array(value)
-    return (spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", glob)
-            .load(feed_dir)
-            .select(F.col("_metadata.file_path").alias("_source_file"), value.alias("value"), *file_version()))
+from ..session import child_dirs, make_dir
+from ..sources.feeds import list_feed, literal_path, loaded_versions, read_feed, read_rejects, to_bronze, write_tagged
+from .versions import version_stream
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -41,38 +33,37 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
 
 def load_stream(spark: SparkSession, feed_dir: str, bronze_path: str, rejects_path: str, checkpoint: str,
                 glob: str = "*.json", json_lines: bool = False) -> None:
-    """Loads what the stream has not seen, then the files rewritten since they were loaded (the
-    file source knows paths only): each version of a file is loaded once."""
+    """Loads the file versions that the stream has not seen, in this folder and below it."""
     own = stream_id(spark, checkpoint)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        write_tagged(to_bronze(batch), bronze_path, rejects_path, f"stream-{own}-{batch_id}")
+        listed = batch.collect()  # names and versions of new files, as Spark's file source holds them on the driver
+        if listed:
+            feed = read_feed(spark, [literal_path(r["path"]) for r in listed], json_lines)
+            write_tagged(to_bronze(as_listed(feed, batch)), bronze_path, rejects_path, f"stream-{own}-{batch_id}")
 
-    q = (feed_stream(spark, feed_dir, glob, json_lines).writeStream.foreachBatch(write_batch)
+    q = (version_stream(spark, feed_dir, f"{checkpoint.rstrip('/')}/versions", glob).writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    rewritten = new_files(spark, f"{feed_dir.rstrip('/')}/{nested(spark, feed_dir, glob)}", bronze_path, rewritten_only=True)
-    if rewritten:
-        write_tagged(to_bronze(read_feed(spark, rewritten, json_lines)), bronze_path, rejects_path, f"rewritten-{uuid.uuid4().hex}")
 
 
-def nested(spark: SparkSession, feed_dir: str, glob: str) -> str:
-    """The glob below ``feed_dir``, one level deeper where the feed is in partition folders."""
-    return f"*/{glob}" if [d for d in child_dirs(spark, feed_dir) if "=" in d] else glob
+def as_listed(feed: DataFrame, listed: DataFrame) -> DataFrame:
+    """The files without those that were written again since they were listed: their new version has a row of its own to come."""
+    newest = listed.groupBy("path").agg(F.max("modified").alias("_listed"))
+    own = F.regexp_replace(F.try_url_decode(F.replace(F.col("_source_file"), F.lit("+"), F.lit("%2B"))), "^[a-z0-9]+:/+", "/")
+    joined = feed.withColumn("_path", own).join(newest.select(F.regexp_replace("path", "^([a-z0-9]+:)?/*", "/").alias("_path"), "_listed"), "_path", "left")
+    return joined.filter("_listed is null or _modified <= _listed").drop("_path", "_listed")
 
 
 def replay_rejects(spark: SparkSession, pattern: str, rejects_path: str, bronze_path: str, load_id: str) -> None:
-    """Reload files that were rejected and are valid now: a fresh batch scan of the feed
-    semi-joined with the rejected paths (still-broken files are simply rejected again)."""
+    """Reload files that were rejected and have been repaired since: the files whose path was rejected and whose present
+    version is not in bronze, read again (still-broken files are simply rejected again)."""
     rejected = read_rejects(spark, rejects_path).select("_source_file").distinct()
-    already = spark.read.parquet(bronze_path).select("_source_file").distinct() if path_exists(spark, bronze_path) \
-        else None
-    files = list_feed(spark, pattern).select("_source_file").join(rejected, "_source_file", "left_semi")
-    if already is not None:
-        files = files.join(already, "_source_file", "left_anti")
-    todo = [r["_source_file"] for r in files.collect()]
+    files = list_feed(spark, pattern).join(rejected, "_source_file", "left_semi")
+    files = files.join(loaded_versions(spark, bronze_path), ["_source_file", "_modified", "_length"], "left_anti")
+    todo = [literal_path(r["_source_file"], encoded=True) for r in files.select("_source_file").collect()]
     if todo:
         write_tagged(to_bronze(read_feed(spark, todo)), bronze_path, None, load_id)
 
 
-__all__ = ["feed_stream", "stream_id", "load_stream", "replay_rejects"]
+__all__ = ["stream_id", "load_stream", "replay_rejects"]

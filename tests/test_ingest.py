@@ -63,11 +63,44 @@ def test_stream_load_once_and_replay(spark):
     assert A.read_bronze(spark, bronze).count() == 1
     _write(feed, {"c.json": "[3]", "b.json": "[2]"})
     load_stream(spark, feed, bronze, rej, ck)
-    assert A.read_bronze(spark, bronze).count() == 2          # c is new; b was consumed as a reject
-    replay_rejects(spark, f"{feed}/*.json", rej, bronze, "replay-1")
+    assert A.read_bronze(spark, bronze).count() == 3          # c is new, and so is the repaired version of b
+    replay_rejects(spark, f"{feed}/*.json", rej, bronze, "replay-1")   # nothing is left to reload
     assert sorted(r["data"] for r in A.read_bronze(spark, bronze).collect()) == ["[1]", "[2]", "[3]"]
 
 
+def test_stream_takes_each_version_once(spark):
+    """A broken version is rejected once over any number of runs; names that look like patterns are read."""
+    root = scratch_path(spark, "t-versions")
+    feed, bronze, rej, ck = f"{root}/feed", f"{root}/bronze", f"{root}/rejects", f"{root}/ck"
+    run = lambda: load_stream(spark, feed, bronze, rej, ck)
+    _write(feed, {"a b+[1]*é%20.json": "[1]", "b.json": "[2] x", ".hidden.json": "[9]", "c.txt": "[9]"})
+    _write(f"{feed}/action=x", {"d.json": "[4]"})
+    for _ in range(3):
+        run()
+    assert A.read_rejects(spark, rej).count() == 1 and A.read_bronze(spark, bronze).count() == 2
+    _write(feed, {"b.json": "[2] xy"})                     # still broken: another version, one more reject
+    for _ in range(2):
+        run()
+    assert A.read_rejects(spark, rej).count() == 2
+    _write(feed, {"b.json": "[2]", "a b+[1]*é%20.json": "[10]"})
+    run()
+    run()
+    assert sorted(r["data"] for r in A.read_bronze(spark, bronze).collect()) == ["[10]", "[1]", "[2]", "[4]"]
+    _write(feed, {"e.json": "[5] x"})
+    run()
+    _write(feed, {"e.json": "[50]"})
+    replay_rejects(spark, f"{feed}/*.json", rej, bronze, "replay-2")
+    assert "[50]" in {r["data"] for r in A.read_bronze(spark, bronze).collect()}
+
+
+def test_batch_load_reads_odd_names(spark):
+    root = scratch_path(spark, "t-names")
+    _write(f"{root}/feed", {"a b+[1]*é%20{x}?.json": "[1]", "p.json": "[2]"})
+    A.load_batch(spark, f"{root}/feed/*.json", f"{root}/bronze", f"{root}/rejects")
+    A.load_batch(spark, f"{root}/feed/*.json", f"{root}/bronze", f"{root}/rejects")
+    assert sorted(r["data"] for r in A.read_bronze(spark, f"{root}/bronze").collect()) == ["[1]", "[2]"]
+
+
 def test_snapshot_replace(spark):
     root = scratch_path(spark, "t-snap")
     _write(f"{root}/v1", {"crosswalk.json": '[{"rt_slug": "a"}]'})

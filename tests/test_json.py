@@ -2,10 +2,9 @@
 
 from filmmart.functions import jsonops as J
 
-VALID = ["[1]", '{"a":1}', "null", "[]", " \n [1] \n "]
+VALID = ["[1]", '{"a":1}', "null", "[]", " \n [1] \n ", '{"a":1,"a":2}', '[{"a":NaN}]', "[" * 5000 + "]" * 5000]
 INVALID = ["[1] x", "[1],[2]", '{"a":1}],[{"b":2}', '1},{"v":2', '1,"w":2', "{bad", "", '["a\nb"]', "[1]]",
-           '{"a":1}}', "{'a':1}", "[1,]", "// c\n[1]", "[01]", '["\\x"]', "{a:1}", "\ufeff[1]",
-           '{"a":1,"a":2}', '[{"a":NaN}]']
+           '{"a":1}}', "{'a':1}", "[1,]", "// c\n[1]", "[01]", '["\\x"]', "{a:1}", "\ufeff[1]", "", "[1,,2]", "['a']", '["a\tb"]']
 
 
 def test_validity(spark):
@@ -22,6 +21,17 @@ def test_split_and_canonical(spark):
     assert {r["f"]: r["reason"] for r in bad.collect()} == {"b": "malformed JSON", "c": "empty file"}
 
 
+def test_repeated_keys_at_any_size(spark):
+    """The last of equal keys stays, in small documents, nested ones and ones of 70 MB."""
+    big = '[{"a":1,"t":"' + "x" * 1_000_000 + '"}' + (',{"t":"' + "y" * 1_000_000 + '"}') * 69 + ',{"a":1,"b":0,"a":{"c":1,"c":2}}]'
+    texts = ['{"a":1,"a":2}', '[{"x":{"k":"1","k":null}},{"x":1}]', '[{"v":NaN,"w":-Infinity,"z":1.50}]', '[1.50,"é\\u00e9"]', big]
+    got = [r["c"] for r in spark.createDataFrame(list(enumerate(texts)), "i int, v string").orderBy("i").select(J.canonical_json("v").alias("c")).collect()]
+    assert got[:4] == ['{"a":2}', '[{"x":{"k":null}},{"x":1}]', '[{"v":null,"w":null,"z":1.5}]', '[1.5,"éé"]']
+    assert got[4].endswith(',{"a":{"c":2},"b":0}]') and len(got[4]) > 70_000_000
+    plain = spark.createDataFrame([(big.replace('"a":1,"b":0,"a":{"c":1,"c":2}', '"b":0'),)], "v string").select(J.is_valid_json("v").alias("ok"))
+    assert plain.first()["ok"]
+
+
 def test_unnest(spark):
     rows = [("f1", '[{"id":1},{"id":2}]'), ("f2", "[]"), ("f3", "null"), ("f4", '{"id":9}')]
     df = spark.createDataFrame(rows, "_source_file string, data string").selectExpr(

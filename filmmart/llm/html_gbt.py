@@ -191,7 +191,7 @@ def decode(nodes: list, odds: np.ndarray) -> list[bool]:
 
 
 def extract(pages: list, model: Trees) -> list[str]:
-    """The main text of each page: its blocks in page order, joined by line breaks."""
+    """The main text of each page: its blocks in page order, joined by two line breaks."""
     trees = [walk(parse(p or "")) for p in pages]
     if not trees:
         return []
@@ -200,7 +200,7 @@ def extract(pages: list, model: Trees) -> list[str]:
     for nodes in trees:
         keep = decode(nodes, odds[at:at + len(nodes)])
         at += len(nodes)
-        out.append("\n".join(x.text for x, k in zip(nodes, keep, strict=True) if k and x.text))
+        out.append("\n\n".join(x.text for x, k in zip(nodes, keep, strict=True) if k and x.text))
     return out
 
 
@@ -322,7 +322,7 @@ def train(pages: list[str], seed: int = SEED) -> Trees:
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Trees:
     """Fits the trees in one task on at most ``sample`` pages."""
-    hashed = pages.filter("html is not null").select("html", F.xxhash64("page_id", "url", F.lit(SEED)).alias("h"))
+    hashed = pages.filter("html is not null").select("html", F.xxhash64("page_id", "url", "html", F.lit(SEED)).alias("h"))
     cut = hashed.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
     if cut is None:
         return Trees(0.0, [])

@@ -3,6 +3,9 @@
   python -m filmmart load     --feed 'data/mc/general/*.json' --bronze wh/bronze/mc_general [--rejects PATH]
   python -m filmmart stream   --feed-dir data/rt/score --bronze wh/bronze/rt_score --rejects PATH --checkpoint PATH
   python -m filmmart snapshot --feed data/rt/crosswalk.json --bronze wh/bronze/rt_crosswalk
+  python -m filmmart arrays   --feed 'data/big/*.json' --bronze wh/bronze/mc_general [--rejects PATH]
+  python -m filmmart flatten  --captured wh/captured --out data [--rejects PATH] [--max-pages N]
+  python -m filmmart keep     --table silver_mc_user_reviews --bronze wh/bronze/mc_user_reviews --silver PATH --checkpoint PATH
   python -m filmmart build    --bronze-root wh/bronze --out wh/mart [--sql 'select ...']
   python -m filmmart crosswalk --bronze-root wh/bronze --mapping wh/imdb_to_rt --out data/rt/crosswalk
   python -m filmmart plan     --bronze-root wh/bronze --ledger wh/ledger --action details --out wh/plan/details
@@ -25,10 +28,14 @@ from .functions.jsonops import unnest_records
 from .operators.crosswalk import build_crosswalk, identity_map
 from .operators.planning import append_ledger, mark_done, ordered_distinct, work_batches
 from .operators.quality import sources_freshness
+from .plans.capture import write_feeds
 from .plans.mart import build_from_root, register_views
+from .plans.silver import SPECS
 from .session import get_spark, path_exists
 from .sources.feeds import load_batch, read_bronze, read_bronze_root, replace_snapshot
+from .sources.json_array import load_arrays
 from .streaming.feed_stream import load_stream, replay_rejects
+from .streaming.silver_stream import compact, update_silver
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -51,6 +58,21 @@ def main(argv: list[str] | None = None) -> int:
     sn.add_argument("--feed", required=True)
     sn.add_argument("--bronze", required=True)
     sn.add_argument("--json-lines", action="store_true")
+    ar = sub.add_parser("arrays", help="append new array files of any size, each read by many tasks")
+    ar.add_argument("--feed", required=True)
+    ar.add_argument("--bronze", required=True)
+    ar.add_argument("--rejects")
+    fl = sub.add_parser("flatten", help="captured responses and pages -> keyed feeds of all tables")
+    fl.add_argument("--captured", required=True, help="parquet table (platform, action, entity_id, page_no, body)")
+    fl.add_argument("--out", required=True, help="folder for the feeds, one folder per table")
+    fl.add_argument("--rejects")
+    fl.add_argument("--max-pages", type=int)
+    kp = sub.add_parser("keep", help="take new bronze loads into a silver table by micro-batches, then stop")
+    kp.add_argument("--table", required=True, choices=sorted(SPECS))
+    kp.add_argument("--bronze", required=True)
+    kp.add_argument("--silver", required=True)
+    kp.add_argument("--checkpoint", required=True)
+    kp.add_argument("--compact", action="store_true")
     cw = sub.add_parser("crosswalk", help="first-wins imdb map from bronze mc_general + id mapping -> crosswalk feed")
     cw.add_argument("--bronze-root", required=True)
     cw.add_argument("--mapping", required=True, help="parquet table (imdb_id, rt_raw)")
@@ -86,6 +108,15 @@ def main(argv: list[str] | None = None) -> int:
         load_stream(spark, a.feed_dir, a.bronze, a.rejects, a.checkpoint, glob=a.glob, json_lines=a.json_lines)
     elif a.cmd == "snapshot":
         print(replace_snapshot(spark, a.feed, a.bronze, json_lines=a.json_lines))
+    elif a.cmd == "arrays":
+        print(load_arrays(spark, a.feed, a.bronze, a.rejects))
+    elif a.cmd == "flatten":
+        for table, glob in write_feeds(spark.read.parquet(a.captured), a.out, a.rejects, a.max_pages).items():
+            print(f"{table}\t{glob}")
+    elif a.cmd == "keep":
+        update_silver(spark, a.bronze, a.silver, SPECS[a.table], a.checkpoint)
+        if a.compact:
+            compact(spark, a.silver, SPECS[a.table])
     elif a.cmd == "crosswalk":
         ids = identity_map(read_bronze(spark, f"{a.bronze_root.rstrip('/')}/mc_general"))
         build_crosswalk(ids, spark.read.parquet(a.mapping)).write.mode("overwrite").json(a.out)

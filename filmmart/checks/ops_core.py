@@ -15,7 +15,7 @@ from ..functions.casts import try_bool, try_date, try_int
 from ..functions.text import name_slug, prefixed, strip_year
 from ..operators import quality as Q
 from ..operators.dedup import latest_per_key
-from ..operators.joins import full_outer_on_nullable, left_lookup, routed_lookup
+from ..operators.joins import full_outer_on_nullable, full_outer_split, inner_then_left, left_lookup, routed_lookup
 from ..operators.keys import dense_key
 from ..plans.standins import table
 from ..sources.responses import validate_records
@@ -290,16 +290,35 @@ def q_left_lookup(spark, sf):
 
 @check("inner_left_join", """WITH agg AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey)
 SELECT c.c_custkey, n.n_name, coalesce(agg.n, 0) AS n_orders
-FROM customer c JOIN (SELECT * FROM nation WHERE n_regionkey <> 0) n ON n.n_nationkey = c.c_nationkey
+FROM customer c JOIN (SELECT CASE WHEN n_regionkey = 0 THEN -1 - n_nationkey ELSE n_nationkey END AS k, n_name FROM nation) n ON n.k = c.c_nationkey
 LEFT JOIN agg ON agg.o_custkey = c.c_custkey""")
 def q_inner_left_join(spark, sf):
     agg = table(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
-    nat = table(spark, sf, "nation").filter(F.col("n_regionkey") != 0)
-    c = table(spark, sf, "customer")
-    j = c.join(nat, c["c_nationkey"] == nat["n_nationkey"]).join(agg, F.col("o_custkey") == F.col("c_custkey"), "left")
+    key = F.col("n_nationkey")
+    nat = table(spark, sf, "nation").select(F.when(F.col("n_regionkey") == 0, -1 - key).otherwise(key).alias("k"), "n_name")
+    j = inner_then_left(table(spark, sf, "customer"), nat, ("c_nationkey", "k"), agg, ("c_custkey", "o_custkey"))
     return j.select("c_custkey", "n_name", F.coalesce("n", F.lit(0)).cast("long").alias("n_orders"))
 
 
+@check("hot_key_full_outer", """SELECT e.event_id, c.c_custkey FROM (
+  SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 14 WHEN event_id % 11 = 0 THEN NULL ELSE user_id END AS k FROM events) e
+FULL OUTER JOIN (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_custkey * 2 END AS ck FROM customer) c ON e.k = c.ck""")
+def q_hot_key_full_outer(spark, sf):
+    """A third of the left rows on one key that matches, NULL keys on both sides."""
+    e = F.col("event_id")
+    ev = table(spark, sf, "events").select(
+        "event_id", F.when(e % 3 == 0, F.lit(14).cast("long")).when(e % 11 != 0, F.col("user_id").cast("long")).alias("k"))
+    c = table(spark, sf, "customer").select("c_custkey", F.when(F.col("c_custkey") % 5 != 0, F.col("c_custkey").cast("long") * 2).alias("ck"))
+    return full_outer_split(ev, c, "k", "ck").select("event_id", "c_custkey")
+
+
+@check("dq_key_bitmaps", """SELECT name, CASE WHEN k > 0 THEN 1 + (k - 1) // 32768 ELSE k // 32768 END AS bucket, count(*) AS n, count(DISTINCT k) AS n_values
+FROM (SELECT 'l_orderkey' AS name, l_orderkey AS k FROM lineitem UNION ALL SELECT 'l_partkey', l_partkey FROM lineitem) t GROUP BY 1, 2""")
+def q_dq_key_bitmaps(spark, sf):
+    maps = Q.key_bitmaps(table(spark, sf, "lineitem"), ["l_orderkey", "l_partkey"])
+    return maps.select("name", "bucket", "n", F.bitmap_count("bits").alias("n_values"))
+
+
 # ---------------------------------------------------------------- aggregates and expressions
 
 @check("group_avg_count", """SELECT user_id, CAST(round(avg(score) * 10) AS INTEGER) AS user_score, count(*) AS n

@@ -8,15 +8,24 @@ key: the JSON array of that key's records.
 
 from __future__ import annotations
 
+import uuid
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsonops import unnest_records
 from ..plans import silver as S
+from ..plans.capture import write_feeds
 from ..plans.standins import mc_general, table
-from ..session import replace_file, scratch_path
+from ..session import scratch_path
 from ..sources import feeds as A
+from ..sources.containers import container_read, container_write
+from ..sources.json_array import load_arrays
 from ..streaming.feed_stream import load_stream
+from ..streaming.silver_stream import compact, read_silver, update_silver
+from ..streaming.versions import opened
+from .oracle_models import model_sql
 from .ops_core import grouped_text
 from .render import render
 
@@ -121,16 +130,26 @@ WHERE NOT broken AND (v = 1 OR (CAST(key AS BIGINT)) % 3 = 0)"""
 
 
 def _rewrite(files: DataFrame, feed: str) -> None:
-    """Every third file anew at its old path, longer by white space, as a later crawl writes it."""
+    """Every third file anew at its old path, longer by white space, as a later crawl writes it: written aside, then moved onto the
+    old paths by tasks."""
     again = files.filter(F.col("chunk") % 3 == 0).withColumn("value", F.concat(F.lit("  "), "value"))
     spark = files.sparkSession
     side = scratch_path(spark, "rewrite")
     write_feed(again, side)
-    old = {r["key"]: r["f"] for r in spark.read.text(f"{feed}/key=*/*.txt", wholetext=True).select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"key=([^/]+)/", 1).alias("key"), F.col("_metadata.file_path").alias("f")).collect()}
-    for r in spark.read.text(f"{side}/key=*/*.txt", wholetext=True).select(
-            F.regexp_extract(F.col("_metadata.file_path"), r"key=([^/]+)/", 1).alias("key"), F.col("_metadata.file_path").alias("f")).collect():
-        replace_file(spark, r["f"], old[r["key"]])
+    named = lambda folder, name: A.list_feed(spark, f"{folder}/key=*/*.txt").select(feed_key().alias("key"), F.col("_source_file").alias(name))
+    moves = named(side, "made").join(named(feed, "old"), "key").select("made", "old")
+    moves.mapInArrow(_move, "moved long").agg(F.sum("moved")).collect()
+
+
+def _move(batches):
+    for b in batches:
+        for made, old in zip(b.column("made").to_pylist(), b.column("old").to_pylist(), strict=True):
+            (system, source), (_, target) = opened(made), opened(old)
+            beside = lambda path: "{}/.{}.crc".format(*path.rsplit("/", 1))  # noqa: E731  Hadoop's checksum of a local file
+            if system.get_file_info(beside(source)).is_file:
+                system.move(beside(source), beside(target))
+            system.move(source, target)
+        yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["moved"])
 
 
 def _versions(spark, bronze_path: str) -> DataFrame:
@@ -164,6 +183,49 @@ def q_stream_rewritten_file(spark, sf):
     return _versions(spark, f"{root}/bronze")
 
 
+@check("stream_rejects_once", f"""SELECT key AS file_key, CAST(1 + CAST(CAST(key AS BIGINT) % 3 = 0 AS INTEGER) AS BIGINT) AS rejected
+FROM ({FEED_SQL}) f WHERE broken""")
+def q_stream_rejects_once(spark, sf):
+    """A broken version is rejected once, over any number of runs; written again and still broken, once more."""
+    root = scratch_path(spark, "stream_rejects")
+    files = _feed_text(spark, sf)
+    write_feed(files, f"{root}/feed")
+    load = lambda: load_stream(spark, f"{root}/feed", f"{root}/bronze", f"{root}/rejects", f"{root}/ck", glob="*.txt")
+    load()
+    load()
+    _rewrite(files, f"{root}/feed")
+    load()
+    load()
+    return A.read_rejects(spark, f"{root}/rejects").groupBy(feed_key().alias("file_key")).agg(F.count(F.lit(1)).alias("rejected"))
+
+
+@check("array_ranges", """SELECT CAST(event_id // 4096 AS VARCHAR) AS file_key, replace(props, ': ', ':') AS record
+FROM events WHERE (event_id // 4096) % 3 <> 1""")
+def q_array_ranges(spark, sf):
+    """Array files cut into ranges of 20,000 bytes, in the middle of records; every third file has trailing text and goes whole."""
+    ev = table(spark, sf, "events").withColumn("chunk", F.floor(F.col("event_id") / 4096))
+    g = grouped_text(ev, ["chunk"], "event_id", F.col("props"), sep=", ")
+    files = g.select(F.col("chunk").cast("string").alias("key"),
+                     F.when(F.col("chunk") % 3 == 1, F.concat("data", F.lit(" x"))).otherwise(F.col("data")).alias("value"))
+    root = scratch_path(spark, "array_ranges")
+    load_arrays(spark, write_feed(files, f"{root}/feed"), f"{root}/bronze", f"{root}/rejects", range_bytes=20_000)
+    return unnest_records(A.read_bronze(spark, f"{root}/bronze"), keep=("_source_file",)).select(feed_key().alias("file_key"), "record")
+
+
+@check("silver_kept_up_to_date", model_sql()["silver_mc_user_reviews"])
+def q_silver_kept_up_to_date(spark, sf):
+    """Bronze loads taken by micro-batches, the newest files first, one load twice, compacted in between."""
+    from ..plans.standins import bronze_from_driver
+    spec, root = S.SPECS["silver_mc_user_reviews"], scratch_path(spark, "kept")
+    bronze = bronze_from_driver(spark, sf)["mc_user_reviews"]
+    for i in (2, 0, 1, 0):
+        A.write_load(bronze.filter(F.pmod(F.xxhash64("_source_file", "_loaded_at"), F.lit(3)) == i), f"{root}/bronze", f"load{i}-{uuid.uuid4().hex}")
+        update_silver(spark, f"{root}/bronze", f"{root}/silver", spec, f"{root}/ck")
+        if i == 1:
+            compact(spark, f"{root}/silver", spec)
+    return render(read_silver(spark, f"{root}/silver", spec))
+
+
 @check("two_streams_one_table", f"""SELECT key AS file_key, CAST(1 AS BIGINT) AS copies FROM ({FEED_SQL}) f WHERE NOT broken""")
 def q_two_streams_one_table(spark, sf):
     """Two feeds, each with a stream and checkpoint of its own, into one bronze table."""
@@ -237,12 +299,14 @@ def q_bootstrap_empty(spark, sf):
     return out
 
 
-@check("rebuild_table", """SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey < 10""")
+@check("rebuild_table", """SELECT s_suppkey, lower(s_name) AS s_name FROM supplier""")
 def q_rebuild_table(spark, sf):
     path = f"{scratch_path(spark, 'rebuild_table')}/supplier_dim"
     n = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     A.rebuild_table(n, path)
-    return A.rebuild_table(n.filter(F.col("s_nationkey") < 10), path).select("s_suppkey", "s_name")
+    out, noted = A.rebuild_table(n.withColumn("s_name", F.lower("s_name")), path, {"rows": F.count(F.lit(1))})
+    assert noted["rows"] == out.count()
+    return out.select("s_suppkey", "s_name")
 
 
 @check("read_inferred_json", """SELECT event_id, user_id, event_type FROM events WHERE event_type = 'purchase'""")
@@ -270,6 +334,48 @@ def q_keyed_feed_write(spark, sf):
     return back.select("action", "movie", "event_id", "v")
 
 
+@check("keyed_containers", """SELECT event_type AS action, lpad(CAST(user_id AS VARCHAR), 4, '0') AS movie, event_id,
+  CASE WHEN event_type = 'click' THEN 'second' ELSE 'first' END AS v FROM events""")
+def q_keyed_containers(spark, sf):
+    """The same replacements as ``keyed_feed_write``, in 16 folders whatever the number of movies."""
+    path = f"{scratch_path(spark, 'containers')}/feed"
+    ev = table(spark, sf, "events").select(F.col("event_type").alias("action"),
+                                           F.lpad(F.col("user_id").cast("string"), 4, "0").alias("movie"), "event_id")
+    container_write(ev.withColumn("v", F.lit("first")), path, buckets=16)
+    container_write(ev.filter(F.col("action") == "click").withColumn("v", F.lit("second")), path, buckets=16)
+    container_write(ev.filter(F.lit(False)).withColumn("v", F.lit("third")), path, buckets=16)
+    return container_read(spark, path).select("action", "movie", "event_id", "v")
+
+
+@check("flatten_captured", """SELECT 'mc_general' AS feed, 'p-' || p_partkey AS movie, CAST(1 AS BIGINT) AS n, CAST(p_size AS BIGINT) AS total
+FROM part WHERE p_partkey % 10 <> 0
+UNION ALL SELECT 'mc_user_reviews', 'p-' || user_id, count(*), CAST(sum(least(10, floor(value / 10))) AS BIGINT) FROM events GROUP BY user_id
+UNION ALL SELECT 'rt_critic_reviews', 'r_' || user_id, count(*), CAST(sum(event_id) AS BIGINT) FROM events GROUP BY user_id
+UNION ALL SELECT 'rejects', 'p-' || p_partkey, 1, 0 FROM part WHERE p_partkey % 10 = 0""")
+def q_flatten_captured(spark, sf):
+    """Captured bodies of three kinds through the whole job: flattened, checked, written as feeds, loaded into bronze and counted."""
+    from .ops_plan import rt_review_pages, user_review_pages
+    root = scratch_path(spark, "captured")
+    k = F.col("p_partkey").cast("string")
+    whole = F.concat(F.lit('{"data": {"item": {"id": '), k, F.lit(', "title": "a\\u0007b", "duration": "'), F.col("p_size").cast("string"), F.lit('"}}}'))
+    general = table(spark, sf, "part").select(
+        F.lit("mc").alias("platform"), F.lit("general").alias("action"), F.concat(F.lit("p-"), k).alias("entity_id"), F.lit(0).cast("long").alias("page_no"),
+        F.when(F.col("p_partkey") % 10 == 0, F.lit("<html>")).otherwise(whole).alias("body"))
+    users = user_review_pages(spark, sf).select(F.lit("mc").alias("platform"), F.lit("user_reviews").alias("action"), "entity_id", "page_no", "body")
+    critics = rt_review_pages(spark, sf).select(F.lit("rt").alias("platform"), F.lit("critic_reviews").alias("action"), "entity_id", "page_no", "body")
+    globs = write_feeds(general.unionByName(users).unionByName(critics), f"{root}/feeds", f"{root}/rejects")
+    value = {"mc_general": "duration", "mc_user_reviews": "score", "rt_critic_reviews": "review_id"}
+    out = spark.read.parquet(f"{root}/rejects").select(F.lit("rejects").alias("feed"), F.col("entity_id").alias("movie"), F.lit(1).cast("long").alias("n"),
+                                                       F.lit(0).cast("long").alias("total"))
+    for feed, field in value.items():
+        A.load_batch(spark, globs[feed], f"{root}/bronze/{feed}", json_lines=True)
+        recs = unnest_records(A.read_bronze(spark, f"{root}/bronze/{feed}"), keep=("_source_file",))
+        movie = F.regexp_extract("_source_file", r"movie=([^/]+)/", 1)
+        out = out.unionByName(recs.groupBy(F.lit(feed).alias("feed"), movie.alias("movie")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.get_json_object("record", f"$.{field}").cast("long")).alias("total")))
+    return out
+
+
 @check("hot_key_feed_write", """SELECT CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE event_type END AS action, CAST(user_id AS VARCHAR) AS movie, event_id FROM events""")
 def q_hot_key_feed_write(spark, sf):
     """A third of all rows under one action; all come back from the keyed folders."""

@@ -52,7 +52,7 @@ def q_flatten_nested(spark, sf):
                     "critic_score", "critic_review_count")
 
 
-def _user_review_pages(spark, sf) -> DataFrame:
+def user_review_pages(spark, sf) -> DataFrame:
     ev = table(spark, sf, "events")
     e = F.col("event_id")
     ident = F.when(e % 9 == 0, F.lit("")).otherwise(_s('"id": "', e.cast("string"), '", '))
@@ -73,7 +73,7 @@ def _user_review_pages(spark, sf) -> DataFrame:
   CASE WHEN event_id % 5 = 0 THEN false ELSE event_type = 'error' END AS spoiler
 FROM events""")
 def q_flatten_items(spark, sf):
-    u = R.flatten_user_reviews(_user_review_pages(spark, sf))
+    u = R.flatten_user_reviews(user_review_pages(spark, sf))
     return u.select("movie_slug", F.col("page_no").cast("long").alias("page_no"),
                     F.col("item_pos").cast("long").alias("item_pos"), "review_id", "score", "author", "spoiler")
 
@@ -83,6 +83,11 @@ def q_flatten_items(spark, sf):
   'Critic ' || user_id AS critic_name
 FROM events""")
 def q_key_fallback(spark, sf):
+    out = R.flatten_rt_critic_reviews(rt_review_pages(spark, sf))
+    return out.select("movie_id", "review_id", "score", "critic_name")
+
+
+def rt_review_pages(spark, sf) -> DataFrame:
     ev = table(spark, sf, "events")
     e = F.col("event_id")
     es = e.cast("string")
@@ -93,10 +98,8 @@ def q_key_fallback(spark, sf):
               '"}, "publication": null, ', score, "}")
     ev = ev.withColumn("page_no", F.floor(e / 20))
     pages = grouped_text(ev, ["user_id", "page_no"], "event_id", item)
-    resp = pages.select(_s("r_", F.col("user_id").cast("string")).alias("entity_id"), "page_no",
+    return pages.select(_s("r_", F.col("user_id").cast("string")).alias("entity_id"), "page_no",
                         _s('{"reviews": ', F.col("data"), ', "pageInfo": {"hasNextPage": false}}').alias("body"))
-    out = R.flatten_rt_critic_reviews(resp)
-    return out.select("movie_id", "review_id", "score", "critic_name")
 
 
 @check("page_script", r"""SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title,
@@ -201,15 +204,16 @@ def q_top_n_per_group(spark, sf):
 
 
 @check("ordered_distinct", """WITH p1 AS (
-  SELECT o_custkey, 0 AS pass, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS pos FROM orders
-  WHERE o_orderdate >= TIMESTAMP '2000-01-01'),
+  SELECT CASE WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN o_custkey ELSE o_custkey % 100 END AS o_custkey, 0 AS pass,
+    row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS pos FROM orders),
 p2 AS (SELECT o_custkey, 1 AS pass, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS pos FROM orders),
 firsts AS (SELECT o_custkey, min((pass, pos)) AS o FROM (SELECT * FROM p1 UNION ALL SELECT * FROM p2) u GROUP BY o_custkey)
 SELECT row_number() OVER (ORDER BY o) AS position, o_custkey FROM firsts""")
 def q_ordered_distinct(spark, sf):
     o = table(spark, sf, "orders")
-    p1 = dense_key(o.filter(F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp")).select(
-        "o_custkey", "o_orderdate", "o_orderkey"), [F.col("o_orderdate"), F.col("o_orderkey")], "pos")
+    late = F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp")
+    p1 = dense_key(o.select(F.when(late, F.col("o_custkey")).otherwise(F.col("o_custkey") % 100).alias("o_custkey"), "o_orderdate", "o_orderkey"),
+                   [F.col("o_orderdate"), F.col("o_orderkey")], "pos")
     p2 = dense_key(o.select("o_custkey", "o_totalprice", "o_orderkey"),
                    [F.col("o_totalprice").desc(), F.col("o_orderkey")], "pos")
     return P.ordered_distinct([p1, p2], "o_custkey")

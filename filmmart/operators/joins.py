@@ -26,6 +26,34 @@ def full_outer_on_nullable(left: DataFrame, right: DataFrame, left_key: str, rig
     return out.select(*left.columns, *right.columns)
 
 
+def full_outer_split(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """FULL OUTER JOIN for keys of which one may hold much of either side.
+
+    A full outer join cannot be split within a key: all rows of a hot key meet in one task. Here the matches are an inner
+    join, which the adaptive plan splits on both sides, and each side's unmatched rows an anti join against the other side's distinct keys
+    (reduced before they are shuffled), which it splits on the row side. NULL keys match nothing and skip both.
+    Column names of the two sides must be disjoint.
+    """
+    clash = set(left.columns) & set(right.columns)
+    if clash:
+        raise ValueError(f"column names on both sides: {sorted(clash)}")
+    lk, rk = F.col(left_key), F.col(right_key)
+    has_left, has_right = left.filter(lk.isNotNull()), right.filter(rk.isNotNull())
+    left_only = has_left.join(has_right.select(rk.alias("_k")).distinct(), lk == F.col("_k"), "left_anti")
+    right_only = has_right.join(has_left.select(lk.alias("_k")).distinct(), rk == F.col("_k"), "left_anti")
+    out = has_left.join(has_right, lk == rk)
+    for part in (left_only, left.filter(lk.isNull()), right_only, right.filter(rk.isNull())):
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out.select(*left.columns, *right.columns)
+
+
+def inner_then_left(df: DataFrame, must: DataFrame, must_on: tuple[str, str], may: DataFrame, may_on: tuple[str, str]) -> DataFrame:
+    """rows that have a match in ``must``, with what ``may`` has for them (NULL otherwise). ``*_on``: the column of ``df`` and the
+    other side's; the other sides' key columns are dropped."""
+    out = df.join(must, F.col(must_on[0]) == F.col(must_on[1])).drop(must_on[1])
+    return out.join(may, F.col(may_on[0]) == F.col(may_on[1]), "left").drop(may_on[1])
+
+
 def left_lookup(df: DataFrame, dim: DataFrame, left_on: str | Column, right_on: str, take: Sequence[str],
                 broadcast: bool = False) -> DataFrame:
     """LEFT JOIN that keeps every row; unresolved lookups give NULL in ``take``.
@@ -61,4 +89,4 @@ def routed_lookup(df: DataFrame, route_col: str, routes: Mapping[str, tuple[Data
     return out_df.select(*kept, F.col("_taken").alias(out))
 
 
-__all__ = ["full_outer_on_nullable", "left_lookup", "routed_lookup"]
+__all__ = ["full_outer_on_nullable", "full_outer_split", "inner_then_left", "left_lookup", "routed_lookup"]

@@ -110,34 +110,117 @@ def sources_freshness(bronze: dict[str, DataFrame], now, warn_hours: int = 24, e
     return out
 
 
+# The declared tests of the gold tables, as (table, columns, test, argument).
+DECLARED = (
+    ("dim_date", ("date_key",), "unique", None), ("dim_date", ("date_key",), "not_null", None),
+    ("dim_movie", ("movie_key",), "unique", None), ("dim_movie", ("movie_key",), "not_null", None),
+    ("dim_movie", ("*",), "row_count_between", None),
+    ("dim_critic", ("critic_key",), "unique", None), ("dim_critic", ("critic_key",), "not_null", None),
+    ("fact_movie_score", ("score_key",), "unique", None), ("fact_movie_score", ("score_key", "movie_key"), "not_null", None),
+    ("fact_movie_score", ("movie_key",), "relationships", ("dim_movie", "movie_key")),
+    ("fact_movie_score", ("platform",), "accepted_values", PLATFORMS),
+    ("fact_critic_review", ("critic_review_key",), "unique", None), ("fact_critic_review", ("critic_review_key",), "not_null", None),
+    ("fact_critic_review", ("movie_key",), "relationships", ("dim_movie", "movie_key")),
+    ("fact_critic_review", ("critic_key",), "relationships", ("dim_critic", "critic_key")),
+    ("fact_critic_review", ("date_key",), "relationships", ("dim_date", "date_key")),
+)
+
+
+def _exact(tables: dict[str, DataFrame], test: tuple, rows: tuple[int, int]) -> DataFrame:
+    """One declared test by a scan of its own."""
+    model, cols, kind, arg = test
+    df = tables[model]
+    if kind == "unique":
+        return unique(df, list(cols), model)
+    if kind == "not_null":
+        return not_null(df, cols, model)
+    if kind == "relationships":
+        return relationships(df, cols[0], tables[arg[0]], arg[1], model)
+    if kind == "accepted_values":
+        return accepted_values(df, cols[0], list(arg), model)
+    return row_count_between(df, *rows, model).select(
+        "model", F.lit("*").alias("column_name"), F.lit(kind).alias("test"),
+        F.when(F.col("passed"), 0).otherwise(1).cast("long").alias("failures"),
+        F.when(F.col("passed"), "pass").otherwise("fail").alias("status"))
+
+
 def gold_tests(gold: dict[str, DataFrame], movie_rows: tuple[int, int] = (1, 1_000_000)) -> DataFrame:
-    """The gold schema's declared tests, one verdict row each. ``movie_rows``: accepted row count of
+    """The gold schema's declared tests, one verdict row each, every test by its own scan. ``movie_rows``: accepted row count of
     ``dim_movie`` (declared: 1 to 1,000,000; a larger catalogue gives its own)."""
-    dd, dm, dc = gold["dim_date"], gold["dim_movie"], gold["dim_critic"]
-    fms, fcr = gold["fact_movie_score"], gold["fact_critic_review"]
-    parts = [
-        unique(dd, ["date_key"], "dim_date"), not_null(dd, ["date_key"], "dim_date"),
-        unique(dm, ["movie_key"], "dim_movie"), not_null(dm, ["movie_key"], "dim_movie"),
-        row_count_between(dm, *movie_rows, "dim_movie").select(
-            "model", F.lit("*").alias("column_name"), F.lit("row_count_between").alias("test"),
-            F.when(F.col("passed"), 0).otherwise(1).cast("long").alias("failures"),
-            F.when(F.col("passed"), "pass").otherwise("fail").alias("status")),
-        unique(dc, ["critic_key"], "dim_critic"), not_null(dc, ["critic_key"], "dim_critic"),
-        unique(fms, ["score_key"], "fact_movie_score"),
-        not_null(fms, ["score_key", "movie_key"], "fact_movie_score"),
-        relationships(fms, "movie_key", dm, "movie_key", "fact_movie_score"),
-        accepted_values(fms, "platform", list(PLATFORMS), "fact_movie_score"),
-        unique(fcr, ["critic_review_key"], "fact_critic_review"),
-        not_null(fcr, ["critic_review_key"], "fact_critic_review"),
-        relationships(fcr, "movie_key", dm, "movie_key", "fact_critic_review"),
-        relationships(fcr, "critic_key", dc, "critic_key", "fact_critic_review"),
-        relationships(fcr, "date_key", dd, "date_key", "fact_critic_review"),
-    ]
+    parts = [_exact(gold, t, movie_rows) for t in DECLARED]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+# ---- the same tests, gathered while the tables are written
+
+
+def observed(model: str) -> dict[str, Column]:
+    """What a write of the table notes for its declared tests: rows, NULLs, values that are not accepted."""
+    out = {"rows": F.count(F.lit(1))}
+    for table, cols, kind, arg in DECLARED:
+        if table == model and kind == "not_null":
+            out.update({f"null {c}": F.count_if(F.col(c).isNull()) for c in cols})
+        if table == model and kind == "accepted_values":
+            out[f"unaccepted {cols[0]}"] = F.count_if(F.col(cols[0]).isNotNull() & ~F.col(cols[0]).isin(list(arg)))
+    return out
+
+
+def key_bitmaps(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """name, bucket, bits, n: the non-NULL values of dense integer keys as bitmaps of 32,768 values each, and their rows;
+    one scan for all keys. A dense key costs a bit per value in the shuffle, where a group-by of the values costs a row."""
+    pairs = ", ".join(f"'{k}', cast(`{k}` as bigint)" for k in keys)
+    long = df.selectExpr(f"stack({len(keys)}, {pairs}) as (name, key)").filter("key is not null")
+    return long.groupBy("name", F.bitmap_bucket_number("key").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("key")).alias("bits"), F.count(F.lit(1)).alias("n"))
+
+
+def gold_tests_from(gold: dict[str, DataFrame], noted: dict[str, dict], save, movie_rows: tuple[int, int] = (1, 1_000_000)) -> DataFrame:
+    """The declared tests from what the writes noted (``observed``), and from one scan per table for its surrogate keys.
+
+    Keys are dense integers, so their values fit bitmaps. A key is unique if it has as many rows as bits; a foreign key has
+    no orphan if the parent's bitmaps do not grow by it. Only a test that fails this way scans again, to count the failures.
+    ``save(df, name)`` writes a small table and reads it back. The driver gets a number or two per test.
+    """
+    wanted: dict[str, dict] = {}
+    for model, cols, kind, arg in DECLARED:
+        if kind in ("unique", "relationships"):
+            wanted.setdefault(model, {})[cols[0]] = None
+        if kind == "relationships":
+            wanted.setdefault(arg[0], {})[arg[1]] = None
+    maps = {m: save(key_bitmaps(gold[m], list(cols)), f"bitmaps-{m}") for m, cols in wanted.items()}
+    counted = {(m, r["name"]): (r["n"], r["bits"]) for m, df in maps.items()
+               for r in df.groupBy("name").agg(F.sum("n").alias("n"), F.sum(F.bitmap_count("bits")).alias("bits")).collect()}
+
+    def grows(model: str, col: str, parent: str, pk: str) -> bool:
+        own, theirs = (maps[m].filter(F.col("name") == c).select("bucket", "bits") for m, c in ((model, col), (parent, pk)))
+        both = own.unionByName(theirs).groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+        return (both.agg(F.sum(F.bitmap_count("bits"))).first()[0] or 0) > counted.get((parent, pk), (0, 0))[1]
+
+    rows, scans = [], []
+    for test in DECLARED:
+        model, cols, kind, arg = test
+        if kind in ("unique", "relationships"):
+            n, bits = counted.get((model, cols[0]), (0, 0))
+            if n != bits if kind == "unique" else grows(model, cols[0], *arg):
+                scans.append(_exact(gold, test, movie_rows))
+            else:
+                rows.append((model, cols[0], kind, 0))
+        elif kind == "not_null":
+            rows += [(model, c, kind, noted[model][f"null {c}"]) for c in cols]
+        elif kind == "accepted_values":
+            rows.append((model, cols[0], kind, noted[model][f"unaccepted {cols[0]}"]))
+        else:
+            rows.append((model, "*", kind, int(not movie_rows[0] <= noted[model]["rows"] <= movie_rows[1])))
+    spark = next(iter(gold.values())).sparkSession
+    out = spark.createDataFrame([(*r, "fail" if r[3] else "pass") for r in rows], "model string, column_name string, test string, failures long, status string")
+    for s in scans:
+        out = out.unionByName(s)
+    return out
+
+
 __all__ = ["not_null", "unique", "duplicate_keys", "orphans", "relationships", "unaccepted_values",
-           "accepted_values", "row_count_between", "freshness", "sources_freshness", "gold_tests", "VERDICT_COLS"]
+           "accepted_values", "row_count_between", "freshness", "sources_freshness", "gold_tests", "observed", "key_bitmaps", "gold_tests_from",
+           "VERDICT_COLS"]

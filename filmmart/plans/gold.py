@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.casts import try_date, try_int
 from ..functions.text import name_slug, prefixed, strip_year
 from ..operators.dedup import latest_per_key, total_order
-from ..operators.joins import left_lookup, routed_lookup
+from ..operators.joins import inner_then_left, left_lookup, routed_lookup
 from ..operators.keys import dense_key
 
 # Spine bounds (end exclusive) and platform labels.
@@ -134,8 +134,7 @@ def fact_movie_score(dm: DataFrame, silver_mc_general: DataFrame, silver_mc_user
     by_users = user_scores(silver_mc_user_reviews).withColumnRenamed("movie_slug", "_user_slug")
     mcg = silver_mc_general.select(F.col("movie_slug").alias("_mc_slug"), "critic_score", "critic_review_count")
     dmm = dm.filter(F.col("mc_slug").isNotNull()).select("movie_key", "mc_slug")
-    mc = (dmm.join(mcg, F.col("_mc_slug") == F.col("mc_slug"))
-             .join(by_users, F.col("_user_slug") == F.col("mc_slug"), "left")
+    mc = (inner_then_left(dmm, mcg, ("mc_slug", "_mc_slug"), by_users, ("mc_slug", "_user_slug"))
              .select("movie_key", F.lit(MC).alias("platform"), "critic_score", "user_score",
                      "critic_review_count",
                      F.coalesce(F.col("user_review_count"), F.lit(0)).cast("long").alias("user_review_count")))

@@ -113,13 +113,6 @@ def child_dirs(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
             if st.isDirectory() and st.getPath().getName().startswith(prefix)]
 
 
-def replace_file(spark: SparkSession, source: str, target: str) -> None:
-    """``source`` takes the place of ``target``."""
-    fs, old = _fs(spark, target)
-    fs.delete(old, False)
-    fs.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source), old)
-
-
 def make_dir(spark: SparkSession, path: str) -> None:
     fs, hpath = _fs(spark, path)
     fs.mkdirs(hpath)
@@ -130,5 +123,5 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     fs.delete(hpath, True)
 
 
-__all__ = ["child_dirs", "make_dir", "replace_file", "remove_dir", "get_spark", "apply_defaults", "checkpoint_dir", "scratch_path", "path_exists", "local_path",
+__all__ = ["child_dirs", "make_dir", "share_code", "remove_dir", "get_spark", "apply_defaults", "checkpoint_dir", "scratch_path", "path_exists", "local_path",
            "SESSION_DEFAULTS", "STARTUP_DEFAULTS"]

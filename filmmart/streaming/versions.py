@@ -45,7 +45,8 @@ def opened(path: str):
     """File system and path within it."""
     from pyarrow import fs
     if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/").rstrip("/")
+        from urllib.parse import unquote
+        return fs.LocalFileSystem(), "/" + unquote(path[len("file:"):]).strip("/")
     if "://" in path:
         system, at = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
         return system, at.rstrip("/")

@@ -81,6 +81,20 @@ def q_lateral_unnest(spark, sf):
         ORDER BY k DESC, user_id, event_id LIMIT 100""")
 
 
+@check("feed_table", """SELECT user_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_id FROM events""")
+def q_feed_table(spark, sf):
+    """The table function over a bronze table, nested paths named."""
+    from ..functions.feed_table import register
+    register(spark)
+    ev = table(spark, sf, "events").withColumn("chunk", F.floor(F.col("event_id") / 64))
+    env = grouped_text(ev, ["user_id", "chunk"], "event_id",
+                       F.concat(F.lit('{"e":'), F.col("event_id").cast("string"), F.lit(',"p":'), F.col("props"), F.lit("}")))
+    view = f"feed_env_{uuid.uuid4().hex[:12]}"
+    env.select(F.col("user_id").cast("string").alias("_source_file"), "data").createOrReplaceTempView(view)
+    return spark.sql(f"""SELECT CAST(_source_file AS BIGINT) AS user_id, try_cast(p_k AS INT) AS k, CAST(e AS BIGINT) AS event_id
+                         FROM feed(TABLE({view}), 'e', 'p.k')""")
+
+
 @check("json_subtree", """SELECT 'r_' || p_partkey AS movie_id,
   CASE WHEN p_partkey % 4 IN (0, 1) THEN NULL
        ELSE '{"likedCount":' || (p_partkey % 97) || ',"notLikedCount":' || (p_partkey % 13) || '}' END AS audience_all

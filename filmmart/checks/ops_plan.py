@@ -9,7 +9,10 @@ from ..functions.text import last_segment, scrub_strings
 from ..operators import planning as P
 from ..operators.crosswalk import build_crosswalk, identity_map
 from ..operators.keys import dense_key
+from ..operators.paging import read_page, write_sorted
+from ..operators.title_index import build_title_index, search_titles
 from ..plans.standins import TS0_EPOCH, table
+from ..session import scratch_path
 from ..sources import responses as R
 from .ops_core import grouped_text
 from .render import render
@@ -186,6 +189,38 @@ def q_title_search(spark, sf):
     return render(R.discovery_records(s, "search", DISCOVERED_AT))
 
 
+SEARCHES = ["RING", "in", "e", "pinned", "qqq", "ed c"]
+
+
+@check("title_index", " UNION ALL ".join(f"""SELECT * FROM (SELECT '{q}' AS query, p_partkey, p_name FROM part WHERE contains(lower(p_name), lower('{q}'))
+ORDER BY p_partkey LIMIT {n}) t{i}""" for i, (q, n) in enumerate((q, 1_000_000 if i % 2 else 40) for i, q in enumerate(SEARCHES))))
+def q_title_index(spark, sf):
+    """Queries of all lengths through the postings; every other one without a cap."""
+    path = scratch_path(spark, "titles")
+    build_title_index(table(spark, sf, "part").select("p_partkey", "p_name"), path, "p_name", folders=8)
+    out = None
+    for i, q in enumerate(SEARCHES):
+        found = search_titles(spark, path, q, "p_partkey", None if i % 2 else 40, "p_name", folders=8)
+        part = found.select(F.lit(q).alias("query"), "p_partkey", "p_name")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+PAGES = [(0, 20), (37, 50), (150, 25), (1_000_000_000, 5)]
+
+
+@check("sorted_pages", " UNION ALL ".join(f"""SELECT * FROM (SELECT {o} AS page_offset, c_custkey FROM customer ORDER BY c_acctbal DESC, c_custkey
+LIMIT {n} OFFSET {o}) t{i}""" for i, (o, n) in enumerate(PAGES)))
+def q_sorted_pages(spark, sf):
+    path = scratch_path(spark, "pages")
+    write_sorted(table(spark, sf, "customer").select("c_custkey", "c_acctbal"), "c_acctbal", "c_custkey", path)
+    out = None
+    for offset, n in PAGES:
+        part = read_page(spark, path, offset, n).select(F.lit(offset).alias("page_offset"), "c_custkey")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @check("optional_cap", """SELECT '0' AS cap, c_custkey FROM customer
 UNION ALL SELECT '25', c_custkey FROM (SELECT c_custkey FROM customer ORDER BY c_custkey LIMIT 25) t""")
 def q_optional_cap(spark, sf):

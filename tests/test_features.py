@@ -119,3 +119,40 @@ def test_entry_without_a_library_of_the_optional_part():
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout
     assert out.split()[-3:] == ["True", "False", "True"]
+
+
+def test_title_index_reads_the_postings_it_names(spark):
+    from filmmart.operators import title_index as T
+    from filmmart.operators.planning import title_search
+    rng = random.Random(2)
+    titles = ["".join(rng.choices("abé I", k=rng.randrange(9))) for _ in range(200)] + [None, "", "a", "İx", "100%_a"]
+    cat = spark.createDataFrame(list(enumerate(titles)), "i int, title string")
+    path = scratch_path(spark, "t-titles")
+    T.build_title_index(cat, path, folders=4)
+    for q in ["a", "ab", "abé", "ab a", "É", "", "zzz", "i", "%_", "b abb"]:
+        assert [r["i"] for r in T.search_titles(spark, path, q, "i", folders=4).collect()] == [r["i"] for r in title_search(cat, q, "i").collect()]
+    read = T.postings_of(spark, path, ["abé"], 4)
+    assert "PartitionFilters: [" in read._jdf.queryExecution().toString() and {r["gram"] for r in read.collect()} == {"abé"}
+
+
+def test_pages_read_few_files(spark):
+    from filmmart.operators import paging as P
+    cat = spark.createDataFrame([(i, i % 50 if i % 7 else None) for i in range(2000)], "slug int, critic_score int")
+    path = scratch_path(spark, "t-pages")
+    P.write_sorted(cat, "critic", "slug", path, partitions=8)
+    from filmmart.operators.planning import browse
+    for offset in (0, 777, 1990, 5000):
+        page = P.read_page(spark, path, offset, 15)
+        assert [r["slug"] for r in page.collect()] == [r["slug"] for r in browse(cat, "critic", "slug", offset=offset, max_items=15).collect()]
+        assert offset > 2000 or len(page.inputFiles()) <= 2
+
+
+def test_feed_table_function(spark):
+    from filmmart.functions.feed_table import register
+    register(spark)
+    spark.createDataFrame([("f", '[{"a": 1, "b": {"c": [1, "é"]}}, 5, {"b": null}]'), ("g", "null"), ("h", None), ("o", '{"a": 1}')],
+                          "_source_file string, data string").createOrReplaceTempView("t_feed")
+    got = spark.sql("SELECT * FROM feed(TABLE(t_feed), 'a', 'b.c', 'b') LIMIT 10")
+    assert got.columns == ["_source_file", "a", "b_c", "b"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [("f", "1", '[1,"é"]', '{"c":[1,"é"]}'), ("f", None, None, None), ("f", None, None, None)], key=str)

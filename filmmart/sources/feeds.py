@@ -19,7 +19,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..functions.jsonops import canonical_json, lines_as_array, reject_reason
 from ..schemas import BRONZE_SCHEMA, BRONZE_TABLES, REJECT_SCHEMA
-from ..session import child_dirs, make_dir, path_exists, remove_dir
+from ..session import child_dirs, make_dir, path_exists, remove_dir, scratch_path
 
 ENVELOPE = ["_loaded_at", "_source_file", "data"]
 #: What tells one version of a feed file from the next at the same path.
@@ -163,15 +163,17 @@ def load_batch(spark: SparkSession, pattern: str, bronze_path: str, rejects_path
 
 
 def replace_snapshot(spark: SparkSession, pattern: str, bronze_path: str, loaded_at: Column | None = None,
-                     json_lines: bool = False) -> str:
+                     json_lines: bool = False, keep: int = 1) -> str:
     """Replace a snapshot table only with a fully valid new version.
 
-    A missing or broken file keeps the old content. The new version is written as a new
+    A missing or broken file keeps the old content. The feed is read once, into a written copy from which it is
+    judged and loaded, so a file that changes meanwhile can't be judged in one state and loaded in another. The new version is a new
     ``load_id`` partition; readers follow the pointer in ``_current``, which is set last, in one
     step: they see the old version whole or the new one whole, also if the job dies in between.
-    Older versions are dropped after that. Returns ``replaced`` or the reason the old content was kept."""
-    tagged = to_bronze(read_feed(spark, pattern, json_lines), loaded_at)
-    stats = tagged.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("reason").isNotNull()).alias("bad")).first()
+    ``keep`` earlier versions stay for readers still on them, older ones are dropped. Returns ``replaced`` or the reason the old
+    content was kept."""
+    staged = rebuild_table(to_bronze(read_feed(spark, pattern, json_lines), loaded_at), scratch_path(spark, "snapshot"))
+    stats = staged.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("reason").isNotNull()).alias("bad")).first()
     if stats["n"] == 0:
         return "kept: no file"
     if stats["bad"] > 0:
@@ -179,12 +181,14 @@ def replace_snapshot(spark: SparkSession, pattern: str, bronze_path: str, loaded
     version = f"snapshot-{time.time_ns():020d}-{uuid.uuid4().hex}"
     root = bronze_path.rstrip("/")
     old, pointers = child_dirs(spark, root, "load_id="), child_dirs(spark, f"{root}/{CURRENT}")
-    write_load(good(tagged), root, version)
+    write_load(good(staged), root, version)
     make_dir(spark, f"{root}/{CURRENT}/{version}")
     for name in pointers:
         remove_dir(spark, f"{root}/{CURRENT}/{name}")
-    for name in old:
-        remove_dir(spark, f"{root}/{name}")
+    if pointers:  # what came after the last pointer was never served
+        served = sorted(n for n in old if n <= f"load_id={max(pointers)}")
+        for name in set(old) - set(served[len(served) - keep:] if keep else ()):
+            remove_dir(spark, f"{root}/{name}")
     return "replaced"
 
 

@@ -113,7 +113,11 @@ def test_snapshot_replace(spark):
     _write(f"{root}/v3", {"crosswalk.json": '[{"rt_slug": "c"}]'})
     assert A.replace_snapshot(spark, f"{root}/v3/*.json", bronze) == "replaced"
     from filmmart.session import child_dirs
-    assert len(child_dirs(spark, bronze, "load_id=")) == 1          # older versions dropped
+    assert len(child_dirs(spark, bronze, "load_id=")) == 2          # the version before stays for its readers
+    _write(f"{root}/v4", {"crosswalk.json": '[{"rt_slug": "d"}]'})
+    assert A.replace_snapshot(spark, f"{root}/v4/*.json", bronze) == "replaced"
+    assert A.replace_snapshot(spark, f"{root}/v3/*.json", bronze, keep=0) == "replaced"
+    assert len(child_dirs(spark, bronze, "load_id=")) == 1          # none stays if none is to
     assert [r["data"] for r in A.read_bronze(spark, bronze).collect()] == ['[{"rt_slug":"c"}]']
 
 

@@ -190,14 +190,25 @@ def gold_tests_from(gold: dict[str, DataFrame], noted: dict[str, dict], save, mo
             wanted.setdefault(model, {})[cols[0]] = None
         if kind == "relationships":
             wanted.setdefault(arg[0], {})[arg[1]] = None
-    maps = {m: save(key_bitmaps(gold[m], list(cols)), f"bitmaps-{m}") for m, cols in wanted.items()}
-    counted = {(m, r["name"]): (r["n"], r["bits"]) for m, df in maps.items()
-               for r in df.groupBy("name").agg(F.sum("n").alias("n"), F.sum(F.bitmap_count("bits")).alias("bits")).collect()}
+    maps = None
+    for m, cols in wanted.items():
+        own = key_bitmaps(gold[m], list(cols)).withColumn("model", F.lit(m))
+        maps = own if maps is None else maps.unionByName(own)
+    maps = save(maps, "key-bitmaps")
+    counted = {(r["model"], r["name"]): (r["n"], r["bits"]) for r in maps.groupBy("model", "name").agg(
+        F.sum("n").alias("n"), F.sum(F.bitmap_count("bits")).alias("bits")).collect()}
+    # A foreign key's bitmaps and its parent's, put together, for all relationships at once.
+    related = [(m, c[0], *arg) for m, c, kind, arg in DECLARED if kind == "relationships"]
+    both = None
+    for k, (m, c, parent, pk) in enumerate(related):
+        ends = ((F.col("model") == m) & (F.col("name") == c)) | ((F.col("model") == parent) & (F.col("name") == pk))
+        own = maps.filter(ends).select(F.lit(k).alias("k"), "bucket", "bits")
+        both = own if both is None else both.unionByName(own)
+    both = both.groupBy("k", "bucket").agg(F.bitmap_or_agg("bits").alias("bits")).groupBy("k").agg(F.sum(F.bitmap_count("bits")).alias("bits"))
+    together = {related[r["k"]]: r["bits"] for r in both.collect()}
 
     def grows(model: str, col: str, parent: str, pk: str) -> bool:
-        own, theirs = (maps[m].filter(F.col("name") == c).select("bucket", "bits") for m, c in ((model, col), (parent, pk)))
-        both = own.unionByName(theirs).groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-        return (both.agg(F.sum(F.bitmap_count("bits"))).first()[0] or 0) > counted.get((parent, pk), (0, 0))[1]
+        return together.get((model, col, parent, pk), 0) > counted.get((parent, pk), (0, 0))[1]
 
     rows, scans = [], []
     for test in DECLARED:

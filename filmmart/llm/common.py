@@ -46,6 +46,14 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have yet, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def n_words(col) -> "F.Column":
     """Words in a text column; 0 for null."""
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("long")

@@ -21,15 +21,13 @@ row of each component stays, also if rows are repeated in full, share a doc_id o
 
 from __future__ import annotations
 
-from collections import OrderedDict
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LocalVocab, by_bytes, materialize, mix, prepare, read_table, shingle_hashes
+from .common import LocalVocab, by_bytes, materialize, mix, prepare, read_table, shingle_hashes, unused
 from .components import components
 
 SHINGLE = 5
@@ -37,6 +35,8 @@ THRESHOLD = 85  # per cent of the union
 ROWS = 5
 N_HASH = 60
 BANDS = 2 * N_HASH // ROWS
+CELL = 512  # members of a bucket in a block
+TOGETHER = 2000  # pairs of one pivot in a task
 BITS = 1024  # of the bitmap that bounds the difference of two sets
 SKETCH = [f"s{i}" for i in range(BITS // 64)]
 
@@ -109,33 +109,91 @@ def _sign(batches):
 
 
 def _confirm(batches):
-    """Keeps the pairs (a, b) whose full sets have the similarity asked for."""
-    cache: OrderedDict = OrderedDict()
-
-    def full_set(node: bytes, text: bytes) -> np.ndarray:
-        got = cache.get(node)
-        if got is None:
-            got = cache[node] = _shingles([text])[0][0]
-            if len(cache) > 64:
-                cache.popitem(last=False)
-        else:
-            cache.move_to_end(node)
-        return got
-
+    """Rows (b, salt, a, text) sorted by b, salt and a, nulls first: a null a brings b's own text, the others the texts to hold
+    against it. Keeps the pairs (a, b) whose full sets have the similarity asked for."""
+    key, held = None, None
+    for batch in batches:
+        b, a, salts = (batch.column(c).to_pylist() for c in ("b", "a", "salt"))
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        keep_a, keep_b = [], []
+        for lo, hi in by_bytes(texts, 2 << 20):
+            sets, _ = _shingles(texts[lo:hi])
+            for i, x in zip(range(lo, hi), sets, strict=True):
+                if a[i] is None:
+                    key, held = (b[i], salts[i]), x
+                elif key == (b[i], salts[i]):
+                    same = len(np.intersect1d(x, held, assume_unique=True))
+                    if 100 * same >= THRESHOLD * (len(x) + len(held) - same):
+                        keep_a.append(a[i])
+                        keep_b.append(b[i])
+        yield pa.RecordBatch.from_arrays([pa.array(keep_a, pa.binary()), pa.array(keep_b, pa.binary())], names=["a", "b"])
+
+
+def _cell_pairs(batches):
+    """Rows of cells (bucket, i, j), sorted by them: the members of blocks i and j of a bucket. Gives the pairs of members of different
+    components that may have the similarity, by set sizes and bitmaps, each in the first bucket that both are in. A pivot, whose
+    component is null here, has been compared already."""
+    def pairs(key: tuple, rows: list) -> list:
+        bucket, i, j = key
+        rows = [r for r in rows if r["component"] is not None]
+        if len(rows) < 2:
+            return []
+        number: dict = {}
+        component = np.array([number.setdefault(r["component"], len(number)) for r in rows])
+        if len(number) < 2:
+            return []
+        sketch = np.array([r["sketch"] for r in rows], dtype=np.int64).view(np.uint64)
+        bands = np.array([r["bands"] for r in rows], dtype=np.int64)
+        n = np.array([r["n"] for r in rows], dtype=np.int64)
+        block = np.array([r["own"] for r in rows])
+        left = np.flatnonzero(block == i)
+        right = left if i == j else np.flatnonzero(block == j)
+        x, y = n[left][:, None], n[right][None, :]
+        may = (component[left][:, None] != component[right][None, :]) & (100 * np.minimum(x, y) >= THRESHOLD * np.maximum(x, y))
+        if i == j:
+            may &= np.arange(len(left))[:, None] < np.arange(len(right))[None, :]
+        p, q = np.nonzero(may)
+        p, q = left[p], right[q]
+        out = []
+        for lo in range(0, len(p), 1 << 16):
+            a, b = p[lo:lo + (1 << 16)], q[lo:lo + (1 << 16)]
+            differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64)
+            close = (100 + THRESHOLD) * differ <= (100 - THRESHOLD) * (n[a] + n[b])
+            a, b = a[close], b[close]
+            same = bands[a] == bands[b]
+            first = bands[a, same.argmax(axis=1)] == bucket
+            out.extend((rows[k]["node"], rows[m]["node"]) for k, m in zip(a[first].tolist(), b[first].tolist(), strict=True))
+        return out
+
+    key, held = None, []
     for batch in batches:
-        a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-        ta, tb = (batch.column(c).cast(pa.binary()).to_pylist() for c in ("text_a", "text_b"))
-        keep = []
-        for i in range(len(a)):
-            x, y = full_set(a[i], ta[i]), full_set(b[i], tb[i])
-            same = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * same >= THRESHOLD * (len(x) + len(y) - same))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        found = []
+        for r in batch.to_pylist():
+            if key != (r["bucket"], r["i"], r["j"]):
+                if held:
+                    found += pairs(key, held)
+                key, held = (r["bucket"], r["i"], r["j"]), []
+            held.append(r)
+        yield _pair_batch(found)
+    if held:
+        yield _pair_batch(pairs(key, held))
+
+
+def _pair_batch(found: list) -> pa.RecordBatch:
+    a, b = zip(*found, strict=True) if found else ([], [])
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    left, right = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a binary, b binary")
+    """The pairs (a, b) that hold on the full sets. b's text goes once to each task that holds some of its pairs."""
+    spark = pairs.sparkSession
+    counts = materialize(spark, pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).alias("salts")), "minmax-salts")
+    own = counts.join(texts, F.col("b") == F.col("node")).select(
+        "b", F.explode(F.sequence(F.lit(0), F.col("salts").cast("int") - 1)).alias("salt"), F.lit(None).cast("binary").alias("a"), "text")
+    dealt = pairs.join(counts, "b").select("b", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt"), "a")
+    rows = own.unionByName(dealt.join(texts, F.col("a") == F.col("node")).select("b", "salt", "a", "text"))
+    rows = rows.repartition("b", "salt").sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first())
+    return rows.mapInArrow(_confirm, "a binary, b binary")
 
 
 def _grouped(docs: DataFrame, row) -> DataFrame:
@@ -150,7 +208,7 @@ def _grouped(docs: DataFrame, row) -> DataFrame:
         F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"),
         F.first("sketch").alias("sketch"))
     classes = materialize(spark, classes, "minmax-classes")
-    sketches = classes.select("node", "n", *[F.col("sketch")[i].alias(c) for i, c in enumerate(SKETCH)])
+    sketches = classes.select("node", "n", "bands", "sketch", *[F.col("sketch")[i].alias(c) for i, c in enumerate(SKETCH)])
     members = classes.select("node", F.explode("bands").alias("bucket"))
     buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot")).filter("size > 1")
     buckets = materialize(spark, buckets.select("bucket", "pivot"), "minmax-buckets")
@@ -178,13 +236,16 @@ def _grouped(docs: DataFrame, row) -> DataFrame:
     pivots = found.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_component"))
     placed = placed.join(pivots, "pivot", "left").withColumn("main", F.coalesce("pivot_component", "pivot") == F.col("component"))
     placed = materialize(spark, placed.drop("pivot_component"), "minmax-placed")
-    # Only buckets that hold several components have pairs to try.
-    unsettled = placed.filter("not main").select("bucket").distinct()
-    placed = materialize(spark, placed.join(unsettled, "bucket").join(in_buckets, "node"), "minmax-unsettled")
-    x, y = placed.filter("not main").alias("x"), placed.alias("y")
-    open_pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & F.expr(
-        "x.component <> y.component and y.node <> y.pivot and (y.main or x.node > y.node)") & _may_link("x", "y", "n", "n"))
-    open_pairs = open_pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    # Only buckets that hold several components have pairs to try: blocks of their members meet in cells of bounded size.
+    unsettled = placed.groupBy("bucket").agg(F.count_if(~F.col("main")).alias("open"), F.ceil(F.count(F.lit(1)) / CELL).alias("blocks"))
+    unsettled = materialize(spark, unsettled.filter("open > 0").select("bucket", F.col("blocks").cast("int").alias("blocks")), "minmax-unsettled")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    cells = placed.join(unsettled, "bucket").join(in_buckets, "node").select(
+        "bucket", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "node",
+        F.when(F.col("node") != F.col("pivot"), F.col("component")).alias("component"), "n", "sketch", "bands")
+    cells = cells.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other")
+    cells = cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    open_pairs = cells.mapInArrow(_cell_pairs, "a binary, b binary")
     open_pairs = materialize(spark, open_pairs, "minmax-open")
     more = materialize(spark, _confirmed(open_pairs, texts), "minmax-more")
     if not more.isEmpty():
@@ -217,16 +278,17 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     digest = F.unhex(F.sha2(F.concat(
         F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.concat(F.lit(" "), "text"), F.lit(""))).cast("binary"), 256))
+    kept_row, kept_n = unused(docs, "kept_row"), unused(docs, "kept_n")
     rows = _grouped(docs, digest).withColumn("component", F.coalesce("component", "row"))
     rows = rows.groupBy("component", "doc_id", "node", "row").agg(F.count(F.lit(1)).alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "node", "row", "n")).alias("first")
-    stay = rows.groupBy("component").agg(first).select(F.col("first.row").alias("_kept_row"), F.col("first.n").alias("_kept_n"))
+    stay = rows.groupBy("component").agg(first).select(F.col("first.row").alias(kept_row), F.col("first.n").alias(kept_n))
     stay = materialize(spark, stay, "minmax-stay")
-    numbered = docs.withColumn("_kept_row", digest)
-    once = numbered.join(stay.filter("_kept_n = 1"), "_kept_row", "left_semi")
+    numbered = docs.withColumn(kept_row, digest)
+    once = numbered.join(stay.filter(F.col(kept_n) == 1), kept_row, "left_semi")
     # Of rows alike one stays; written first, so that a row repeated very often is merged where it is read.
-    alike = materialize(spark, numbered.join(stay.filter("_kept_n > 1"), "_kept_row", "left_semi"), "minmax-alike")
-    return once.unionByName(alike.dropDuplicates(["_kept_row"])).select(docs.columns)
+    alike = materialize(spark, numbered.join(stay.filter(F.col(kept_n) > 1), kept_row, "left_semi"), "minmax-alike")
+    return once.unionByName(alike.dropDuplicates([kept_row])).select(docs.columns)
 
 
 def op2_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

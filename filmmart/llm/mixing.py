@@ -92,20 +92,28 @@ def apportion(cells: DataFrame, group: str, seats: str, claim: str, most: str, r
     return out.withColumn("quota", (F.col("quota") + extra).cast("long")).select(*cells.columns, "quota")
 
 
-def _quotas(docs: DataFrame, seed: int, weights, share, most) -> DataFrame:
-    """The documents with source_size, target, their cell (sid, shard) and the cell's quota of blocks."""
-    spark = docs.sparkSession
-    light = docs.select("source", n_words(F.col("text")).alias("size"))
+def _sized(docs: DataFrame, seed: int) -> DataFrame:
+    return docs.withColumn("_mix_size", n_words(F.col("text"))).withColumn("_mix_h", F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(seed)))
+
+
+def _dealer(sized: DataFrame, weights, share, most):
+    """From the written sizes (source, _mix_size, _mix_h) of all documents: a function that gives rows with these columns their
+    source_size, target, cell (sid, shard) and the cell's quota of blocks."""
+    spark = sized.sparkSession
+    light = sized.select("source", F.col("_mix_size").alias("size"))
     light = light.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")).select(
         "source", (F.col("size") * F.col("n")).alias("size"))
     src = source_targets(light, weights, share, most)
     n_shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / SHARD_WORDS)).cast("long")
-    sized = docs.withColumn("_mix_size", n_words(F.col("text"))).withColumn(
-        "_mix_h", F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(seed)))
     names = src.select(F.col("source").alias("_mix_source"), F.col("sid").alias("_mix_sid"), n_shards.alias("_mix_n"),
                        F.col("source_size").alias("_mix_source_size"), F.col("target").alias("_mix_target"))
-    dealt = sized.join(names, F.col("source").eqNullSafe(F.col("_mix_source"))).withColumn(
-        "_mix_shard", F.pmod(F.xxhash64("_mix_h", F.lit(1)), F.col("_mix_n")))
+    names = materialize(spark, names, "mix-sources")
+
+    def in_cells(rows: DataFrame) -> DataFrame:
+        return rows.join(names, F.col("source").eqNullSafe(F.col("_mix_source"))).withColumn(
+            "_mix_shard", F.pmod(F.xxhash64("_mix_h", F.lit(1)), F.col("_mix_n")))
+
+    dealt = in_cells(sized)
     nb = F.ceil(F.sum("_mix_size") / BLOCK_WORDS).cast("long")
     cells = dealt.groupBy("_mix_sid", "_mix_shard").agg(
         nb.alias("nb"), F.max("_mix_source_size").alias("source_size"), F.max("_mix_target").alias("target"))
@@ -120,7 +128,7 @@ def _quotas(docs: DataFrame, seed: int, weights, share, most) -> DataFrame:
         (F.col("nb") * most).alias("most"))
     quotas = materialize(spark, apportion(cells, "_mix_sid", "seats", "claim", "most"), "mix-quotas").select(
         "_mix_sid", "_mix_shard", F.col("quota").alias("_mix_quota"))
-    return dealt.join(quotas, ["_mix_sid", "_mix_shard"], "left")
+    return lambda rows: in_cells(rows).join(quotas, ["_mix_sid", "_mix_shard"], "left")
 
 
 def _spans(size: np.ndarray, h: np.ndarray, quota: int, seed: int) -> list:
@@ -159,7 +167,9 @@ def _cell_seed(seed: int, pdf: pd.DataFrame) -> int:
 def mix_documents(docs: DataFrame, seed: int = SEED, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """doc_id, size, source_size, target, taken: the words the mix takes of each document."""
     prepare(docs.sparkSession)
-    dealt = _quotas(docs.select("doc_id", "text", "source"), seed, weights, share, most).select(
+    sized = _sized(docs.select("doc_id", "text", "source"), seed).select("doc_id", "source", "_mix_size", "_mix_h")
+    sized = materialize(docs.sparkSession, sized, "mix-sizes")  # the words of a text are counted once
+    dealt = _dealer(sized, weights, share, most)(sized).select(
         "doc_id", "_mix_sid", "_mix_shard", "_mix_size", "_mix_h", "_mix_source_size", "_mix_target", "_mix_quota")
 
     def taken(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -181,7 +191,9 @@ def mixed_texts(docs: DataFrame, seed: int = SEED, weights=WEIGHTS, share: float
     the words taken (spans apart are joined by a line break; a document taken whole keeps its text as it is)."""
     prepare(docs.sparkSession)
     names = docs.columns
-    dealt = _quotas(docs, seed, weights, share, most).drop("_mix_source", "_mix_n", "_mix_source_size", "_mix_target")
+    sized = _sized(docs, seed)
+    light = materialize(docs.sparkSession, sized.select("source", "_mix_size", "_mix_h"), "mix-sizes")
+    dealt = _dealer(light, weights, share, most)(sized).drop("_mix_source", "_mix_n", "_mix_source_size", "_mix_target")
 
     def take(pdf: pd.DataFrame) -> pd.DataFrame:
         quota = pdf["_mix_quota"].fillna(0).iloc[0]

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -61,6 +62,28 @@ def test_packing_finds_the_tightest_compatible_bin():
                 assert got[want[:2]] == want[2]
 
 
+def test_packing_of_hot_sources_and_clusters():
+    """The search is exact, and its work stays in proportion, where most pieces share a source or a text."""
+    rng = random.Random(3)
+    for _ in range(30):
+        n_sources, n_clusters = rng.choice([(1, 60), (2, 5), (20, 3), (3, 1)])
+        rows = [(i, f"s{rng.randint(0, n_sources)}", rng.choice([0, 7, rng.randint(1, 40), rng.randint(1, 250)]), rng.randint(0, n_clusters)) for i in range(150)]
+        got = {(p[0], p[1]): p[4] for p in packing.pack_group(rows, 100)}
+        assert all(got[want[:2]] == want[2] for want in best_fit(rows, 100) if len(want) == 3)
+    for rows in ([(i, "s", rng.randint(1, 60), i) for i in range(40_000)], [(i, f"s{i % 20}", 30, 0) for i in range(40_000)]):
+        began = time.process_time()
+        assert len({p[4] for p in packing.pack_group(rows, 2048)}) == 40_000
+        assert time.process_time() - began < 30
+
+
+def test_packing_keeps_every_repeated_row(spark, monkeypatch):
+    monkeypatch.setattr(packing, "LOT", 3)
+    rows = [(1, "a b c", "s")] * 10 + [(2, None, None)] * 5 + [(i, "x y " * i, "s") for i in range(3, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = collections.Counter(r.doc_id for r in packing.pack_documents(docs).collect())
+    assert got == collections.Counter(r[0] for r in rows)
+
+
 def test_packing_rows(edge, nothing):
     rows, docs = edge
     got = packing.pack_documents(docs, capacity=100).collect()
@@ -419,10 +442,18 @@ def test_word_lookup_agrees_with_whole_texts():
     tk.encode_special_tokens = True
     texts = ["Don't stop, I'll go... we've", "été, ÉTÉ! İstanbul", "a,b.c!? (x) 12,345.67;", "Å ẛ̣ fiﬁ :;", "it's. 's 's, \U0001f600, 你好,",
              "x y z\u0085w", "end.\n\nNew\tline", "café́, ΣΣ."]
-    coder = token_files.WordEncoder(path, remember=5)
-    for _ in range(2):
-        for t, c in zip(texts, coder.encode([t.encode() for t in texts]), strict=True):
-            assert np.frombuffer(c, coder.dtype).tolist() == tk.encode(t, add_special_tokens=False).ids
+    texts += ["", "a ~ b~c ~~ ^ @ | \u1fef", "\u0301 \u0338a", "<|endoftext|> [PAD] a<s>b"]
+    rng = random.Random(5)
+    texts.append(" ".join("".join(rng.choices("abcdé~.,'#sΣ1İ", k=rng.randint(1, 9))) for _ in range(60_000)))  # a very long one
+    want = [tk.encode(t, add_special_tokens=False).ids for t in texts]
+    for remember in (5, 500_000):
+        coder = token_files.WordEncoder(path, remember)
+        for end in (False, True, True):
+            ids, sizes = coder.encode([t.encode() for t in texts], end)
+            assert [p.tolist() for p in np.split(ids, np.cumsum(sizes)[:-1])] == [w + [token_files.END] * end for w in want]
+    coder.mark = b""
+    assert coder.encode([b"no mark, one by one"])[0].tolist() == tk.encode("no mark, one by one", add_special_tokens=False).ids
+    assert [len(x) for x in coder.encode([])] == [0, 0]
 
 
 # 6 fingerprints
@@ -580,14 +611,14 @@ def test_extraction_of_marked_articles(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     got = {r.page_id: r for r in html_gbt.op10_html_gbt(spark, "/root/testdata/sf0.01").collect()}
     import html
-    same = n = 0
+    n = 0
     for p in pages.collect():
         story = p.html.split("<article>")[1].split("</article>")[0] if "<article>" in p.html else ""
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", story)]
-        same += got[p.page_id].text == "\n".join(b for b in blocks if b)
-        n += 1
+        assert got[p.page_id].text == "\n\n".join(b for b in blocks if b)
         assert got[p.page_id].n_chars == len(got[p.page_id].text)
-    assert same >= 0.97 * n
+        n += bool(story)
+    assert n > 100
 
 
 def test_extraction_of_other_layouts(spark):
@@ -607,6 +638,22 @@ def test_extraction_of_other_layouts(spark):
     assert right[0] / (right[0] + right[1]) > 0.95 and right[0] / (right[0] + right[2]) > 0.95
 
 
+def test_extraction_of_hand_written_pages():
+    """Layouts that no training page is made from, with texts that no training page holds."""
+    import pyarrow.parquet as pq
+    model = html_gbt.train(pq.read_table("/root/testdata/sf0.001/pages.parquet", columns=["html"]).column("html").to_pylist())
+    s = "A long winter kept the river under ice until the middle of March, and the ferries stayed in the harbour while their crews mended nets and argued about the price of diesel."
+    p = "The committee met twice before it agreed on a plan that neither side liked, which most observers took as a sign that the plan might work after all."
+    q = "In the end it was the schoolteacher who found the old map, folded into a hymn book, and her pupils who walked the boundary with chalk and string."
+    held_out = [
+     (f"<html><body><div id='masthead'><a href='/'>The Gazette</a></div><div class='nav'><a href='/a'>News</a> <a href='/b'>Sport</a></div><div id='content'><h1>Ice on the river</h1><p>{s}</p><p>{p}</p></div><div class='sidebar'><h3>Popular</h3><ul><li><a href='/1'>One</a><li><a href='/2'>Two</a></ul></div><div id='footer'>&copy; The Gazette 2020</div></body></html>", f"Ice on the river\n\n{s}\n\n{p}"),
+     (f"<body><header><nav><ul><li><a href=x>Home</a><li><a href=y>About</a></ul></nav></header><main><section><h2>The map</h2><p>{q}</p><blockquote>{p}</blockquote><aside class='ad'>Buy now and save</aside><p>{s}</p></section></main><footer><p>All rights reserved.</p></footer></body>", f"The map\n\n{q}\n\n{p}\n\n{s}"),
+     (f"<div class='wrapper'><div class='cookie-banner'><p>We use cookies to improve this site.</p><button>Accept</button></div><div class='post'><p>{s}</p><ul><li>{p}</li><li>{q}</li></ul></div><div class='comments'><h3>2 comments</h3><div class='comment'><b>Ann</b><p>{p}</p></div></div></div>", f"{s}\n\n{p}\n\n{q}"),
+    ]
+    for (_, want), got in zip(held_out, html_gbt.extract([page for page, _ in held_out], model), strict=True):
+        assert got == want
+
+
 def test_extraction_edges(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "no tags at all"), (4, "u", "<p>open <b>bold"), (5, "u", "<div>" * 3000 + "deep"),
             (6, "u", "<article><h1>T &amp; x</h1><p>A  b\n c &eacute;&nbsp;d<br>e</p></article><footer>f</footer>"), (6, "u", "<script>var a='<p>no</p>'"), (7, "u", "&#0; &bogus; <"),
@@ -618,7 +665,7 @@ def test_extraction_edges(spark):
     assert len(got) == len(rows)
     text = {(r.page_id, r.url): r.text for r in got}
     assert text[(1, "u")] == text[(2, None)] == text[(8, "u")] == ""
-    assert "T & x\nA b c é d e" in {r.text for r in got}
+    assert "T & x\n\nA b c é d e" in {r.text for r in got}
     assert html_gbt.extract_pages(pages.filter("false"), model).count() == 0
     assert html_gbt.extract_pages(pages, html_gbt.fit(pages.filter("false"))).count() == len(rows)
 

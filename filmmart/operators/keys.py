@@ -42,8 +42,8 @@ def dense_key(df: DataFrame, order: Sequence[Column], name: str, partitions: int
         # spreads them (their relative order is immaterial). It is a hash of a row number that
         # is written first, so a task that runs again places its rows as before.
         numbered = scratch_path(spark, "dense-key-rows")
-        work.withColumn("_row", F.monotonically_increasing_id()).write.parquet(numbered)
-        work = spark.read.parquet(numbered).select(*cols, F.xxhash64("_row").alias("_salt"))
+        work.withColumn("_row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(numbered)
+        work = spark.read.parquet(numbered).select(*cols, F.hash("_row").alias("_salt"))  # 4 bytes a row in the shuffle
         order = order + [F.col("_salt")]
     # Without an explicit count AQE sizes the range exchange to the data (it only merges
     # adjacent range partitions, so order holds); the files written below freeze the result.
@@ -55,7 +55,7 @@ def dense_key(df: DataFrame, order: Sequence[Column], name: str, partitions: int
         ranged = ranged.drop("_salt")
     # Frozen as columnar files: the count reads the id column only, and the rows are read once.
     path = scratch_path(spark, "dense-key")
-    ranged.write.parquet(path)
+    ranged.write.option("compression", "zstd").parquet(path)
     ranged = spark.read.schema(ranged.schema).parquet(path)
     pid = F.shiftrightunsigned(F.col("_mid"), _LOCAL_BITS)
     offsets = (ranged.groupBy(pid.alias("_pid")).count()

@@ -212,10 +212,10 @@ def rebuild_table(df: DataFrame, path: str, observe: dict[str, Column] | None =
     """Full rebuild (overwrite) and the written table read back. ``observe``: aggregates gathered by the write itself; they
     are returned with the table."""
     if not observe:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return df.sparkSession.read.parquet(path)
     notes = Observation()
-    df.observe(notes, *[c.alias(name) for name, c in observe.items()]).write.mode("overwrite").parquet(path)
+    df.observe(notes, *[c.alias(name) for name, c in observe.items()]).write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path), notes.get
 
 

@@ -223,7 +223,8 @@ def _grouped(docs: DataFrame, row) -> DataFrame:
     holders = signed.filter("node is not null").select("doc_id", "node").join(
         wanted.select("node", "rep"), "node").filter(F.col("doc_id").eqNullSafe(F.col("rep"))).select("doc_id", "node").distinct()
     holders = materialize(spark, holders, "minmax-holders")
-    texts = docs.join(holders, docs["doc_id"].eqNullSafe(holders["doc_id"])).select("node", "text")
+    # Holders grow with the texts: they are shuffled at every size, never sent whole to each executor.
+    texts = docs.join(holders.hint("merge"), docs["doc_id"].eqNullSafe(holders["doc_id"])).select("node", "text")
     # Rows with one doc_id may have other texts: only the class's own text confirms.
     texts = texts.mapInArrow(_own_text, "node binary, text string")
     texts = materialize(spark, texts.groupBy("node").agg(F.first("text").alias("text")), "minmax-texts")

@@ -20,3 +20,21 @@ def test_bronze_shuffles_columns_not_text(spark):
     plan = bronze.select(F.length("data")).toDF("n")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(_epoch" in plan
     assert "to_json" not in plan.split("Exchange hashpartitioning(_epoch")[1].lower().replace("structstojson", "to_json")
+
+
+def test_candidate_texts_meet_by_shuffle_at_every_size(spark, monkeypatch):
+    """The classes whose texts are wanted grow with the input: their join is planned alike at any size, without a broadcast."""
+    from filmmart.llm import minmax_dedup
+    plans, written = {}, minmax_dedup.materialize
+
+    def noted(spark, df, name):
+        out = written(spark, df, name)
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return out
+
+    monkeypatch.setattr(minmax_dedup, "materialize", noted)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:59], "x"])), (3, "something else altogether"), (None, None)]
+    got = minmax_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {1: 1, 2: 1, 3: 3, None: None}
+    assert "SortMergeJoin" in plans["minmax-texts"] and "BroadcastHashJoin" not in plans["minmax-texts"]

@@ -20,6 +20,7 @@ from ..plans.capture import write_feeds
 from ..plans.standins import mc_general, table
 from ..session import scratch_path
 from ..sources import feeds as A
+from ..sources import small_files as T
 from ..sources.containers import container_read, container_write
 from ..sources.json_array import load_arrays
 from ..streaming.feed_stream import load_stream
@@ -61,7 +62,13 @@ def _feed_text(spark: SparkSession, sf: str) -> DataFrame:
 
 def write_feed(files: DataFrame, folder: str, mode: str = "overwrite") -> str:
     """One text file per ``key`` holding ``value``; returns the glob of the files."""
-    files.select("key", "value").repartition("key").write.mode(mode).partitionBy("key").text(folder)
+    spark, keyed = files.sparkSession, files.select("key", "value").repartition("key")
+    if T.by_tasks(spark, folder):
+        if mode == "overwrite":
+            T.fresh_folder(spark, folder)
+        T.write_folders(keyed, folder, ["key"], F.col("value"), ".txt", replace=False)
+    else:
+        keyed.write.mode(mode).partitionBy("key").text(folder)
     return f"{folder}/key=*/*.txt"
 
 

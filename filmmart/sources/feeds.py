@@ -15,11 +15,13 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.jsonops import canonical_json, lines_as_array, reject_reason
 from ..schemas import BRONZE_SCHEMA, BRONZE_TABLES, REJECT_SCHEMA
 from ..session import child_dirs, make_dir, path_exists, remove_dir, scratch_path
+from . import small_files as T
 
 ENVELOPE = ["_loaded_at", "_source_file", "data"]
 #: What tells one version of a feed file from the next at the same path.
@@ -35,6 +37,8 @@ def read_feed(spark: SparkSession, pattern: str | list[str], json_lines: bool =
     No match gives an empty frame, not an error.
     ``json_lines``: files hold one document per line (e.g. written by ``keyed_feed_write``);
     each file's lines become one JSON array, the shape bronze stores."""
+    if pattern and T.by_tasks(spark, pattern):
+        return read_listed(T.list_files(spark, pattern), json_lines)
     try:
         raw = spark.read.text(pattern, wholetext=True) if pattern else spark.createDataFrame([], FEED_DDL)
         if not pattern:
@@ -49,6 +53,14 @@ def read_feed(spark: SparkSession, pattern: str | list[str], json_lines: bool =
     return raw.select(F.col("_metadata.file_path").alias("_source_file"), value.alias("value"), *file_version())
 
 
+def read_listed(files: DataFrame, json_lines: bool = False) -> DataFrame:
+    """``read_feed`` of listed files (``_source_file``): names stay in the frame, tasks read the contents."""
+    value = F.make_valid_utf8(F.col("content").cast("string"))
+    if json_lines:
+        value = lines_as_array(value)
+    return T.read_files(files).select("_source_file", value.alias("value"), *VERSION)
+
+
 def file_version() -> list[Column]:
     return [F.col("_metadata.file_modification_time").alias("_modified"), F.col("_metadata.file_size").alias("_length")]
 
@@ -109,6 +121,8 @@ def write_tagged(tagged: DataFrame, bronze_path: str, rejects_path: str | None,
 
 def list_feed(spark: SparkSession, pattern: str) -> DataFrame:
     """The files matching ``pattern`` with their versions; no content is read."""
+    if T.by_tasks(spark, pattern):
+        return T.list_files(spark, pattern)
     try:
         files = spark.read.format("binaryFile").load(pattern)
     except AnalysisException as e:
@@ -131,17 +145,20 @@ def literal_path(path: str, encoded: bool = False) -> str:
     return re.sub(r"([{}\[\]*?\\])", r"\\\1", unquote(path) if encoded else path)
 
 
-def new_files(spark: SparkSession, pattern: str, bronze_path: str) -> list[str]:
+def files_to_load(spark: SparkSession, pattern: str, bronze_path: str) -> DataFrame:
     """The files to load: those whose version (path, modification time, length) is not in bronze.
     A file rewritten by a new crawl is a new version. Rejected files never reach bronze, so they are
-    offered again on the next load. Only names and versions are compared; the driver gets
-    the names of the new files."""
+    offered again on the next load. Only names and versions are compared."""
     files, loaded = list_feed(spark, pattern), loaded_versions(spark, bronze_path)
     known = loaded.select(F.col("_source_file").alias("_f"), F.col("_modified").alias("_m"), F.col("_length").alias("_l"))
     same = (F.col("_source_file") == F.col("_f")) & (F.col("_m").isNull() | (F.col("_m") == F.col("_modified"))) & (
         F.col("_l").isNull() | (F.col("_l") == F.col("_length")))
-    new = files.join(known, same, "left_anti")
-    return [literal_path(r["_source_file"], encoded=True) for r in new.select("_source_file").collect()]
+    return files.join(known, same, "left_anti")
+
+
+def new_files(spark: SparkSession, pattern: str, bronze_path: str) -> list[str]:
+    """The names of ``files_to_load`` on the driver, each as a pattern that matches it alone."""
+    return [literal_path(r["_source_file"], encoded=True) for r in files_to_load(spark, pattern, bronze_path).select("_source_file").collect()]
 
 
 def load_batch(spark: SparkSession, pattern: str, bronze_path: str, rejects_path: str | None = None,
@@ -151,7 +168,12 @@ def load_batch(spark: SparkSession, pattern: str, bronze_path: str, rejects_path
     ``only_new=False``, which appends duplicates as the reference accepts). Returns the load id;
     a run that finds nothing new writes nothing."""
     load_id = load_id or uuid.uuid4().hex
-    if only_new:
+    if only_new and T.by_tasks(spark, pattern):
+        todo = T.kept_list(files_to_load(spark, pattern, bronze_path))
+        if todo.isEmpty() and path_exists(spark, bronze_path):
+            return load_id
+        feed = read_listed(todo, json_lines)
+    elif only_new:
         todo = new_files(spark, pattern, bronze_path)
         if not todo and path_exists(spark, bronze_path):
             return load_id
@@ -224,6 +246,10 @@ def read_inferred_json(spark: SparkSession, pattern: str, schema: str | None = N
     reader = spark.read.option("multiLine", True)
     if schema:
         reader = reader.schema(schema)
+    if T.by_tasks(spark, pattern):
+        files = T.kept_list(T.list_files(spark, pattern))
+        if not files.isEmpty():
+            return reader.json(T.decoded(T.read_files(files)).rdd.map(lambda r: r["value"]))
     return reader.json(pattern)
 
 
@@ -231,15 +257,24 @@ def keyed_feed_write(df: DataFrame, path: str, keys: Sequence[str] = ("action",
     """One output per key, rewritten whole; keys absent from ``df`` are untouched
     (dynamic partition overwrite), and an empty ``df`` writes nothing."""
     # Rebalanced, not repartitioned: a hot key is split into several files of its folder.
+    if T.by_tasks(df.sparkSession, path):
+        fields = F.to_json(F.struct(*[c for c in df.columns if c not in keys]))
+        return T.write_folders(df.select(*keys, fields.alias("_line")).hint("rebalance", *keys), path, list(keys), F.col("_line"), ".json")
     (df.hint("rebalance", *keys).write.partitionBy(*keys).mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").json(path))
 
 
 def read_keyed_feed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Read back with the key columns typed by ``schema`` (a slug made of digits stays text)."""
+    if T.by_tasks(spark, path) and path_exists(spark, path):
+        wanted, keys = spark.createDataFrame([], schema).schema, T.folder_keys(spark, path)
+        if set(keys) <= set(wanted.names):
+            own = StructType([f for f in wanted if f.name not in keys])
+            read = T.read_folders(spark, path).select(F.from_json("line", own).alias("_r"), "keys")
+            return read.select("_r.*", *[F.col("keys")[k].cast(wanted[k].dataType).alias(k) for k in keys])
     return spark.read.schema(schema).json(path)
 
 
 __all__ = ["read_feed", "to_bronze", "good", "rejects", "read_bronze", "read_rejects", "write_tagged", "write_load",
-           "new_files", "literal_path", "list_feed", "loaded_versions", "file_version", "load_batch", "replace_snapshot", "bootstrap", "read_bronze_root", "rebuild_table",
+           "new_files", "files_to_load", "read_listed", "literal_path", "list_feed", "loaded_versions", "file_version", "load_batch", "replace_snapshot", "bootstrap", "read_bronze_root", "rebuild_table",
            "read_inferred_json", "keyed_feed_write", "read_keyed_feed", "ENVELOPE"]

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import child_dirs, make_dir
-from ..sources.feeds import list_feed, literal_path, loaded_versions, read_feed, read_rejects, to_bronze, write_tagged
+from ..sources import small_files as T
+from ..sources.feeds import list_feed, literal_path, loaded_versions, read_feed, read_listed, read_rejects, to_bronze, write_tagged
 from .versions import version_stream
 
 
@@ -37,6 +38,12 @@ def load_stream(spark: SparkSession, feed_dir: str, bronze_path: str, rejects_pa
     own = stream_id(spark, checkpoint)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if T.by_tasks(spark, feed_dir):
+            listed = T.kept_list(batch)
+            if not listed.isEmpty():
+                feed = read_listed(T.paths_as_uris(listed), json_lines)
+                write_tagged(to_bronze(as_listed(feed, listed)), bronze_path, rejects_path, f"stream-{own}-{batch_id}")
+            return
         listed = batch.collect()  # names and versions of new files, as Spark's file source holds them on the driver
         if listed:
             feed = read_feed(spark, [literal_path(r["path"]) for r in listed], json_lines)
@@ -61,6 +68,11 @@ def replay_rejects(spark: SparkSession, pattern: str, rejects_path: str, bronze_
     rejected = read_rejects(spark, rejects_path).select("_source_file").distinct()
     files = list_feed(spark, pattern).join(rejected, "_source_file", "left_semi")
     files = files.join(loaded_versions(spark, bronze_path), ["_source_file", "_modified", "_length"], "left_anti")
+    if T.by_tasks(spark, pattern):
+        todo = T.kept_list(files)
+        if not todo.isEmpty():
+            write_tagged(to_bronze(read_listed(todo)), bronze_path, None, load_id)
+        return
     todo = [literal_path(r["_source_file"], encoded=True) for r in files.select("_source_file").collect()]
     if todo:
         write_tagged(to_bronze(read_feed(spark, todo)), bronze_path, None, load_id)

@@ -123,3 +123,18 @@ def test_inferred_json_of_many_files(spark, schema, monkeypatch):
     got = A.read_inferred_json(spark, f"{root}/k=*/*.json", schema)
     assert got.schema == want.schema and not got.inputFiles()
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 11
+
+
+def test_captures_are_written_and_loaded_by_tasks(spark, monkeypatch):
+    from filmmart.plans import capture as C
+
+    def never(*a, **k):
+        raise AssertionError("file names on the driver")
+    monkeypatch.setattr(A, "new_files", never)
+    rows = [("mc", "general", f"m/{i}", 0, f'{{"data": {{"item": {{"id": {i}, "title": "t"}}}}}}') for i in range(40)]
+    root = scratch_path(spark, "t-capture-small")
+    globs = C.write_feeds(spark.createDataFrame(rows, C.CAPTURED_DDL), f"{root}/feeds", f"{root}/rejects")
+    assert not path_exists(spark, f"{root}/feeds/mc_general/_SUCCESS")
+    A.load_batch(spark, globs["mc_general"], f"{root}/bronze", json_lines=True)
+    got = [r for d in A.read_bronze(spark, f"{root}/bronze").collect() for r in json.loads(d["data"])]
+    assert sorted((r["id"], r["movie_slug"]) for r in got) == [(i, f"m/{i}") for i in range(40)]

@@ -11,12 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import scrub_strings
 from ..sources import responses as R
+from ..session import scratch_path
 from ..sources.feeds import keyed_feed_write
+from ..sources.small_files import dealt
 from .silver import BRONZE_OF, SPECS
 
 MC, RT = "mc", "rt"
@@ -64,8 +66,10 @@ def _rejected(df: DataFrame, action: Action, reason, record=None, page: bool = T
                      (record if record is not None else F.lit(None)).cast("string").alias("record"))
 
 
-def flatten_action(captured: DataFrame, action: Action, max_pages: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(records with ``action`` and ``movie`` first, rejects) of one kind of capture."""
+def flatten_action(captured: DataFrame, action: Action, max_pages: int | None = None,
+                   staged: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame]:
+    """(records with ``action`` and ``movie`` first, rejects) of one kind of capture. ``staged``: what keeps a frame that both are
+    made of."""
     own = captured.filter((F.col("platform") == action.platform) & (F.col("action") == action.name)).select("entity_id", "page_no", "body")
     own = R.page_cap(own, "entity_id", "page_no", max_pages)
     if action.shape:
@@ -78,7 +82,7 @@ def flatten_action(captured: DataFrame, action: Action, max_pages: int | None =
         bad = _rejected(pages, action, F.col("reason"), page=False)
         flat = action.flatten(own)
     if action.no_nulls:
-        nulls = R.review_rejects(own, keys=action.no_nulls)
+        nulls = staged(R.review_rejects(own, keys=action.no_nulls))
         bad = bad.unionByName(_rejected(nulls.withColumnRenamed("movie_slug", "entity_id"), action, F.col("reason"), F.col("record")))
         at = nulls.select(F.col("movie_slug").alias("_m"), F.col("page_no").alias("_p"), F.col("item_pos").alias("_i"))
         flat = flat.join(at, (F.col("movie_slug").eqNullSafe(F.col("_m"))) & (F.col("page_no").eqNullSafe(F.col("_p"))) & (F.col("item_pos") == F.col("_i")),
@@ -88,36 +92,62 @@ def flatten_action(captured: DataFrame, action: Action, max_pages: int | None =
     checked = clean.withColumn("_record", F.to_json(F.struct(*fields)))
     checked = checked.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(fields)], "_record",
                              *[(F.col(c) if c in clean.columns else F.lit(None)).cast("long").alias(c) for c in ("page_no", "item_pos")])
-    ok, unfit = R.validate_records(checked, rules(action.table), "_record")
+    tagged = R.tag_records(checked, rules(action.table), "_record")
+    tagged = staged(tagged.withColumn("_record", F.when(F.col("reason").isNotNull(), F.col("_record"))))
+    ok, unfit = R.split_tagged(tagged, checked.columns)
     bad = bad.unionByName(_rejected(unfit.withColumn("entity_id", F.col(f"_c{fields.index(action.movie)}")), action, F.col("reason"), F.col("_record")))
     records = ok.select(F.lit(action.name).alias("action"), F.col(f"_c{fields.index(action.movie)}").alias("movie"), "page_no", "item_pos",
                         *[F.col(f"_c{i}").alias(c) for i, c in enumerate(fields)])
     return records, bad
 
 
-def flatten_captured(captured: DataFrame, max_pages: int | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
-    """(records by bronze table, rejects) of all captures; captures of an unknown kind are rejected too."""
+def _kind() -> Column:
+    """Place in ``ACTIONS`` of a capture's kind; -1: an unknown kind."""
+    at = F.lit(-1)
+    for i, a in enumerate(ACTIONS):
+        at = F.when((F.col("platform") == a.platform) & (F.col("action") == a.name), F.lit(i)).otherwise(at)
+    return at
+
+
+def flatten_captured(captured: DataFrame, max_pages: int | None = None,
+                     staged: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[dict[str, DataFrame], DataFrame]:
+    """(records by bronze table, rejects) of all captures; captures of an unknown kind are rejected too. A column ``_kind`` of
+    ``captured``, if there, is what it is laid out by; kinds that it does not have are left out then."""
     tables, bad = {}, None
-    known = F.lit(False)
-    for a in ACTIONS:
-        known = known | ((F.col("platform") == a.platform) & (F.col("action") == a.name))
-        tables[a.table], rejected = flatten_action(captured, a, max_pages)
+    laid_out = "_kind" in captured.columns
+    of = lambda i: captured.filter(F.col("_kind") == i) if laid_out else captured
+    there = {r[0] for r in captured.select("_kind").distinct().collect()} if laid_out else range(len(ACTIONS))  # at most 8 numbers
+    for i, a in enumerate(ACTIONS):
+        if i not in there:
+            continue
+        tables[a.table], rejected = flatten_action(of(i), a, max_pages, staged)
         bad = rejected if bad is None else bad.unionByName(rejected)
-    other = captured.filter(~F.coalesce(known, F.lit(False))).select(
+    other = of(-1).filter(_kind() == -1).select(
         "platform", "action", "entity_id", F.col("page_no").cast("long").alias("page_no"), F.lit("unknown kind of capture").alias("reason"),
         F.lit(None).cast("string").alias("record"))
-    return tables, bad.unionByName(other)
+    return tables, other if bad is None else bad.unionByName(other)
 
 
 def write_feeds(captured: DataFrame, out: str, rejects_path: str | None = None, max_pages: int | None = None) -> dict[str, str]:
     """Writes each table's feed to ``<out>/<table>`` (a movie's records replaced whole, other movies untouched); returns the globs
     that ``load_batch(json_lines=True)`` takes."""
-    tables, bad = flatten_captured(captured, max_pages)
+    spark = captured.sparkSession
+
+    def staged(df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "captured")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    # Each kind is read by its own flattener, and each frame of records gives a feed and rejects: made once, not for every reader.
+    path = scratch_path(spark, "captured")
+    kinds = captured.select("platform", "action", "entity_id", "page_no", "body", _kind().alias("_kind"))
+    dealt(kinds).write.partitionBy("_kind").parquet(path)
+    tables, bad = flatten_captured(spark.read.schema(kinds.schema).parquet(path), max_pages, staged)
     for name, records in tables.items():
         keyed_feed_write(records.drop("page_no", "item_pos"), f"{out.rstrip('/')}/{name}")
     if rejects_path:
         bad.write.mode("append").parquet(rejects_path)
-    return {name: f"{out.rstrip('/')}/{name}/action=*/movie=*/*.json" for name in tables}
+    return {a.table: f"{out.rstrip('/')}/{a.table}/action=*/movie=*/*.json" for a in ACTIONS}
 
 
 __all__ = ["ACTIONS", "Action", "CAPTURED_DDL", "flatten_action", "flatten_captured", "write_feeds", "rules"]

@@ -228,12 +228,23 @@ def validate_records(df: DataFrame, rules: dict, record: str = "record") -> tupl
     that is missing or null, or a present value that does not convert, rejects the record.
     Returns (valid typed rows, rejects with ``reason``).
     """
+    return split_tagged(tag_records(df, rules, record), df.columns)
+
+
+def split_tagged(tagged: DataFrame, base: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(valid typed rows, rejects with ``reason`` and the columns ``base``) of ``tag_records``."""
+    return tagged.filter(F.col("reason").isNull()).drop("reason"), tagged.filter(F.col("reason").isNotNull()).select(*base, "reason")
+
+
+def tag_records(df: DataFrame, rules: dict, record: str = "record") -> DataFrame:
+    """The rows with their typed values and a ``reason``, null for valid ones."""
     names = list(rules)
     raw = df.select("*", F.json_tuple(F.col(record), *names).alias(*[f"_raw_{n}" for n in names]))
-    tokens = F.from_json(F.col(record), "map<string, variant>")
+    kinds = F.transform_values(F.from_json(F.col(record), "map<string, variant>"), lambda _, v: F.schema_of_variant(v))
+    raw = raw.withColumn("_raw_kinds_of_values", kinds)  # once, not for every field
 
     def exact(name: str, kind: str) -> Column:
-        c, token = F.col(f"_raw_{name}"), F.schema_of_variant(tokens[name])
+        c, token = F.col(f"_raw_{name}"), F.col("_raw_kinds_of_values")[name]
         if kind == "text":
             return F.when(token == "STRING", c)
         if kind == "bool":
@@ -251,11 +262,7 @@ def validate_records(df: DataFrame, rules: dict, record: str = "record") -> tupl
             problems.append(F.when(rawc.isNull(), F.lit(f"{n}: missing")))
         problems.append(F.when(rawc.isNotNull() & val.isNull(), F.lit(f"{n}: not {kind}")))
     reason = F.concat_ws("; ", F.array_compact(F.array(*problems)))
-    tagged = typed.withColumn("reason", F.when(reason != "", reason))
-    base = [c for c in df.columns]
-    ok = tagged.filter(F.col("reason").isNull()).select(*base, *names)
-    bad = tagged.filter(F.col("reason").isNotNull()).select(*base, "reason")
-    return ok, bad
+    return typed.withColumn("reason", F.when(reason != "", reason)).select(*df.columns, *names, "reason")
 
 
 def discovery_records(df: DataFrame, method: str, discovered_at, slug: str = "slug", title: str = "title",
@@ -268,4 +275,4 @@ def discovery_records(df: DataFrame, method: str, discovered_at, slug: str = "sl
 
 __all__ = ["flatten_movie", "flatten_critic_reviews", "flatten_user_reviews", "flatten_audience_reviews",
            "flatten_rt_critic_reviews", "key_fallback", "has_key", "script_content", "page_scorecard",
-           "js_object", "page_details", "page_rejects", "review_rejects", "page_cap", "validate_records", "discovery_records"]
+           "js_object", "page_details", "page_rejects", "review_rejects", "page_cap", "validate_records", "tag_records", "split_tagged", "discovery_records"]

@@ -23,6 +23,7 @@ from ..session import path_exists, remove_dir, scratch_path, share_code
 
 LISTED_DDL = "_source_file string, _modified timestamp, _length long"
 BATCH_BYTES = 4 << 20  # of contents in one batch
+MERGED = "32kb"
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 LINE_FILE = "part-"
 _SPECIAL = re.compile(r'[\x01-\x1f"#%\'*/:=?\\\x7f{\[\]^]')
@@ -132,7 +133,7 @@ def _files(glob: str):
     return run
 
 
-def _dealt(df: DataFrame) -> DataFrame:
+def dealt(df: DataFrame) -> DataFrame:
     """Rows in as many parts as the session shuffles to: a path stands for a folder or a file of unknown size."""
     return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism))
 
@@ -144,7 +145,7 @@ def list_files(spark: SparkSession, pattern: str) -> DataFrame:
     first = wild[0] if wild else len(parts) - 1
     paths = spark.createDataFrame([("/" + "/".join(parts[:first]),)], "path string")
     for p in parts[first:-1]:
-        paths = _dealt(paths.mapInArrow(_expand(p), "path string"))
+        paths = dealt(paths.mapInArrow(_expand(p), "path string"))
     return paths.mapInArrow(_files(parts[-1]), LISTED_DDL)
 
 
@@ -178,7 +179,7 @@ def _read(batches):
 
 def read_files(files: DataFrame) -> DataFrame:
     """_source_file, _modified, _length and content of each listed file, in the version that is read; one gone meanwhile has no row."""
-    return _dealt(files.select("_source_file")).mapInArrow(_read, f"{LISTED_DDL}, content binary")
+    return dealt(files.select("_source_file")).mapInArrow(_read, f"{LISTED_DDL}, content binary")
 
 
 def decoded(files: DataFrame) -> DataFrame:
@@ -254,8 +255,15 @@ def write_folders(df: DataFrame, path: str, keys: list[str], line: Column, endin
                         system.move(e.path, f"{folder}/{e.base_name[1:]}")
             yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["shown"])
 
-    folders = kept_list(rows.sortWithinPartitions(*names).mapInArrow(write, "folder string"))
-    _dealt(folders.distinct()).mapInArrow(show, "shown long").agg(F.sum("shown")).collect()
+    # The work is a file a key, whatever its bytes: merged partitions shall not be fewer than the cores.
+    setting = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, MERGED)
+    try:
+        folders = kept_list(rows.sortWithinPartitions(*names).mapInArrow(write, "folder string"))
+    finally:
+        spark.conf.set(setting, before)
+    dealt(folders.distinct()).mapInArrow(show, "shown long").agg(F.sum("shown")).collect()
 
 
 def fresh_folder(spark: SparkSession, path: str) -> None:
@@ -296,4 +304,4 @@ def read_folders(spark: SparkSession, path: str) -> DataFrame:
     return read_files(files).mapInArrow(lines, "keys map<string, string>, line string")
 
 
-__all__ = ["by_tasks", "list_files", "read_files", "decoded", "kept_list", "paths_as_uris", "write_folders", "read_folders", "folder_keys", "fresh_folder", "file_uri", "from_uri", "qualified"]
+__all__ = ["by_tasks", "list_files", "read_files", "decoded", "kept_list", "paths_as_uris", "write_folders", "read_folders", "folder_keys", "fresh_folder", "file_uri", "from_uri", "qualified", "dealt"]

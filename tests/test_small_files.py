@@ -138,3 +138,23 @@ def test_captures_are_written_and_loaded_by_tasks(spark, monkeypatch):
     A.load_batch(spark, globs["mc_general"], f"{root}/bronze", json_lines=True)
     got = [r for d in A.read_bronze(spark, f"{root}/bronze").collect() for r in json.loads(d["data"])]
     assert sorted((r["id"], r["movie_slug"]) for r in got) == [(i, f"m/{i}") for i in range(40)]
+
+
+def test_captures_are_made_once(spark):
+    """However many feeds and rejects are made of them, each captured row is computed once."""
+    from filmmart.plans import capture as C
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+    body = '{"data": {"items": [{"id": 1, "score": 5}, {"id": null}, {"score": "x"}]}}'
+    rows = [("mc", "user_reviews", f"m{i}", 0, body) for i in range(30)] + [("mc", "general", "g", 0, "<html>"), ("mc", "none", "o", 1, "")]
+    root = scratch_path(spark, "t-capture-once")
+    C.write_feeds(spark.createDataFrame(rows, C.CAPTURED_DDL).mapInArrow(seen, C.CAPTURED_DDL), f"{root}/feeds", f"{root}/rejects")
+    assert made.value == 32
+    reasons = [r["reason"] for r in spark.read.parquet(f"{root}/rejects").collect()]
+    assert sorted(set(reasons)) == ["id: null", "no $.data.item", "unknown kind of capture"] and reasons.count("id: null") == 30
+    feed = A.read_keyed_feed(spark, f"{root}/feeds/mc_user_reviews", "review_id string, score int, action string, movie string")
+    assert feed.count() == 60

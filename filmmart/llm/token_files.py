@@ -8,8 +8,8 @@ compressed, so that sequence i of a mapped file is a slice of batch i // ROWS wi
 lies an Arrow file with doc_id, start and n_tokens of each document. Files are written under a name
 of the attempt and moved when complete, so that a task run again replaces them whole.
 
-Words between ASCII white space are encoded once per worker and looked up after that: the tokenizer
-never joins pieces over white space.
+Words between ASCII white space are encoded once per worker and looked up after that, rare ones as long as there is
+room: the tokenizer never joins pieces over white space.
 
 Edge cases: a null or empty text has the end id only; documents with a null doc_id come first;
 rows with one doc_id are ordered by a hash of their text; an empty table writes no file; extra
@@ -73,7 +73,7 @@ class WordEncoder:
     one array. A word of letters and punctuation behind them is put together from these two, which the tokenizer's splitting never
     joins. New words go to the tokenizer as lines of many words with a mark between them, a word that it turns into
     one id of its own; words with the mark's character, and lines whose marks don't add up, are encoded one by one. Beyond
-    ``remember`` words all are forgotten."""
+    ``remember`` words those that came but once lately are forgotten, and at least half of all."""
 
     MARKS = "~^\\@=+"
     LINE = 512  # words
@@ -92,16 +92,39 @@ class WordEncoder:
     def _forget(self) -> None:
         self.index: dict = defaultdict()
         self.index.default_factory = self.index.__len__
-        self.pool, self.starts, self.sizes = _Rows(self.dtype), _Rows(np.int64), _Rows(np.int64)
+        self.pool, self.starts, self.sizes, self.seen = _Rows(self.dtype), _Rows(np.int64), _Rows(np.int64), _Rows(np.int64)
         self.index[None]  # the end of a document
         for rows in (self.starts, self.sizes):
             rows.grow(1)
         self._note([0], np.zeros(1, np.int64), np.ones(1, np.int64), np.array([END], dtype=self.dtype))
 
+    def _forget_rare(self) -> None:
+        n, half = len(self.index), max(1, self.remember // 2)
+        seen = self.seen.held[:n]
+        least = max(2, int(np.partition(seen, n - half)[n - half]) + 1) if n > half else 2
+        kept = np.flatnonzero(seen[1:] >= least) + 1
+        words = list(self.index)
+        ids, ends = self._gathered(kept)
+        sizes = self.sizes.held[kept]
+        self._forget()
+        for k in kept.tolist():
+            self.index[words[k]]
+        for rows in (self.starts, self.sizes):
+            rows.grow(len(self.index))
+        self._note(np.arange(1, len(self.index)), ends - sizes, sizes, ids)
+        self._count(np.zeros(0, np.int64))
+        self.seen.held[1:len(self.index)] = seen[kept] // 2
+
+    def _count(self, words: np.ndarray) -> None:
+        known, n = self.seen.n, len(self.index)
+        self.seen.grow(n)
+        self.seen.held[known:n] = 0
+        self.seen.held[:n] += np.bincount(words, minlength=n)
+
     def _ids(self, text: str) -> list:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _note(self, numbers: list, starts: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+    def _note(self, numbers, starts: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
         """The words with these numbers are slices of ``ids``."""
         self.starts.held[numbers], self.sizes.held[numbers] = starts + self.pool.n, sizes
         self.pool.extend(ids)
@@ -155,7 +178,7 @@ class WordEncoder:
         """texts: UTF-8 bytes. The ids of all of them end to end (``end``: each with the end id), and how many each has. A-Z are
         lower-cased first, as the tokenizer would."""
         if len(self.index) > self.remember:
-            self._forget()
+            self._forget_rare()
         known, number, parts = len(self.index), self.index.__getitem__, []
         for t in texts:
             words = t.lower().split() if t else []
@@ -167,6 +190,7 @@ class WordEncoder:
             new.reverse()
             self._learn(new, known)
         words = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        self._count(words)
         ids, ends = self._gathered(words)
         n = np.array([len(p) for p in parts], dtype=np.int64)
         upto = np.concatenate([[0], ends])[np.cumsum(n.reshape(-1, 2).sum(axis=1) if end else n)] if len(texts) else np.zeros(0, np.int64)

@@ -455,6 +455,19 @@ def test_word_lookup_agrees_with_whole_texts():
     assert coder.encode([b"no mark, one by one"])[0].tolist() == tk.encode("no mark, one by one", add_special_tokens=False).ids
     assert [len(x) for x in coder.encode([])] == [0, 0]
 
+def test_frequent_words_stay_known(monkeypatch):
+    """Words that keep coming are encoded once, however many rare ones pass by; the ids are those of the tokenizer."""
+    path = token_files.tokenizer_path()
+    coder, learnt = token_files.WordEncoder(path, 300), collections.Counter()
+    learn = coder._learn
+    monkeypatch.setattr(coder, "_learn", lambda words, first: (learnt.update(words), learn(words, first)))
+    for i in range(12):
+        text = " ".join(f"the film was {random.Random(100 * i + j).getrandbits(40):x}" for j in range(100))
+        ids, n = coder.encode([text.encode()], end=True)
+        assert ids.tolist() == [*coder.tokenizer.encode(text, add_special_tokens=False).ids, token_files.END] and n.tolist() == [len(ids)]
+    assert learnt[b"the"] == learnt[b"film"] == learnt[b"was"] == 1 and len(learnt) > 1000
+    assert len(coder.index) < 700
+
 
 # 6 fingerprints
 

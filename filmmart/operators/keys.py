@@ -6,12 +6,14 @@ one task sorts the whole table. Here the rows are range-partitioned on the order
 sorted inside each partition and numbered locally, the layout is written to the shared
 scratch folder (the two uses below must see the same partitions), and each partition's
 offset -- a running sum of its predecessors' counts -- is added back. The offsets table
-has one row per partition, a size fixed by the partition count, so it is broadcast.
+has one row per partition, a size fixed by the partition count, so it is summed on the driver and
+broadcast; the frame returned has the layout's files as its only source.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,8 +60,9 @@ def dense_key(df: DataFrame, order: Sequence[Column], name: str, partitions: int
     ranged.write.option("compression", "zstd").parquet(path)
     ranged = spark.read.schema(ranged.schema).parquet(path)
     pid = F.shiftrightunsigned(F.col("_mid"), _LOCAL_BITS)
-    offsets = (ranged.groupBy(pid.alias("_pid")).count()
-                     .select("_pid", (F.sum("count").over(Window.orderBy("_pid")) - F.col("count")).alias("_off")))
+    counts = sorted(tuple(r) for r in ranged.groupBy(pid.alias("_pid")).count().collect())  # one row per partition
+    before = accumulate((n for _, n in counts), initial=0)
+    offsets = spark.createDataFrame([(p, off) for (p, _), off in zip(counts, before, strict=False)], "_pid long, _off long")
     local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     return (ranged.join(F.broadcast(offsets), pid == F.col("_pid"))
                   .select((F.col("_off") + local + F.lit(1)).cast("long").alias(name), *cols))

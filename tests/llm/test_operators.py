@@ -384,6 +384,19 @@ def test_predictive_probabilities_sum_to_one():
         assert abs(q2.sum() + share2 * share1 * rest0 - 1) < 1e-9
 
 
+@pytest.mark.parametrize("n_buckets", [1, 5])
+def test_words_before_are_contexts(spark, monkeypatch, n_buckets):
+    """north and south end alike; what follows each is learnt apart, in one bucket of words and in several."""
+    train = [(i, f"the north wind of m{i} and the south rain of n{i}", False) for i in range(40)]
+    ask = [(100, "the north wind", True), (101, "the north rain", True), (102, "the south rain", True), (103, "the south wind", True), (104, "the south zebra", True)]
+    size = sum(len(t) for _, t, _ in train + ask)
+    monkeypatch.setattr(hpy_lm, "BUCKET_BYTES", -(-size // n_buckets))
+    got = {r.doc_id: r for r in hpy_lm.score_documents(spark.createDataFrame(train + ask, "doc_id long, text string, held_out boolean")).collect()}
+    assert len(got) == len(train) + len(ask) and all(r.train_tokens == 40 * 12 for r in got.values())
+    assert got[100].score > got[101].score + 1 and got[102].score > got[103].score + 1 and got[103].score > got[104].score
+    assert got[100].base_score == pytest.approx(got[101].base_score)
+
+
 def test_seating_follows_the_restaurant_rule():
     """Mean tables of a lone dish against the exact mean of the rule, on small and large numbers of customers."""
     rng = np.random.default_rng(1)

@@ -18,6 +18,7 @@ columns are ignored; special tokens' strings in a text are ordinary text.
 
 from __future__ import annotations
 
+import os
 import unicodedata
 import uuid
 import zlib
@@ -79,7 +80,8 @@ class WordEncoder:
     LINE = 512  # words
     PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
-    def __init__(self, path: str, remember: int = 250_000) -> None:
+    def __init__(self, path: str, remember: int = 500_000) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks of a machine have its cores already
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True

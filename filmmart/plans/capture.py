@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 
 from ..functions.text import scrub_strings
 from ..sources import responses as R
-from ..session import scratch_path
+from ..session import remove_dir, scratch_path
 from ..sources.feeds import keyed_feed_write
-from ..sources.small_files import dealt
+from ..sources.small_files import parts
 from .silver import BRONZE_OF, SPECS
 
 MC, RT = "mc", "rt"
 CAPTURED_DDL = "platform string, action string, entity_id string, page_no long, body string"
+# Row groups of captures on the way, so that few files of few bytes can still be read by all cores.
+ROW_GROUPS = {"parquet.block.size": 16 << 20, "parquet.block.row.count.limit": 10_000}
+OPEN_COST = "64kb"
 REJECT_COLS = ["platform", "action", "entity_id", "page_no", "reason", "record"]
 _SPEC_OF = {bronze: SPECS[silver] for silver, bronze in BRONZE_OF.items()}
 
@@ -130,23 +133,33 @@ def flatten_captured(captured: DataFrame, max_pages: int | None = None,
 
 def write_feeds(captured: DataFrame, out: str, rejects_path: str | None = None, max_pages: int | None = None) -> dict[str, str]:
     """Writes each table's feed to ``<out>/<table>`` (a movie's records replaced whole, other movies untouched); returns the globs
-    that ``load_batch(json_lines=True)`` takes."""
-    spark = captured.sparkSession
+    that ``load_batch(json_lines=True)`` takes. On a mounted file system the feeds are packed (``sources.packs``)."""
+    spark, kept = captured.sparkSession, []
 
-    def staged(df: DataFrame) -> DataFrame:
-        path = scratch_path(spark, "captured")
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+    def scratch(df: DataFrame, *by: str) -> DataFrame:
+        kept.append(scratch_path(spark, "captured"))
+        df.write.partitionBy(*by).options(compression="zstd", **ROW_GROUPS).parquet(kept[-1])
+        return spark.read.schema(df.schema).parquet(kept[-1])
 
     # Each kind is read by its own flattener, and each frame of records gives a feed and rejects: made once, not for every reader.
-    path = scratch_path(spark, "captured")
     kinds = captured.select("platform", "action", "entity_id", "page_no", "body", _kind().alias("_kind"))
-    dealt(kinds).write.partitionBy("_kind").parquet(path)
-    tables, bad = flatten_captured(spark.read.schema(kinds.schema).parquet(path), max_pages, staged)
-    for name, records in tables.items():
-        keyed_feed_write(records.drop("page_no", "item_pos"), f"{out.rstrip('/')}/{name}")
-    if rejects_path:
-        bad.write.mode("append").parquet(rejects_path)
+    laid_out = scratch(kinds, "_kind")
+    # The work is in the rows, whatever their bytes: they are split for all cores where they lie, not shuffled.
+    own = {"spark.sql.files.openCostInBytes": OPEN_COST, "spark.sql.files.minPartitionNum": str(parts(spark))}
+    before = {k: spark.conf.get(k, None) for k in own}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        tables, bad = flatten_captured(laid_out, max_pages, scratch)
+        for name, records in tables.items():
+            keyed_feed_write(records.drop("page_no", "item_pos"), f"{out.rstrip('/')}/{name}", packed=True)
+        if rejects_path:
+            bad.write.mode("append").parquet(rejects_path)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        for path in kept:
+            remove_dir(spark, path)
     return {a.table: f"{out.rstrip('/')}/{a.table}/action=*/movie=*/*.json" for a in ACTIONS}
 
 

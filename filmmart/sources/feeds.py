@@ -253,13 +253,14 @@ def read_inferred_json(spark: SparkSession, pattern: str, schema: str | None = N
     return reader.json(pattern)
 
 
-def keyed_feed_write(df: DataFrame, path: str, keys: Sequence[str] = ("action", "movie")) -> None:
+def keyed_feed_write(df: DataFrame, path: str, keys: Sequence[str] = ("action", "movie"), packed: bool = False) -> None:
     """One output per key, rewritten whole; keys absent from ``df`` are untouched
-    (dynamic partition overwrite), and an empty ``df`` writes nothing."""
+    (dynamic partition overwrite), and an empty ``df`` writes nothing. ``packed``: on a mounted file system the outputs of many
+    keys share files, from which this module's readers take them by the same paths."""
     # Rebalanced, not repartitioned: a hot key is split into several files of its folder.
     if T.by_tasks(df.sparkSession, path):
         fields = F.to_json(F.struct(*[c for c in df.columns if c not in keys]))
-        return T.write_folders(df.select(*keys, fields.alias("_line")).hint("rebalance", *keys), path, list(keys), F.col("_line"), ".json")
+        return T.write_folders(df.select(*keys, fields.alias("_line")).hint("rebalance", *keys), path, list(keys), F.col("_line"), ".json", packed=packed)
     (df.hint("rebalance", *keys).write.partitionBy(*keys).mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").json(path))
 
@@ -268,10 +269,10 @@ def read_keyed_feed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Read back with the key columns typed by ``schema`` (a slug made of digits stays text)."""
     if T.by_tasks(spark, path) and path_exists(spark, path):
         wanted, keys = spark.createDataFrame([], schema).schema, T.folder_keys(spark, path)
-        if set(keys) <= set(wanted.names):
+        if set(keys) <= set(wanted.names) or T.in_packs(spark, path):
             own = StructType([f for f in wanted if f.name not in keys])
             read = T.read_folders(spark, path).select(F.from_json("line", own).alias("_r"), "keys")
-            return read.select("_r.*", *[F.col("keys")[k].cast(wanted[k].dataType).alias(k) for k in keys])
+            return read.select("_r.*", *[F.col("keys")[k].cast(wanted[k].dataType if k in wanted.names else "string").alias(k) for k in keys])
     return spark.read.schema(schema).json(path)
 
 

@@ -3,12 +3,14 @@
 Spark's file sources expand a pattern and keep every file's status on the driver, and its writers move every file there; on a
 mounted (``file:``) folder each file also costs child processes. Here the driver gets neither names nor contents: a pattern is
 expanded level by level by tasks, files are read whole by tasks, and each folder's file is written by the task that holds its rows.
+Files in packs (``packs``) are listed and read like files of their own.
 Other file systems keep Spark's own sources and writers (``by_tasks`` tells).
 """
 
 from __future__ import annotations
 
 import datetime
+import itertools
 import json
 import re
 import uuid
@@ -20,9 +22,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import path_exists, remove_dir, scratch_path, share_code
+from . import packs as P
 
 LISTED_DDL = "_source_file string, _modified timestamp, _length long"
 BATCH_BYTES = 4 << 20  # of contents in one batch
+LISTED_ROWS = 10_000  # of a pack's list in one batch
+PACK_TASKS = 4  # that read one pack
 MERGED = "32kb"
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 LINE_FILE = "part-"
@@ -89,22 +94,45 @@ def _hidden(name: str) -> bool:
     return name[:1] == "." or (name[:1] == "_" and "=" not in name) or name.endswith("._COPYING_")
 
 
-def _entries(folder: str, glob: str):
-    """Entries of a folder whose name matches; without wildcards the name is asked for alone."""
+def _entries(folder: str, glob: str) -> tuple[list, list[str]]:
+    """(entries of a folder whose name matches, its packs); without wildcards the name is asked for alone."""
     from pyarrow import fs
     system = fs.LocalFileSystem()
     if not re.search(r"[*?\[{\\]", glob):
         found = system.get_file_info(f"{folder.rstrip('/')}/{glob}")
-        return [found] if found.type != fs.FileType.NotFound else []
+        return [found] if found.type != fs.FileType.NotFound and glob != P.PACKS else [], P.packs(folder)
     matches = _matcher(glob)
-    return [e for e in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)) if matches(e.base_name)]
+    every = system.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+    packed = any(e.base_name == P.PACKS and not e.is_file for e in every)
+    return [e for e in every if matches(e.base_name) and e.base_name != P.PACKS], P.packs(folder) if packed else []
 
 
-def _expand(glob: str):
+# What a pattern is expanded to on the way: folders, and packs with the number of the pattern's parts that lead to their feed.
+_FOUND_DDL = "path string, below int"
+
+
+def _found(rows: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32())], names=["path", "below"])
+
+
+def _above(parts: list[str]):
+    """Besides the folder that an expansion begins at: packs of the folders above it, which may hold files below it."""
+    def run(batches):
+        for b in batches:
+            packs = [(p, i) for i in range(len(parts)) for p in P.packs("/" + "/".join(parts[:i]))]
+            yield _found([*((path, None) for path in b.column("path").to_pylist()), *packs])
+    return run
+
+
+def _expand(glob: str, depth: int):
     def run(batches):
         for b in batches:
-            for folder in b.column("path").to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array([e.path for e in _entries(folder, glob) if not e.is_file], pa.string())], names=["path"])
+            for path, below in zip(b.column("path").to_pylist(), b.column("below").to_pylist(), strict=True):
+                if below is not None:
+                    yield _found([(path, below)])
+                    continue
+                found, packs = _entries(path, glob)
+                yield _found([*((e.path, None) for e in found if not e.is_file), *((p, depth) for p in packs)])
     return run
 
 
@@ -113,29 +141,62 @@ _LISTED = pa.schema([("_source_file", pa.string()), ("_modified", pa.timestamp("
 
 def _version(info) -> tuple:
     """Modification time (whole milliseconds, as file metadata have it) and length."""
-    return datetime.datetime.fromtimestamp(0, datetime.timezone.utc) + datetime.timedelta(milliseconds=info.mtime_ns // 1_000_000), info.size
+    return _time(info.mtime_ns // 1_000_000), info.size
+
+
+def _time(ms: int) -> datetime.datetime:
+    return datetime.datetime.fromtimestamp(0, datetime.timezone.utc) + datetime.timedelta(milliseconds=ms)
+
 
+def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
+    cols = zip(*rows, strict=True) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
-def _files(glob: str):
+
+def _packed(pack: str, globs: list[str]):
+    """Files of a pack whose path below the feed's root matches, by its first parts if there are fewer patterns."""
+    (root, name), matchers, rows = P.of_pack(pack), [_matcher(g) for g in globs], []
+    for folder, modified, length in P.listed(pack):
+        parts = [*folder.split("/"), name]
+        if len(matchers) <= len(parts) and all(m(p) for m, p in zip(matchers, parts, strict=False)):
+            rows.append((file_uri(f"{root}/{folder}/{name}"), _time(modified), length))
+            if len(rows) == LISTED_ROWS:
+                yield _batch(rows, _LISTED)
+                rows = []
+    yield _batch(rows, _LISTED)
+
+
+def _files(parts: list[str]):
     from pyarrow import fs
 
     def run(batches):
         for b in batches:
-            for folder in b.column("path").to_pylist():
-                found = _entries(folder, glob)
+            for path, below in zip(b.column("path").to_pylist(), b.column("below").to_pylist(), strict=True):
+                if below is not None:
+                    yield from _packed(path, parts[below:])
+                    continue
+                found, packs = _entries(path, parts[-1])
+                for p in packs:
+                    yield from _packed(p, parts[-1:])
                 for d in [e for e in found if not e.is_file]:  # a folder stands for its files, and for those of key folders below it
                     for e in fs.LocalFileSystem().get_file_info(fs.FileSelector(d.path, recursive=True)):
-                        if all("=" in p and not _hidden(p) for p in e.path[len(d.path):].strip("/").split("/")[:-1]):
+                        inner = e.path[len(d.path):].strip("/").split("/")[:-1]
+                        if P.is_pack(e) and all("=" in p and not _hidden(p) for p in inner[:-1]):
+                            yield from _packed(e.path, [])
+                        elif all("=" in p and not _hidden(p) for p in inner):
                             found.append(e)
-                rows = [(file_uri(e.path), *_version(e)) for e in found if e.is_file and e.size and not _hidden(e.base_name)]
-                cols = list(zip(*rows, strict=True)) if rows else [[]] * 3
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _LISTED, strict=True)], schema=_LISTED)
+                yield _batch([(file_uri(e.path), *_version(e)) for e in found if e.is_file and e.size and not _hidden(e.base_name)], _LISTED)
     return run
 
 
+def parts(spark: SparkSession) -> int:
+    """As many parts as the session shuffles to, one a core at least."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def dealt(df: DataFrame) -> DataFrame:
-    """Rows in as many parts as the session shuffles to: a path stands for a folder or a file of unknown size."""
-    return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism))
+    """Rows in ``parts`` parts: a path stands for a folder or a file of unknown size."""
+    return df.repartition(parts(df.sparkSession))
 
 
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:
@@ -143,43 +204,59 @@ def list_files(spark: SparkSession, pattern: str) -> DataFrame:
     parts = _local(qualified(spark, pattern)).strip("/").split("/")
     wild = [i for i, p in enumerate(parts[:-1]) if re.search(r"[*?\[{\\]", p)]
     first = wild[0] if wild else len(parts) - 1
-    paths = spark.createDataFrame([("/" + "/".join(parts[:first]),)], "path string")
-    for p in parts[first:-1]:
-        paths = dealt(paths.mapInArrow(_expand(p), "path string"))
-    return paths.mapInArrow(_files(parts[-1]), LISTED_DDL)
+    paths = spark.createDataFrame([("/" + "/".join(parts[:first]),)], "path string").mapInArrow(_above(parts[:first]), _FOUND_DDL)
+    for i, p in enumerate(parts[first:-1], first):
+        paths = dealt(paths.mapInArrow(_expand(p, i), _FOUND_DDL))
+    return paths.mapInArrow(_files(parts), LISTED_DDL)
 
 
 _READ = pa.schema([*_LISTED, ("content", pa.binary())])
+_PACKED = ["folder", "modified", "length", "content"]
 
 
 def _read(batches):
     from pyarrow import fs
-    system = fs.LocalFileSystem()
+    system, roots = fs.LocalFileSystem(), {}
 
-    def batch(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _READ, strict=True)], schema=_READ)
-
-    for b in batches:
-        rows, held = [], 0
-        for uri in b.column("_source_file").to_pylist():
+    def contents(uris):
+        packed = {}
+        for uri in uris:
             path = from_uri(uri)
+            root = P.root_of(path, roots)
+            if root is not None:
+                folder, _, name = path[len(root) + 1:].rpartition("/")
+                packed.setdefault(f"{root}/{P.PACKS}/{name}{P.ENDING}", {}).setdefault(folder, []).append(uri)
+                continue
             info = system.get_file_info(path)
             if not info.is_file or not info.size:  # gone or emptied since it was listed
                 continue
             with system.open_input_stream(path) as f:  # unpacked by the ending of its name
-                content = f.read()
-            rows.append((uri, *_version(info), content))
-            held += len(content)
+                yield uri, *_version(info), f.read()
+        for pack, folders in packed.items():
+            for t in P.groups(pack, _PACKED, folders.keys()):
+                for folder, modified, length, content in zip(*(t[c].to_pylist() for c in _PACKED), strict=True):
+                    for uri in folders[folder]:
+                        yield uri, _time(modified), length, content
+
+    for b in batches:
+        rows, held = [], 0
+        for row in contents(b.column("_source_file").to_pylist()):
+            rows.append(row)
+            held += len(row[-1])
             if held >= BATCH_BYTES:
-                yield batch(rows)
+                yield _batch(rows, _READ)
                 rows, held = [], 0
         if rows:
-            yield batch(rows)
+            yield _batch(rows, _READ)
 
 
 def read_files(files: DataFrame) -> DataFrame:
     """_source_file, _modified, _length and content of each listed file, in the version that is read; one gone meanwhile has no row."""
-    return dealt(files.select("_source_file")).mapInArrow(_read, f"{LISTED_DDL}, content binary")
+    # A pack is read by a few tasks, each in the order of its folders; other files are dealt by their whole path.
+    name, own = F.substring_index("_source_file", "/", -1), F.xxhash64("_source_file")
+    pack = F.when(name.rlike("^" + P.NAME), name)
+    dealt_out = files.select("_source_file").repartition(parts(files.sparkSession), pack, F.when(pack.isNull(), own).otherwise(F.pmod(own, F.lit(PACK_TASKS))))
+    return dealt_out.sortWithinPartitions(pack, "_source_file").mapInArrow(_read, f"{LISTED_DDL}, content binary")
 
 
 def decoded(files: DataFrame) -> DataFrame:
@@ -210,11 +287,12 @@ def folder_name(key: str, value: str | None) -> str:
     return f"{key}={_SPECIAL.sub(lambda m: f'%{ord(m[0]):02X}', value) if value else NO_VALUE}"
 
 
-def write_folders(df: DataFrame, path: str, keys: list[str], line: Column, ending: str, replace: bool = True) -> None:
+def write_folders(df: DataFrame, path: str, keys: list[str], line: Column, ending: str, replace: bool = True, packed: bool = False) -> None:
     """Lines to ``<path>/<key>=<value>/.../part-*<ending>``, one file per key and task. Files are written under hidden names and shown
-    when all are complete; ``replace``: in place of what the touched folders held, else beside it."""
+    when all are complete; ``replace``: in place of what the touched folders held, else beside it. ``packed``: the files of a task lie in
+    packs, and the folders are names only."""
     spark, root, own = df.sparkSession, _local(qualified(df.sparkSession, path)), uuid.uuid4().hex
-    text = lambda k: F.nullif(F.col(k).cast("string"), F.lit(""))  # noqa: E731  both have the folder of no value
+    text = lambda k: F.nullif(F.nullif(F.col(k).cast("string"), F.lit("")), F.lit(NO_VALUE))  # noqa: E731  all have the folder of no value
     rows = df.select(*[text(k).alias(f"k{i}") for i, k in enumerate(keys)], F.coalesce(line, F.lit("")).alias("line"))
     names = [f"k{i}" for i in range(len(keys))]
 
@@ -241,12 +319,21 @@ def write_folders(df: DataFrame, path: str, keys: list[str], line: Column, endin
             yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], names=["folder"])
         close()
 
+    def pack(batches):
+        part = TaskContext.get().partitionId()
+        out = P.PackWriter(lambda n: f"{root}/{P.PACKS}/.{P.pack_name(part, n, own, ending)}{P.ENDING}")
+        for b in batches:
+            lines = b.column("line").cast(pa.binary()).to_pylist()
+            for *values, text in zip(*[b.column(k).to_pylist() for k in names], lines, strict=True):
+                out.add("/".join(map(folder_name, keys, values)), text + b"\n")
+        yield pa.RecordBatch.from_arrays([pa.array(out.close(), pa.string())], names=["pack"])
+
     def show(batches):
         from pyarrow import fs
         system = fs.LocalFileSystem()
         for b in batches:
             for folder in b.column("folder").to_pylist():
-                found = [e for e in system.get_file_info(fs.FileSelector(folder)) if e.is_file]
+                found = [e for e in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)) if e.is_file]
                 for e in found:
                     if replace and own not in e.base_name:
                         system.delete_file(e.path)
@@ -260,10 +347,67 @@ def write_folders(df: DataFrame, path: str, keys: list[str], line: Column, endin
     before = spark.conf.get(setting)
     spark.conf.set(setting, MERGED)
     try:
-        folders = kept_list(rows.sortWithinPartitions(*names).mapInArrow(write, "folder string"))
+        made = kept_list(rows.sortWithinPartitions(*names).mapInArrow(*((pack, "pack string") if packed else (write, "folder string"))))
     finally:
         spark.conf.set(setting, before)
-    dealt(folders.distinct()).mapInArrow(show, "shown long").agg(F.sum("shown")).collect()
+    folders = _folders(made, root) if packed else made
+    moves = _without(spark, root, folders) if replace else []
+    if not packed or replace and _has_folders(root):
+        dealt(folders.distinct()).mapInArrow(show, "shown long").agg(F.sum("shown")).collect()
+    if packed:
+        moves += [(f"{at}/{name[1:]}", f"{at}/{name}") for at, _, name in (r[0].rpartition("/") for r in made.collect())]
+    _move(moves)
+
+
+def _folders(packs: DataFrame, root: str) -> DataFrame:
+    """The folders that have files in packs."""
+    def run(batches):
+        for b in batches:
+            for pack in b.column("pack").to_pylist():
+                for t in P.groups(pack, ["folder"]):
+                    yield pa.RecordBatch.from_arrays([pa.array([f"{root}/{x}" for x in t["folder"].to_pylist()], pa.string())], names=["folder"])
+    return dealt(packs).mapInArrow(run, "folder string")
+
+
+def _without(spark: SparkSession, root: str, folders: DataFrame) -> list[tuple[str, str | None]]:
+    """Takes folders out of a feed's packs. Packs that held some are written again beside the old ones; returns which is to take whose place."""
+    old = P.packs(root)
+    if not old:
+        return []
+
+    def held(batches):
+        for b in batches:
+            for pack in b.column("pack").to_pylist():
+                for t in P.groups(pack, ["folder"]):
+                    own = t["folder"].to_pylist()
+                    yield pa.RecordBatch.from_arrays([pa.array([pack] * len(own), pa.string()), pa.array([f"{root}/{x}" for x in own], pa.string())], names=["pack", "folder"])
+
+    def rewrite(batches):
+        pairs = ((p, f[len(root) + 1:]) for b in batches for p, f in zip(b.column("pack").to_pylist(), b.column("folder").to_pylist(), strict=True))
+        for pack, group in itertools.groupby(pairs, lambda r: r[0]):
+            at, _, name = pack.rpartition("/")
+            new = P.without(pack, [f for _, f in group], f"{at}/.less-{uuid.uuid4().hex}-{name}")
+            yield pa.RecordBatch.from_arrays([pa.array([pack], pa.string()), pa.array([new], pa.string())], names=["pack", "new"])
+
+    hit = dealt(spark.createDataFrame([(p,) for p in old], "pack string")).mapInArrow(held, "pack string, folder string").join(folders.distinct(), "folder", "left_semi")
+    done = kept_list(hit.select("pack", "folder").repartition("pack").sortWithinPartitions("pack").mapInArrow(rewrite, "pack string, new string"))
+    return [tuple(r) for r in done.collect()]
+
+
+def _has_folders(root: str) -> bool:
+    from pyarrow import fs
+    return any(not e.is_file and "=" in e.base_name for e in fs.LocalFileSystem().get_file_info(fs.FileSelector(root, allow_not_found=True)))
+
+
+def _move(moves: list[tuple[str, str | None]]) -> None:
+    """Packs under their final names, a few renames after all are complete; None: nothing is left of a pack."""
+    from pyarrow import fs
+    system = fs.LocalFileSystem()
+    for final, new in moves:
+        if new is None:
+            system.delete_file(final)
+        else:
+            system.move(new, final)
 
 
 def fresh_folder(spark: SparkSession, path: str) -> None:
@@ -272,9 +416,12 @@ def fresh_folder(spark: SparkSession, path: str) -> None:
 
 
 def folder_keys(spark: SparkSession, path: str) -> list[str]:
-    """Keys of the folders below a path, told from the first of each level."""
+    """Keys of the folders below a path, told from the first of each level or of a pack."""
     from pyarrow import fs
     system, at, keys = fs.LocalFileSystem(), _local(qualified(spark, path)), []
+    for pack in P.packs(at):
+        for folder, *_ in P.listed(pack):
+            return [unquote(p.partition("=")[0]) for p in folder.split("/")]
     while True:
         inner = [e for e in system.get_file_info(fs.FileSelector(at)) if not e.is_file and "=" in e.base_name and not _hidden(e.base_name)]
         if not inner:
@@ -284,6 +431,10 @@ def folder_keys(spark: SparkSession, path: str) -> list[str]:
         keys.append(unquote(first.base_name.partition("=")[0]))
 
 
+def in_packs(spark: SparkSession, path: str) -> bool:
+    return bool(P.packs(_local(qualified(spark, path))))
+
+
 def read_folders(spark: SparkSession, path: str) -> DataFrame:
     """keys (map of the folders' keys) and line of every line that is not blank in the files of the key folders."""
     root = _local(qualified(spark, path))
@@ -304,4 +455,4 @@ def read_folders(spark: SparkSession, path: str) -> DataFrame:
     return read_files(files).mapInArrow(lines, "keys map<string, string>, line string")
 
 
-__all__ = ["by_tasks", "list_files", "read_files", "decoded", "kept_list", "paths_as_uris", "write_folders", "read_folders", "folder_keys", "fresh_folder", "file_uri", "from_uri", "qualified", "dealt"]
+__all__ = ["by_tasks", "list_files", "read_files", "decoded", "kept_list", "paths_as_uris", "write_folders", "read_folders", "folder_keys", "in_packs", "fresh_folder", "file_uri", "from_uri", "qualified", "dealt", "parts"]

@@ -59,12 +59,17 @@ def list_versions(folder: str, glob: str) -> list[tuple[str, int, int]]:
     from fnmatch import fnmatchcase
 
     from pyarrow import fs
+
+    from ..sources.packs import is_pack, listed, of_pack
     system, at = opened(folder)
     if system.get_file_info(at).type != fs.FileType.Directory:
         return []
     out = []
     for f in system.get_file_info(fs.FileSelector(at, recursive=True)):
         parts = f.path[len(at):].strip("/").split("/")
+        if is_pack(f) and not any(p[0] in "._" and "=" not in p for p in parts[:-2]) and fnmatchcase(of_pack(f.path)[1], glob):
+            own = [folder.rstrip("/"), *parts[:-2]]
+            out += [("/".join([*own, inner, of_pack(f.path)[1]]), modified, size) for inner, modified, size in listed(f.path, system)]
         if f.type == fs.FileType.File and fnmatchcase(parts[-1], glob) and not any(p[0] in "._" and "=" not in p for p in parts):
             out.append((f"{folder.rstrip('/')}/{'/'.join(parts)}", (f.mtime_ns or 0) // 1_000_000, f.size))
     return sorted(out, key=lambda v: (v[1], v[0]))

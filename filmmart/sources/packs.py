@@ -37,6 +37,12 @@ def packs(root: str, system=None) -> list[str]:
     return sorted(e.path for e in found if is_pack(e))
 
 
+def unfinished(root: str) -> list[str]:
+    """Files under hidden names beside the packs of a feed."""
+    found = fs.LocalFileSystem().get_file_info(fs.FileSelector(f"{root.rstrip('/')}/{PACKS}", allow_not_found=True))
+    return [e.path for e in found if e.is_file and e.base_name[0] == "."]
+
+
 def is_pack(info) -> bool:
     return info.is_file and info.base_name[0] != "." and info.base_name.endswith(ENDING) and info.path.split("/")[-2:-1] == [PACKS]
 
@@ -158,4 +164,4 @@ def without(pack: str, dropped: list[str], final: str) -> str | None:
     return out and out.close()
 
 
-__all__ = ["ENDING", "NAME", "PACKS", "PackWriter", "groups", "is_pack", "listed", "of_pack", "pack_name", "packs", "root_of", "without"]
+__all__ = ["ENDING", "NAME", "PACKS", "PackWriter", "groups", "is_pack", "listed", "of_pack", "pack_name", "packs", "root_of", "unfinished", "without"]

@@ -357,6 +357,8 @@ def write_folders(df: DataFrame, path: str, keys: list[str], line: Column, endin
     if packed:
         moves += [(f"{at}/{name[1:]}", f"{at}/{name}") for at, _, name in (r[0].rpartition("/") for r in made.collect())]
     _move(moves)
+    if packed and replace:  # what a job that failed left
+        _move([(hidden, None) for hidden in P.unfinished(root)])
 
 
 def _folders(packs: DataFrame, root: str) -> DataFrame:
